@@ -66,11 +66,14 @@ def outcomes(records: DataFrame, policy: RetryPolicy) -> DataFrame:
     )
 
 
-def expand_attempts(records: DataFrame, policy: RetryPolicy) -> DataFrame:
-    """F3 + F1/F2: one row per try with timing, result and retry decision."""
+def expand_attempts(records: DataFrame, policy: RetryPolicy, keep: tuple[str, ...] = ()) -> DataFrame:
+    """F3 + F1/F2: one row per try with timing, result and retry decision.
+
+    ``keep``: extra record columns carried onto every try.
+    """
     tries = _tries(policy)
     rows = records.select(
-        "partition", "offset", "key", "fetched_ms", "latency_ms", "failures",
+        "partition", "offset", "key", "fetched_ms", "latency_ms", "failures", *keep,
         F.explode(F.sequence(F.lit(1), tries.cast("int"))).alias("attempt"))
     start = (F.col("fetched_ms") + (F.col("attempt") - 1) * F.col("latency_ms")
              + total_wait(F.col("attempt") - 1, policy))
@@ -85,6 +88,7 @@ def expand_attempts(records: DataFrame, policy: RetryPolicy) -> DataFrame:
         F.when(~ok, F.lit(TRANSIENT_ERROR)).alias("error"),
         F.when(~ok, decision["retry"]).otherwise(F.lit(False)).alias("retry"),
         F.when(~ok, decision["delay_ms"]).otherwise(F.lit(0).cast("bigint")).alias("delay_ms"),
+        *keep,
     )
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import DEFAULT_BUCKET_SIZE, check_positive
-from .prefix import first_k, running_agg
+from .prefix import first_k, running_aggs
 
 INF = (1 << 63) - 1
 
@@ -78,24 +78,23 @@ def commit_times(outcome_rows: DataFrame, base: DataFrame | None = None,
                  bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
     """W1 core: per tracked offset above base, ``commit_ms`` (NULL = never).
 
-    ``outcome_rows``: (partition, offset, done_ms [, ...]) one row per
-    (partition, offset); ``done_ms`` NULL when not done.  A hole in the
-    offsets stalls the frontier for good, like a never-done record.
+    ``outcome_rows``: (partition, offset, done_ms [, ...]), one row per
+    (partition, offset) (deduplicate redeliveries first); ``done_ms`` NULL
+    when not done.  One two-level pass computes both the running max of done
+    time and the running row count; an offset whose position differs from
+    ``offset - base`` sits behind a hole, which stalls the frontier for good.
     """
     if base is None:
         base = baseline(outcome_rows)
     rows = (outcome_rows.join(F.broadcast(base.select("partition", "base")), "partition")
             .where(F.col("offset") > F.col("base")))
-    present = contiguous_frontier(rows.select("partition", "offset"), base, bucket_size)
-    rows = rows.join(F.broadcast(present.select("partition", F.col("frontier").alias("_present"))),
-                     "partition")
-    eff = (F.when(F.col("done_ms").isNull() | (F.col("offset") > F.col("_present")), F.lit(INF))
-           .otherwise(F.col("done_ms")))
-    rows = rows.withColumn("_eff", eff.cast("bigint"))
-    res = running_agg(rows, ["partition"], ["offset"], _bucket("offset", bucket_size),
-                      "_eff", "_commit", how="max")
-    return (res.withColumn("commit_ms", F.when(F.col("_commit") < F.lit(INF), F.col("_commit")))
-            .drop("_eff", "_commit", "_present"))
+    eff = F.when(F.col("done_ms").isNull(), F.lit(INF)).otherwise(F.col("done_ms"))
+    rows = rows.withColumn("_eff", eff.cast("bigint")).withColumn("_one", F.lit(1).cast("bigint"))
+    res = running_aggs(rows, ["partition"], ["offset"], _bucket("offset", bucket_size),
+                       [("_eff", "_commit", "max"), ("_one", "_pos", "sum")])
+    ok = (F.col("offset") - F.col("base") == F.col("_pos")) & (F.col("_commit") < F.lit(INF))
+    return (res.withColumn("commit_ms", F.when(ok, F.col("_commit")))
+            .drop("_eff", "_one", "_commit", "_pos"))
 
 
 def frontier_timeline(outcome_rows: DataFrame, base: DataFrame | None = None,

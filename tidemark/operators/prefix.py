@@ -29,27 +29,37 @@ def _combine(how: str, carry: Column, local: Column) -> Column:
     return F.least(carry, local)
 
 
-def running_agg(df: DataFrame, groups: list[str], order: list[str], bucket: Column,
-                value: str, out: str, how: str = "max", inclusive: bool = True) -> DataFrame:
-    """Add ``out`` = running ``how`` of ``value`` over ``order`` within ``groups``.
+def running_aggs(df: DataFrame, groups: list[str], order: list[str], bucket: Column,
+                 specs: list[tuple[str, str, str]], inclusive: bool = True) -> DataFrame:
+    """Several running aggregates in one two-level pass.
 
+    ``specs``: (value column, output column, "max" | "sum" | "min").
     ``bucket`` must be non-decreasing in ``order`` inside a group (for example
     ``offset div B``).  ``inclusive`` includes the current row; otherwise only
     strictly earlier rows count (NULL / 0 when there are none).
     """
-    agg = _AGG[how]
     b = "_tm_bucket"
     rows = df.withColumn(b, bucket)
-    per_bucket = rows.groupBy(*groups, b).agg(agg(value).alias("_tm_bv"))
+    per_bucket = rows.groupBy(*groups, b).agg(
+        *[_AGG[how](value).alias(f"_tm_bv{i}") for i, (value, _, how) in enumerate(specs)])
     wb = Window.partitionBy(*groups).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*groups, b, agg("_tm_bv").over(wb).alias("_tm_carry"))
+    carry = per_bucket.select(*groups, b, *[_AGG[how](f"_tm_bv{i}").over(wb).alias(f"_tm_carry{i}")
+                                            for i, (_, _, how) in enumerate(specs)])
     end = Window.currentRow if inclusive else -1
     wi = Window.partitionBy(*groups, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    joined = rows.join(carry, on=[*groups, b], how="inner")
-    result = _combine(how, F.col("_tm_carry"), agg(value).over(wi))
-    if how == "sum":
-        result = result.cast("bigint")
-    return joined.withColumn(out, result).drop(b, "_tm_carry")
+    out = rows.join(carry, on=[*groups, b], how="inner")
+    for i, (value, name, how) in enumerate(specs):
+        res = _combine(how, F.col(f"_tm_carry{i}"), _AGG[how](value).over(wi))
+        if how == "sum":
+            res = res.cast("bigint")
+        out = out.withColumn(name, res)
+    return out.drop(b, *[f"_tm_carry{i}" for i in range(len(specs))])
+
+
+def running_agg(df: DataFrame, groups: list[str], order: list[str], bucket: Column,
+                value: str, out: str, how: str = "max", inclusive: bool = True) -> DataFrame:
+    """Add ``out`` = running ``how`` of ``value`` over ``order`` within ``groups``."""
+    return running_aggs(df, groups, order, bucket, [(value, out, how)], inclusive)
 
 
 def row_index(df: DataFrame, groups: list[str], order: list[str], bucket: Column,

@@ -12,113 +12,207 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import attempts as att
+from ..operators import evidence as ev
 from ..operators import frontier as fr
-from .model import Model
-
-RESTART_AT_MS = 1706745600000  # fixed value: phase-2 restart, 2024-02-01 00:00:00 UTC
+from ..operators import lifecycle as lc
+from .model import LOG_ORDER, RESTART_AT_MS, SHUTDOWN_AT_MS, Model, Run
 
 Query = Callable[[SparkSession, str], DataFrame]
 _M = Model()
 
 
+def _run(spark: SparkSession, d: str) -> Run:
+    return _M.run(spark, d)
+
+
+# -- records, attempts, outcomes ------------------------------------------------
 def _key_partition(spark, d):
-    r = _M.records(spark, d)
+    r = _run(spark, d).records
     return r.groupBy("key", "partition").agg(F.count(F.lit(1)).alias("records"))
 
 
 def _offset_assign(spark, d):
-    return _M.records(spark, d).select("partition", "offset", "key", "value", "fetched_ms")
+    return _run(spark, d).records
 
 
 def _baseline_offset(spark, d):
-    return fr.baseline(_M.records(spark, d))
+    return _run(spark, d).base
 
 
 def _key_override(spark, d):
-    h = _M.handled(spark, d)
+    h = _run(spark, d).handled
     return h.groupBy("key").agg(F.min("latency_ms").alias("min_latency_ms"),
                                 F.max("latency_ms").alias("max_latency_ms"),
                                 F.count(F.lit(1)).alias("records"))
 
 
 def _attempt_outcome(spark, d):
-    return _M.outcomes(spark, d)
+    return _run(spark, d).outcomes
 
 
 def _attempt_expand(spark, d):
-    return _M.attempts(spark, d)
+    return _run(spark, d).attempts
 
 
 def _retry_schedule(spark, d):
-    return _M.attempts(spark, d).where(~F.col("ok")).select("partition", "offset", "attempt", "retry", "delay_ms")
+    a = _run(spark, d).attempts
+    return a.where(~F.col("ok")).select("partition", "offset", "attempt", "retry", "delay_ms")
 
 
 def _exhausted(spark, d):
-    return att.exhausted(_M.outcomes(spark, d))
+    return att.exhausted(_run(spark, d).outcomes)
 
 
 def _failed_attempt_counter(spark, d):
-    return att.failed_attempt_counter(_M.attempts(spark, d), _M.B)
+    return att.failed_attempt_counter(_run(spark, d).attempts, _M.B)
 
 
+# -- frontier ----------------------------------------------------------------------
 def _frontier_timeline(spark, d):
-    return fr.frontier_timeline(_M.outcomes(spark, d), bucket_size=_M.B)
+    return _run(spark, d).timeline
 
 
 def _frontier_snapshot(spark, d):
-    return fr.frontier_snapshot(_M.outcomes(spark, d), bucket_size=_M.B)
+    return _run(spark, d).snapshot
 
 
 def _blocked_by_gap(spark, d):
-    return fr.blocked_by_gap(_M.outcomes(spark, d), bucket_size=_M.B)
+    r = _run(spark, d)
+    return fr.blocked_by_gap(r.outcomes, r.base, _M.B)
 
 
 def _pending_count(spark, d):
-    o = _M.outcomes(spark, d)
-    return fr.pending_count(o, fr.frontier_snapshot(o, bucket_size=_M.B))
+    r = _run(spark, d)
+    return fr.pending_count(r.outcomes, r.snapshot)
 
 
 def _tracker_snapshot(spark, d):
-    o = _M.outcomes(spark, d)
-    return fr.tracker_snapshot(o, fr.frontier_snapshot(o, bucket_size=_M.B), 20, _M.B)
+    r = _run(spark, d)
+    return fr.tracker_snapshot(r.outcomes, r.snapshot, 20, _M.B)
 
 
 def _final_commit(spark, d):
-    return fr.final_commit(_M.commits(spark, d))
+    return fr.final_commit(_run(spark, d).commits)
 
 
 def _commit_record_lookup(spark, d):
-    return fr.commit_record_lookup(_M.commits(spark, d), _M.records(spark, d))
+    r = _run(spark, d)
+    return fr.commit_record_lookup(r.commits, r.records)
 
 
 def _unknown_commit(spark, d):
-    return fr.unknown_commits(_M.commits(spark, d), _M.records(spark, d))
+    r = _run(spark, d)
+    return fr.unknown_commits(r.commits, r.records)
 
 
 def _untracked_completion(spark, d):
-    r = _M.records(spark, d)
-    return fr.untracked_completions(_M.completions(spark, d), r, fr.baseline(r))
+    r = _run(spark, d)
+    return fr.untracked_completions(r.completions, r.records, r.base)
 
 
 def _completion_class(spark, d):
-    r = _M.records(spark, d)
-    c = fr.completion_classes(_M.completions(spark, d), r, bucket_size=_M.B)
+    r = _run(spark, d)
+    c = fr.completion_classes(r.completions, r.records, r.base, _M.B)
     return c.withColumnRenamed("class", "completion_class")
 
 
 def _commit_cache(spark, d):
-    return fr.commit_cache(_M.records(spark, d), fr.final_commit(_M.commits(spark, d)))
+    r = _run(spark, d)
+    return fr.commit_cache(r.records, fr.final_commit(r.commits))
 
 
 def _redelivery_dedup(spark, d):
-    r = _M.records(spark, d)
-    o = _M.outcomes(spark, d)
-    snap = fr.frontier_snapshot(o, bucket_size=_M.B)
-    again = (fr.above_committed(r, snap, "last_committed")
+    r = _run(spark, d)
+    again = (fr.above_committed(r.records, r.snapshot, "last_committed")
              .withColumn("fetched_ms", F.lit(RESTART_AT_MS).cast("bigint")))
-    fetches = r.select("partition", "offset", "fetched_ms").unionByName(
+    fetches = r.records.select("partition", "offset", "fetched_ms").unionByName(
         again.select("partition", "offset", "fetched_ms"))
-    return fr.redelivery_dedup(fetches, fr.final_commit(_M.commits(spark, d)))
+    return fr.redelivery_dedup(fetches, fr.final_commit(r.commits))
+
+
+# -- lifecycle ---------------------------------------------------------------------
+def _drain_split(spark, d):
+    return (_run(spark, d).split.groupBy("partition", "split", "final_status")
+            .agg(F.count(F.lit(1)).alias("records")))
+
+
+def _replay_set(spark, d):
+    return _run(spark, d).replay
+
+
+def _replay_duplicates(spark, d):
+    r = _run(spark, d)
+    return lc.replay_duplicates(r.replay, r.split.where(F.col("final_status") == "done"))
+
+
+def _no_loss(spark, d):
+    r = _run(spark, d)
+    done1 = r.split.where(F.col("final_status") == "done").select("partition", "offset")
+    replayed = r.replay.select("partition", "offset")  # phase 2: no fault injection
+    successes = lc.phase_union((1, done1), (2, replayed))
+    return lc.success_histogram(r.records, successes)
+
+
+def _resume_scan(spark, d):
+    r = _run(spark, d)
+    return lc.resume_scan(r.records, fr.final_commit(r.phase1_commits))
+
+
+def _commit_outcome(spark, d):
+    return lc.commit_outcome_summary(_run(spark, d).failing_commits)
+
+
+def _processed_count(spark, d):
+    r = _run(spark, d)
+    return lc.processed_count(r.outcomes, r.failing_commits)
+
+
+def _catch_up(spark, d):
+    r = _run(spark, d)
+    return lc.catch_up(r.records, r.outcomes, _M.params.drain_timeout_ms)
+
+
+def _active_jobs(spark, d):
+    r = _run(spark, d)
+    o = r.outcomes.join(r.records.select("partition", "offset", "fetched_ms"), ["partition", "offset"])
+    return lc.active_jobs(o, "fetched_ms", "end_ms")
+
+
+def _error_filter(spark, d):
+    r = _run(spark, d)
+    da = lc.drain_attempts(r.attempts, SHUTDOWN_AT_MS, _M.params.drain_timeout_ms, r.records)
+    return lc.error_kinds(da)
+
+
+# -- log evidence ------------------------------------------------------------------
+def _log_parse(spark, d):
+    return ev.parse_log(_run(spark, d).kept_loglines)
+
+
+def _log_keyword_filter(spark, d):
+    return ev.keyword_filter(_run(spark, d).kept_loglines)
+
+
+def _log_out_of_order(spark, d):
+    return ev.out_of_order(ev.parse_log(_run(spark, d).kept_loglines), LOG_ORDER, Run.log_bucket())
+
+
+def _scenario_checks(spark, d):
+    lines = _run(spark, d).kept_loglines
+    parsed = ev.parse_log(lines)
+    scenarios = ev.derived_scenarios(parsed, LOG_ORDER)
+    ooo = ev.out_of_order(parsed, LOG_ORDER, Run.log_bucket())
+    return ev.scenario_checks(lines, scenarios, ooo)
+
+
+def _substring_count(spark, d):
+    lines = _run(spark, d).kept_loglines
+    scenarios = ev.derived_scenarios(ev.parse_log(lines), LOG_ORDER)
+    return ev.substring_count(lines, scenarios)
+
+
+def _log_first_last(spark, d):
+    return ev.first_last_clock(_run(spark, d).kept_loglines, LOG_ORDER)
 
 
 QUERIES: dict[str, Query] = {
@@ -143,4 +237,20 @@ QUERIES: dict[str, Query] = {
     "completion_class": _completion_class,
     "commit_cache": _commit_cache,
     "redelivery_dedup": _redelivery_dedup,
+    "drain_split": _drain_split,
+    "replay_set": _replay_set,
+    "replay_duplicates": _replay_duplicates,
+    "no_loss": _no_loss,
+    "resume_scan": _resume_scan,
+    "commit_outcome": _commit_outcome,
+    "processed_count": _processed_count,
+    "catch_up": _catch_up,
+    "active_jobs": _active_jobs,
+    "error_filter": _error_filter,
+    "log_parse": _log_parse,
+    "log_keyword_filter": _log_keyword_filter,
+    "log_out_of_order": _log_out_of_order,
+    "scenario_checks": _scenario_checks,
+    "substring_count": _substring_count,
+    "log_first_last": _log_first_last,
 }

@@ -4,20 +4,29 @@
 partition by the key hash, offsets in ``event_id`` order, fetched at the
 event time.  A handler model gives every record a number of failed tries and
 a latency; the retry policy turns them into attempts and outcomes; the
-frontier turns outcomes into commits.  Every table here is a lazy DataFrame
-over the parquet input, so its work grows with the data.
+frontier turns outcomes into commits.  Every table is derived by Spark from
+the parquet input, so its work grows with the data.
+
+A ``Run`` is one evaluation.  Its base table (records with handler inputs)
+is materialised once with a reliable ``checkpoint()`` into the shared
+checkpoint folder: every query reads it several times, and the cut lineage
+also means a lost executor never forces the offset assignment to rerun.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import attempts as att
+from ..operators import evidence as ev
 from ..operators import frontier as fr
+from ..operators import lifecycle as lc
 from ..params import DEFAULT_BUCKET_SIZE, DeliveryParams, RetryPolicy
+from ..session import checkpoint_root
 from ..sources.records import read_table, records_from_events
 
 # Fixed values of the handler model.
@@ -28,15 +37,19 @@ FAILURE_MODULUS = 6
 # Latency of every try: 1000 ms per unit of k, unless the key has an override.
 LATENCY_MS_PER_K = 1000
 LATENCY_OVERRIDES_MS = {"key-0": 900, "key-3": 50, "key-5": 50}
-# Shutdown instant for the drain model (UTC), and commits that fail first per
-# partition in the commit-failure model.
-SHUTDOWN_AT = "2024-01-15 00:00:00"
+# Shutdown instant of phase 1 (2024-01-15 00:00:00 UTC) and the phase-2
+# restart (2024-02-01 00:00:00 UTC).
 SHUTDOWN_AT_MS = 1705276800000
+RESTART_AT_MS = 1706745600000
+# Commits that fail first in every partition in the commit-failure model.
 COMMIT_FAILURES = 1
 # Redelivered completions: records with k mod 10 = 0 complete a second time
 # this long after the first completion.
 REDELIVERY_MODULUS = 10
 REDELIVERY_DELAY_MS = 1000
+# Log order of rendered run logs and the time bucket of their ordered checks.
+LOG_ORDER = ["ts_ms", "kind_rank", "partition", "offset", "attempt"]
+LOG_BUCKET_MS = 3_600_000
 
 
 @dataclass(frozen=True)
@@ -52,41 +65,120 @@ class Model:
     def B(self) -> int:
         return self.params.bucket_size
 
-    # -- base tables -------------------------------------------------------
-    def events(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return read_table(spark, sf_dir, "events")
-
-    def records(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return records_from_events(self.events(spark, sf_dir), self.params.partitions, self.B)
+    def run(self, spark: SparkSession, sf_dir: str, materialize: bool = True) -> "Run":
+        return Run(self, spark, sf_dir, materialize)
 
-    def handled(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+    def handled_plan(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         """Records with the handler model's ``failures`` and ``latency_ms``."""
-        r = self.records(spark, sf_dir)
+        events = read_table(spark, sf_dir, "events")
+        r = records_from_events(events, self.params.partitions, self.B)
         failures = F.when(F.col("event_type") == FAILING_EVENT_TYPE,
                           F.col("k") % F.lit(FAILURE_MODULUS)).otherwise(F.lit(0))
         r = r.withColumn("failures", failures.cast("int"))
         ov = att.key_overrides(spark, LATENCY_OVERRIDES_MS)
         return att.apply_override(r, ov, "key", F.col("k") * F.lit(LATENCY_MS_PER_K), "latency_ms")
 
-    def outcomes(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return att.outcomes(self.handled(spark, sf_dir), self.policy)
 
-    def attempts(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return att.expand_attempts(self.handled(spark, sf_dir), self.policy)
+class Run:
+    """One evaluation of the model over ``sf_dir``."""
+
+    def __init__(self, model: Model, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        self.m, self.spark, self.sf_dir, self.materialize = model, spark, sf_dir, materialize
+
+    @property
+    def B(self) -> int:
+        return self.m.B
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        checkpoint_root(self.spark)
+        return df.checkpoint(eager=True)
+
+    # -- base tables -----------------------------------------------------------
+    @cached_property
+    def handled(self) -> DataFrame:
+        return self._keep(self.m.handled_plan(self.spark, self.sf_dir))
+
+    @cached_property
+    def records(self) -> DataFrame:
+        return self.handled.select("partition", "offset", "key", "value", "fetched_ms")
+
+    @cached_property
+    def base(self) -> DataFrame:
+        return fr.baseline(self.records)
 
-    def commits(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        return att.outcomes(self.handled, self.m.policy)
+
+    @cached_property
+    def attempts(self) -> DataFrame:
+        return att.expand_attempts(self.handled, self.m.policy)
+
+    @cached_property
+    def timeline(self) -> DataFrame:
+        return fr.frontier_timeline(self.outcomes, self.base, self.B)
+
+    @cached_property
+    def commits(self) -> DataFrame:
         """Commit log of the run: one successful commit per frontier advance."""
-        tl = fr.frontier_timeline(self.outcomes(spark, sf_dir), bucket_size=self.B)
-        return tl.select("partition", "committed_through", "commit_ms", F.lit(True).alias("ok"))
+        return self.timeline.select("partition", "committed_through", "commit_ms", F.lit(True).alias("ok"))
+
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        return fr.frontier_snapshot(self.outcomes, self.base, self.B)
 
-    def completions(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+    @cached_property
+    def completions(self) -> DataFrame:
         """Completion events: every done record, plus a second completion of
         records with k mod 10 = 0 (a redelivery inside the same run)."""
-        h = self.handled(spark, sf_dir)
-        o = att.outcomes(h, self.policy).where(F.col("done_ms").isNotNull())
-        first = o.select("partition", "offset", "done_ms")
-        again = (o.join(h.select("partition", "offset", "k"), ["partition", "offset"])
-                 .where(F.col("k") % F.lit(REDELIVERY_MODULUS) == 0)
+        o = att.outcomes(self.handled, self.m.policy).select("partition", "offset", "done_ms")
+        done = (self.handled.select("partition", "offset", "k").join(o, ["partition", "offset"])
+                .where(F.col("done_ms").isNotNull()))
+        first = done.select("partition", "offset", "done_ms")
+        again = (done.where(F.col("k") % F.lit(REDELIVERY_MODULUS) == 0)
                  .select("partition", "offset",
                          (F.col("done_ms") + F.lit(REDELIVERY_DELAY_MS)).alias("done_ms")))
         return first.unionByName(again)
+
+    # -- shutdown / replay -------------------------------------------------------
+    @cached_property
+    def split(self) -> DataFrame:
+        """Phase 1 stops intake at SHUTDOWN_AT_MS and drains for the drain timeout."""
+        return lc.drain_split(self.outcomes, self.records, SHUTDOWN_AT_MS, self.m.params.drain_timeout_ms)
+
+    @cached_property
+    def phase1_snapshot(self) -> DataFrame:
+        return fr.frontier_snapshot(self.split, self.base, self.B)
+
+    @cached_property
+    def phase1_commits(self) -> DataFrame:
+        tl = fr.frontier_timeline(self.split, self.base, self.B)
+        return tl.select("partition", "committed_through", "commit_ms", F.lit(True).alias("ok"))
+
+    @cached_property
+    def replay(self) -> DataFrame:
+        return lc.replay_set(self.split, self.phase1_snapshot)
+
+    @cached_property
+    def failing_commits(self) -> DataFrame:
+        """The run's commit log when the first commits of every partition fail."""
+        return lc.commit_outcomes(self.timeline, COMMIT_FAILURES, self.B)
+
+    # -- run logs ----------------------------------------------------------------
+    @cached_property
+    def loglines(self) -> DataFrame:
+        """The run's log: one file per UTC day."""
+        a = att.expand_attempts(self.handled, self.m.policy, keep=("value",))
+        return ev.render_log(a, self.commits)
+
+    @cached_property
+    def kept_loglines(self) -> DataFrame:
+        """``loglines`` materialised, as the log files of a real run would be:
+        checks then filter a stored column instead of re-rendering text."""
+        return self._keep(self.loglines)
+
+    @staticmethod
+    def log_bucket() -> Column:
+        return F.floor(F.col("ts_ms") / F.lit(LOG_BUCKET_MS)).cast("bigint")

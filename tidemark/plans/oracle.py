@@ -8,6 +8,7 @@ Spark model.
 
 from __future__ import annotations
 
+from ..operators import evidence as EV
 from ..params import RetryPolicy
 from . import model as M
 
@@ -20,6 +21,8 @@ DELAY_LIST = "[" + ", ".join(str(v) for v in DELAYS) + "]"
 OVERRIDES = ", ".join(f"('{k}', {v})" for k, v in sorted(M.LATENCY_OVERRIDES_MS.items()))
 P = 3
 RESTART_AT_MS = 1706745600000
+T = M.SHUTDOWN_AT_MS
+CUT = M.SHUTDOWN_AT_MS + 5000
 
 CTES = f"""
 ev AS (
@@ -88,7 +91,100 @@ comps AS (
   UNION ALL
   SELECT o."partition", o."offset", o.done_ms + {M.REDELIVERY_DELAY_MS}
   FROM outcomes o JOIN handled h ON o."partition" = h."partition" AND o."offset" = h."offset"
-  WHERE o.done_ms IS NOT NULL AND h.k % {M.REDELIVERY_MODULUS} = 0)
+  WHERE o.done_ms IS NOT NULL AND h.k % {M.REDELIVERY_MODULUS} = 0),
+split0 AS (
+  SELECT o."partition", o."offset", o.key, r.fetched_ms, o.status, o.done_ms,
+         CASE WHEN r.fetched_ms >= {T} THEN 'not_dispatched' WHEN o.end_ms <= {T} THEN 'finished'
+              WHEN o.end_ms <= {CUT} THEN 'drained' ELSE 'unfinished' END AS split
+  FROM outcomes o JOIN records r ON r."partition" = o."partition" AND r."offset" = o."offset"),
+split AS (
+  SELECT "partition", "offset", key, fetched_ms, split,
+         CASE WHEN split IN ('finished', 'drained') THEN status ELSE split END AS final_status,
+         CASE WHEN split IN ('finished', 'drained') THEN done_ms END AS done_ms
+  FROM split0),
+ct1 AS (
+  SELECT "partition", "offset", done_ms, CASE WHEN c < {INF} THEN c END AS commit_ms
+  FROM (SELECT *, max(CASE WHEN done_ms IS NULL THEN {INF} ELSE done_ms END) OVER (
+          PARTITION BY "partition" ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+        FROM split)),
+snap1 AS (
+  SELECT b."partition", b.base, CAST(COALESCE(max(c."offset"), b.base) AS BIGINT) AS last_committed
+  FROM base b LEFT JOIN ct1 c ON c."partition" = b."partition" AND c.commit_ms IS NOT NULL
+  GROUP BY 1, 2),
+fc1 AS (
+  SELECT "partition", max("offset") AS committed_through FROM ct1 WHERE commit_ms IS NOT NULL GROUP BY 1),
+replay AS (
+  SELECT s."partition", s."offset", s.key,
+         CASE WHEN s.final_status = 'done' THEN 'blocked_done' ELSE s.final_status END AS reason
+  FROM split s JOIN snap1 n ON n."partition" = s."partition" WHERE s."offset" > n.last_committed),
+cf AS (
+  SELECT t.*, row_number() OVER (PARTITION BY "partition" ORDER BY commit_ms) > {M.COMMIT_FAILURES} AS ok
+  FROM timeline t),
+withfetch AS (
+  SELECT o.*, r.fetched_ms FROM outcomes o JOIN records r ON r."partition" = o."partition" AND r."offset" = o."offset"),
+attv AS (
+  SELECT a.*, r.value FROM attempts a JOIN records r ON r."partition" = a."partition" AND r."offset" = a."offset"),
+lines0 AS (
+  SELECT "partition", "offset", attempt, start_ms AS ts_ms, 0 AS kind_rank,
+         printf('{EV.FMT_PROCESSING}', "offset" % 2 + 1, "partition", "offset", attempt) AS body FROM attv
+  UNION ALL
+  SELECT "partition", "offset", attempt, end_ms, 1,
+         printf('{EV.FMT_RETRY}', "partition", "offset", attempt, key, attempt,
+                CASE WHEN delay_ms = 0 THEN '0s' WHEN delay_ms < 1000 THEN CAST(delay_ms AS VARCHAR) || 'ms'
+                     ELSE regexp_replace(printf('%.3f', delay_ms / 1000.0), '\.?0+$', '') || 's' END)
+  FROM attv WHERE NOT ok AND retry
+  UNION ALL
+  SELECT "partition", "offset", attempt, end_ms, 2,
+         printf('{EV.FMT_EXHAUSTED}', "partition", "offset", attempt) FROM attv WHERE NOT ok AND NOT retry
+  UNION ALL
+  SELECT "partition", "offset", attempt, end_ms, 3,
+         printf('{EV.FMT_PROCESSED}', "partition", "offset", key, value) FROM attv WHERE ok
+  UNION ALL
+  SELECT "partition", committed_through, 0, commit_ms, 4,
+         printf('{EV.FMT_COMMITTED}', "partition", committed_through) FROM commits WHERE ok),
+loglines AS (
+  SELECT strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS scenario, ts_ms, kind_rank, "partition", "offset",
+         attempt, strftime(make_timestamp(ts_ms * 1000), '%Y/%m/%d %H:%M:%S') || ' ' || body AS line
+  FROM lines0),
+parsed AS (
+  SELECT scenario, ts_ms, kind_rank, "partition", "offset", attempt, kind,
+         CAST(NULLIF(regexp_extract(line, 'partition ([0-9]+)', 1), '') AS INTEGER) AS log_partition,
+         CAST(NULLIF(regexp_extract(line, 'offset ([0-9]+)', 1), '') AS BIGINT) AS log_offset,
+         CAST(CASE WHEN kind IN ('retry', 'processing') THEN NULLIF(regexp_extract(line, 'attempt ([0-9]+)', 1), '') END AS INTEGER) AS log_attempt,
+         CASE WHEN kind IN ('retry', 'processed') THEN regexp_extract(line, 'key=([^,; ]*)', 1) END AS log_key,
+         CASE WHEN kind = 'retry' THEN
+           CASE WHEN regexp_extract(line, 'retrying in (\S+)$', 1) LIKE '%ms'
+                THEN CAST(round(CAST(regexp_extract(line, 'retrying in ([0-9.]+)ms$', 1) AS DOUBLE)) AS BIGINT)
+                ELSE CAST(round(CAST(regexp_extract(line, 'retrying in ([0-9.]+)s$', 1) AS DOUBLE) * 1000) AS BIGINT) END
+         END AS delay_ms,
+         CASE WHEN length(line) >= 19 AND contains(substr(line, 1, 19), '/') THEN substr(line, 12, 8) ELSE 'time N/A' END AS clock,
+         line
+  FROM (SELECT *, CASE WHEN contains(line, 'failed on attempt') AND contains(line, 'retrying in') THEN 'retry'
+                       WHEN contains(line, 'exhausted retries') THEN 'exhausted'
+                       WHEN contains(line, ' processing partition ') THEN 'processing'
+                       WHEN contains(line, 'Processed partition') THEN 'processed'
+                       WHEN contains(line, 'Committed partition') THEN 'committed' END AS kind
+        FROM loglines) WHERE kind IS NOT NULL),
+replay_keys AS (
+  SELECT scenario, log_key AS replay_key FROM (
+    SELECT scenario, log_key, row_number() OVER (PARTITION BY scenario ORDER BY ts_ms, kind_rank, "partition", "offset", attempt) AS rn
+    FROM parsed WHERE kind = 'retry') WHERE rn = 1),
+occ AS (
+  SELECT l.scenario, k.replay_key,
+         CAST(sum((length(l.line) - length(replace(l.line, 'key=' || k.replay_key, ''))) // length('key=' || k.replay_key)) AS BIGINT) AS occurrences
+  FROM loglines l JOIN replay_keys k ON k.scenario = l.scenario GROUP BY 1, 2),
+pm AS (
+  SELECT p.*, max(log_offset) OVER (PARTITION BY scenario, log_partition ORDER BY ts_ms, kind_rank, "partition", "offset", attempt
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_max
+  FROM parsed p WHERE kind = 'processed'),
+fcl AS (
+  SELECT scenario, log_partition, min(ts_ms * 8 + kind_rank) AS fcs FROM parsed WHERE kind = 'committed' GROUP BY 1, 2),
+ooo AS (
+  SELECT pm.scenario,
+         bool_or(COALESCE(pm.prev_max > pm.log_offset, false) AND COALESCE(f.fcs > pm.ts_ms * 8 + pm.kind_rank, false)) AS out_of_order,
+         count(*) FILTER (WHERE COALESCE(pm.prev_max > pm.log_offset, false) AND COALESCE(f.fcs > pm.ts_ms * 8 + pm.kind_rank, false)) AS late_completions
+  FROM pm LEFT JOIN fcl f ON f.scenario = pm.scenario AND f.log_partition = pm.log_partition
+  GROUP BY 1)
 """
 
 
@@ -184,4 +280,91 @@ def queries() -> dict[str, str]:
             FROM fetches f LEFT JOIN final_commit c ON c."partition" = f."partition"
             WHERE c.committed_through IS NULL OR f."offset" > c.committed_through
             GROUP BY 1, 2""").replace(")\n, fetches", "),\nfetches", 1),
+        "drain_split": q("""
+            SELECT "partition", split, final_status, count(*) AS records FROM split GROUP BY 1, 2, 3"""),
+        "replay_set": q("""SELECT * FROM replay"""),
+        "replay_duplicates": q("""
+            SELECT r.* FROM replay r WHERE EXISTS (SELECT 1 FROM split s WHERE s."partition" = r."partition"
+              AND s."offset" = r."offset" AND s.final_status = 'done')"""),
+        "no_loss": q("""
+            , succ AS (
+              SELECT "partition", "offset" FROM split WHERE final_status = 'done'
+              UNION ALL SELECT "partition", "offset" FROM replay),
+            per AS (
+              SELECT r."partition", r."offset", CAST(count(s."offset") AS BIGINT) AS successes
+              FROM records r LEFT JOIN succ s ON s."partition" = r."partition" AND s."offset" = r."offset"
+              GROUP BY 1, 2)
+            SELECT successes, count(*) AS records FROM per GROUP BY 1"""),
+        "resume_scan": q("""
+            SELECT r."partition", COALESCE(f.committed_through + 1, min(r."offset")) AS start_offset,
+                   max(r."offset") AS last_offset, count(*) AS to_read
+            FROM records r LEFT JOIN fc1 f ON f."partition" = r."partition"
+            WHERE f.committed_through IS NULL OR r."offset" > f.committed_through
+            GROUP BY r."partition", f.committed_through"""),
+        "commit_outcome": q("""
+            SELECT "partition", max(CASE WHEN ok THEN committed_through END) AS durable_frontier,
+                   max(committed_through) AS memory_frontier,
+                   count(*) FILTER (WHERE NOT ok) AS failed_commits,
+                   (SELECT min(commit_ms) FROM cf WHERE NOT ok) AS first_failure_ms
+            FROM cf GROUP BY 1"""),
+        "processed_count": q("""
+            , dn AS (SELECT "partition", count(*) FILTER (WHERE done_ms IS NOT NULL) AS done FROM outcomes GROUP BY 1),
+            fl AS (SELECT "partition", count(*) FILTER (WHERE NOT ok) AS failed FROM cf GROUP BY 1)
+            SELECT dn."partition", dn.done, CAST(COALESCE(fl.failed, 0) AS BIGINT) AS failed_commits,
+                   CAST(dn.done - COALESCE(fl.failed, 0) AS BIGINT) AS processed
+            FROM dn LEFT JOIN fl ON fl."partition" = dn."partition" """),
+        "catch_up": q("""
+            , pd AS (SELECT max(fetched_ms) AS producer_done_ms, count(*) AS produced FROM records),
+            dn AS (SELECT count(*) AS n_done, max(done_ms) AS last_done,
+                          count(*) FILTER (WHERE done_ms <= (SELECT producer_done_ms FROM pd) + 5000) AS at_deadline
+                   FROM outcomes WHERE done_ms IS NOT NULL)
+            SELECT CAST(produced AS BIGINT) AS expected, producer_done_ms, producer_done_ms + 5000 AS deadline_ms,
+                   CAST(at_deadline AS BIGINT) AS processed_at_deadline,
+                   CASE WHEN n_done >= produced AND last_done <= producer_done_ms + 5000
+                        THEN greatest(last_done, producer_done_ms) END AS caught_up_ms,
+                   CASE WHEN n_done >= produced AND last_done <= producer_done_ms + 5000
+                        THEN 'caught_up' ELSE 'timeout' END AS status
+            FROM pd, dn"""),
+        "active_jobs": q("""
+            , jobev AS (
+              SELECT fetched_ms AS ts_ms, 1 AS d FROM withfetch UNION ALL SELECT end_ms, -1 FROM withfetch),
+            per AS (SELECT ts_ms, CAST(sum(d) AS BIGINT) AS delta FROM jobev GROUP BY 1)
+            SELECT ts_ms, delta, CAST(sum(delta) OVER (ORDER BY ts_ms ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                   AS BIGINT) AS active FROM per"""),
+        "error_filter": q(f"""
+            , da AS (
+              SELECT CASE WHEN a.end_ms > {CUT} THEN 'context canceled' ELSE a.error END AS error
+              FROM attempts a JOIN records r ON r."partition" = a."partition" AND r."offset" = a."offset"
+              WHERE r.fetched_ms < {T} AND a.start_ms < {CUT})
+            SELECT error, count(*) AS attempts, (NOT contains(error, 'canceled')) AS is_failure
+            FROM da WHERE error IS NOT NULL GROUP BY error"""),
+        "log_parse": q("""
+            SELECT scenario, ts_ms, kind_rank, "partition", "offset", attempt, kind, log_partition, log_offset,
+                   log_attempt, log_key, delay_ms, clock FROM parsed"""),
+        "log_keyword_filter": q(f"""
+            SELECT * FROM loglines WHERE {" OR ".join(f"contains(line, '{k}')" for k in EV.KEYWORDS)}"""),
+        "log_out_of_order": q("""SELECT * FROM ooo"""),
+        "substring_count": q("""SELECT * FROM occ"""),
+        "scenario_checks": q(f"""
+            , seen AS (
+              SELECT scenario, {", ".join(f"bool_or(contains(line, '{m}')) AS h{i}" for i, (_, m, _) in enumerate(EV.CHECKS))},
+                     bool_or(contains(line, '{EV.REPLAY_MARKER}')) AS replayed
+              FROM loglines GROUP BY 1),
+            parts AS (
+              SELECT s.scenario, concat_ws('; ', {", ".join(f"CASE WHEN h{i} THEN '{sent}' END" for i, (_, _, sent) in enumerate(EV.CHECKS))},
+                     CASE WHEN k.replay_key IS NOT NULL AND (COALESCE(o.occurrences, 0) >= 2 OR replayed) THEN '{EV.REPLAY_SENTENCE}' END,
+                     CASE WHEN COALESCE(x.out_of_order, false) THEN '{EV.OUT_OF_ORDER_SENTENCE}' END) AS joined
+              FROM seen s LEFT JOIN replay_keys k ON k.scenario = s.scenario
+              LEFT JOIN occ o ON o.scenario = s.scenario LEFT JOIN ooo x ON x.scenario = s.scenario)
+            SELECT scenario, CASE WHEN joined = '' THEN '{EV.NO_CHECK_SENTENCE}' ELSE joined || '.' END AS summary FROM parts"""),
+        "log_first_last": q(f"""
+            , kw AS (SELECT unnest([{", ".join("'" + k + "'" for k in EV.KEYWORDS)}]) AS keyword),
+            hits AS (
+              SELECT l.scenario, k.keyword, arg_min(CASE WHEN length(l.line) >= 19 AND contains(substr(l.line, 1, 19), '/') THEN substr(l.line, 12, 8) ELSE 'time N/A' END, l.ts_ms) AS first_clock,
+                     arg_max(CASE WHEN length(l.line) >= 19 AND contains(substr(l.line, 1, 19), '/') THEN substr(l.line, 12, 8) ELSE 'time N/A' END, l.ts_ms) AS last_clock
+              FROM loglines l JOIN kw k ON contains(l.line, k.keyword) GROUP BY 1, 2),
+            every AS (SELECT s.scenario, k.keyword FROM (SELECT DISTINCT scenario FROM loglines) s CROSS JOIN kw k)
+            SELECT e.scenario, e.keyword, COALESCE(h.first_clock, 'time N/A') AS first_clock,
+                   COALESCE(h.last_clock, 'time N/A') AS last_clock
+            FROM every e LEFT JOIN hits h ON h.scenario = e.scenario AND h.keyword = e.keyword"""),
     }
