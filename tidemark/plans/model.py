@@ -8,9 +8,10 @@ frontier turns outcomes into commits.  Every table is derived by Spark from
 the parquet input, so its work grows with the data.
 
 A ``Run`` is one evaluation.  Its base table (records with handler inputs)
-is materialised once with a reliable ``checkpoint()`` into the shared
-checkpoint folder: every query reads it several times, and the cut lineage
-also means a lost executor never forces the offset assignment to rerun.
+is written once as a parquet table into the shared checkpoint folder and
+read back: every query reads it several times, the read prunes columns, and
+the cut lineage means a lost executor never forces the offset assignment to
+rerun.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from ..operators import evidence as ev
 from ..operators import frontier as fr
 from ..operators import lifecycle as lc
 from ..params import DEFAULT_BUCKET_SIZE, DeliveryParams, RetryPolicy
-from ..session import checkpoint_root
+from ..session import scratch_path
 from ..sources.records import read_table, records_from_events
 
 # Fixed values of the handler model.
@@ -89,16 +90,18 @@ class Run:
     def B(self) -> int:
         return self.m.B
 
-    def _keep(self, df: DataFrame) -> DataFrame:
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once as a parquet table in the shared folder, read it back."""
         if not self.materialize:
             return df
-        checkpoint_root(self.spark)
-        return df.checkpoint(eager=True)
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
 
     # -- base tables -----------------------------------------------------------
     @cached_property
     def handled(self) -> DataFrame:
-        return self._keep(self.m.handled_plan(self.spark, self.sf_dir))
+        return self._keep(self.m.handled_plan(self.spark, self.sf_dir), "handled")
 
     @cached_property
     def records(self) -> DataFrame:
@@ -177,7 +180,7 @@ class Run:
     def kept_loglines(self) -> DataFrame:
         """``loglines`` materialised, as the log files of a real run would be:
         checks then filter a stored column instead of re-rendering text."""
-        return self._keep(self.loglines)
+        return self._keep(self.loglines, "loglines")
 
     @staticmethod
     def log_bucket() -> Column:
