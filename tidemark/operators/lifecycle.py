@@ -161,8 +161,8 @@ def kth_smallest(values: DataFrame, col: str, k: int, bucket_width: int) -> Data
     Bucket counts and their prefix sums locate the one bucket that holds it;
     only that bucket's rows are ranked.  Empty when fewer than k rows.
     """
-    b = F.floor(F.col(col) / F.lit(bucket_width)).cast("bigint")
-    rows = values.select(F.col(col).alias("v")).withColumn("b", b)
+    rows = values.select(F.col(col).alias("v"))
+    rows = rows.withColumn("b", F.floor(F.col("v") / F.lit(bucket_width)).cast("bigint"))
     counts = rows.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     target = (counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))

@@ -131,7 +131,7 @@ lines0 AS (
   SELECT "partition", "offset", attempt, end_ms, 1,
          printf('{EV.FMT_RETRY}', "partition", "offset", attempt, key, attempt,
                 CASE WHEN delay_ms = 0 THEN '0s' WHEN delay_ms < 1000 THEN CAST(delay_ms AS VARCHAR) || 'ms'
-                     ELSE regexp_replace(printf('%.3f', delay_ms / 1000.0), '\.?0+$', '') || 's' END)
+                     ELSE regexp_replace(printf('%.3f', delay_ms / 1000.0), '\\.?0+$', '') || 's' END)
   FROM attv WHERE NOT ok AND retry
   UNION ALL
   SELECT "partition", "offset", attempt, end_ms, 2,
@@ -153,7 +153,7 @@ parsed AS (
          CAST(CASE WHEN kind IN ('retry', 'processing') THEN NULLIF(regexp_extract(line, 'attempt ([0-9]+)', 1), '') END AS INTEGER) AS log_attempt,
          CASE WHEN kind IN ('retry', 'processed') THEN regexp_extract(line, 'key=([^,; ]*)', 1) END AS log_key,
          CASE WHEN kind = 'retry' THEN
-           CASE WHEN regexp_extract(line, 'retrying in (\S+)$', 1) LIKE '%ms'
+           CASE WHEN regexp_extract(line, 'retrying in (\\S+)$', 1) LIKE '%ms'
                 THEN CAST(round(CAST(regexp_extract(line, 'retrying in ([0-9.]+)ms$', 1) AS DOUBLE)) AS BIGINT)
                 ELSE CAST(round(CAST(regexp_extract(line, 'retrying in ([0-9.]+)s$', 1) AS DOUBLE) * 1000) AS BIGINT) END
          END AS delay_ms,
