@@ -15,6 +15,9 @@ from ..operators import attempts as att
 from ..operators import evidence as ev
 from ..operators import frontier as fr
 from ..operators import lifecycle as lc
+from ..session import scratch_path
+from ..streaming import pipeline as sp
+from ..streaming.frontier import final_timeline, streaming_frontier
 from .model import LOG_ORDER, RESTART_AT_MS, SHUTDOWN_AT_MS, Model, Run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,6 +218,62 @@ def _log_first_last(spark, d):
     return ev.first_last_clock(_run(spark, d).kept_loglines, LOG_ORDER)
 
 
+# -- streaming ---------------------------------------------------------------------
+STREAM_FILES = 8
+STREAM_FILES_PER_TRIGGER = 2
+STREAM_TIMEOUT_S = 900
+
+
+def _read_commits(spark, path):
+    try:
+        return final_timeline(spark.read.parquet(path).drop("batch_id", "ok"))
+    except Exception:  # no batch produced output
+        return spark.createDataFrame([], "partition int, commit_ms bigint, committed_through bigint, "
+                                         "released bigint")
+
+
+def _stream_frontier(spark, d):
+    """T1 over a completion log: files in completion-time order, two per micro-batch."""
+    r = _run(spark, d)
+    work = scratch_path(spark, "stream-frontier")
+    done = r.outcomes.where(F.col("done_ms").isNotNull()).select("partition", "offset", "done_ms")
+    done.repartitionByRange(STREAM_FILES, "done_ms").write.parquet(f"{work}/completions")
+    stream = (spark.readStream.schema("partition int, offset bigint, done_ms bigint")
+              .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(f"{work}/completions"))
+    adv = streaming_frontier(stream, r.base)
+    sp.run_available(adv.writeStream.foreachBatch(sp.commit_sink(f"{work}/commits"))
+                     .option("checkpointLocation", f"{work}/ckpt"), STREAM_TIMEOUT_S)
+    return _read_commits(spark, f"{work}/commits")
+
+
+def _stream_pipeline(spark, d):
+    """T4: file log -> handler (foreachBatch) -> outcomes -> T1 -> commit sink."""
+    r = _run(spark, d)
+    work = scratch_path(spark, "stream-pipeline")
+    log = r.handled.select("partition", "offset", "key", "value", "fetched_ms", "failures", "latency_ms")
+    log.repartitionByRange(STREAM_FILES, "fetched_ms").write.parquet(f"{work}/log")
+    schema = sp.RECORD_SCHEMA + ", failures int, latency_ms bigint"
+    policy = _M.policy
+
+    def handle(batch):
+        return att.outcomes(batch, policy).select("partition", "offset", "done_ms")
+
+    records = sp.read_log_stream(spark, f"{work}/log", schema, STREAM_FILES_PER_TRIGGER)
+
+    def handle_batch(batch, batch_id):
+        handle(batch).write.mode("overwrite").parquet(f"{work}/outcomes/batch_id={batch_id}")
+
+    sp.run_available(records.writeStream.foreachBatch(handle_batch)
+                     .option("checkpointLocation", f"{work}/ckpt-handle"), STREAM_TIMEOUT_S)
+    done = (spark.readStream.schema("partition int, offset bigint, done_ms bigint, batch_id int")
+            .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(f"{work}/outcomes")
+            .where(F.col("done_ms").isNotNull()))
+    adv = streaming_frontier(done, r.base)
+    sp.run_available(adv.writeStream.foreachBatch(sp.commit_sink(f"{work}/commits"))
+                     .option("checkpointLocation", f"{work}/ckpt-frontier"), STREAM_TIMEOUT_S)
+    return _read_commits(spark, f"{work}/commits")
+
+
 QUERIES: dict[str, Query] = {
     "key_partition": _key_partition,
     "offset_assign": _offset_assign,
@@ -253,4 +312,6 @@ QUERIES: dict[str, Query] = {
     "scenario_checks": _scenario_checks,
     "substring_count": _substring_count,
     "log_first_last": _log_first_last,
+    "stream_frontier": _stream_frontier,
+    "stream_pipeline": _stream_pipeline,
 }

@@ -215,6 +215,8 @@ def queries() -> dict[str, str]:
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS failures_so_far
             FROM attempts"""),
         "frontier_timeline": q("""SELECT * FROM timeline"""),
+        "stream_frontier": q("""SELECT * FROM timeline"""),
+        "stream_pipeline": q("""SELECT * FROM timeline"""),
         "frontier_snapshot": q("""SELECT "partition", base, last_committed FROM snap"""),
         "blocked_by_gap": q("""
             SELECT "partition", min("offset") AS blocker_offset, commit_ms,
