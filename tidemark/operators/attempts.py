@@ -110,3 +110,28 @@ def failed_attempt_counter(attempt_rows: DataFrame, bucket_size: int) -> DataFra
     res = running_agg(rows, ["partition", "key"], ["offset", "attempt"], bucket,
                       "_fail", "failures_so_far", how="sum")
     return res.select("partition", "offset", "key", "attempt", "ok", "failures_so_far")
+
+
+def key_budget_failures(records: DataFrame, budget, policy: RetryPolicy,
+                        bucket_size: int) -> DataFrame:
+    """Failed tries per record when failures are counted per (partition, key).
+
+    A key with budget F fails its first F tries in total, across all of its
+    records in offset order (one handler per log partition keeps the count).
+    Record j of the key (0-based) then fails
+    ``greatest(0, least(n + 1, F - j * (n + 1)))`` times; j comes from a
+    two-level row index, so a hot key is never one task.
+    ``budget``: a column (NULL or 0 = never fails), e.g. from a broadcast
+    join with a literal key table or from a rule on the key.
+    """
+    from .prefix import row_index
+
+    n = policy.normalised().max_retries
+    budget = F.col(budget) if isinstance(budget, str) else budget
+    rows = records.withColumn("_budget", budget.cast("bigint"))
+    bucket = F.floor(F.col("offset") / F.lit(bucket_size))
+    ranked = row_index(rows, ["partition", "key"], ["offset"], bucket, "_j")
+    # least/greatest skip NULLs, so a missing budget is handled before them
+    fails = F.when(F.col("_budget").isNull(), F.lit(0)).otherwise(
+        F.greatest(F.lit(0), F.least(F.lit(n + 1), F.col("_budget") - F.col("_j") * F.lit(n + 1))))
+    return ranked.withColumn("failures", fails.cast("int")).drop("_budget", "_j")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import attempts as att
 from ..operators import evidence as ev
 from ..operators import frontier as fr
+from ..operators import handler as hd
 from ..operators import lifecycle as lc
 from ..session import scratch_path
 from ..streaming import pipeline as sp
@@ -274,6 +275,36 @@ def _stream_pipeline(spark, d):
     return _read_commits(spark, f"{work}/commits")
 
 
+# -- handlers ----------------------------------------------------------------------
+# Fixed values of the example user handler: a record whose event id is 3 mod 7
+# fails its first try.  Budget model: keys whose user id is 2 mod 10 fail their
+# first 5 tries in total.
+FLAKY_MODULUS, FLAKY_REMAINDER = 7, 3
+BUDGET_MODULUS, BUDGET_REMAINDER, BUDGET_TRIES = 10, 2, 5
+
+
+def flaky_handler(pdf):
+    """Example user handler (vectorised): True where the try succeeds."""
+    ids = pdf["value"].str.extract(r"^message-(\d+):", expand=False).astype("int64")
+    return ~((ids % FLAKY_MODULUS == FLAKY_REMAINDER) & (pdf["attempt"] == 1))
+
+
+def _user_handler(spark, d):
+    r = _run(spark, d)
+    return hd.handle_records(r.records, flaky_handler, _M.policy)
+
+
+def _key_failure_budget(spark, d):
+    r = _run(spark, d)
+    uid = F.regexp_extract("key", r"^key-(\d+)$", 1).cast("bigint")
+    budget = F.when(uid % BUDGET_MODULUS == BUDGET_REMAINDER, F.lit(BUDGET_TRIES))
+    rows = att.key_budget_failures(r.records, budget, _M.policy, _M.B)
+    n = _M.policy.normalised().max_retries
+    return rows.select("partition", "offset", "key", "failures",
+                       (F.least(F.col("failures"), F.lit(n)) + 1).cast("int").alias("attempts"),
+                       F.when(F.col("failures") <= n, F.lit("done")).otherwise(F.lit("exhausted")).alias("status"))
+
+
 QUERIES: dict[str, Query] = {
     "key_partition": _key_partition,
     "offset_assign": _offset_assign,
@@ -314,4 +345,6 @@ QUERIES: dict[str, Query] = {
     "log_first_last": _log_first_last,
     "stream_frontier": _stream_frontier,
     "stream_pipeline": _stream_pipeline,
+    "user_handler": _user_handler,
+    "key_failure_budget": _key_failure_budget,
 }

@@ -369,4 +369,23 @@ def queries() -> dict[str, str]:
             SELECT e.scenario, e.keyword, COALESCE(h.first_clock, 'time N/A') AS first_clock,
                    COALESCE(h.last_clock, 'time N/A') AS last_clock
             FROM every e LEFT JOIN hits h ON h.scenario = e.scenario AND h.keyword = e.keyword"""),
+        "user_handler": q("""
+            SELECT "partition", "offset", key, 1 AS attempt, NOT (seq % 7 = 3) AS ok, (seq % 7 = 3) AS retry,
+                   CAST(CASE WHEN seq % 7 = 3 THEN 100 ELSE 0 END AS BIGINT) AS delay_ms, false AS deferred
+            FROM records
+            UNION ALL
+            SELECT "partition", "offset", key, 2, true, false, CAST(0 AS BIGINT), false FROM records WHERE seq % 7 = 3"""),
+        "key_failure_budget": q(f"""
+            , ranked AS (
+              SELECT "partition", "offset", key,
+                     row_number() OVER (PARTITION BY "partition", key ORDER BY "offset") - 1 AS j
+              FROM records),
+            budgeted AS (
+              SELECT "partition", "offset", key,
+                     CAST(CASE WHEN CAST(substr(key, 5) AS BIGINT) % 10 = 2
+                               THEN greatest(0, least({N} + 1, 5 - j * ({N} + 1))) ELSE 0 END AS INTEGER) AS failures
+              FROM ranked)
+            SELECT "partition", "offset", key, failures, CAST(least(failures, {N}) + 1 AS INTEGER) AS attempts,
+                   CASE WHEN failures <= {N} THEN 'done' ELSE 'exhausted' END AS status
+            FROM budgeted"""),
     }
