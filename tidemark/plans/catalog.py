@@ -17,6 +17,7 @@ from ..operators import frontier as fr
 from ..operators import handler as hd
 from ..operators import lifecycle as lc
 from ..session import scratch_path
+from ..sources.textlog import PARTITION_DIR, read_logs_lines
 from ..streaming import pipeline as sp
 from ..streaming.frontier import final_timeline, streaming_frontier
 from .model import LOG_ORDER, RESTART_AT_MS, SHUTDOWN_AT_MS, Model, Run
@@ -219,6 +220,18 @@ def _log_first_last(spark, d):
     return ev.first_last_clock(_run(spark, d).kept_loglines, LOG_ORDER)
 
 
+
+def _log_file_out_of_order(spark, d):
+    """S8 + W3: the run log written as text files (one folder per day, lines
+    in log order), read back line by line with exact line indices."""
+    path = scratch_path(spark, "logfiles")
+    (_run(spark, d).kept_loglines.repartition("scenario").sortWithinPartitions(*LOG_ORDER)
+     .select("scenario", "line").write.partitionBy("scenario").text(path))
+    lines = read_logs_lines(spark, path + "/*/*.txt", PARTITION_DIR)
+    bucket = F.floor(F.col("line_idx") / F.lit(_M.B)).cast("bigint")
+    return ev.out_of_order(ev.parse_log(lines), ["line_idx"], bucket)
+
+
 # -- streaming ---------------------------------------------------------------------
 STREAM_FILES = 8
 STREAM_FILES_PER_TRIGGER = 2
@@ -343,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "scenario_checks": _scenario_checks,
     "substring_count": _substring_count,
     "log_first_last": _log_first_last,
+    "log_file_out_of_order": _log_file_out_of_order,
     "stream_frontier": _stream_frontier,
     "stream_pipeline": _stream_pipeline,
     "user_handler": _user_handler,

@@ -346,6 +346,7 @@ def queries() -> dict[str, str]:
         "log_keyword_filter": q(f"""
             SELECT * FROM loglines WHERE {" OR ".join(f"contains(line, '{k}')" for k in EV.KEYWORDS)}"""),
         "log_out_of_order": q("""SELECT * FROM ooo"""),
+        "log_file_out_of_order": q("""SELECT * FROM ooo"""),
         "substring_count": q("""SELECT * FROM occ"""),
         "scenario_checks": q(f"""
             , seen AS (

@@ -15,29 +15,35 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def _scenario_of(path_col):
-    # file name without directory and extension
-    return F.regexp_extract(path_col, r"([^/]+?)(\.[^./]*)?$", 1)
+FILE_NAME = r"([^/]+?)(\.[^./]*)?$"   # scenario = file name without extension
+PARTITION_DIR = r"scenario=([^/]+)/"  # scenario = folder written by partitionBy
 
 
-def read_logs_whole(spark: SparkSession, path: str) -> DataFrame:
+def _scenario_of(path_col, pattern: str):
+    return F.regexp_extract(path_col, pattern, 1)
+
+
+def read_logs_whole(spark: SparkSession, path: str, scenario_pattern: str = FILE_NAME) -> DataFrame:
     df = spark.read.text(path, wholetext=True).select(
-        _scenario_of(F.col("_metadata.file_path")).alias("scenario"), "value")
+        _scenario_of(F.col("_metadata.file_path"), scenario_pattern).alias("scenario"), "value")
     body = F.regexp_replace("value", r"\n$", "")
     return df.select("scenario", F.posexplode(F.split(body, "\n")).alias("line_idx", "line")).select(
         "scenario", F.col("line_idx").cast("bigint").alias("line_idx"), "line")
 
 
-def read_logs_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_logs_lines(spark: SparkSession, path: str, scenario_pattern: str = FILE_NAME) -> DataFrame:
     raw = spark.read.text(path).select(
-        _scenario_of(F.col("_metadata.file_path")).alias("scenario"),
+        _scenario_of(F.col("_metadata.file_path"), scenario_pattern).alias("scenario"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"))
-    counts = raw.groupBy("scenario", "block").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("scenario").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("scenario", "block", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("start"))
-    wi = Window.partitionBy("scenario", "block").orderBy("pos")
-    return (raw.join(starts, ["scenario", "block"])
+    # one scenario may span several files (in file-name order), each file
+    # several blocks: prefix-sum the per-(file, block) counts, one small row each
+    counts = raw.groupBy("scenario", "file", "block").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("scenario").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("scenario", "file", "block", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("start"))
+    wi = Window.partitionBy("scenario", "file", "block").orderBy("pos")
+    return (raw.join(starts, ["scenario", "file", "block"])
             .select("scenario", (F.col("start") + F.row_number().over(wi) - 1).cast("bigint").alias("line_idx"),
                     "line"))
