@@ -38,23 +38,22 @@ def running_aggs(df: DataFrame, groups: list[str], order: list[str], bucket: Col
     ``offset div B``).  ``inclusive`` includes the current row; otherwise only
     strictly earlier rows count (NULL / 0 when there are none).
 
-    Plan: one shuffle of the rows by (groups, bucket); the in-bucket window
-    and the bucket totals use that distribution; the carry (one row per
-    bucket) is joined back on the same keys, so the rows never move again.
+    Plan: the rows are shuffled once, by (groups, bucket), for the in-bucket
+    window.  Bucket totals come from a partial (map-side) aggregation of the
+    same input, so only one row per bucket and task is shuffled for them;
+    their prefix (the carry, one row per bucket) is joined back on the
+    shuffle keys.
     """
     b = "_tm_bucket"
-    rows = df.withColumn(b, bucket).repartition(*groups, b)
+    rows = df.withColumn(b, bucket)
     end = Window.currentRow if inclusive else -1
     wi = Window.partitionBy(*groups, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    wt = Window.partitionBy(*groups, b)
-    local = rows.select("*", *[_AGG[how](value).over(wi).alias(f"_tm_loc{i}")
-                               for i, (value, _, how) in enumerate(specs)],
-                        *[_AGG[how](value).over(wt).alias(f"_tm_tot{i}")
-                          for i, (value, _, how) in enumerate(specs)])
-    per_bucket = local.groupBy(*groups, b).agg(
-        *[F.first(f"_tm_tot{i}").alias(f"_tm_tot{i}") for i in range(len(specs))])
+    local = rows.repartition(*groups, b).select(
+        "*", *[_AGG[how](value).over(wi).alias(f"_tm_loc{i}") for i, (value, _, how) in enumerate(specs)])
+    per_bucket = rows.groupBy(*groups, b).agg(
+        *[_AGG[how](value).alias(f"_tm_bv{i}") for i, (value, _, how) in enumerate(specs)])
     wb = Window.partitionBy(*groups).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*groups, b, *[_AGG[how](f"_tm_tot{i}").over(wb).alias(f"_tm_carry{i}")
+    carry = per_bucket.select(*groups, b, *[_AGG[how](f"_tm_bv{i}").over(wb).alias(f"_tm_carry{i}")
                                             for i, (_, _, how) in enumerate(specs)])
     out = local.join(carry, on=[*groups, b], how="inner")
     for i, (_, name, how) in enumerate(specs):
@@ -62,7 +61,7 @@ def running_aggs(df: DataFrame, groups: list[str], order: list[str], bucket: Col
         if how == "sum":
             res = res.cast("bigint")
         out = out.withColumn(name, res)
-    tmp = [b] + [f"_tm_{k}{i}" for i in range(len(specs)) for k in ("loc", "tot", "carry")]
+    tmp = [b] + [f"_tm_{k}{i}" for i in range(len(specs)) for k in ("loc", "carry")]
     return out.drop(*tmp)
 
 

@@ -50,7 +50,7 @@ REDELIVERY_MODULUS = 10
 REDELIVERY_DELAY_MS = 1000
 # Log order of rendered run logs and the time bucket of their ordered checks.
 LOG_ORDER = ["ts_ms", "kind_rank", "partition", "offset", "attempt"]
-LOG_BUCKET_MS = 3_600_000
+LOG_BUCKET_MS = 60_000
 
 
 @dataclass(frozen=True)
