@@ -225,7 +225,10 @@ def _log_file_out_of_order(spark, d):
     """S8 + W3: the run log written as text files (one folder per day, lines
     in log order), read back line by line with exact line indices."""
     path = scratch_path(spark, "logfiles")
-    (_run(spark, d).kept_loglines.repartition("scenario").sortWithinPartitions(*LOG_ORDER)
+    # range partitioning splits a big day over several tasks; part files are
+    # numbered in range order, so file-name order is line order for the reader
+    lines = _run(spark, d).kept_loglines
+    (lines.repartitionByRange("scenario", *LOG_ORDER).sortWithinPartitions("scenario", *LOG_ORDER)
      .select("scenario", "line").write.partitionBy("scenario").text(path))
     lines = read_logs_lines(spark, path + "/*/*.txt", PARTITION_DIR)
     bucket = F.floor(F.col("line_idx") / F.lit(_M.B)).cast("bigint")
