@@ -158,6 +158,10 @@ def _no_loss(spark, d):
     return lc.success_histogram(r.records, successes)
 
 
+def _replay_timeline(spark, d):
+    return _run(spark, d).replay_timeline
+
+
 def _resume_scan(spark, d):
     r = _run(spark, d)
     return lc.resume_scan(r.records, fr.final_commit(r.phase1_commits))
@@ -348,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "replay_duplicates": _replay_duplicates,
     "no_loss": _no_loss,
     "resume_scan": _resume_scan,
+    "replay_timeline": _replay_timeline,
     "commit_outcome": _commit_outcome,
     "processed_count": _processed_count,
     "catch_up": _catch_up,

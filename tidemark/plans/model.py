@@ -164,6 +164,21 @@ class Run:
     def replay(self) -> DataFrame:
         return lc.replay_set(self.split, self.phase1_snapshot)
 
+    @cached_property
+    def replay_outcomes(self) -> DataFrame:
+        """Phase 2: the backlog above the phase-1 frontier is fetched at the
+        restart and handled without faults, one try each."""
+        lat = self.handled.select("partition", "offset", "latency_ms")
+        return (self.replay.join(lat, ["partition", "offset"])
+                .select("partition", "offset", "key",
+                        (F.lit(RESTART_AT_MS) + F.col("latency_ms")).cast("bigint").alias("done_ms")))
+
+    @cached_property
+    def replay_timeline(self) -> DataFrame:
+        """W1 of phase 2, resumed from the phase-1 frontier."""
+        base = self.phase1_snapshot.select("partition", F.col("last_committed").alias("base"))
+        return fr.frontier_timeline(self.replay_outcomes, base, self.B)
+
     @cached_property
     def failing_commits(self) -> DataFrame:
         """The run's commit log when the first commits of every partition fail."""

@@ -297,6 +297,15 @@ def queries() -> dict[str, str]:
               FROM records r LEFT JOIN succ s ON s."partition" = r."partition" AND s."offset" = r."offset"
               GROUP BY 1, 2)
             SELECT successes, count(*) AS records FROM per GROUP BY 1"""),
+        "replay_timeline": q(f"""
+            , r2 AS (
+              SELECT r."partition", r."offset", {RESTART_AT_MS} + h.latency_ms AS done_ms
+              FROM replay r JOIN handled h ON h."partition" = r."partition" AND h."offset" = r."offset"),
+            c2 AS (
+              SELECT "partition", "offset", max(done_ms) OVER (PARTITION BY "partition" ORDER BY "offset"
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS commit_ms FROM r2)
+            SELECT "partition", commit_ms, max("offset") AS committed_through, count(*) AS released
+            FROM c2 GROUP BY 1, 2"""),
         "resume_scan": q("""
             SELECT r."partition", COALESCE(f.committed_through + 1, min(r."offset")) AS start_offset,
                    max(r."offset") AS last_offset, count(*) AS to_read
