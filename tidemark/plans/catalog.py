@@ -19,7 +19,7 @@ from ..operators import lifecycle as lc
 from ..session import scratch_path
 from ..sources.textlog import PARTITION_DIR, read_logs_lines
 from ..streaming import pipeline as sp
-from ..streaming.frontier import final_timeline, streaming_frontier
+from ..streaming.frontier import streaming_frontier
 from .model import LOG_ORDER, RESTART_AT_MS, SHUTDOWN_AT_MS, Model, Run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,14 +245,6 @@ STREAM_FILES_PER_TRIGGER = 2
 STREAM_TIMEOUT_S = 900
 
 
-def _read_commits(spark, path):
-    try:
-        return final_timeline(spark.read.parquet(path).drop("batch_id", "ok"))
-    except Exception:  # no batch produced output
-        return spark.createDataFrame([], "partition int, commit_ms bigint, committed_through bigint, "
-                                         "released bigint")
-
-
 def _stream_frontier(spark, d):
     """T1 over a completion log: files in completion-time order, two per micro-batch."""
     r = _run(spark, d)
@@ -264,7 +256,7 @@ def _stream_frontier(spark, d):
     adv = streaming_frontier(stream, r.base)
     sp.run_available(adv.writeStream.foreachBatch(sp.commit_sink(f"{work}/commits"))
                      .option("checkpointLocation", f"{work}/ckpt"), STREAM_TIMEOUT_S)
-    return _read_commits(spark, f"{work}/commits")
+    return sp.read_commits(spark, f"{work}/commits")
 
 
 def _stream_pipeline(spark, d):
@@ -272,28 +264,11 @@ def _stream_pipeline(spark, d):
     r = _run(spark, d)
     work = scratch_path(spark, "stream-pipeline")
     log = r.handled.select("partition", "offset", "key", "value", "fetched_ms", "failures", "latency_ms")
-    log.repartitionByRange(STREAM_FILES, "fetched_ms").write.parquet(f"{work}/log")
-    schema = sp.RECORD_SCHEMA + ", failures int, latency_ms bigint"
+    sp.write_log(log, f"{work}/log", STREAM_FILES)
     policy = _M.policy
-
-    def handle(batch):
-        return att.outcomes(batch, policy).select("partition", "offset", "done_ms")
-
-    records = sp.read_log_stream(spark, f"{work}/log", schema, STREAM_FILES_PER_TRIGGER)
-
-    def handle_batch(batch, batch_id):
-        handle(batch).write.mode("overwrite").parquet(f"{work}/outcomes/batch_id={batch_id}")
-
-    sp.run_available(records.writeStream.foreachBatch(handle_batch)
-                     .option("checkpointLocation", f"{work}/ckpt-handle"), STREAM_TIMEOUT_S)
-    done = (spark.readStream.schema("partition int, offset bigint, done_ms bigint, batch_id int")
-            .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(f"{work}/outcomes")
-            .where(F.col("done_ms").isNotNull()))
-    adv = streaming_frontier(done, r.base)
-    sp.run_available(adv.writeStream.foreachBatch(sp.commit_sink(f"{work}/commits"))
-                     .option("checkpointLocation", f"{work}/ckpt-frontier"), STREAM_TIMEOUT_S)
-    return _read_commits(spark, f"{work}/commits")
-
+    return sp.pipeline(spark, f"{work}/log", work, lambda batch: att.outcomes(batch, policy), r.base,
+                       STREAM_FILES_PER_TRIGGER, STREAM_TIMEOUT_S,
+                       sp.RECORD_SCHEMA + ", failures int, latency_ms bigint")
 
 # -- handlers ----------------------------------------------------------------------
 # Fixed values of the example user handler: a record whose event id is 3 mod 7

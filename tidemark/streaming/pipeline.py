@@ -29,9 +29,16 @@ from .frontier import final_timeline, streaming_frontier
 RECORD_SCHEMA = "partition int, offset bigint, key string, value string, fetched_ms bigint"
 
 
-def write_log(records: DataFrame, path: str, files_per_partition: int = 1) -> None:
-    """S3 (files): append records, one folder per log partition."""
-    (records.repartition(max(1, files_per_partition), "partition")
+def write_log(records: DataFrame, path: str, files: int | None = None) -> None:
+    """S3 (files): append records, one folder per log partition.
+
+    Range partitioning on (partition, offset) gives every task a contiguous
+    offset range, so a hot log partition is written by many tasks and each
+    file holds offsets in order.
+    """
+    ranged = (records.repartitionByRange(files, "partition", "offset") if files
+              else records.repartitionByRange("partition", "offset"))
+    (ranged.sortWithinPartitions("partition", "offset")
      .write.mode("append").partitionBy("partition").parquet(path))
 
 
@@ -100,7 +107,8 @@ def run_available(query_builder, timeout_s: float) -> str:
 
 def pipeline(spark: SparkSession, log_path: str, work_dir: str,
              handle: Callable[[DataFrame], DataFrame], base: DataFrame | None,
-             max_files_per_trigger: int = 1, timeout_s: float = 600) -> DataFrame:
+             max_files_per_trigger: int = 1, timeout_s: float = 600,
+             schema: str = RECORD_SCHEMA) -> DataFrame:
     """T4: records -> handler -> outcomes table -> streaming frontier -> commits.
 
     ``handle`` maps a records micro-batch to outcome rows (partition, offset,
@@ -108,13 +116,10 @@ def pipeline(spark: SparkSession, log_path: str, work_dir: str,
     (including a ``mapInPandas`` user handler) can be used.  Returns the
     commit table folded into the W1 timeline.
     """
-    records = read_log_stream(spark, log_path, max_files_per_trigger=max_files_per_trigger)
+    records = read_log_stream(spark, log_path, schema, max_files_per_trigger)
     outcomes_path, commits_path = f"{work_dir}/outcomes", f"{work_dir}/commits"
 
-    def handle_batch(batch: DataFrame, batch_id: int) -> None:
-        handle(batch).write.mode("overwrite").parquet(f"{outcomes_path}/batch_id={batch_id}")
-
-    status = run_available(records.writeStream.foreachBatch(handle_batch)
+    status = run_available(records.writeStream.foreachBatch(_handled_sink(handle, outcomes_path))
                            .option("checkpointLocation", f"{work_dir}/ckpt-handle"), timeout_s)
     if status != "caught_up":
         raise TimeoutError("handler stream did not catch up")
@@ -126,4 +131,21 @@ def pipeline(spark: SparkSession, log_path: str, work_dir: str,
                            .option("checkpointLocation", f"{work_dir}/ckpt-frontier"), timeout_s)
     if status != "caught_up":
         raise TimeoutError("frontier stream did not catch up")
-    return final_timeline(spark.read.parquet(commits_path).drop("batch_id", "ok"))
+    return read_commits(spark, commits_path)
+
+
+def _handled_sink(handle: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        handle(batch).select("partition", "offset", "done_ms").write.mode("overwrite").parquet(
+            f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def read_commits(spark: SparkSession, path: str) -> DataFrame:
+    """The commit table folded into the W1 timeline (empty if no batch wrote)."""
+    try:
+        return final_timeline(spark.read.parquet(path).drop("batch_id", "ok"))
+    except Exception:  # noqa: BLE001 - no batch produced output, so no folder
+        return spark.createDataFrame([], "partition int, commit_ms bigint, committed_through bigint, "
+                                         "released bigint")
