@@ -46,3 +46,23 @@ def test_stream_equals_batch_random_arrival(spark):
     assert got == exp and len(exp) > 0
     batches = spark.read.parquet(f"{d}/commits").select("batch_id").distinct().count()
     assert batches > 1
+
+
+def test_stream_stall_then_release(spark):
+    """A gap that stays open for several batches, then closes in the last one."""
+    d = tempfile.mkdtemp(prefix="tidemark-stall-", dir="/tmp")
+    batches = [[(0, o, 100 + o) for o in range(1, 40)],            # offset 0 missing: stall
+               [(0, o, 50 + o) for o in range(40, 80)] + [(0, 3, 1)],  # redelivery of a waiting one
+               [(0, 0, 5000), (0, 81, 7)]]                          # gap closes; 80 still missing
+    for rows in batches:
+        spark.createDataFrame(rows, "partition int, offset bigint, done_ms bigint") \
+            .coalesce(1).write.mode("append").parquet(f"{d}/in")
+    base = spark.createDataFrame([(0, -1)], "partition int, base bigint")
+    stream = (spark.readStream.schema("partition int, offset bigint, done_ms bigint")
+              .option("maxFilesPerTrigger", 1).parquet(f"{d}/in"))
+    assert sp.run_available(streaming_frontier(stream, base).writeStream
+                            .foreachBatch(sp.commit_sink(f"{d}/commits"))
+                            .option("checkpointLocation", f"{d}/ckpt"), 600) == "caught_up"
+    got = [tuple(r) for r in sp.read_commits(spark, f"{d}/commits")
+           .select("commit_ms", "committed_through", "released").collect()]
+    assert got == [(5000, 79, 80)]

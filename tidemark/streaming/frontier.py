@@ -2,12 +2,17 @@
 
 Keyed by log partition.  State per partition: the frontier and the running
 maximum of done time up to it (``ValueState``), plus the completions that
-wait behind a gap (``MapState`` offset -> done_ms, RocksDB-backed, so a long
-stall spills to disk instead of growing a Python list).  A completion at or
-behind the frontier, or one already waiting, is a redelivery and is dropped
-(T2).  Each released offset carries the running maximum of done time, which
-equals the batch commit time of W1 whatever the arrival order; the sink
-re-aggregates by (partition, commit_ms).
+wait behind a gap (``ListState`` of (offset, done_ms), RocksDB-backed).
+
+The frontier can only move in a micro-batch that holds offset frontier + 1:
+every other batch appends its new completions to the list in one call and
+is done, so a long stall costs O(batch) per batch.  When the gap closes the
+list is read once, merged with the batch (pandas, vectorised), the
+contiguous run is released and the rest written back.  A completion at or
+behind the frontier is a redelivery and is dropped; a repeated waiting
+offset keeps its earliest done time (T2).  Each released offset carries the
+running maximum of done time, which equals the batch commit time of W1
+whatever the arrival order; the sink re-aggregates by (partition, commit_ms).
 
 Baselines come in as initial state (one row per partition: ``base``), e.g.
 from ``frontier.baseline`` over the fetched records or from the commit table
@@ -18,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +37,7 @@ _NO_CARRY = -(1 << 63)
 class FrontierProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.front = handle.getValueState("front", "frontier bigint, carry bigint")
-        self.pending = handle.getMapState("pending", "offset bigint", "done_ms bigint")
+        self.pending = handle.getListState("pending", "offset bigint, done_ms bigint")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         base = int(pd.DataFrame(initialState)["base"].min())
@@ -39,36 +45,42 @@ class FrontierProcessor(StatefulProcessor):
             self.front.update((base, _NO_CARRY))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.groupby("offset", as_index=False)["done_ms"].min()
+        batch = pd.concat(list(rows), ignore_index=True)[["offset", "done_ms"]]
         if self.front.exists():
             frontier, carry = self.front.get()
         else:
             frontier, carry = int(batch["offset"].min()) - 1, _NO_CARRY
-        for off, done in zip(batch["offset"].tolist(), batch["done_ms"].tolist()):
-            if off <= frontier:
-                continue
-            seen = self.pending.getValue((off,))
-            if seen is None or done < seen[0]:
-                self.pending.updateValue((off,), (int(done),))
-        out_offsets, out_commit = [], []
-        while True:
-            nxt = self.pending.getValue((frontier + 1,))
-            if nxt is None:
-                break
-            frontier += 1
-            carry = max(carry, int(nxt[0]))
-            self.pending.removeKey((frontier,))
-            out_offsets.append(frontier)
-            out_commit.append(carry)
+            self.front.update((frontier, carry))
+        batch = batch[batch["offset"] > frontier]
+        if batch.empty:
+            return
+        if not (batch["offset"] == frontier + 1).any():
+            # the gap is still open: nothing can be released
+            self.pending.appendList(list(batch.itertuples(index=False, name=None)))
+            return
+        stored = (pd.DataFrame(list(self.pending.get()), columns=["offset", "done_ms"])
+                  if self.pending.exists() else batch.iloc[:0])
+        waiting = (pd.concat([stored, batch], ignore_index=True)
+                   .groupby("offset", as_index=False)["done_ms"].min())  # sorted by offset
+        offs = waiting["offset"].to_numpy()
+        run = int(np.argmin(offs == frontier + 1 + np.arange(len(offs)))) if len(offs) else 0
+        if run == 0 and len(offs) and offs[-1] == frontier + len(offs):
+            run = len(offs)  # every waiting offset is contiguous
+        released = waiting.iloc[:run]
+        rest = waiting.iloc[run:]
+        commit = np.maximum.accumulate(np.maximum(released["done_ms"].to_numpy(dtype=np.int64), carry))
+        frontier, carry = int(offs[run - 1]), int(commit[-1])
         self.front.update((frontier, carry))
-        if out_offsets:
-            rel = pd.DataFrame({"offset": out_offsets, "commit_ms": out_commit})
-            agg = rel.groupby("commit_ms", as_index=False).agg(
-                committed_through=("offset", "max"), released=("offset", "count"))
-            agg.insert(0, "partition", int(key[0]))
-            yield agg[["partition", "commit_ms", "committed_through", "released"]].astype(
-                {"partition": "int32", "commit_ms": "int64", "committed_through": "int64", "released": "int64"})
+        if rest.empty:
+            self.pending.clear()
+        else:
+            self.pending.put(list(rest.itertuples(index=False, name=None)))
+        rel = pd.DataFrame({"offset": offs[:run], "commit_ms": commit})
+        agg = rel.groupby("commit_ms", as_index=False).agg(
+            committed_through=("offset", "max"), released=("offset", "count"))
+        agg.insert(0, "partition", int(key[0]))
+        yield agg[["partition", "commit_ms", "committed_through", "released"]].astype(
+            {"partition": "int32", "commit_ms": "int64", "committed_through": "int64", "released": "int64"})
 
     def close(self) -> None:
         pass
