@@ -37,11 +37,13 @@ def baseline(records: DataFrame, fetch_order: str | None = None) -> DataFrame:
 
 
 def contiguous_frontier(good: DataFrame, base: DataFrame,
-                        bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
+                        bucket_size: int = DEFAULT_BUCKET_SIZE, unique: bool = False) -> DataFrame:
     """A2: highest f with every offset in base+1..f present in ``good``.
 
-    ``good``: (partition, offset), duplicates allowed.  ``base``: (partition,
-    base), one row per partition; partitions with no good offset keep base.
+    ``good``: (partition, offset), duplicates allowed unless ``unique`` (then
+    a plain count per bucket, with map-side partial aggregation, replaces the
+    distinct count and its full shuffle).  ``base``: (partition, base), one
+    row per partition; partitions with no good offset keep base.
     Returns (partition, base, frontier).
     """
     check_positive("bucket_size", bucket_size)
@@ -51,7 +53,8 @@ def contiguous_frontier(good: DataFrame, base: DataFrame,
          .join(F.broadcast(base.select("partition", "base")), "partition")
          .where(F.col("offset") > F.col("base"))
          .withColumn("bucket", _bucket("offset", B)))
-    counts = g.groupBy("partition", "base", "bucket").agg(F.count_distinct("offset").alias("n"))
+    n = F.count(F.lit(1)) if unique else F.count_distinct("offset")
+    counts = g.groupBy("partition", "base", "bucket").agg(n.alias("n"))
     need = F.lit(B) - F.greatest(F.lit(0), F.col("base") + 1 - F.col("bucket") * F.lit(B))
     w = Window.partitionBy("partition").orderBy("bucket")
     full_prefix = (counts.where(F.col("n") == need)
@@ -134,11 +137,11 @@ def blocked_by_gap(outcome_rows: DataFrame, base: DataFrame | None = None,
 
 def frontier_snapshot(outcome_rows: DataFrame, base: DataFrame | None = None,
                       bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
-    """A2 on outcomes: (partition, base, last_committed)."""
+    """A2 on outcomes (one row per (partition, offset)): (partition, base, last_committed)."""
     if base is None:
         base = baseline(outcome_rows)
     done = outcome_rows.where(F.col("done_ms").isNotNull()).select("partition", "offset")
-    fr = contiguous_frontier(done, base, bucket_size)
+    fr = contiguous_frontier(done, base, bucket_size, unique=True)
     return fr.select("partition", "base", F.col("frontier").alias("last_committed"))
 
 
@@ -163,22 +166,28 @@ def tracker_snapshot(outcome_rows: DataFrame, snapshot: DataFrame, list_cap: int
 
     Counts are exact; the listed offsets are the smallest ``list_cap`` ones,
     ascending, as comma-joined strings (a bounded first-k, never a full
-    per-partition collect).
+    per-partition collect).  Counts and lists come from one filtered set.
     """
-    counts = pending_count(outcome_rows, snapshot)
-    above = (outcome_rows.join(F.broadcast(snapshot.select("partition", "last_committed")), "partition")
+    front = snapshot.select("partition", "last_committed")
+    above = (outcome_rows.join(F.broadcast(front), "partition")
              .where(F.col("offset") > F.col("last_committed"))
-             .withColumn("set", F.when(F.col("done_ms").isNull(), F.lit("in_flight"))
-                         .otherwise(F.lit("completed"))))
-    low = first_k(above.select("partition", "set", "offset"), ["partition", "set"], "offset",
-                  _bucket("offset", bucket_size), list_cap)
+             .select("partition", "offset",
+                     F.when(F.col("done_ms").isNull(), F.lit("in_flight")).otherwise(F.lit("completed"))
+                     .alias("set")))
+    counts = above.groupBy("partition").agg(
+        F.count_if(F.col("set") == "in_flight").alias("in_flight"),
+        F.count_if(F.col("set") == "completed").alias("completed"))
+    low = first_k(above, ["partition", "set"], "offset", _bucket("offset", bucket_size), list_cap)
     lists = (low.groupBy("partition")
              .agg(F.array_sort(F.collect_list(F.when(F.col("set") == "in_flight", F.col("offset"))))
                   .alias("in_flight_list"),
                   F.array_sort(F.collect_list(F.when(F.col("set") == "completed", F.col("offset"))))
                   .alias("completed_list")))
-    return (counts.join(lists, "partition", "left")
-            .select("partition", "last_committed", "pending", "in_flight", "completed",
+    infl = F.coalesce("in_flight", F.lit(0)).cast("bigint")
+    comp = F.coalesce("completed", F.lit(0)).cast("bigint")
+    return (front.join(counts, "partition", "left").join(lists, "partition", "left")
+            .select("partition", "last_committed", (infl + comp).alias("pending"),
+                    infl.alias("in_flight"), comp.alias("completed"),
                     F.coalesce(F.concat_ws(",", "in_flight_list"), F.lit("")).alias("in_flight_offsets"),
                     F.coalesce(F.concat_ws(",", "completed_list"), F.lit("")).alias("completed_offsets")))
 
@@ -234,9 +243,10 @@ def completion_classes(completions: DataFrame, records: DataFrame, base: DataFra
         "partition", "offset", F.col("first_ms").alias("done_ms"))
     ct = commit_times(firsts, base, bucket_size).select("partition", "offset", "commit_ms",
                                                         F.col("done_ms").alias("first_ms"))
+    # ct has one row per tracked offset above the baseline, so it also tells
+    # whether a completion's offset was ever fetched
     ev = (completions.join(F.broadcast(base.select("partition", "base")), "partition", "left")
-          .join(ct, ["partition", "offset"], "left")
-          .join(tracked.withColumn("_tracked", F.lit(True)), ["partition", "offset"], "left"))
+          .join(ct.withColumn("_tracked", F.lit(True)), ["partition", "offset"], "left"))
     cls = (F.when(F.col("offset") <= F.col("base"), F.lit("noop_committed"))
            .when(F.col("_tracked").isNull(), F.lit("error_not_in_flight"))
            .when(F.col("done_ms") == F.col("first_ms"), F.lit("ok"))
