@@ -51,8 +51,11 @@ def _tries(policy: RetryPolicy):
     return F.least(F.col("failures"), F.lit(n)) + F.lit(1)
 
 
-def outcomes(records: DataFrame, policy: RetryPolicy) -> DataFrame:
-    """F3 (closed form): one outcome row per record."""
+def outcomes(records: DataFrame, policy: RetryPolicy, keep: tuple[str, ...] = ()) -> DataFrame:
+    """F3 (closed form): one outcome row per record.
+
+    ``keep``: extra record columns carried through (saves re-joining them).
+    """
     n = policy.normalised().max_retries
     tries = _tries(policy)
     end = F.col("fetched_ms") + tries * F.col("latency_ms") + total_wait(tries - 1, policy)
@@ -63,6 +66,7 @@ def outcomes(records: DataFrame, policy: RetryPolicy) -> DataFrame:
         F.when(done, F.lit("done")).otherwise(F.lit("exhausted")).alias("status"),
         F.when(done, end).cast("bigint").alias("done_ms"),
         end.cast("bigint").alias("end_ms"),
+        *keep,
     )
 
 
@@ -72,8 +76,9 @@ def expand_attempts(records: DataFrame, policy: RetryPolicy, keep: tuple[str, ..
     ``keep``: extra record columns carried onto every try.
     """
     tries = _tries(policy)
+    base_cols = ["partition", "offset", "key", "fetched_ms", "latency_ms", "failures"]
     rows = records.select(
-        "partition", "offset", "key", "fetched_ms", "latency_ms", "failures", *keep,
+        *base_cols, *[c for c in keep if c not in base_cols],
         F.explode(F.sequence(F.lit(1), tries.cast("int"))).alias("attempt"))
     start = (F.col("fetched_ms") + (F.col("attempt") - 1) * F.col("latency_ms")
              + total_wait(F.col("attempt") - 1, policy))

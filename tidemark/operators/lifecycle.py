@@ -17,7 +17,7 @@ from .attempts import CANCELED_ERROR, is_failure
 from .prefix import first_k, running_agg
 
 
-def drain_split(outcome_rows: DataFrame, fetched: DataFrame, stop_ms: int,
+def drain_split(outcome_rows: DataFrame, fetched: DataFrame | None, stop_ms: int,
                 drain_timeout_ms: int) -> DataFrame:
     """where each record stands after a shutdown at ``stop_ms``.
 
@@ -25,11 +25,13 @@ def drain_split(outcome_rows: DataFrame, fetched: DataFrame, stop_ms: int,
     (last try ended by the stop), ``drained`` (ended inside the drain window)
     or ``unfinished``.  ``final_status``: ``done`` / ``exhausted`` for finished
     and drained records, else the split.  ``done_ms`` is kept only for
-    records that are done by the end of the window.
+    records that are done by the end of the window.  ``fetched`` supplies
+    ``fetched_ms`` when the outcome rows do not carry it.
     """
     check_non_negative("drain_timeout_ms", drain_timeout_ms)
     cut = int(stop_ms) + int(drain_timeout_ms)
-    rows = outcome_rows.join(fetched.select("partition", "offset", "fetched_ms"), ["partition", "offset"])
+    rows = outcome_rows if fetched is None else outcome_rows.join(
+        fetched.select("partition", "offset", "fetched_ms"), ["partition", "offset"])
     split = (F.when(F.col("fetched_ms") >= F.lit(stop_ms), F.lit("not_dispatched"))
              .when(F.col("end_ms") <= F.lit(stop_ms), F.lit("finished"))
              .when(F.col("end_ms") <= F.lit(cut), F.lit("drained"))
@@ -231,12 +233,14 @@ def error_kinds(attempt_rows: DataFrame) -> DataFrame:
 
 
 def drain_attempts(attempt_rows: DataFrame, stop_ms: int, drain_timeout_ms: int,
-                   fetched: DataFrame) -> DataFrame:
+                   fetched: DataFrame | None = None) -> DataFrame:
     """Attempts as a shutdown leaves them: tries that start after the drain
-    window never run; a try still running at its end is cancelled."""
+    window never run; a try still running at its end is cancelled.
+    ``fetched`` supplies ``fetched_ms`` when the attempt rows do not carry it."""
     cut = int(stop_ms) + int(drain_timeout_ms)
-    rows = (attempt_rows.join(fetched.select("partition", "offset", "fetched_ms"), ["partition", "offset"])
-            .where((F.col("fetched_ms") < F.lit(stop_ms)) & (F.col("start_ms") < F.lit(cut))))
+    rows = attempt_rows if fetched is None else attempt_rows.join(
+        fetched.select("partition", "offset", "fetched_ms"), ["partition", "offset"])
+    rows = rows.where((F.col("fetched_ms") < F.lit(stop_ms)) & (F.col("start_ms") < F.lit(cut)))
     cancelled = F.col("end_ms") > F.lit(cut)
     return rows.select(
         "partition", "offset", "key", "attempt", "start_ms",

@@ -183,13 +183,13 @@ def _catch_up(spark, d):
 
 def _active_jobs(spark, d):
     r = _run(spark, d)
-    o = r.outcomes.join(r.records.select("partition", "offset", "fetched_ms"), ["partition", "offset"])
-    return lc.active_jobs(o, "fetched_ms", "end_ms")
+    return lc.active_jobs(r.outcomes_fetched, "fetched_ms", "end_ms")
 
 
 def _error_filter(spark, d):
     r = _run(spark, d)
-    da = lc.drain_attempts(r.attempts, SHUTDOWN_AT_MS, _M.params.drain_timeout_ms, r.records)
+    a = att.expand_attempts(r.handled, _M.policy, keep=("fetched_ms",))
+    da = lc.drain_attempts(a, SHUTDOWN_AT_MS, _M.params.drain_timeout_ms)
     return lc.error_kinds(da)
 
 
@@ -291,7 +291,8 @@ def _user_handler(spark, d):
 
 def _key_failure_budget(spark, d):
     r = _run(spark, d)
-    uid = F.regexp_extract("key", r"^key-(\d+)$", 1).cast("bigint")
+    digits = F.regexp_extract("key", r"^key-(\d+)$", 1)
+    uid = F.when(digits != "", digits.cast("bigint"))  # ANSI casts reject ''
     budget = F.when(uid % BUDGET_MODULUS == BUDGET_REMAINDER, F.lit(BUDGET_TRIES))
     rows = att.key_budget_failures(r.records, budget, _M.policy, _M.B)
     n = _M.policy.normalised().max_retries

@@ -115,6 +115,11 @@ class Run:
     def outcomes(self) -> DataFrame:
         return att.outcomes(self.handled, self.m.policy)
 
+    @cached_property
+    def outcomes_fetched(self) -> DataFrame:
+        """Outcomes carrying ``fetched_ms`` (no re-join with the records)."""
+        return att.outcomes(self.handled, self.m.policy, keep=("fetched_ms",))
+
     @cached_property
     def attempts(self) -> DataFrame:
         return att.expand_attempts(self.handled, self.m.policy)
@@ -136,8 +141,7 @@ class Run:
     def completions(self) -> DataFrame:
         """Completion events: every done record, plus a second completion of
         records with k mod 10 = 0 (a redelivery inside the same run)."""
-        o = att.outcomes(self.handled, self.m.policy).select("partition", "offset", "done_ms")
-        done = (self.handled.select("partition", "offset", "k").join(o, ["partition", "offset"])
+        done = (att.outcomes(self.handled, self.m.policy, keep=("k",))
                 .where(F.col("done_ms").isNotNull()))
         first = done.select("partition", "offset", "done_ms")
         again = (done.where(F.col("k") % F.lit(REDELIVERY_MODULUS) == 0)
@@ -149,7 +153,7 @@ class Run:
     @cached_property
     def split(self) -> DataFrame:
         """Phase 1 stops intake at SHUTDOWN_AT_MS and drains for the drain timeout."""
-        return lc.drain_split(self.outcomes, self.records, SHUTDOWN_AT_MS, self.m.params.drain_timeout_ms)
+        return lc.drain_split(self.outcomes_fetched, None, SHUTDOWN_AT_MS, self.m.params.drain_timeout_ms)
 
     @cached_property
     def phase1_snapshot(self) -> DataFrame:
