@@ -140,3 +140,19 @@ def test_commit_lookups(spark):
     cache = fr.commit_cache(records.withColumn("fetched_ms", F.lit(1)),
                             fr.final_commit(commits.where("committed_through = 99").limit(0))).collect()
     assert cache[0].cached == 3 and cache[0].lowest_cached == 0
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_three_level_carry_matches_step_model(spark, seed):
+    from tidemark.operators import prefix
+
+    cases = _random_cases(seed)
+    records, base, comps, outcomes = _frames(spark, cases)
+    exp = _expected(cases)
+    prefix.CARRY_BUCKET_SIZE = 2
+    try:
+        tl = fr.frontier_timeline(outcomes, base, 2).collect()
+    finally:
+        prefix.CARRY_BUCKET_SIZE = None
+    for p, (adv, _, _) in exp.items():
+        assert sorted((r.commit_ms, r.committed_through) for r in tl if r.partition == p) == sorted(adv), (seed, p)

@@ -20,6 +20,12 @@ from pyspark.sql import functions as F
 
 _AGG = {"max": F.max, "sum": F.sum, "min": F.min}
 
+# Buckets per carry bucket for a third level.  None: the carry (one row per
+# bucket) is prefix-summed in one window per group, fine up to ~10^7 buckets
+# per group.  Set it (e.g. 4096) when a group holds more than ~10^10 rows so
+# the carry itself is computed two-level.
+CARRY_BUCKET_SIZE: int | None = None
+
 
 def _combine(how: str, carry: Column, local: Column) -> Column:
     if how == "sum":
@@ -30,7 +36,7 @@ def _combine(how: str, carry: Column, local: Column) -> Column:
 
 
 def running_aggs(df: DataFrame, groups: list[str], order: list[str], bucket: Column,
-                 specs: list[tuple[str, str, str]], inclusive: bool = True) -> DataFrame:
+                 specs: list[tuple[str, str, str]], inclusive: bool = True, _tag: str = "_tm") -> DataFrame:
     """Several running aggregates in one two-level pass.
 
     ``specs``: (value column, output column, "max" | "sum" | "min").
@@ -44,27 +50,46 @@ def running_aggs(df: DataFrame, groups: list[str], order: list[str], bucket: Col
     their prefix (the carry, one row per bucket) is joined back on the
     shuffle keys.
     """
-    b = "_tm_bucket"
+    b = f"{_tag}_bucket"
     rows = df.withColumn(b, bucket)
     end = Window.currentRow if inclusive else -1
     wi = Window.partitionBy(*groups, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     local = rows.repartition(*groups, b).select(
-        "*", *[_AGG[how](value).over(wi).alias(f"_tm_loc{i}") for i, (value, _, how) in enumerate(specs)])
+        "*", *[_AGG[how](value).over(wi).alias(f"{_tag}_loc{i}") for i, (value, _, how) in enumerate(specs)])
     per_bucket = rows.groupBy(*groups, b).agg(
-        *[_AGG[how](value).alias(f"_tm_bv{i}") for i, (value, _, how) in enumerate(specs)])
-    wb = Window.partitionBy(*groups).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select(*groups, b, *[_AGG[how](f"_tm_bv{i}").over(wb).alias(f"_tm_carry{i}")
-                                            for i, (_, _, how) in enumerate(specs)])
+        *[_AGG[how](value).alias(f"{_tag}_bv{i}") for i, (value, _, how) in enumerate(specs)])
+    if CARRY_BUCKET_SIZE and _tag == "_tm":
+        cb = F.floor(F.col(b) / F.lit(int(CARRY_BUCKET_SIZE))).cast("bigint")
+        carry = _three_level_carry(per_bucket, groups, b, cb, specs, _tag)
+    else:
+        wb = Window.partitionBy(*groups).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+        carry = per_bucket.select(*groups, b, *[_AGG[how](f"{_tag}_bv{i}").over(wb).alias(f"{_tag}_carry{i}")
+                                                for i, (_, _, how) in enumerate(specs)])
     out = local.join(carry, on=[*groups, b], how="inner")
     for i, (_, name, how) in enumerate(specs):
-        res = _combine(how, F.col(f"_tm_carry{i}"), F.col(f"_tm_loc{i}"))
+        res = _combine(how, F.col(f"{_tag}_carry{i}"), F.col(f"{_tag}_loc{i}"))
         if how == "sum":
             res = res.cast("bigint")
         out = out.withColumn(name, res)
-    tmp = [b] + [f"_tm_{k}{i}" for i in range(len(specs)) for k in ("loc", "carry")]
+    tmp = [b] + [f"{_tag}_{k}{i}" for i in range(len(specs)) for k in ("loc", "carry")]
     return out.drop(*tmp)
 
 
+def _three_level_carry(per_bucket: DataFrame, groups: list[str], b: str, cb: Column,
+                       specs: list[tuple[str, str, str]], tag: str) -> DataFrame:
+    """Carry of every bucket (exclusive prefix over earlier buckets), itself
+    computed with the bucketed pass over the per-bucket rows."""
+    inner = [(f"{tag}_bv{i}", f"{tag}_carry{i}", how) for i, (_, _, how) in enumerate(specs)]
+    res = running_aggs(per_bucket, groups, [b], cb, inner, inclusive=False, _tag=f"{tag}c")
+    fix = []
+    for i, (_, _, how) in enumerate(specs):
+        c = F.col(f"{tag}_carry{i}")
+        if how == "sum":  # an exclusive sum over nothing is NULL, not 0
+            c = F.when(c == 0, None).otherwise(c)
+        fix.append(c.alias(f"{tag}_carry{i}"))
+    return res.select(*groups, b, *fix)
+
+
 def running_agg(df: DataFrame, groups: list[str], order: list[str], bucket: Column,
                 value: str, out: str, how: str = "max", inclusive: bool = True) -> DataFrame:
     """Add ``out`` = running ``how`` of ``value`` over ``order`` within ``groups``."""
