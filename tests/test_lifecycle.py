@@ -88,3 +88,11 @@ def test_error_kinds(spark):
     got = {r.error: (r.attempts, r.is_failure) for r in lc.error_kinds(a).collect()}
     assert got == {"simulated transient failure": (1, True), "context canceled": (1, False),
                    "context deadline exceeded": (1, True)}
+
+
+def test_starting_offsets_json(spark):
+    resume = spark.createDataFrame([(0, 3, 9, 7), (2, 0, 4, 5)],
+                                   "partition int, start_offset bigint, last_offset bigint, to_read bigint")
+    got = resume.agg(lc.starting_offsets_json(resume, "t").alias("j")).collect()[0].j
+    import json
+    assert json.loads(got) == {"t": {"0": 3, "2": 0}}

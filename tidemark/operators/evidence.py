@@ -253,14 +253,18 @@ def scenario_checks(lines: DataFrame, scenarios: DataFrame, ooo: DataFrame,
     """The ordered check sentences a scenario's log satisfies.
 
     ``scenarios``: (scenario, expect_* BOOLEAN..., replay_key); ``ooo``: the
-    result of ``out_of_order``.  (scenario, summary)
+    result of ``out_of_order``.  One pass over the lines computes every
+    marker and the replay-key count.  (scenario, summary)
     """
     ln = F.col(line)
+    keys = scenarios.select(scenario, "replay_key")
+    pat = F.concat(F.lit("key="), F.col("replay_key"))
+    hits = F.floor((F.length(ln) - F.length(F.replace(ln, pat, F.lit("")))) / F.length(pat))
     markers = [F.bool_or(ln.contains(m)).alias(f"_has{i}") for i, (_, m, _) in enumerate(CHECKS)]
     markers.append(F.bool_or(ln.contains(REPLAY_MARKER)).alias("_replayed"))
-    seen = lines.groupBy(scenario).agg(*markers)
-    counts = substring_count(lines, scenarios, line, scenario).select(scenario, "occurrences")
-    s = (scenarios.join(seen, scenario, "left").join(counts, scenario, "left")
+    markers.append(F.sum(hits).cast("bigint").alias("occurrences"))
+    seen = lines.select(scenario, line).join(keys, scenario, "left").groupBy(scenario).agg(*markers)
+    s = (scenarios.join(seen, scenario, "left")
          .join(ooo.select(scenario, "out_of_order"), scenario, "left"))
     parts = []
     for i, (flag, _, sentence) in enumerate(CHECKS):
