@@ -78,7 +78,8 @@ def _frontier_timeline(spark, d):
 
 
 def _frontier_snapshot(spark, d):
-    return _run(spark, d).snapshot
+    r = _run(spark, d)
+    return fr.frontier_snapshot(r.outcomes, r.base, _M.B)  # used once: not materialised
 
 
 def _blocked_by_gap(spark, d):

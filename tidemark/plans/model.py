@@ -109,7 +109,8 @@ class Run:
 
     @cached_property
     def base(self) -> DataFrame:
-        return fr.baseline(self.records)
+        """One row per log partition; written once, read by every branch."""
+        return self._keep(fr.baseline(self.records), "base")
 
     @cached_property
     def outcomes(self) -> DataFrame:
@@ -135,7 +136,8 @@ class Run:
 
     @cached_property
     def snapshot(self) -> DataFrame:
-        return fr.frontier_snapshot(self.outcomes, self.base, self.B)
+        """One row per log partition; written once, read by every branch."""
+        return self._keep(fr.frontier_snapshot(self.outcomes, self.base, self.B), "snapshot")
 
     @cached_property
     def completions(self) -> DataFrame:
@@ -157,7 +159,8 @@ class Run:
 
     @cached_property
     def phase1_snapshot(self) -> DataFrame:
-        return fr.frontier_snapshot(self.split, self.base, self.B)
+        """One row per log partition; written once, read by every branch."""
+        return self._keep(fr.frontier_snapshot(self.split, self.base, self.B), "phase1-snapshot")
 
     @cached_property
     def phase1_commits(self) -> DataFrame:
