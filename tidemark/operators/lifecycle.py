@@ -133,15 +133,17 @@ def commit_outcome_summary(commits: DataFrame) -> DataFrame:
     """durable vs in-memory frontier and the intake cut-off.
 
     ``first_failure_ms`` is the earliest failed commit of any partition: the
-    moment intake stops (a scalar subquery).
+    moment intake stops.  It is a minimum over the per-partition summary,
+    which has one row per log partition, so the all-rows window is bounded
+    by the partition count (no second pass over the commit log).
     """
     per = commits.groupBy("partition").agg(
         F.max(F.when(F.col("ok"), F.col("committed_through"))).alias("durable_frontier"),
         F.max("committed_through").alias("memory_frontier"),
-        F.count_if(~F.col("ok")).alias("failed_commits"))
-    first_fail = commits.where(~F.col("ok")).agg(F.min("commit_ms")).scalar()
+        F.count_if(~F.col("ok")).alias("failed_commits"),
+        F.min(F.when(~F.col("ok"), F.col("commit_ms"))).alias("_first_fail"))
     return per.select("partition", "durable_frontier", "memory_frontier", "failed_commits",
-                      first_fail.alias("first_failure_ms"))
+                      F.min("_first_fail").over(Window.partitionBy()).alias("first_failure_ms"))
 
 
 def processed_count(outcome_rows: DataFrame, commits: DataFrame) -> DataFrame:
