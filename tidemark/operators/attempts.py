@@ -24,10 +24,10 @@ from ..functions.retry import retry_decision, total_wait
 from ..params import RetryPolicy
 from .prefix import running_agg
 
-# Handler error texts and the error kinds that are not failures.
+# The handler's failure text and the cancellation error text
+# (a cancellation is not a failure; a deadline error is).
 TRANSIENT_ERROR = "simulated transient failure"
 CANCELED_ERROR = "context canceled"
-DEADLINE_ERROR = "context deadline exceeded"
 
 
 def key_overrides(spark: SparkSession, overrides: dict[str, int], key: str = "key",

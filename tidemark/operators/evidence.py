@@ -65,16 +65,12 @@ FMT_EXHAUSTED = ("Message partition %d offset %d exhausted retries (%d attempts)
 FMT_PROCESSED = "✓ Processed partition %d offset %d: key=%s, value=%s"
 FMT_COMMITTED = "✓ Committed partition %d through offset %d"
 
-# Parse patterns: (kind, regex).  Group 1 partition, 2 offset, 3 attempt.
-RX_PROCESSING = r"processing partition (\d+) offset (\d+) attempt (\d+)"
-RX_RETRY = r"Message partition (\d+) offset (\d+) failed on attempt (\d+): .*retrying in ([0-9.]+(?:ms|s|m[0-9.]+s)?)$"
-RX_EXHAUSTED = r"Message partition (\d+) offset (\d+) exhausted retries"
-RX_PROCESSED = r"Processed partition (\d+) offset (\d+): key=([^,]*), value="
-RX_COMMITTED = r"Committed partition (\d+) through offset (\d+)"
+# Parse patterns, one per field; the line kind decides which fields apply.
+RX_PARTITION = r"partition (\d+)"
+RX_OFFSET = r"offset (\d+)"
+RX_ATTEMPT = r"attempt (\d+)"
 RX_KEY = r"key=([^,; ]*)"
-RX_CAUGHT_UP = r"Consumer caught up: processed (\d+)/(\d+)"
-RX_DRAIN_TIMEOUT = r"Drain timeout reached with (\d+) in-flight"
-KIND_RANK = {"processing": 0, "retry": 1, "exhausted": 2, "processed": 3, "committed": 4}
+RX_DELAY = r"retrying in (\S+)$"
 
 
 # -- rendering -----------------------------------------------------------------
@@ -177,11 +173,11 @@ def parse_log(lines: DataFrame, line: str = "line") -> DataFrame:
     record = k.isin("retry", "exhausted", "processing", "processed", "committed")
     return typed.select(
         *keep, "kind",
-        F.when(record, _num(ln, r"partition (\d+)")).cast("int").alias("log_partition"),
-        F.when(record, _num(ln, r"offset (\d+)")).alias("log_offset"),
-        F.when(k.isin("retry", "processing"), _num(ln, r"attempt (\d+)")).cast("int").alias("log_attempt"),
+        F.when(record, _num(ln, RX_PARTITION)).cast("int").alias("log_partition"),
+        F.when(record, _num(ln, RX_OFFSET)).alias("log_offset"),
+        F.when(k.isin("retry", "processing"), _num(ln, RX_ATTEMPT)).cast("int").alias("log_attempt"),
         F.when(k.isin("retry", "processed"), F.regexp_extract(ln, RX_KEY, 1)).alias("log_key"),
-        F.when(k == "retry", duration_ms(F.regexp_extract(ln, r"retrying in (\S+)$", 1))).alias("delay_ms"),
+        F.when(k == "retry", duration_ms(F.regexp_extract(ln, RX_DELAY, 1))).alias("delay_ms"),
         log_clock(ln).alias("clock"))
 
 

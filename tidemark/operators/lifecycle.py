@@ -44,12 +44,6 @@ def drain_split(outcome_rows: DataFrame, fetched: DataFrame | None, stop_ms: int
         F.when(ended, F.col("done_ms")).alias("done_ms"))
 
 
-def run_frontier(split_rows: DataFrame, base: DataFrame | None = None,
-                 bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
-    """Frontier reached by a run: (partition, base, last_committed)."""
-    return fr.frontier_snapshot(split_rows, base, bucket_size)
-
-
 def replay_set(split_rows: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Everything fetched and not committed comes back on restart.
 

@@ -84,15 +84,6 @@ def commit_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def table_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Idempotent per-batch append of any table (outcomes, attempts)."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
-
-
 def run_available(query_builder, timeout_s: float) -> str:
     """Consume everything available, then stop; stop anyway on timeout."""
     q: StreamingQuery = query_builder.trigger(availableNow=True).start()
