@@ -65,7 +65,10 @@ def running_aggs(df: DataFrame, groups: list[str], order: list[str], bucket: Col
         wb = Window.partitionBy(*groups).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
         carry = per_bucket.select(*groups, b, *[_AGG[how](f"{_tag}_bv{i}").over(wb).alias(f"{_tag}_carry{i}")
                                                 for i, (_, _, how) in enumerate(specs)])
-    out = local.join(carry, on=[*groups, b], how="inner")
+    # every (group, bucket) has a carry row, so a left join equals an inner
+    # one; it keeps Catalyst from inferring NOT NULL filters on the group
+    # keys, which would evaluate an expensive key expression twice
+    out = local.join(carry, on=[*groups, b], how="left")
     for i, (_, name, how) in enumerate(specs):
         res = _combine(how, F.col(f"{_tag}_carry{i}"), F.col(f"{_tag}_loc{i}"))
         if how == "sum":
