@@ -17,6 +17,7 @@ from ..operators import frontier as fr
 from ..operators import handler as hd
 from ..operators import lifecycle as lc
 from ..session import scratch_path
+from ..sources.records import read_table, records_from_table
 from ..sources.textlog import PARTITION_DIR, read_logs_lines
 from ..streaming import pipeline as sp
 from ..streaming.frontier import streaming_frontier
@@ -240,6 +241,32 @@ def _log_file_out_of_order(spark, d):
     return ev.out_of_order(ev.parse_log(lines), ["line_idx"], bucket)
 
 
+# -- a second, larger topic ---------------------------------------------------------
+# Fixed values of the lineitem topic: key "order-<orderkey>", write order
+# (orderkey, linenumber), fetched at the ship date; lines with return flag 'R'
+# fail (linenumber mod 5) tries; every try takes 100 ms per unit of quantity.
+LINE_FAIL_FLAG, LINE_FAIL_MODULUS, LINE_MS_PER_QTY = "R", 5, 100
+
+
+def _lineitem_pending(spark, d):
+    """Frontier and pending counts of a topic fed from ``lineitem``."""
+    li = read_table(spark, d, "lineitem")
+    seq = F.col("l_orderkey") * F.lit(16) + F.col("l_linenumber")
+    key = F.concat(F.lit("order-"), F.col("l_orderkey").cast("string"))
+    value = F.concat(F.lit("line-"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                     F.col("l_linenumber").cast("string"))
+    fails = F.when(F.col("l_returnflag") == LINE_FAIL_FLAG, F.col("l_linenumber") % F.lit(LINE_FAIL_MODULUS))
+    recs = records_from_table(li, key, value, seq, "l_shipdate", bucket_size=_M.B, keep={
+        "failures": F.coalesce(fails, F.lit(0)).cast("int"),
+        "latency_ms": F.round(F.col("l_quantity") * F.lit(LINE_MS_PER_QTY)).cast("bigint")})
+    r = Run(_M, spark, d)
+    handled = r._keep(recs, "lineitem-handled")
+    out = att.outcomes(handled, _M.policy)
+    base = r._keep(fr.baseline(handled), "lineitem-base")
+    snap = r._keep(fr.frontier_snapshot(out, base, _M.B), "lineitem-snapshot")
+    return fr.pending_count(out, snap)
+
+
 # -- streaming ---------------------------------------------------------------------
 STREAM_FILES = 8
 STREAM_FILES_PER_TRIGGER = 2
@@ -346,4 +373,5 @@ QUERIES: dict[str, Query] = {
     "stream_pipeline": _stream_pipeline,
     "user_handler": _user_handler,
     "key_failure_budget": _key_failure_budget,
+    "lineitem_pending": _lineitem_pending,
 }

@@ -398,4 +398,42 @@ def queries() -> dict[str, str]:
             SELECT "partition", "offset", key, failures, CAST(least(failures, {N}) + 1 AS INTEGER) AS attempts,
                    CASE WHEN failures <= {N} THEN 'done' ELSE 'exhausted' END AS status
             FROM budgeted"""),
+        "lineitem_pending": f"""
+            WITH li AS (
+              SELECT l_orderkey * 16 + l_linenumber AS seq, 'order-' || CAST(l_orderkey AS VARCHAR) AS key,
+                     CAST(epoch_us(l_shipdate) // 1000 AS BIGINT) AS fetched_ms,
+                     CAST(CASE WHEN l_returnflag = 'R' THEN l_linenumber % 5 ELSE 0 END AS INTEGER) AS failures,
+                     CAST(round(l_quantity * 100) AS BIGINT) AS latency_ms
+              FROM lineitem),
+            hashed AS (
+              SELECT *, list_reduce([CAST(2166136261 AS BIGINT)] || list_transform(range(1, length(key) + 1),
+                          lambda i: CAST(ascii(substr(key, CAST(i AS INTEGER), 1)) AS BIGINT)),
+                        lambda h, b: (xor(h, b) * 16777619) % 4294967296) AS h
+              FROM li),
+            recs AS (
+              SELECT CAST(abs((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {P}) AS INTEGER) AS "partition",
+                     seq, fetched_ms, failures, latency_ms FROM hashed),
+            rec2 AS (
+              SELECT *, row_number() OVER (PARTITION BY "partition"
+                                           ORDER BY seq, fetched_ms, failures, latency_ms) - 1 AS "offset" FROM recs),
+            outc AS (
+              SELECT "partition", "offset",
+                     CASE WHEN failures <= {N} THEN fetched_ms + (least(failures, {N}) + 1) * latency_ms
+                          + {SUMS}[least(failures, {N}) + 1] END AS done_ms
+              FROM rec2),
+            ct AS (
+              SELECT "partition", "offset", done_ms,
+                     max(CASE WHEN done_ms IS NULL THEN {INF} ELSE done_ms END) OVER (
+                       PARTITION BY "partition" ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+              FROM outc),
+            snapl AS (
+              SELECT "partition", CAST(COALESCE(max(CASE WHEN c < {INF} THEN "offset" END), min("offset") - 1) AS BIGINT)
+                     AS last_committed
+              FROM ct GROUP BY 1)
+            SELECT s."partition", s.last_committed,
+                   CAST(count(o."offset") FILTER (WHERE o.done_ms IS NULL) AS BIGINT) AS in_flight,
+                   CAST(count(o."offset") FILTER (WHERE o.done_ms IS NOT NULL) AS BIGINT) AS completed,
+                   CAST(count(o."offset") AS BIGINT) AS pending
+            FROM snapl s LEFT JOIN outc o ON o."partition" = s."partition" AND o."offset" > s.last_committed
+            GROUP BY 1, 2""",
     }

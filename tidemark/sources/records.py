@@ -23,15 +23,17 @@ def assign_partitions(df: DataFrame, key: str = "key", partitions: int = DEFAULT
 
 
 def assign_offsets(df: DataFrame, seq: str, partition: str = "partition",
-                   bucket_size: int = DEFAULT_BUCKET_SIZE, out: str = "offset") -> DataFrame:
+                   bucket_size: int = DEFAULT_BUCKET_SIZE, out: str = "offset",
+                   ties: list[str] | None = None) -> DataFrame:
     """Per-partition offsets 0, 1, 2... in ``seq`` (write) order.
 
     ``seq`` must be a BIGINT that orders writes; the bucket is ``seq div B``
-    so no task holds more than one bucket of one partition.
+    so no task holds more than one bucket of one partition.  ``ties``:
+    further order columns for rows with equal ``seq``.
     """
     check_positive("bucket_size", bucket_size)
     bucket = F.floor(F.col(seq) / F.lit(bucket_size))
-    return row_index(df, [partition], [seq], bucket, out, start=0)
+    return row_index(df, [partition], [seq, *(ties or [])], bucket, out, start=0)
 
 
 def synthetic_records(spark: SparkSession, n: int, partitions: int = DEFAULT_PARTITIONS,
@@ -73,3 +75,21 @@ def records_from_events(events: DataFrame, partitions: int = DEFAULT_PARTITIONS,
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def records_from_table(df: DataFrame, key, value, seq, ts: str, partitions: int = DEFAULT_PARTITIONS,
+                       bucket_size: int = DEFAULT_BUCKET_SIZE, keep: dict | None = None) -> DataFrame:
+    """Records of a topic fed from any table: ``key``/``value``/``seq`` are
+    columns or expressions, ``ts`` a timestamp column (fetch time).  ``keep``:
+    extra output columns (name -> column) carried for a handler model."""
+    extra = [c.alias(n) for n, c in (keep or {}).items()]
+    base = df.select(F.col(seq).alias("seq") if isinstance(seq, str) else seq.alias("seq"),
+                     (F.col(key) if isinstance(key, str) else key).alias("key"),
+                     (F.col(value) if isinstance(value, str) else value).alias("value"),
+                     epoch_ms(df, ts).alias("fetched_ms"), *extra)
+    keyed = assign_partitions(base, "key", partitions)
+    # rows with equal seq are ordered by every other input column, so even
+    # exact duplicates get offsets that do not change any derived value
+    ties = ["fetched_ms", *(keep or {}).keys(), "value"]
+    return assign_offsets(keyed, "seq", bucket_size=bucket_size, ties=ties).select(
+        "partition", "offset", "key", "value", "fetched_ms", "seq", *(keep or {}).keys())
