@@ -33,6 +33,7 @@ HEADLINE = [
     "log_parse",
     "log_out_of_order",
     "scenario_checks",
+    "lineitem_pending",
 ]
 
 
