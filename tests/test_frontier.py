@@ -156,3 +156,35 @@ def test_three_level_carry_matches_step_model(spark, seed):
         prefix.CARRY_BUCKET_SIZE = None
     for p, (adv, _, _) in exp.items():
         assert sorted((r.commit_ms, r.committed_through) for r in tl if r.partition == p) == sorted(adv), (seed, p)
+
+
+@pytest.mark.parametrize("seed,bucket", [(21, 3), (22, 16)])
+def test_contiguous_frontier_with_duplicates(spark, seed, bucket):
+    rnd = random.Random(seed)
+    good, bases, exp = [], [], {}
+    for p in range(12):
+        base = rnd.choice([-1, 4, 50])
+        offs = sorted({o for o in range(base - 3, base + 60) if rnd.random() > 0.06})
+        rows = offs + rnd.sample(offs, k=min(len(offs), 10))  # duplicates
+        good += [(p, o) for o in rows]
+        bases.append((p, base))
+        f = base
+        while f + 1 in set(offs):
+            f += 1
+        exp[p] = f
+    g = spark.createDataFrame(good, "partition int, offset bigint")
+    b = spark.createDataFrame(bases, "partition int, base bigint")
+    got = {r.partition: r.frontier for r in fr.contiguous_frontier(g, b, bucket).collect()}
+    assert got == exp
+
+
+def test_first_k_random(spark):
+    from tidemark.operators.prefix import first_k
+
+    rnd = random.Random(5)
+    rows = [(p, o) for p in range(6) for o in rnd.sample(range(500), rnd.randint(0, 60))]
+    df = spark.createDataFrame(rows, "p int, o bigint")
+    for k in (1, 7, 100):
+        got = sorted((r.p, r.o) for r in first_k(df, ["p"], "o", F.floor(F.col("o") / 8), k).collect())
+        exp = sorted((p, o) for p in range(6) for o in sorted(o for q, o in rows if q == p)[:k])
+        assert got == exp, k
