@@ -37,3 +37,26 @@ def test_running_aggs_random(spark, how, inclusive, bucket, carry):
         prefix.CARRY_BUCKET_SIZE = saved
     got = {(r.g, r.o): r.r for r in res}
     assert got == _python(rows, how, inclusive)
+
+
+def test_kth_smallest_and_gauge_random(spark):
+    from tidemark.operators import lifecycle as lc
+
+    rnd = random.Random(3)
+    vals = [rnd.randint(0, 10_000) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in vals], "t bigint")
+    for k in (1, 17, 150, 300):
+        assert lc.kth_smallest(df, "t", k, 97).collect()[0].value == sorted(vals)[k - 1]
+    assert lc.kth_smallest(df, "t", 301, 97).count() == 0
+    iv = [(s, s + rnd.randint(0, 300)) for s in (rnd.randint(0, 5000) for _ in range(80))]
+    ivdf = spark.createDataFrame(iv, "s bigint, e bigint")
+    delta = {}
+    for s, e in iv:
+        delta[s] = delta.get(s, 0) + 1
+        delta[e] = delta.get(e, 0) - 1
+    exp, run = [], 0
+    for t in sorted(delta):
+        run += delta[t]
+        exp.append((t, delta[t], run))
+    got = [(r.ts_ms, r.delta, r.active) for r in lc.active_jobs(ivdf, "s", "e", 250).orderBy("ts_ms").collect()]
+    assert got == exp
