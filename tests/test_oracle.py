@@ -57,3 +57,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["partition", "commit_ms", "committed_through", "released"]
     assert df.count() >= 0
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+@pytest.mark.parametrize("name", ["offset_assign", "log_parse", "log_first_last"])
+def test_session_time_zone_does_not_matter(spark, con, name):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF)
+        s = _digest(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    res = con.execute(E.oracle_sql()[name])
+    assert s == _digest([c[0] for c in res.description], res.fetchall())
