@@ -8,8 +8,10 @@ private folder created here when the setting is missing.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +68,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application: a cluster's
+    workers do not see the driver's folders."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(here)
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-zip-"), "tidemark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, top))
+    sc.addPyFile(path)
+    sc._tidemark_shipped = True
