@@ -155,7 +155,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             tree = _tree(data, width, k)
             for i, v in qs:
                 if len(v) == width:
-                    out += [(i, j, int(s)) for s, j in tree.search(np.array(v, dtype=np.int64), i, k)]
+                    out += [(i, j, int(s)) for s, j in tree.search(np.array(v or [0], dtype=np.int64), i, k)]
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ([], [], []))], names=["query_id", "vec_id", "score"])
 
     T.bounded_batches(rows.sparkSession)
@@ -169,11 +169,10 @@ def _tree(data: pa.Table, width: int, k: int) -> MTree:
     at, flat = column.offsets.to_numpy(), column.values.to_numpy()
     ids = data.column("id").to_numpy()
     right = np.flatnonzero(np.diff(at) == width)
-    x = flat[at[right][:, None] + np.arange(width)] if width else np.zeros((len(right), 0), np.int64)
-    if not len(right):
-        return MTree(np.zeros((0, max(1, width)), np.int64), [])
-    order = np.lexsort((ids[right], *x.T[::-1])) if width else np.argsort(ids[right])
+    x = flat[at[right][:, None] + np.arange(width)] if width else np.zeros((len(right), 1), np.int64)
+    order = np.lexsort((ids[right], *x.T[::-1]))
     x, ids = x[order], ids[right][order]
+    if not len(x):
+        return MTree(x, [])
     first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]).any(axis=1)]))
-    members = np.split(ids, first[1:])
-    return MTree(x[first] if width else np.zeros((1, 1), np.int64), [m[:k + 1].tolist() for m in members])
+    return MTree(x[first], [m[:k + 1].tolist() for m in np.split(ids, first[1:])])
