@@ -13,13 +13,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from ..session import scratch_path, ship_package
 
-GROUP_BYTES = 4 << 20
-BATCH_ROWS = 2000
-BATCH_BYTES = 16 << 20
+GROUP_BYTES = 1 << 20
+BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
+BROADCAST_IDS = 500_000
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -48,6 +50,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def semi_join(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``df`` whose ``id_col`` is among the one column of ``ids`` (null
+    equals null).  Up to ``BROADCAST_IDS`` ids are sent to the tasks, so the rows
+    stay where they are; more are joined by a shuffle."""
+    (name,) = ids.columns
+    few = ids.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
+
+
 def map_groups(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                schema: StructType | str, text: str = "text",
                setup: Callable[[], None] | None = None) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from . import _text as T
 
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 300_000
 
 
 def default_path() -> str:

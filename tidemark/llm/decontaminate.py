@@ -198,27 +198,39 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col:
     """One row per document: its id (with ``carry`` all its columns, under
     ``doc``), ``n_words``, ``hits`` (word intervals, end exclusive, merged) and
     ``items`` (ids of items with occurring windows, as sorted strings)."""
+    rows, text_at, last = _passes(docs, items, window, docs.columns if carry else [id_col, text_col], text_col, item_id_col, item_text_col)
+    rows = _pass(rows, last, text_at, rows.schema)
+    return rows if carry else rows.select(F.col("doc")[id_col].alias(id_col), "n_words", "hits", "items")
+
+
+def _passes(docs: DataFrame, items: DataFrame, window: int, names: list[str], text_col: str, item_id_col: str, item_text_col: str):
+    """All passes but the last, the text's place in ``doc``, and the last pass's automaton."""
     sc = docs.sparkSession.sparkContext
-    names = docs.columns if carry else [id_col, text_col]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"))
     rows = rows.select("doc", F.lit(0).cast("bigint").alias("n_words"),
                        F.expr(f"cast(array() as {_FOUND})").alias("hits"),
                        F.expr("cast(array() as array<string>)").alias("items"))
-    first = True
+    text_at, automaton = names.index(text_col), None
     for block in _blocks(items, item_id_col, item_text_col):
-        rows = rows if first else T.kept(rows, "items-pass")
-        rows = _pass(rows, sc.broadcast(SuffixAutomaton(block, window)), names.index(text_col))
-        first = False
-    return rows if carry else rows.select(F.col("doc")[id_col].alias(id_col), "n_words", "hits", "items")
+        if automaton is not None:
+            rows = T.kept(_pass(rows, automaton, text_at, rows.schema), "items-pass")
+        automaton = sc.broadcast(SuffixAutomaton(block, window))
+    return rows, text_at, automaton
 
 
-def _pass(rows: DataFrame, automaton, text_at: int) -> DataFrame:
+def _pass(rows: DataFrame, automaton, text_at: int, schema: StructType, finish=None) -> DataFrame:
+    """Find one block's items; ``finish`` makes the result of the documents, their
+    numbers of words, hits and items."""
     hit_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    names = rows.columns
+
+    def plain(doc, counts, hits, items):
+        return pa.RecordBatch.from_arrays([doc, pa.array(counts, pa.int64()), pa.array(hits, hit_type), pa.array(items, pa.list_(pa.string()))], names=names)
 
     def fn(batches):
         for batch in batches:
             doc = batch.column(0)
-            flatrow = pa.RecordBatch.from_arrays([doc.field(text_at), *batch.columns], names=["text", *batch.schema.names])
+            flatrow = pa.RecordBatch.from_arrays([doc.field(text_at), *batch.columns], names=["text", *names])
             for part in T.slices(flatrow, "text"):
                 counts, found = automaton.value.find(T.raw(part.column(0)))
                 hits, items = part.column(3).to_pylist(), part.column(4).to_pylist()
@@ -226,12 +238,12 @@ def _pass(rows: DataFrame, automaton, text_at: int) -> DataFrame:
                     old = [(x["start"], x["end"]) for x in hits[r]]
                     hits[r] = [{"start": a, "end": b} for a, b in _merged(old + spans)]
                     items[r] = sorted({*items[r], *named})
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(1), pa.array(counts, pa.int64()), pa.array(hits, hit_type), pa.array(items, pa.list_(pa.string()))],
-                    names=batch.schema.names)
+                out = (finish or plain)(part.column(1), counts, hits, items)
+                if out.num_rows:
+                    yield out
 
     T.bounded_batches(rows.sparkSession)
-    return rows.mapInArrow(fn, rows.schema)
+    return rows.mapInArrow(fn, schema)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -245,34 +257,33 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.5,
-                  text_col: str = "text", length_col: str | None = "n_chars", **cols: str) -> DataFrame:
+                  text_col: str = "text", length_col: str | None = "n_chars", item_id_col: str = "item_id",
+                  item_text_col: str = "text") -> DataFrame:
     """The documents without the hit stretches of their text; documents of whose
     words more than ``max_coverage`` are hit go.  All columns stay; ``length_col``
     follows the new text."""
-    found = find_items(docs, items, window, text_col=text_col, carry=True, **cols)
-    covered = F.aggregate("hits", F.lit(0), lambda s, x: s + x["end"] - x["start"])
-    found = found.where(covered <= F.col("n_words") * F.lit(float(max_coverage)))
-    rows = found.select("doc.*", F.col("hits").alias("__hits"))
     names = docs.columns
+    rows, text_at, last = _passes(docs, items, window, names, text_col, item_id_col, item_text_col)
     count = length_col if length_col in names else None
 
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        hits = batch.column(batch.num_columns - 1).to_pylist()
-        kept = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1]))
-        changed = [i for i, h in enumerate(hits) if h]
-        if not changed:
-            return kept
-        col = kept.column(names.index(text_col))
-        new, texts = col.to_pylist(), T.raw(col)
-        for r in changed:
-            buf, _ = T.flat([texts[r]])
-            starts, ends = T.spans(buf, WORD)
-            out, at = [], 0
-            for h in hits[r]:
-                out.append(texts[r][at:int(starts[h["start"]])])
-                at = int(ends[h["end"] - 1])
-            new[r] = b"".join([*out, texts[r][at:]]).decode()
-        return replaced(kept, names, {text_col: new} | ({count: lengths(kept, names.index(count), changed, new)} if count else {}))
-
-    schema = StructType(docs.schema.fields)
-    return T.map_groups(rows, fn, schema, text_col)
+    def cut(doc, counts, hits, _):
+        batch = pa.RecordBatch.from_struct_array(doc)
+        covered = np.array([sum(h["end"] - h["start"] for h in x) for x in hits])
+        stay = covered <= counts * max_coverage
+        changed = [i for i, h in enumerate(hits) if h and stay[i]]
+        if changed:
+            col = batch.column(text_at)
+            new, texts = col.to_pylist(), T.raw(col)
+            for r in changed:
+                buf, _ = T.flat([texts[r]])
+                starts, ends = T.spans(buf, WORD)
+                out, at = [], 0
+                for h in hits[r]:
+                    out.append(texts[r][at:int(starts[h["start"]])])
+                    at = int(ends[h["end"] - 1])
+                new[r] = b"".join([*out, texts[r][at:]]).decode()
+            more = {count: lengths(batch, names.index(count), changed, new)} if count else {}
+            batch = replaced(batch, names, {text_col: new} | more)
+        return batch.filter(pa.array(stay))
+
+    return _pass(rows, last, text_at, docs.schema, cut)

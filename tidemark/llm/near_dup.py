@@ -236,8 +236,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _groups(docs: DataFrame, post: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    needed = post.select(F.col("rep").alias("__rep")).distinct()
-    source = docs.select(id_col, text_col).join(needed, F.col(id_col) == F.col("__rep"), "left_semi")
+    source = T.semi_join(docs.select(id_col, text_col), post.select(F.col("rep").alias("__rep")).distinct(), id_col)
     sets = T.kept(shingle_table(source, id_col, text_col), "sets")
     found = candidates(post)
     best = found.groupBy("b").agg(F.max(F.struct("same", (-F.col("a")).alias("na"))).alias("x")).select((-F.col("x.na")).alias("a"), "b")
@@ -257,6 +256,11 @@ def _grouped(post: DataFrame, groups: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, one of each group (the smallest id; of its repeated rows one)."""
-    decided = near_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("__id")).distinct()
-    chosen = docs.join(decided, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    return chosen.dropDuplicates([id_col])
+    decided = T.kept(near_duplicates(docs, id_col, text_col).where("kept").groupBy(F.col(id_col).alias("__id")).agg(
+        F.count("*").alias("__rows")), "decided")
+    chosen = T.semi_join(docs, decided.select("__id"), id_col)
+    repeated = decided.where("__rows > 1").select("__id")
+    if repeated.isEmpty():
+        return chosen
+    twice = T.semi_join(chosen, repeated, id_col).dropDuplicates([id_col])
+    return T.semi_join(docs, decided.where("__rows = 1").select("__id"), id_col).unionByName(twice)
