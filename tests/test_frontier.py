@@ -62,10 +62,28 @@ def test_tracker_cases(spark, bucket):
 def test_tracker_snapshot_lists(spark):
     records, base, comps, outcomes = _frames(spark, CASES)
     snap = fr.frontier_snapshot(outcomes, base, 2)
-    rows = {r.partition: r for r in fr.tracker_snapshot(outcomes, snap, 20, 2).collect()}
-    assert (rows[1].in_flight_offsets, rows[1].completed_offsets, rows[1].pending) == ("201", "202,203", 3)
-    assert (rows[3].in_flight_offsets, rows[3].completed_offsets, rows[3].pending) == ("402", "403", 2)
-    assert rows[0].pending == 0 and rows[0].in_flight_offsets == ""
+    rows = [tuple(r) for r in fr.tracker_snapshot(outcomes, snap, 2).collect()]
+    listed = {p: sorted((s, k, o) for q, _, _, _, _, s, k, o in rows if q == p and s) for p in (0, 1, 3)}
+    assert listed == {0: [], 1: [("completed", 1, 202), ("completed", 2, 203), ("in_flight", 1, 201)],
+                      3: [("completed", 1, 403), ("in_flight", 1, 402)]}
+    assert [r[2:] for r in rows if r[0] == 0] == [(0, 0, 0, None, None, None)]
+
+
+def test_a_hole_is_the_blocker(spark):
+    out = spark.createDataFrame([(0, 0, 10), (0, 1, 11), (0, 3, 12), (0, 4, 13)], "partition int, offset bigint, done_ms bigint")
+    got = [tuple(r)[:4] for r in fr.blocked_by_gap(out, None, 2).collect()]
+    assert got == [(0, 2, None, 2)]
+
+
+def test_same_ms_double_unseen_partition_and_repeated_commits(spark):
+    rec = spark.createDataFrame([(0, 0), (0, 1)], "partition int, offset bigint")
+    base = spark.createDataFrame([(0, -1)], "partition int, base bigint")
+    comps = spark.createDataFrame([(0, 1, 5), (0, 1, 5), (9, 3, 5)], "partition int, offset bigint, done_ms bigint")
+    got = sorted(r["class"] for r in fr.completion_classes(comps, rec, base, 2).collect())
+    assert got == ["error_double", "error_not_in_flight", "ok"]
+    assert [(r.partition, r.offset) for r in fr.untracked_completions(comps, rec, base).collect()] == [(9, 3)]
+    twice = spark.createDataFrame([(0, 0), (0, -1)], "partition int, committed_through bigint")
+    assert [(r.partition, r.offset) for r in fr.above_committed(rec, twice).collect()] == [(0, 1)]
 
 
 def test_completion_classes_cases(spark):

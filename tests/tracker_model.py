@@ -1,52 +1,28 @@
-"""A step-by-step single-tracker model used as the brute-force reference.
+"""Brute force for one log partition: what is committed by a time follows from
+the set of offsets completed by then, worked out anew for every completion."""
 
-Events are applied in time order: ``fetch`` registers an offset in flight,
-``done`` completes it.  The frontier advances only over a contiguous run of
-completed offsets starting at ``last + 1``.
-"""
 
+class Result:
+    def __init__(self, last, in_flight, completed):
+        self.last, self.in_flight, self.completed = last, in_flight, completed
 
-class StepTracker:
-    def __init__(self, last_committed):
-        self.last = last_committed
-        self.in_flight = set()
-        self.completed = set()
 
-    def fetch(self, offset):
-        if offset <= self.last or offset in self.completed:
-            return
-        self.in_flight.add(offset)
-
-    def done(self, offset):
-        """Returns (class, advanced_through or None)."""
-        if offset <= self.last:
-            self.in_flight.discard(offset)
-            self.completed.discard(offset)
-            return "noop_committed", None
-        if offset not in self.in_flight:
-            if offset in self.completed:
-                return "error_double", None
-            return "error_not_in_flight", None
-        self.in_flight.discard(offset)
-        self.completed.add(offset)
-        before = self.last
-        while self.last + 1 in self.completed:
-            self.completed.discard(self.last + 1)
-            self.last += 1
-        return "ok", (self.last if self.last != before else None)
+def _prefix_end(base, finished):
+    """The largest offset up to which everything above ``base`` is finished."""
+    return next(o for o in range(base, base + len(finished) + 1) if o + 1 not in finished)
 
 
 def run(base, fetched, completions):
-    """``completions``: list of (time, offset), applied in time order after
-    every offset in ``fetched`` was fetched.  Returns (advances, classes,
-    tracker) with advances = [(time, through)]."""
-    t = StepTracker(base)
-    for o in fetched:
-        t.fetch(o)
-    advances, classes = [], []
-    for time, off in sorted(completions):
-        cls, through = t.done(off)
-        classes.append((off, time, cls))
-        if through is not None:
-            advances.append((time, through))
-    return advances, classes, t
+    """``completions``: (time, offset) pairs; everything was fetched before.
+    Returns (advances, classes, result): advances are (time, through)."""
+    order = sorted(completions)
+    tracked = {o for o in fetched if o > base}
+    ends = [_prefix_end(base, tracked & {o for _, o in order[:k]}) for k in range(len(order) + 1)]
+    seen_before = [o in {x for _, x in order[:k]} for k, (_, o) in enumerate(order)]
+    classes = [(o, t, "noop_committed" if o <= ends[k] else
+                "error_not_in_flight" if o not in tracked else
+                "error_double" if seen_before[k] else "ok") for k, (t, o) in enumerate(order)]
+    advances = [(order[k][0], b) for k, (a, b) in enumerate(zip(ends, ends[1:])) if a != b]
+    finished = tracked & {o for _, o in order}
+    last = ends[-1]
+    return advances, classes, Result(last, {o for o in tracked - finished if o > last}, {o for o in finished if o > last})

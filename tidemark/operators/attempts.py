@@ -103,9 +103,10 @@ def exhausted(outcome_rows: DataFrame) -> DataFrame:
 
 
 def is_failure(error) -> "F.Column":
-    """An error counts unless it is absent or a cancellation."""
+    """An error counts unless it is absent or a cancellation: the fixed text
+    ``context canceled``, by itself or as the last cause of a wrapped error."""
     error = F.col(error) if isinstance(error, str) else error
-    return error.isNotNull() & ~error.contains("canceled")
+    return error.isNotNull() & (error != "context canceled") & ~error.endswith(": context canceled")
 
 
 def failed_attempt_counter(attempt_rows: DataFrame, bucket_size: int) -> DataFrame:

@@ -127,16 +127,18 @@ def log_clock(line) -> Column:
     return F.when(has, F.substring(line, 12, 8)).otherwise(F.lit(NO_TIME))
 
 
+_UNIT_MS = {"h": 3_600_000.0, "m": 60_000.0, "s": 1_000.0, "ms": 1.0, "µs": 1e-3, "us": 1e-3, "ns": 1e-6}
+
+
 def duration_ms(text) -> Column:
-    """Milliseconds of Go duration text such as ``100ms``, ``1.5s``, ``1m2s``."""
+    """Milliseconds of duration text such as ``100ms``, ``1.5s``, ``1h2m3s`` or
+    ``250µs`` (rounded); NULL if it is not one."""
     text = F.col(text) if isinstance(text, str) else text
-    mins = F.regexp_extract(text, r"^([0-9]+)m", 1)
-    secs = F.regexp_extract(text, r"([0-9.]+)s$", 1)
-    in_ms = F.regexp_extract(text, r"^([0-9.]+)ms$", 1)
-    return (F.when(in_ms != "", F.round(in_ms.cast("double")))
-            .otherwise(F.coalesce(F.when(mins != "", mins.cast("double") * 60000), F.lit(0.0))
-                       + F.coalesce(F.round(F.when(secs != "", secs.cast("double") * 1000)), F.lit(0.0)))
-            ).cast("bigint")
+    term = r"([0-9]+(?:\.[0-9]+)?)(h|ms|m|s|µs|us|ns)"
+    unit = F.create_map(*[F.lit(x) for kv in _UNIT_MS.items() for x in kv])
+    terms = F.arrays_zip(F.regexp_extract_all(text, F.lit(term), 1).alias("n"), F.regexp_extract_all(text, F.lit(term), 2).alias("u"))
+    total = F.aggregate(terms, F.lit(0.0), lambda s, x: s + x["n"].cast("double") * F.element_at(unit, x["u"]))
+    return F.when(text.rlike(rf"^(?:{term})+$"), F.round(total)).cast("bigint")
 
 
 def _num(line: Column, rx: str) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import DEFAULT_BUCKET_SIZE, check_positive
-from .prefix import first_k, running_aggs
+from .prefix import row_index, running_aggs
 
 INF = (1 << 63) - 1
 
@@ -121,17 +121,24 @@ def blocked_by_gap(outcome_rows: DataFrame, base: DataFrame | None = None,
     absence, ``commit_ms`` NULL) held back the done records above it.
     (partition, blocker_offset, commit_ms, blocked, max_blocked_ms, total_blocked_ms)
     """
+    if base is None:
+        base = baseline(outcome_rows)
     ct = commit_times(outcome_rows, base, bucket_size)
     done = F.col("done_ms").isNotNull()
     waited = done & (F.col("commit_ms").isNull() | (F.col("done_ms") < F.col("commit_ms")))
     wait_ms = F.when(done, F.col("commit_ms") - F.col("done_ms"))
     grouped = (ct.groupBy("partition", "commit_ms")
-               .agg(F.min("offset").alias("first_offset"),
+               .agg(F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
                     F.count_if(waited).alias("blocked"),
                     F.max(wait_ms).alias("max_blocked_ms"),
-                    F.sum(wait_ms).cast("bigint").alias("total_blocked_ms"))
-               .where(F.col("blocked") > 0))
-    return grouped.select("partition", F.col("first_offset").alias("blocker_offset"),
+                    F.sum(wait_ms).cast("bigint").alias("total_blocked_ms")))
+    # what is still blocked waits for the offset after the last released one,
+    # which may be absent
+    last = grouped.where(F.col("commit_ms").isNotNull()).groupBy("partition").agg(F.max("last_offset").alias("_last"))
+    grouped = (grouped.where(F.col("blocked") > 0).join(last, "partition", "left")
+               .join(F.broadcast(base.select("partition", "base")), "partition", "left"))
+    blocker = F.when(F.col("commit_ms").isNull(), F.coalesce("_last", "base") + 1).otherwise(F.col("first_offset"))
+    return grouped.select("partition", blocker.cast("bigint").alias("blocker_offset"),
                           "commit_ms", "blocked", "max_blocked_ms", "total_blocked_ms")
 
 
@@ -160,13 +167,14 @@ def pending_count(outcome_rows: DataFrame, snapshot: DataFrame) -> DataFrame:
                     .cast("bigint").alias("pending")))
 
 
-def tracker_snapshot(outcome_rows: DataFrame, snapshot: DataFrame, list_cap: int = 20,
+def tracker_snapshot(outcome_rows: DataFrame, snapshot: DataFrame,
                      bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
-    """A4 + O1: pending counts plus the lowest ``list_cap`` offsets of each set.
+    """A4 + O1: every tracked offset beyond the frontier, one row each.
 
-    Counts are exact; the listed offsets are the smallest ``list_cap`` ones,
-    ascending, as comma-joined strings (a bounded first-k, never a full
-    per-partition collect).  Counts and lists come from one filtered set.
+    (partition, last_committed, pending, in_flight, completed, set, rank,
+    offset): the counts of the partition, and the offset's set and its rank in
+    it, ascending from 1.  A partition with nothing pending has one row with no
+    set, rank and offset.
     """
     front = snapshot.select("partition", "last_committed")
     above = (outcome_rows.join(F.broadcast(front), "partition")
@@ -174,22 +182,9 @@ def tracker_snapshot(outcome_rows: DataFrame, snapshot: DataFrame, list_cap: int
              .select("partition", "offset",
                      F.when(F.col("done_ms").isNull(), F.lit("in_flight")).otherwise(F.lit("completed"))
                      .alias("set")))
-    counts = above.groupBy("partition").agg(
-        F.count_if(F.col("set") == "in_flight").alias("in_flight"),
-        F.count_if(F.col("set") == "completed").alias("completed"))
-    low = first_k(above, ["partition", "set"], "offset", _bucket("offset", bucket_size), list_cap)
-    lists = (low.groupBy("partition")
-             .agg(F.array_sort(F.collect_list(F.when(F.col("set") == "in_flight", F.col("offset"))))
-                  .alias("in_flight_list"),
-                  F.array_sort(F.collect_list(F.when(F.col("set") == "completed", F.col("offset"))))
-                  .alias("completed_list")))
-    infl = F.coalesce("in_flight", F.lit(0)).cast("bigint")
-    comp = F.coalesce("completed", F.lit(0)).cast("bigint")
-    return (front.join(counts, "partition", "left").join(lists, "partition", "left")
-            .select("partition", "last_committed", (infl + comp).alias("pending"),
-                    infl.alias("in_flight"), comp.alias("completed"),
-                    F.coalesce(F.concat_ws(",", "in_flight_list"), F.lit("")).alias("in_flight_offsets"),
-                    F.coalesce(F.concat_ws(",", "completed_list"), F.lit("")).alias("completed_offsets")))
+    ranked = row_index(above, ["partition", "set"], ["offset"], _bucket("offset", bucket_size), "rank", start=1)
+    return pending_count(outcome_rows, snapshot).join(ranked, "partition", "left").select(
+        "partition", "last_committed", "pending", "in_flight", "completed", "set", "rank", "offset")
 
 
 def final_commit(commits: DataFrame) -> DataFrame:
@@ -212,15 +207,16 @@ def unknown_commits(commits: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def untracked_completions(completions: DataFrame, records: DataFrame, base: DataFrame) -> DataFrame:
-    """Completions above the baseline of offsets never marked in flight."""
-    above = (completions.join(F.broadcast(base.select("partition", "base")), "partition")
-             .where(F.col("offset") > F.col("base")).drop("base"))
+    """Completions above the baseline of offsets never marked in flight, also
+    of partitions that have no record and so no baseline."""
+    above = (completions.join(F.broadcast(base.select("partition", "base")), "partition", "left")
+             .where(F.col("base").isNull() | (F.col("offset") > F.col("base"))).drop("base"))
     return above.join(records.select("partition", "offset"), ["partition", "offset"], "left_anti")
 
 
 def above_committed(rows: DataFrame, committed: DataFrame, through: str = "committed_through") -> DataFrame:
-    """Keep rows strictly beyond the partition's committed offset."""
-    c = committed.select("partition", F.col(through).alias("_through"))
+    """Keep rows strictly beyond the partition's highest committed offset."""
+    c = committed.groupBy("partition").agg(F.max(through).alias("_through"))
     return (rows.join(F.broadcast(c), "partition", "left")
             .where(F.col("_through").isNull() | (F.col("offset") > F.col("_through")))
             .drop("_through"))
@@ -231,6 +227,7 @@ def completion_classes(completions: DataFrame, records: DataFrame, base: DataFra
     """Classify every completion event like a single tracker would.
 
     ``completions``: (partition, offset, done_ms), several per offset allowed.
+    Of completions of one offset in the same millisecond one is the first.
     Classes: ``ok`` (first completion), ``noop_committed`` (at/below the
     baseline, or after the offset's commit), ``error_not_in_flight`` (never
     fetched), ``error_double`` (again before the offset was committed).
@@ -247,11 +244,13 @@ def completion_classes(completions: DataFrame, records: DataFrame, base: DataFra
     # whether a completion's offset was ever fetched
     ev = (completions.join(F.broadcast(base.select("partition", "base")), "partition", "left")
           .join(ct.withColumn("_tracked", F.lit(True)), ["partition", "offset"], "left"))
+    once = Window.partitionBy("partition", "offset").orderBy("done_ms")
+    ev = ev.withColumn("_nth", F.row_number().over(once))
+    after = (F.col("done_ms") > F.col("commit_ms")) | ((F.col("_nth") > 1) & (F.col("done_ms") == F.col("commit_ms")))
     cls = (F.when(F.col("offset") <= F.col("base"), F.lit("noop_committed"))
            .when(F.col("_tracked").isNull(), F.lit("error_not_in_flight"))
-           .when(F.col("done_ms") == F.col("first_ms"), F.lit("ok"))
-           .when(F.col("commit_ms").isNotNull() & (F.col("done_ms") > F.col("commit_ms")),
-                 F.lit("noop_committed"))
+           .when(F.col("_nth") == 1, F.lit("ok"))
+           .when(F.col("commit_ms").isNotNull() & after, F.lit("noop_committed"))
            .otherwise(F.lit("error_double")))
     return ev.select("partition", "offset", "done_ms", cls.alias("class"))
 

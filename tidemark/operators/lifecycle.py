@@ -90,17 +90,15 @@ def resume_scan(records: DataFrame, committed: DataFrame) -> DataFrame:
     """Per partition, where a restarted reader starts and what it reads.
 
     Starts after the last commit; from the earliest offset when the partition
-    never committed.
+    never committed.  A partition that is read to its end has ``to_read`` 0.
     """
-    left = fr.above_committed(records, committed)
-    c = committed.select("partition", "committed_through")
-    agg = left.groupBy("partition").agg(F.min("offset").alias("first_offset"),
-                                        F.max("offset").alias("last_offset"),
-                                        F.count(F.lit(1)).alias("to_read"))
-    return (agg.join(F.broadcast(c), "partition", "left")
-            .select("partition",
-                    F.coalesce(F.col("committed_through") + 1, F.col("first_offset")).alias("start_offset"),
-                    "last_offset", "to_read"))
+    c = committed.groupBy("partition").agg(F.max("committed_through").alias("committed_through"))
+    rows = records.select("partition", "offset").join(F.broadcast(c), "partition", "left")
+    unread = F.col("committed_through").isNull() | (F.col("offset") > F.col("committed_through"))
+    agg = rows.groupBy("partition").agg(F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+                                        F.count_if(unread).alias("to_read"), F.max("committed_through").alias("through"))
+    return agg.select("partition", F.coalesce(F.col("through") + 1, F.col("first_offset")).alias("start_offset"),
+                      "last_offset", "to_read")
 
 
 def starting_offsets_json(resume: DataFrame, topic: str) -> Column:

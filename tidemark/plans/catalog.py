@@ -95,7 +95,7 @@ def _pending_count(spark, d):
 
 def _tracker_snapshot(spark, d):
     r = _run(spark, d)
-    return fr.tracker_snapshot(r.outcomes, r.snapshot, 20, _M.B)
+    return fr.tracker_snapshot(r.outcomes, r.snapshot, _M.B)
 
 
 def _final_commit(spark, d):
@@ -270,7 +270,6 @@ def _lineitem_pending(spark, d):
 # -- streaming ---------------------------------------------------------------------
 STREAM_FILES = 8
 STREAM_FILES_PER_TRIGGER = 2
-STREAM_TIMEOUT_S = 900
 
 
 def _stream_frontier(spark, d):
@@ -283,7 +282,7 @@ def _stream_frontier(spark, d):
               .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(f"{work}/completions"))
     adv = streaming_frontier(stream, r.base)
     sp.run_available(adv.writeStream.foreachBatch(sp.commit_sink(f"{work}/commits"))
-                     .option("checkpointLocation", f"{work}/ckpt"), STREAM_TIMEOUT_S)
+                     .option("checkpointLocation", f"{work}/ckpt"))
     return sp.read_commits(spark, f"{work}/commits")
 
 
@@ -295,7 +294,7 @@ def _stream_pipeline(spark, d):
     sp.write_log(log, f"{work}/log", STREAM_FILES)
     policy = _M.policy
     return sp.pipeline(spark, f"{work}/log", work, lambda batch: att.outcomes(batch, policy), r.base,
-                       STREAM_FILES_PER_TRIGGER, STREAM_TIMEOUT_S,
+                       STREAM_FILES_PER_TRIGGER, None,
                        sp.RECORD_SCHEMA + ", failures int, latency_ms bigint")
 
 # -- handlers ----------------------------------------------------------------------

@@ -234,17 +234,15 @@ def queries() -> dict[str, str]:
             GROUP BY 1, 2"""),
         "tracker_snapshot": q("""
             , above AS (
-              SELECT o."partition", o."offset", o.done_ms IS NULL AS infl,
-                     row_number() OVER (PARTITION BY o."partition", o.done_ms IS NULL ORDER BY o."offset") AS rn
+              SELECT o."partition", o."offset", CASE WHEN o.done_ms IS NULL THEN 'in_flight' ELSE 'completed' END AS "set"
               FROM outcomes o JOIN snap s ON o."partition" = s."partition" WHERE o."offset" > s.last_committed)
             SELECT s."partition", s.last_committed,
-                   CAST(count(a."offset") AS BIGINT) AS pending,
-                   CAST(count(a."offset") FILTER (WHERE a.infl) AS BIGINT) AS in_flight,
-                   CAST(count(a."offset") FILTER (WHERE NOT a.infl) AS BIGINT) AS completed,
-                   COALESCE(string_agg(CASE WHEN a.infl AND a.rn <= 20 THEN CAST(a."offset" AS VARCHAR) END, ',' ORDER BY a."offset"), '') AS in_flight_offsets,
-                   COALESCE(string_agg(CASE WHEN NOT a.infl AND a.rn <= 20 THEN CAST(a."offset" AS VARCHAR) END, ',' ORDER BY a."offset"), '') AS completed_offsets
-            FROM snap s LEFT JOIN above a ON a."partition" = s."partition"
-            GROUP BY 1, 2""").replace(")\n, above", "),\nabove", 1),
+                   count(a."offset") OVER (PARTITION BY s."partition") AS pending,
+                   count(a."offset") FILTER (WHERE a."set" = 'in_flight') OVER (PARTITION BY s."partition") AS in_flight,
+                   count(a."offset") FILTER (WHERE a."set" = 'completed') OVER (PARTITION BY s."partition") AS completed,
+                   a."set", CASE WHEN a."offset" IS NOT NULL THEN
+                     row_number() OVER (PARTITION BY s."partition", a."set" ORDER BY a."offset") END AS rank, a."offset"
+            FROM snap s LEFT JOIN above a ON a."partition" = s."partition" """).replace(")\n, above", "),\nabove", 1),
         "final_commit": q("""SELECT * FROM final_commit"""),
         "commit_record_lookup": q("""
             SELECT c."partition", c.committed_through, c.commit_ms, c.ok, r.key, r.value

@@ -46,11 +46,9 @@ class FrontierProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)[["offset", "done_ms"]]
-        if self.front.exists():
-            frontier, carry = self.front.get()
-        else:
-            frontier, carry = int(batch["offset"].min()) - 1, _NO_CARRY
-            self.front.update((frontier, carry))
+        if not self.front.exists():
+            raise ValueError(f"no base for log partition {key[0]}")
+        frontier, carry = self.front.get()
         batch = batch[batch["offset"] > frontier]
         if batch.empty:
             return
@@ -86,16 +84,17 @@ class FrontierProcessor(StatefulProcessor):
         pass
 
 
-def streaming_frontier(completions: DataFrame, base: DataFrame | None = None) -> DataFrame:
+def streaming_frontier(completions: DataFrame, base: DataFrame) -> DataFrame:
     """Frontier advances of a completion stream (partition, offset, done_ms).
 
     Output rows (partition, commit_ms, committed_through, released) per micro
-    batch; ``final_timeline`` folds them into the W1 table.
+    batch; ``final_timeline`` folds them into the W1 table.  ``base`` has the last
+    committed offset of every log partition; one without it is an error.
     """
     spark = completions.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE_PROVIDER)
     grouped = completions.select("partition", "offset", "done_ms").groupBy("partition")
-    init = base.select("partition", "base").groupBy("partition") if base is not None else None
+    init = base.select("partition", "base").groupBy("partition")
     return grouped.transformWithStateInPandas(
         statefulProcessor=FrontierProcessor(), outputStructType=OUTPUT_SCHEMA,
         outputMode="Append", timeMode="None", initialState=init)

@@ -84,10 +84,10 @@ def commit_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def run_available(query_builder, timeout_s: float) -> str:
-    """Consume everything available, then stop; stop anyway on timeout."""
+def run_available(query_builder, timeout_s: float | None = None) -> str:
+    """Consume everything available, then stop; with a timeout, stop then anyway."""
     q: StreamingQuery = query_builder.trigger(availableNow=True).start()
-    finished = q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination(), True)[1]
     if not finished:
         q.stop()
         return "timeout"
@@ -98,7 +98,7 @@ def run_available(query_builder, timeout_s: float) -> str:
 
 def pipeline(spark: SparkSession, log_path: str, work_dir: str,
              handle: Callable[[DataFrame], DataFrame], base: DataFrame | None,
-             max_files_per_trigger: int = 1, timeout_s: float = 600,
+             max_files_per_trigger: int = 1, timeout_s: float | None = None,
              schema: str = RECORD_SCHEMA) -> DataFrame:
     """T4: records -> handler -> outcomes table -> streaming frontier -> commits.
 
@@ -134,9 +134,12 @@ def _handled_sink(handle: Callable[[DataFrame], DataFrame], path: str) -> Callab
 
 
 def read_commits(spark: SparkSession, path: str) -> DataFrame:
-    """The commit table folded into the W1 timeline (empty if no batch wrote)."""
-    try:
+    """The commit table folded into the W1 timeline (empty if no batch wrote, so
+    that there is no folder; any other failure to read is an error)."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return final_timeline(spark.read.parquet(path).drop("batch_id", "ok"))
-    except Exception:  # noqa: BLE001 - no batch produced output, so no folder
+    else:
         return spark.createDataFrame([], "partition int, commit_ms bigint, committed_through bigint, "
                                          "released bigint")
