@@ -24,7 +24,7 @@ different groups (a pair only under its first common value), confirms them on
 the full sets, and returns links that join groups, never more than its posts.
 
 At the similarity 0.85 a pair has fewer than 43 of 64 equal coordinates with a
-probability of about 1e-4, at 0.87 of 6e-6, less above; that is the only way to
+probability of about 1e-4, at 0.87 of 1e-5, less above; that is the only way to
 miss a link.
 
 Edge cases: null, empty or blank texts have an empty set and are linked with
