@@ -16,10 +16,14 @@ from . import frontier as fr
 from .attempts import CANCELED_ERROR, is_failure
 from .prefix import first_k, running_agg
 
+#: Later than any time, with room for a drain timeout.
+NEVER_MS = 1 << 62
 
-def drain_split(outcome_rows: DataFrame, fetched: DataFrame | None, stop_ms: int,
+
+def drain_split(outcome_rows: DataFrame, fetched: DataFrame | None, stop_ms: int | Column,
                 drain_timeout_ms: int) -> DataFrame:
-    """where each record stands after a shutdown at ``stop_ms``.
+    """where each record stands after a shutdown at ``stop_ms``, a number or
+    a scalar column.
 
     ``split``: ``not_dispatched`` (fetched at or after the stop), ``finished``
     (last try ended by the stop), ``drained`` (ended inside the drain window)
@@ -29,12 +33,13 @@ def drain_split(outcome_rows: DataFrame, fetched: DataFrame | None, stop_ms: int
     ``fetched_ms`` when the outcome rows do not carry it.
     """
     check_non_negative("drain_timeout_ms", drain_timeout_ms)
-    cut = int(stop_ms) + int(drain_timeout_ms)
+    stop = F.lit(stop_ms)
+    cut = stop + F.lit(int(drain_timeout_ms))
     rows = outcome_rows if fetched is None else outcome_rows.join(
         fetched.select("partition", "offset", "fetched_ms"), ["partition", "offset"])
-    split = (F.when(F.col("fetched_ms") >= F.lit(stop_ms), F.lit("not_dispatched"))
-             .when(F.col("end_ms") <= F.lit(stop_ms), F.lit("finished"))
-             .when(F.col("end_ms") <= F.lit(cut), F.lit("drained"))
+    split = (F.when(F.col("fetched_ms") >= stop, F.lit("not_dispatched"))
+             .when(F.col("end_ms") <= stop, F.lit("finished"))
+             .when(F.col("end_ms") <= cut, F.lit("drained"))
              .otherwise(F.lit("unfinished")))
     rows = rows.withColumn("split", split)
     ended = F.col("split").isin("finished", "drained")
@@ -121,6 +126,18 @@ def commit_outcomes(timeline: DataFrame, failing_first: int,
             .select(*cols, F.col("_fail").isNull().alias("ok")))
 
 
+def failing_from(timeline: DataFrame, fail_from_ms: int) -> DataFrame:
+    """Commit log of a timeline when every commit from an instant on fails."""
+    return timeline.select("partition", "committed_through", "commit_ms",
+                           (F.col("commit_ms") < F.lit(int(fail_from_ms))).alias("ok"))
+
+
+def commit_failure_stop(commits: DataFrame) -> Column:
+    """the instant of the first failed commit of any partition, which ends
+    intake, as a scalar; beyond all times where none fails."""
+    return commits.where(~F.col("ok")).agg(F.coalesce(F.min("commit_ms"), F.lit(NEVER_MS))).scalar()
+
+
 def commit_outcome_summary(commits: DataFrame) -> DataFrame:
     """durable vs in-memory frontier and the intake cut-off.
 
@@ -171,11 +188,15 @@ def kth_smallest(values: DataFrame, col: str, k: int, bucket_width: int) -> Data
 
 
 def catch_up(records: DataFrame, outcome_rows: DataFrame, timeout_ms: int,
-             expected: int | None = None, bucket_width: int = 1000) -> DataFrame:
+             expected: int | None = None, bucket_width: int = 1000,
+             interrupt_ms: int | None = None) -> DataFrame:
     """Does the processed count reach ``expected`` within the catch-up window?
 
     The window opens when the producer is done (last record written) and
-    lasts ``timeout_ms``.  ``expected`` defaults to the number of records.
+    lasts ``timeout_ms``, or until ``interrupt_ms`` if that comes first; with a
+    timeout of 0 nothing is waited for.  ``expected`` defaults to the number of
+    records.  ``processed_at_deadline`` counts up to the end of the window.
+    Status: ``caught_up``, ``timeout``, ``interrupted`` or ``not_waited``.
     Global values are scalar subqueries, computed once.  One row:
     (expected, producer_done_ms, deadline_ms, processed_at_deadline,
     caught_up_ms, status).
@@ -183,27 +204,32 @@ def catch_up(records: DataFrame, outcome_rows: DataFrame, timeout_ms: int,
     check_non_negative("timeout_ms", timeout_ms)
     producer_done = records.agg(F.max("fetched_ms")).scalar()
     deadline = producer_done + F.lit(int(timeout_ms))
+    ends = deadline
+    if interrupt_ms is not None:
+        ends = F.least(deadline, F.greatest(F.lit(int(interrupt_ms)), producer_done))
     done = outcome_rows.where(F.col("done_ms").isNotNull()).select("done_ms")
     if expected is None:
         # k = number of records: reached only when every record is done,
         # and then it is the last completion time
         exp = records.agg(F.count(F.lit(1))).scalar()
         summary = done.agg(F.count(F.lit(1)).alias("n_done"), F.max("done_ms").alias("last_done"),
-                           F.count_if(F.col("done_ms") <= deadline).alias("at_deadline"))
+                           F.count_if(F.col("done_ms") <= ends).alias("at_deadline"))
         reach = F.when(F.col("n_done") >= exp, F.col("last_done"))
     else:
         exp = F.lit(int(expected)).cast("bigint")
         kth = kth_smallest(done, "done_ms", int(expected), bucket_width).agg(F.max("value")).scalar()
-        summary = done.agg(F.count_if(F.col("done_ms") <= deadline).alias("at_deadline"))
+        summary = done.agg(F.count_if(F.col("done_ms") <= ends).alias("at_deadline"))
         reach = kth
-    caught = F.when(reach <= deadline, F.greatest(reach, producer_done))
+    waited = F.lit(int(timeout_ms) > 0)
+    caught = F.when(waited & (reach <= ends), F.greatest(reach, producer_done))
     return summary.select(
         exp.cast("bigint").alias("expected"),
         producer_done.alias("producer_done_ms"),
         deadline.alias("deadline_ms"),
         F.col("at_deadline").cast("bigint").alias("processed_at_deadline"),
         caught.alias("caught_up_ms"),
-        F.when(caught.isNotNull(), F.lit("caught_up")).otherwise(F.lit("timeout")).alias("status"))
+        F.when(~waited, F.lit("not_waited")).when(caught.isNotNull(), F.lit("caught_up"))
+        .when(ends < deadline, F.lit("interrupted")).otherwise(F.lit("timeout")).alias("status"))
 
 
 def active_jobs(intervals: DataFrame, start: str, end: str, bucket_ms: int = 60_000) -> DataFrame:

@@ -7,6 +7,7 @@ tables; none samples, caps or filters rows to stay cheap.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,7 +110,7 @@ def _commit_record_lookup(spark, d):
 
 def _unknown_commit(spark, d):
     r = _run(spark, d)
-    return fr.unknown_commits(r.commits, r.records)
+    return fr.unknown_commits(r.stored_positions, r.records)
 
 
 def _untracked_completion(spark, d):
@@ -175,12 +176,20 @@ def _commit_outcome(spark, d):
 
 def _processed_count(spark, d):
     r = _run(spark, d)
-    return lc.processed_count(r.outcomes, r.failing_commits)
+    return lc.processed_count(r.cut_split, r.failing_commits)
+
+
+# Fixed value: records that a caller waits for in the second and third row of catch_up.
+CATCH_UP_EXPECTED = 500
 
 
 def _catch_up(spark, d):
     r = _run(spark, d)
-    return lc.catch_up(r.records, r.outcomes, _M.params.drain_timeout_ms)
+    timeout = _M.params.drain_timeout_ms
+    rows = [lc.catch_up(r.records, r.outcomes, t, expected, interrupt_ms=stop) for t, expected, stop in
+            ((timeout, None, None), (timeout, CATCH_UP_EXPECTED, None), (0, CATCH_UP_EXPECTED, None),
+             (timeout, None, SHUTDOWN_AT_MS))]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def _active_jobs(spark, d):

@@ -26,28 +26,39 @@ from ..operators import attempts as att
 from ..operators import evidence as ev
 from ..operators import frontier as fr
 from ..operators import lifecycle as lc
-from ..params import DEFAULT_BUCKET_SIZE, DeliveryParams, RetryPolicy
+from ..params import DeliveryParams, RetryPolicy
 from ..session import scratch_path
 from ..sources.records import read_table, records_from_events
 
 # Fixed values of the handler model.
-# Failed tries: for events of type 'error', k mod 6 (k = the "k" property);
-# 0 otherwise.  With 3 retries, k mod 6 in (4, 5) exhausts.
+# Failed tries: for events of type 'error', k mod 4 (k = the "k" property), so
+# 3 retries suffice; 0 otherwise.  In one log partition the errors of the last day
+# (from 2024-01-30 00:00:00 UTC) fail k mod 6 tries: 4 and 5 exhaust.
 FAILING_EVENT_TYPE = "error"
-FAILURE_MODULUS = 6
+FAILURE_MODULUS = 4
+LATE_PARTITION, LATE_FROM_MS, LATE_FAILURE_MODULUS = 0, 1706572800000, 6
 # Latency of every try: 1000 ms per unit of k, unless the key has an override.
 LATENCY_MS_PER_K = 1000
 LATENCY_OVERRIDES_MS = {"key-0": 900, "key-3": 50, "key-5": 50}
-# Shutdown instant of phase 1 (2024-01-15 00:00:00 UTC) and the phase-2
-# restart (2024-02-01 00:00:00 UTC).
-SHUTDOWN_AT_MS = 1705276800000
+# Shutdown instant of phase 1 (2024-01-30, in the middle of some tries) and the
+# phase-2 restart (2024-02-01 00:00:00 UTC).
+SHUTDOWN_AT_MS = 1706597329737
 RESTART_AT_MS = 1706745600000
-# Commits that fail first in every partition in the commit-failure model.
-COMMIT_FAILURES = 1
+# Commits fail from this instant on in the commit-failure model
+# (2024-01-20 00:00:00 UTC).
+COMMITS_FAIL_FROM_MS = 1705708800000
 # Redelivered completions: records with k mod 10 = 0 complete a second time
 # this long after the first completion.
 REDELIVERY_MODULUS = 10
 REDELIVERY_DELAY_MS = 1000
+# Wrong completions: of records with k mod 50 = 7 a second one names a partition
+# that has no log, with 8 an offset beyond the log, with 9 it comes in the same
+# millisecond.
+WRONG_MODULUS, NO_LOG, BEYOND_LOG, SAME_MS = 50, 7, 8, 9
+OFFSET_BEYOND = 1 << 40
+# Offsets per bucket over the driver's tables: at least ten buckets in each log
+# partition of the smallest table that is checked.  A long log takes the default.
+BUCKET_SIZE = 256
 # Log order of rendered run logs and the time bucket of their ordered checks.
 LOG_ORDER = ["ts_ms", "kind_rank", "partition", "offset", "attempt"]
 LOG_BUCKET_MS = 60_000
@@ -56,7 +67,7 @@ LOG_BUCKET_MS = 60_000
 @dataclass(frozen=True)
 class Model:
     params: DeliveryParams = field(default_factory=lambda: DeliveryParams(
-        retry=RetryPolicy(3, 100, 1000), bucket_size=DEFAULT_BUCKET_SIZE))
+        retry=RetryPolicy(3, 100, 1000), bucket_size=BUCKET_SIZE))
 
     @property
     def policy(self) -> RetryPolicy:
@@ -73,8 +84,10 @@ class Model:
         """Records with the handler model's ``failures`` and ``latency_ms``."""
         events = read_table(spark, sf_dir, "events")
         r = records_from_events(events, self.params.partitions, self.B)
-        failures = F.when(F.col("event_type") == FAILING_EVENT_TYPE,
-                          F.col("k") % F.lit(FAILURE_MODULUS)).otherwise(F.lit(0))
+        late = (F.col("partition") == LATE_PARTITION) & (F.col("fetched_ms") >= LATE_FROM_MS)
+        failures = (F.when(F.col("event_type") != FAILING_EVENT_TYPE, F.lit(0))
+                    .when(late, F.col("k") % F.lit(LATE_FAILURE_MODULUS))
+                    .otherwise(F.col("k") % F.lit(FAILURE_MODULUS)))
         r = r.withColumn("failures", failures.cast("int"))
         ov = att.key_overrides(spark, LATENCY_OVERRIDES_MS)
         return att.apply_override(r, ov, "key", F.col("k") * F.lit(LATENCY_MS_PER_K), "latency_ms")
@@ -141,15 +154,27 @@ class Run:
 
     @cached_property
     def completions(self) -> DataFrame:
-        """Completion events: every done record, plus a second completion of
-        records with k mod 10 = 0 (a redelivery inside the same run)."""
+        """Completion events: every done record, a second completion of records
+        with k mod 10 = 0 (a redelivery inside the same run), and wrong ones."""
         done = (att.outcomes(self.handled, self.m.policy, keep=("k",))
                 .where(F.col("done_ms").isNotNull()))
-        first = done.select("partition", "offset", "done_ms")
-        again = (done.where(F.col("k") % F.lit(REDELIVERY_MODULUS) == 0)
-                 .select("partition", "offset",
-                         (F.col("done_ms") + F.lit(REDELIVERY_DELAY_MS)).alias("done_ms")))
-        return first.unionByName(again)
+        wrong = F.col("k") % F.lit(WRONG_MODULUS)
+        again = F.array(F.lit(0), F.when(F.col("k") % F.lit(REDELIVERY_MODULUS) == 0, F.lit(1)),
+                        F.when(wrong == NO_LOG, F.lit(2)), F.when(wrong == BEYOND_LOG, F.lit(3)),
+                        F.when(wrong == SAME_MS, F.lit(4)))
+        c = F.col("case")
+        return done.withColumn("case", F.explode(F.array_compact(again))).select(
+            F.when(c == 2, F.col("partition") + self.m.params.partitions).otherwise(F.col("partition")).alias("partition"),
+            F.when(c == 3, F.col("offset") + OFFSET_BEYOND).otherwise(F.col("offset")).alias("offset"),
+            F.when(c == 1, F.col("done_ms") + REDELIVERY_DELAY_MS).otherwise(F.col("done_ms")).alias("done_ms"))
+
+    @cached_property
+    def stored_positions(self) -> DataFrame:
+        """Commits, and each partition's final position as the next offset to read,
+        which at the end of a log is no record."""
+        final = self.commits.groupBy("partition").agg(
+            (F.max("committed_through") + 1).alias("committed_through"), F.max("commit_ms").alias("commit_ms"))
+        return self.commits.unionByName(final.withColumn("ok", F.lit(True)))
 
     # -- shutdown / replay -------------------------------------------------------
     @cached_property
@@ -186,10 +211,16 @@ class Run:
         base = self.phase1_snapshot.select("partition", F.col("last_committed").alias("base"))
         return fr.frontier_timeline(self.replay_outcomes, base, self.B)
 
+    @cached_property
+    def cut_split(self) -> DataFrame:
+        """The run as its first failed commit leaves it: intake stops there."""
+        stop = lc.commit_failure_stop(lc.failing_from(self.timeline, COMMITS_FAIL_FROM_MS))
+        return self._keep(lc.drain_split(self.outcomes_fetched, None, stop, self.m.params.drain_timeout_ms), "cut")
+
     @cached_property
     def failing_commits(self) -> DataFrame:
-        """The run's commit log when the first commits of every partition fail."""
-        return lc.commit_outcomes(self.timeline, COMMIT_FAILURES, self.B)
+        """The commit log of that run: its drain also tries to commit, and fails."""
+        return lc.failing_from(fr.frontier_timeline(self.cut_split, self.base, self.B), COMMITS_FAIL_FROM_MS)
 
     # -- run logs ----------------------------------------------------------------
     @cached_property

@@ -2,27 +2,26 @@
 
 Tables are the pre-registered parquet views.  The oracle uses plain
 per-partition windows (no buckets), so it is an independent check of the
-bucketed Spark plans.  Parameters come from the same fixed values as the
-Spark model.
+bucketed Spark plans.  Its parameters are written out here, not taken from
+the code that it checks.
 """
 
 from __future__ import annotations
 
 from ..operators import evidence as EV
-from ..params import RetryPolicy
-from . import model as M
 
 INF = (1 << 63) - 1
-POLICY = RetryPolicy(3, 100, 1000)
-N = POLICY.normalised().max_retries
-SUMS = "[" + ", ".join(str(v) for v in POLICY.delay_prefix_sums()) + "]"
-DELAYS = POLICY.delay_table()
-DELAY_LIST = "[" + ", ".join(str(v) for v in DELAYS) + "]"
-OVERRIDES = ", ".join(f"('{k}', {v})" for k, v in sorted(M.LATENCY_OVERRIDES_MS.items()))
+# 3 retries, 100 ms base, 1 s cap: waits, and waits before try 1, 2, 3, 4.
+N = 3
+DELAYS = (100, 200, 400)
+DELAY_LIST = "[100, 200, 400]"
+SUMS = "[0, 100, 300, 700]"
+OVERRIDES = "('key-0', 900), ('key-3', 50), ('key-5', 50)"
 P = 3
 RESTART_AT_MS = 1706745600000
-T = M.SHUTDOWN_AT_MS
-CUT = M.SHUTDOWN_AT_MS + 5000
+T = 1706597329737
+CUT = 1706597334737
+FAIL_FROM = 1705708800000
 
 CTES = f"""
 ev AS (
@@ -45,8 +44,10 @@ records AS (
          key, value, fetched_ms, seq, event_type, k
   FROM keyed),
 handled AS (
-  SELECT r.*, CAST(CASE WHEN r.event_type = '{M.FAILING_EVENT_TYPE}' THEN r.k % {M.FAILURE_MODULUS} ELSE 0 END AS INTEGER) AS failures,
-         CAST(COALESCE(o.override_ms, {M.LATENCY_MS_PER_K} * r.k) AS BIGINT) AS latency_ms
+  SELECT r.*, CAST(CASE WHEN r.event_type <> 'error' THEN 0
+                          WHEN r."partition" = 0 AND r.fetched_ms >= 1706572800000 THEN r.k % 6
+                          ELSE r.k % 4 END AS INTEGER) AS failures,
+         CAST(COALESCE(o.override_ms, 1000 * r.k) AS BIGINT) AS latency_ms
   FROM records r LEFT JOIN (VALUES {OVERRIDES}) o(okey, override_ms) ON r.key = o.okey),
 outcomes AS (
   SELECT "partition", "offset", key, CAST(least(failures, {N}) + 1 AS INTEGER) AS attempts,
@@ -86,12 +87,15 @@ snap AS (
   GROUP BY 1, 2),
 final_commit AS (
   SELECT "partition", max(committed_through) AS committed_through FROM commits WHERE ok GROUP BY 1),
+donek AS (
+  SELECT o."partition", o."offset", o.done_ms, h.k
+  FROM outcomes o JOIN handled h ON o."partition" = h."partition" AND o."offset" = h."offset" WHERE o.done_ms IS NOT NULL),
 comps AS (
-  SELECT "partition", "offset", done_ms FROM outcomes WHERE done_ms IS NOT NULL
-  UNION ALL
-  SELECT o."partition", o."offset", o.done_ms + {M.REDELIVERY_DELAY_MS}
-  FROM outcomes o JOIN handled h ON o."partition" = h."partition" AND o."offset" = h."offset"
-  WHERE o.done_ms IS NOT NULL AND h.k % {M.REDELIVERY_MODULUS} = 0),
+  SELECT "partition", "offset", done_ms FROM donek
+  UNION ALL SELECT "partition", "offset", done_ms + 1000 FROM donek WHERE k % 10 = 0
+  UNION ALL SELECT "partition" + 3, "offset", done_ms FROM donek WHERE k % 50 = 7
+  UNION ALL SELECT "partition", "offset" + 1099511627776, done_ms FROM donek WHERE k % 50 = 8
+  UNION ALL SELECT "partition", "offset", done_ms FROM donek WHERE k % 50 = 9),
 split0 AS (
   SELECT o."partition", o."offset", o.key, r.fetched_ms, o.status, o.done_ms,
          CASE WHEN r.fetched_ms >= {T} THEN 'not_dispatched' WHEN o.end_ms <= {T} THEN 'finished'
@@ -117,11 +121,19 @@ replay AS (
   SELECT s."partition", s."offset", s.key,
          CASE WHEN s.final_status = 'done' THEN 'blocked_done' ELSE s.final_status END AS reason
   FROM split s JOIN snap1 n ON n."partition" = s."partition" WHERE s."offset" > n.last_committed),
-cf AS (
-  SELECT t.*, row_number() OVER (PARTITION BY "partition" ORDER BY commit_ms) > {M.COMMIT_FAILURES} AS ok
-  FROM timeline t),
 withfetch AS (
   SELECT o.*, r.fetched_ms FROM outcomes o JOIN records r ON r."partition" = o."partition" AND r."offset" = o."offset"),
+cutat AS (
+  SELECT COALESCE(min(commit_ms), 4611686018427387904) AS stop FROM timeline WHERE commit_ms >= {FAIL_FROM}),
+cutrun AS (
+  SELECT "partition", "offset", CASE WHEN fetched_ms < stop AND end_ms <= stop + 5000 THEN done_ms END AS done_ms
+  FROM withfetch, cutat),
+cf AS (
+  SELECT "partition", max("offset") AS committed_through, c AS commit_ms, c < {FAIL_FROM} AS ok
+  FROM (SELECT *, max(COALESCE(done_ms, {INF})) OVER (
+          PARTITION BY "partition" ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+        FROM cutrun)
+  WHERE c < {INF} GROUP BY "partition", c),
 attv AS (
   SELECT a.*, r.value FROM attempts a JOIN records r ON r."partition" = a."partition" AND r."offset" = a."offset"),
 lines0 AS (
@@ -248,20 +260,23 @@ def queries() -> dict[str, str]:
             SELECT c."partition", c.committed_through, c.commit_ms, c.ok, r.key, r.value
             FROM commits c JOIN records r ON r."partition" = c."partition" AND r."offset" = c.committed_through"""),
         "unknown_commit": q("""
-            SELECT c.* FROM commits c
-            WHERE NOT EXISTS (SELECT 1 FROM records r WHERE r."partition" = c."partition" AND r."offset" = c.committed_through)"""),
+            , stored AS (
+              SELECT * FROM commits
+              UNION ALL SELECT "partition", max(committed_through) + 1, max(commit_ms), true FROM commits GROUP BY 1)
+            SELECT c.* FROM stored c
+            WHERE NOT EXISTS (SELECT 1 FROM records r WHERE r."partition" = c."partition" AND r."offset" = c.committed_through)""").replace(")\n, stored", "),\nstored", 1),
         "untracked_completion": q("""
-            SELECT c."partition", c."offset", c.done_ms FROM comps c JOIN base b ON b."partition" = c."partition"
-            WHERE c."offset" > b.base
+            SELECT c."partition", c."offset", c.done_ms FROM comps c LEFT JOIN base b ON b."partition" = c."partition"
+            WHERE (b.base IS NULL OR c."offset" > b.base)
               AND NOT EXISTS (SELECT 1 FROM records r WHERE r."partition" = c."partition" AND r."offset" = c."offset")"""),
         "completion_class": q("""
             SELECT c."partition", c."offset", c.done_ms,
                    CASE WHEN c."offset" <= b.base THEN 'noop_committed'
                         WHEN t."offset" IS NULL THEN 'error_not_in_flight'
-                        WHEN c.done_ms = t.done_ms THEN 'ok'
-                        WHEN t.commit_ms IS NOT NULL AND c.done_ms > t.commit_ms THEN 'noop_committed'
+                        WHEN c.nth = 1 THEN 'ok'
+                        WHEN c.done_ms >= t.commit_ms THEN 'noop_committed'
                         ELSE 'error_double' END AS completion_class
-            FROM comps c LEFT JOIN base b ON b."partition" = c."partition"
+            FROM (SELECT *, row_number() OVER (PARTITION BY "partition", "offset" ORDER BY done_ms) AS nth FROM comps) c LEFT JOIN base b ON b."partition" = c."partition"
             LEFT JOIN ctimes t ON t."partition" = c."partition" AND t."offset" = c."offset" """),
         "commit_cache": q("""
             SELECT r."partition", count(*) AS cached,
@@ -317,23 +332,35 @@ def queries() -> dict[str, str]:
                    (SELECT min(commit_ms) FROM cf WHERE NOT ok) AS first_failure_ms
             FROM cf GROUP BY 1"""),
         "processed_count": q("""
-            , dn AS (SELECT "partition", count(*) FILTER (WHERE done_ms IS NOT NULL) AS done FROM outcomes GROUP BY 1),
+            , dn AS (SELECT "partition", count(*) FILTER (WHERE done_ms IS NOT NULL) AS done FROM cutrun GROUP BY 1),
             fl AS (SELECT "partition", count(*) FILTER (WHERE NOT ok) AS failed FROM cf GROUP BY 1)
             SELECT dn."partition", dn.done, CAST(COALESCE(fl.failed, 0) AS BIGINT) AS failed_commits,
                    CAST(dn.done - COALESCE(fl.failed, 0) AS BIGINT) AS processed
             FROM dn LEFT JOIN fl ON fl."partition" = dn."partition" """),
-        "catch_up": q("""
+        "catch_up": q(f"""
             , pd AS (SELECT max(fetched_ms) AS producer_done_ms, count(*) AS produced FROM records),
-            dn AS (SELECT count(*) AS n_done, max(done_ms) AS last_done,
-                          count(*) FILTER (WHERE done_ms <= (SELECT producer_done_ms FROM pd) + 5000) AS at_deadline
-                   FROM outcomes WHERE done_ms IS NOT NULL)
-            SELECT CAST(produced AS BIGINT) AS expected, producer_done_ms, producer_done_ms + 5000 AS deadline_ms,
-                   CAST(at_deadline AS BIGINT) AS processed_at_deadline,
-                   CASE WHEN n_done >= produced AND last_done <= producer_done_ms + 5000
-                        THEN greatest(last_done, producer_done_ms) END AS caught_up_ms,
-                   CASE WHEN n_done >= produced AND last_done <= producer_done_ms + 5000
-                        THEN 'caught_up' ELSE 'timeout' END AS status
-            FROM pd, dn"""),
+            waits AS (
+              SELECT produced AS expected, producer_done_ms, producer_done_ms + 5000 AS deadline_ms, NULL AS stop FROM pd
+              UNION ALL SELECT 500, producer_done_ms, producer_done_ms + 5000, NULL FROM pd
+              UNION ALL SELECT 500, producer_done_ms, producer_done_ms, NULL FROM pd
+              UNION ALL SELECT produced, producer_done_ms, producer_done_ms + 5000, {T} FROM pd),
+            ends AS (
+              SELECT *, CASE WHEN stop IS NULL THEN deadline_ms ELSE least(deadline_ms, greatest(stop, producer_done_ms)) END AS ends_ms
+              FROM waits),
+            nth AS (
+              SELECT done_ms, row_number() OVER (ORDER BY done_ms) AS n FROM outcomes WHERE done_ms IS NOT NULL),
+            reached AS (
+              SELECT w.expected, w.producer_done_ms, w.deadline_ms, w.ends_ms,
+                     count(*) FILTER (WHERE nth.done_ms <= w.ends_ms) AS processed_at_deadline,
+                     max(CASE WHEN n = w.expected AND nth.done_ms <= w.ends_ms AND w.deadline_ms > w.producer_done_ms
+                              THEN nth.done_ms END) AS reached_ms
+              FROM ends w, nth GROUP BY 1, 2, 3, 4)
+            SELECT CAST(expected AS BIGINT) AS expected, producer_done_ms, deadline_ms,
+                   CAST(processed_at_deadline AS BIGINT) AS processed_at_deadline,
+                   CASE WHEN reached_ms IS NOT NULL THEN greatest(reached_ms, producer_done_ms) END AS caught_up_ms,
+                   CASE WHEN deadline_ms = producer_done_ms THEN 'not_waited' WHEN reached_ms IS NOT NULL THEN 'caught_up'
+                        WHEN ends_ms < deadline_ms THEN 'interrupted' ELSE 'timeout' END AS status
+            FROM reached"""),
         "active_jobs": q("""
             , jobev AS (
               SELECT fetched_ms AS ts_ms, 1 AS d FROM withfetch UNION ALL SELECT end_ms, -1 FROM withfetch),
