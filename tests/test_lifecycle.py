@@ -69,6 +69,40 @@ def test_catch_up(spark):
     assert lc.kth_smallest(outs, "done_ms", 4, 7).collect()[0].value == 180
 
 
+def test_catch_up_interrupted_or_not_waited(spark):
+    recs = spark.createDataFrame([(0, i, 100 + i) for i in range(5)], "partition int, offset bigint, fetched_ms bigint")
+    outs = spark.createDataFrame([(0, i, 150 + 10 * i) for i in range(5)], "partition int, offset bigint, done_ms bigint")
+
+    def got(*args, **kw):
+        r = lc.catch_up(recs, outs, *args, **kw).collect()[0]
+        return r.processed_at_deadline, r.caught_up_ms, r.status
+
+    assert got(100, interrupt_ms=175) == (3, None, "interrupted")
+    assert got(100, interrupt_ms=20) == (0, None, "interrupted")  # before the wait begins
+    assert got(100, interrupt_ms=195) == (5, 190, "caught_up")
+    assert got(20, interrupt_ms=1000) == (0, None, "timeout")
+    assert got(100, expected=2, interrupt_ms=175) == (3, 160, "caught_up")
+    assert got(0, expected=0)[2] == "not_waited"
+
+
+def test_first_failed_commit_stops_intake(spark):
+    recs, outs = _run(spark)
+    outs = outs.join(recs.select("partition", "offset", "fetched_ms"), ["partition", "offset"])
+    base = fr.baseline(recs)
+    stop = lc.commit_failure_stop(lc.failing_from(fr.frontier_timeline(outs, base, 2), 50))
+    split = lc.drain_split(outs, None, stop, 100)  # the commit of offset 1 at 120 fails
+    got = {r.offset: r.final_status for r in split.collect()}
+    assert got == {0: "done", 1: "done", 2: "exhausted", 3: "done", 4: "done", 5: "done"}
+    split = lc.drain_split(outs, None, lc.commit_failure_stop(lc.failing_from(fr.frontier_timeline(outs, base, 2), 0)), 30)
+    got = {r.offset: r.final_status for r in split.collect()}  # stops at 40
+    assert got == {0: "done", 1: "unfinished", 2: "unfinished", 3: "unfinished", 4: "not_dispatched", 5: "not_dispatched"}
+    commits = lc.failing_from(fr.frontier_timeline(split, base, 2), 0)
+    assert [(r.durable_frontier, r.memory_frontier, r.first_failure_ms) for r in lc.commit_outcome_summary(commits).collect()] \
+        == [(None, 0, 40)]
+    never = lc.commit_failure_stop(lc.failing_from(fr.frontier_timeline(outs, base, 2), 10_000))
+    assert {r.split for r in lc.drain_split(outs, None, never, 100).collect()} == {"finished"}
+
+
 def test_active_jobs_gauge(spark):
     iv = spark.createDataFrame([(0, 10), (5, 15), (10, 20), (30, 31)], "s bigint, e bigint")
     for width in (3, 1000):

@@ -155,10 +155,12 @@ def _replay_duplicates(spark, d):
 
 def _no_loss(spark, d):
     r = _run(spark, d)
-    done1 = r.split.where(F.col("final_status") == "done").select("partition", "offset")
-    replayed = r.replay.select("partition", "offset")  # phase 2: no fault injection
-    successes = lc.phase_union((1, done1), (2, replayed))
-    return lc.success_histogram(r.records, successes)
+    return lc.success_histogram(r.records, r.successes)
+
+
+def _lost_records(spark, d):
+    r = _run(spark, d)
+    return lc.lost_records(r.records, r.successes)
 
 
 def _replay_timeline(spark, d):
@@ -363,6 +365,7 @@ QUERIES: dict[str, Query] = {
     "replay_set": _replay_set,
     "replay_duplicates": _replay_duplicates,
     "no_loss": _no_loss,
+    "lost_records": _lost_records,
     "resume_scan": _resume_scan,
     "replay_timeline": _replay_timeline,
     "commit_outcome": _commit_outcome,

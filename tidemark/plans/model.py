@@ -36,6 +36,8 @@ from ..sources.records import read_table, records_from_events
 # (from 2024-01-30 00:00:00 UTC) fail k mod 6 tries: 4 and 5 exhaust.
 FAILING_EVENT_TYPE = "error"
 FAILURE_MODULUS = 4
+# Phase 2 does not get over more failing tries than STILL_FAILING.
+STILL_FAILING = 4
 LATE_PARTITION, LATE_FROM_MS, LATE_FAILURE_MODULUS = 0, 1706572800000, 6
 # Latency of every try: 1000 ms per unit of k, unless the key has an override.
 LATENCY_MS_PER_K = 1000
@@ -199,11 +201,19 @@ class Run:
     @cached_property
     def replay_outcomes(self) -> DataFrame:
         """Phase 2: the backlog above the phase-1 frontier is fetched at the
-        restart and handled without faults, one try each."""
-        lat = self.handled.select("partition", "offset", "latency_ms")
-        return (self.replay.join(lat, ["partition", "offset"])
-                .select("partition", "offset", "key",
-                        (F.lit(RESTART_AT_MS) + F.col("latency_ms")).cast("bigint").alias("done_ms")))
+        restart and handled without faults, one try each; what has more failing
+        tries than ``STILL_FAILING`` is not done in this run either."""
+        handled = self.handled.select("partition", "offset", "latency_ms", "failures")
+        done = F.when(F.col("failures") <= STILL_FAILING, F.lit(RESTART_AT_MS) + F.col("latency_ms"))
+        return (self.replay.join(handled, ["partition", "offset"])
+                .select("partition", "offset", "key", done.cast("bigint").alias("done_ms")))
+
+    @cached_property
+    def successes(self) -> DataFrame:
+        """Records that a phase has done, with the phase."""
+        first = self.split.where(F.col("final_status") == "done").select("partition", "offset")
+        second = self.replay_outcomes.where(F.col("done_ms").isNotNull()).select("partition", "offset")
+        return lc.phase_union((1, first), (2, second))
 
     @cached_property
     def replay_timeline(self) -> DataFrame:

@@ -123,6 +123,12 @@ replay AS (
   FROM split s JOIN snap1 n ON n."partition" = s."partition" WHERE s."offset" > n.last_committed),
 withfetch AS (
   SELECT o.*, r.fetched_ms FROM outcomes o JOIN records r ON r."partition" = o."partition" AND r."offset" = o."offset"),
+second AS (
+  SELECT r."partition", r."offset", CASE WHEN h.failures <= 4 THEN {RESTART_AT_MS} + h.latency_ms END AS done_ms
+  FROM replay r JOIN handled h ON h."partition" = r."partition" AND h."offset" = r."offset"),
+succ AS (
+  SELECT "partition", "offset" FROM split WHERE final_status = 'done'
+  UNION ALL SELECT "partition", "offset" FROM second WHERE done_ms IS NOT NULL),
 cutat AS (
   SELECT COALESCE(min(commit_ms), 4611686018427387904) AS stop FROM timeline WHERE commit_ms >= {FAIL_FROM}),
 cutrun AS (
@@ -302,23 +308,20 @@ def queries() -> dict[str, str]:
             SELECT r.* FROM replay r WHERE EXISTS (SELECT 1 FROM split s WHERE s."partition" = r."partition"
               AND s."offset" = r."offset" AND s.final_status = 'done')"""),
         "no_loss": q("""
-            , succ AS (
-              SELECT "partition", "offset" FROM split WHERE final_status = 'done'
-              UNION ALL SELECT "partition", "offset" FROM replay),
-            per AS (
+            , per AS (
               SELECT r."partition", r."offset", CAST(count(s."offset") AS BIGINT) AS successes
               FROM records r LEFT JOIN succ s ON s."partition" = r."partition" AND s."offset" = r."offset"
               GROUP BY 1, 2)
             SELECT successes, count(*) AS records FROM per GROUP BY 1"""),
+        "lost_records": q("""
+            SELECT * EXCLUDE (seq, event_type, k) FROM records r
+            WHERE NOT EXISTS (SELECT 1 FROM succ s WHERE s."partition" = r."partition" AND s."offset" = r."offset")"""),
         "replay_timeline": q(f"""
-            , r2 AS (
-              SELECT r."partition", r."offset", {RESTART_AT_MS} + h.latency_ms AS done_ms
-              FROM replay r JOIN handled h ON h."partition" = r."partition" AND h."offset" = r."offset"),
-            c2 AS (
-              SELECT "partition", "offset", max(done_ms) OVER (PARTITION BY "partition" ORDER BY "offset"
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS commit_ms FROM r2)
+            , c2 AS (
+              SELECT "partition", "offset", max(COALESCE(done_ms, {INF})) OVER (PARTITION BY "partition" ORDER BY "offset"
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS commit_ms FROM second)
             SELECT "partition", commit_ms, max("offset") AS committed_through, count(*) AS released
-            FROM c2 GROUP BY 1, 2"""),
+            FROM c2 WHERE commit_ms < {INF} GROUP BY 1, 2"""),
         "resume_scan": q("""
             SELECT r."partition", COALESCE(f.committed_through + 1, min(r."offset")) AS start_offset,
                    max(r."offset") AS last_offset, count(*) AS to_read
