@@ -188,12 +188,12 @@ def _order_struct(order: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
 
-def keyword_filter(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Lines holding any keyword, order columns kept."""
-    cond = None
-    for kw in KEYWORDS:
-        c = F.col(line).contains(kw)
-        cond = c if cond is None else (cond | c)
+def keyword_filter(lines: DataFrame, line: str = "line", keywords: list[str] = KEYWORDS) -> DataFrame:
+    """Lines holding any keyword, order columns kept; a null line holds none,
+    without keywords no line stays."""
+    cond = F.lit(False)
+    for kw in keywords:
+        cond = cond | F.col(line).contains(kw)
     return lines.where(cond)
 
 
@@ -219,15 +219,16 @@ def out_of_order(parsed: DataFrame, order: list[str], bucket: Column,
 
 
 def substring_count(lines: DataFrame, scenarios: DataFrame, line: str = "line",
-                    scenario: str = "scenario") -> DataFrame:
-    """Occurrences of ``key=<replay_key>`` per scenario (plain substring,
-    non-overlapping, so ``key=key-1`` also hits ``key=key-10``)."""
+                    scenario: str = "scenario", prefix: str = "key=") -> DataFrame:
+    """Occurrences of ``<prefix><replay_key>`` per scenario (plain substring,
+    non-overlapping, so ``key=key-1`` also hits ``key=key-10``).  Null lines hold
+    none; the text searched must not be empty."""
     sc = scenarios.where(F.col("replay_key").isNotNull()).select(scenario, "replay_key")
-    pat = F.concat(F.lit("key="), F.col("replay_key"))
+    pat = F.concat(F.lit(prefix), F.col("replay_key"))
     cnt = F.floor((F.length(line) - F.length(F.replace(F.col(line), pat, F.lit(""))))
                   / F.length(pat)).cast("bigint")
     joined = lines.select(scenario, line).join(sc, scenario)
-    return joined.groupBy(scenario, "replay_key").agg(F.sum(cnt).cast("bigint").alias("occurrences"))
+    return joined.groupBy(scenario, "replay_key").agg(F.coalesce(F.sum(cnt), F.lit(0)).cast("bigint").alias("occurrences"))
 
 
 def first_last_clock(lines: DataFrame, order: list[str], line: str = "line",

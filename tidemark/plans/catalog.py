@@ -252,6 +252,23 @@ def _log_file_out_of_order(spark, d):
     return ev.out_of_order(ev.parse_log(lines), ["line_idx"], bucket)
 
 
+# -- given text ---------------------------------------------------------------------
+# Words looked for in turns, and one word counted for each language.
+TURN_KEYWORDS = ["the", "und", "quiero", "\n"]
+LANGUAGE_WORDS = {"de": "und", "en": "the", "es": "que", "fr": "le"}
+
+
+def _turn_keyword_filter(spark, d):
+    """P1 over the turns of ``conversations``."""
+    return ev.keyword_filter(read_table(spark, d, "conversations"), "text", TURN_KEYWORDS)
+
+
+def _language_word_count(spark, d):
+    """A8 over the texts of ``documents``, one word a language (a literal table)."""
+    words = spark.createDataFrame(list(LANGUAGE_WORDS.items()), "lang string, replay_key string")
+    return ev.substring_count(read_table(spark, d, "documents"), F.broadcast(words), "text", "lang", prefix="")
+
+
 # -- a second, larger topic ---------------------------------------------------------
 # Fixed values of the lineitem topic: key "order-<orderkey>", write order
 # (orderkey, linenumber), fetched at the ship date; lines with return flag 'R'
@@ -380,6 +397,8 @@ QUERIES: dict[str, Query] = {
     "substring_count": _substring_count,
     "log_first_last": _log_first_last,
     "log_file_out_of_order": _log_file_out_of_order,
+    "turn_keyword_filter": _turn_keyword_filter,
+    "language_word_count": _language_word_count,
     "stream_frontier": _stream_frontier,
     "stream_pipeline": _stream_pipeline,
     "user_handler": _user_handler,

@@ -426,6 +426,15 @@ def queries() -> dict[str, str]:
             SELECT "partition", "offset", key, failures, CAST(least(failures, {N}) + 1 AS INTEGER) AS attempts,
                    CASE WHEN failures <= {N} THEN 'done' ELSE 'exhausted' END AS status
             FROM budgeted"""),
+        "turn_keyword_filter": """
+            SELECT * FROM conversations
+            WHERE contains(text, 'the') OR contains(text, 'und') OR contains(text, 'quiero') OR contains(text, chr(10))""",
+        "language_word_count": """
+            SELECT d.lang, w.replay_key,
+                   CAST(COALESCE(sum((length(text) - length(replace(text, w.replay_key, ''))) // length(w.replay_key)), 0) AS BIGINT)
+                     AS occurrences
+            FROM documents d JOIN (VALUES ('de', 'und'), ('en', 'the'), ('es', 'que'), ('fr', 'le')) w(lang, replay_key)
+              ON w.lang = d.lang GROUP BY 1, 2""",
         "lineitem_pending": f"""
             WITH li AS (
               SELECT l_orderkey * 16 + l_linenumber AS seq, 'order-' || CAST(l_orderkey AS VARCHAR) AS key,
