@@ -106,6 +106,14 @@ def test_redaction(make_docs):
     assert [(x.text, x.n_chars) for x in r] == [("é [SECRET] x", 12), ("clean", 5)]
 
 
+@pytest.mark.parametrize("first", [None, ""])
+def test_secret_after_a_leading_empty_text(make_docs, first):
+    docs = make_docs([first, "token=ABCDEFGHIJKL1234"]).coalesce(1)
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in secret_scan.scan_secrets(docs).collect()}
+    assert spans == {0: [], 1: [("assign", 0, 22)]}
+    assert [r.text for r in secret_scan.redact(docs).orderBy("doc_id").collect()] == [first, "[SECRET]"]
+
+
 # -- benchmark -------------------------------------------------------------------
 
 def _plain_hits(text, items):

@@ -79,11 +79,12 @@ def find(texts: list[bytes], rules: tuple[Rule, ...] = RULES, a: Automaton | Non
     for g, m in zip(gap[first].tolist(), np.bitwise_or.reduceat(mask, first).tolist(), strict=True):
         lo = int(resets[g - 1]) + 1 if g else 0
         hi = int(resets[g]) if g < len(resets) else len(data)
-        row = int(np.searchsorted(at, lo, side="right")) - 1
         for k, rule in enumerate(rules):
             if m >> k & 1:
                 for x in exact[k].finditer(data, lo, hi):
                     if len(x.group(rule.group)) >= rule.least:
+                        # a stretch may begin in an earlier text than the match
+                        row = int(np.searchsorted(at, x.start(), side="right")) - 1
                         found.setdefault(row, []).append((k, x.start() - int(at[row]), x.end() - int(at[row])))
     for v in found.values():
         v.sort(key=lambda x: (x[1], x[0]))
