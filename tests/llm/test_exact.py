@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tidemark.llm import automaton, bpe, decontaminate, html_extract, langid, licenses, near_dup, pii, queries, secret_scan, topk, warc
 
 
@@ -63,6 +64,22 @@ def test_near_duplicates_equal_brute_force(make_docs, monkeypatch, slots):
     assert got == [(i, n, c, i == c) for i, n, c in _plain_components(texts)]
 
 
+def test_rows_without_id_or_with_one_id_twice(make_docs):
+    rng = random.Random(5)
+    a, b, c, d, e = ([" ".join(w), " ".join([*w, "more"])] for w in (_words(rng, 80, 9999) for _ in range(5)))
+    rows = [(None, a[0]), (None, b[0]), (None, b[0]), (None, c[0]), (None, c[1]),  # alone, equal, near
+            (7, d[0]), (7, e[0]), (7, e[0]), (None, d[1]),                          # one id, two texts; a near copy without id
+            (None, ""), (8, None)]
+    docs = make_docs([t for _, t in rows], ids=[i for i, _ in rows])
+    out = [(r.doc_id, r.text) for r in near_dup.keep_one(docs).collect()]
+    near = [x for x in out if x[1] in c]
+    assert len(near) == 1
+    assert sorted(map(str, set(out) - set(near))) == sorted(map(str, [(None, a[0]), (None, b[0]), (7, d[0]), (7, e[0]), (None, ""), (8, None)]))
+    assert len(out) == 7
+    named = {(r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(docs.where(F.col("text").isin(d))).collect()}
+    assert named == {(7, 7, True), (None, 7, False)}
+
+
 def test_components_of_chains_and_rings(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
     got = dict(near_dup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())

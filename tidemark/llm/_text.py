@@ -50,13 +50,12 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def semi_join(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``df`` whose ``id_col`` is among the one column of ``ids`` (null
-    equals null).  Up to ``BROADCAST_IDS`` ids are sent to the tasks, so the rows
-    stay where they are; more are joined by a shuffle."""
-    (name,) = ids.columns
+def join_ids(df: DataFrame, ids: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """``df`` joined with ``ids`` by the columns ``on``, which have no nulls.  Up to
+    ``BROADCAST_IDS`` ids are sent to the tasks, so the rows stay where they are;
+    more are joined by a shuffle."""
     few = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if few else ids, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
+    return df.join(F.broadcast(ids) if few else ids, on, how)
 
 
 def map_groups(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],

@@ -27,10 +27,14 @@ At the similarity 0.85 a pair has fewer than 43 of 64 equal coordinates with a
 probability of about 1e-4, at 0.87 of 1e-5, less above; that is the only way to
 miss a link.
 
+A row goes by a key of its own, two hashes of id and whole text (``KEY``); the
+smallest ``doc_id`` of a group only names it.
+
 Edge cases: null, empty or blank texts have an empty set and are linked with
-nothing; rows with equal ``doc_id`` are one document; a row without ``doc_id`` is
-linked like others and never names a group; an empty table gives no rows; other
-columns are ignored or passed on.
+nothing; rows with equal ``doc_id`` and text are one document, with different
+texts they are several; a row without ``doc_id`` is linked like others and names
+no group that has an id; an empty table gives no rows; other columns are ignored
+or passed on.
 """
 
 from __future__ import annotations
@@ -39,7 +43,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
 
 from . import _text as T
 
@@ -49,6 +52,7 @@ MATCHES = 43
 SIMILARITY_PERCENT = 85
 SLOTS = 4
 BLOCK_BYTES = 8 << 20
+KEY = ["__k1", "__k2"]
 
 _RNG = np.random.default_rng(77)
 _A = _RNG.integers(0, 2**64, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -63,32 +67,38 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents and their ``KEY``."""
+    return docs.withColumns({"__k1": F.xxhash64(id_col, text_col), "__k2": F.xxhash64(F.lit(1), id_col, text_col)})
+
+
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: ``id``, ``n`` (size of its shingle set), ``f1`` and ``f2``
-    (fingerprints of the set) and ``sig`` (null for an empty set)."""
-    schema = T.schema([T.field(docs, id_col, "id")], "n bigint, f1 bigint, f2 bigint, sig array<int>")
+    """Per document: ``id``, its ``KEY``, ``n`` (size of its shingle set), ``f1`` and
+    ``f2`` (fingerprints of the set) and ``sig`` (null for an empty set)."""
+    schema = T.schema([T.field(docs, id_col, "id")], "__k1 bigint, __k2 bigint, n bigint, f1 bigint, f2 bigint, sig array<int>")
+    rows = keyed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = T.shingle_sets(T.raw(batch.column(1)), SHINGLE_WORDS)
+        sets = T.shingle_sets(T.raw(batch.column(3)), SHINGLE_WORDS)
         f1 = np.array([np.bitwise_xor.reduce(T.mix(s)) if len(s) else 0 for s in sets], dtype=np.uint64)
         f2 = np.array([T.mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
+            [*batch.columns[:3], pa.array([len(s) for s in sets], pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
              pa.array([signature(s) if len(s) else None for s in sets], pa.list_(pa.int32()))], names=schema.names)
 
-    return T.map_groups(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), fn, schema)
+    return T.map_groups(rows.select("id", *KEY, "text"), fn, schema)
 
 
-def shingle_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document ``rep`` and ``shingles``, its whole set of hashes."""
-    schema = T.schema([T.field(docs, id_col, "rep")], "shingles array<bigint>")
+def shingle_table(docs: DataFrame) -> DataFrame:
+    """Per row (``rep``, ``text``): ``rep`` and ``shingles``, its whole set of hashes."""
+    schema = "rep bigint, shingles array<bigint>"
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = T.shingle_sets(T.raw(batch.column(1)), SHINGLE_WORDS)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=schema.names)
+            [batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["rep", "shingles"])
 
-    return T.map_groups(docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")), fn, schema)
+    return T.map_groups(docs.select("rep", "text"), fn, schema)
 
 
 def posts(reps: DataFrame) -> DataFrame:
@@ -137,8 +147,7 @@ def remaining_links(post: DataFrame, groups: DataFrame, sets: DataFrame) -> Data
         "rep", "pair", mine.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "rep", "pair", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     rows = dealt.join(post.select("rep", "pairs").join(groups, "rep").join(sets, "rep"), "rep")
-    kind = post.schema["rep"].dataType
-    schema = T.schema([StructField("a", kind), StructField("b", kind)], "w int")
+    schema = "a bigint, b bigint, w int"
 
     def link(table: pa.Table) -> pa.Table:
         a, b = _block_links(table)
@@ -219,25 +228,34 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``id_col``, ``n_shingles``, ``component_id``, ``kept``."""
+    return _decided(docs, id_col, text_col).select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per document: ``id``, its ``KEY``, ``n_shingles``, ``component_id``, ``kept``."""
     feats = T.kept(features(docs, id_col, text_col), "features")
-    reps = T.kept(feats.where("n > 0").groupBy("f1", "f2", "n").agg(
-        F.min("id").alias("rep"), F.first("sig").alias("sig")), "representatives")
+    top = F.struct(F.isnull("id").alias("none"), "id", *KEY)  # the smallest of a group names it and stays
+    reps = feats.where("n > 0").groupBy("f1", "f2", "n").agg(F.min(top).alias("top"), F.first("sig").alias("sig"))
+    reps = T.kept(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
     post = T.kept(posts(reps), "posts")
-    groups = None
+    named = reps.select("f1", "f2", "n", "rep", "top")
     if not post.isEmpty():
-        groups = T.kept(_groups(docs, post, id_col, text_col), "groups")
-    named = reps.select("f1", "f2", "n", "rep")
-    if groups is not None:
-        named = named.join(groups, "rep", "left").withColumn("rep", F.coalesce("grp", "rep")).drop("grp")
-    out = feats.select("id", "n", "f1", "f2").join(named, ["f1", "f2", "n"], "left")
-    component = F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("id").eqNullSafe(component).alias("kept"))
-
-
-def _groups(docs: DataFrame, post: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    source = T.semi_join(docs.select(id_col, text_col), post.select(F.col("rep").alias("__rep")).distinct(), id_col)
-    sets = T.kept(shingle_table(source, id_col, text_col), "sets")
+        groups = T.kept(_groups(docs, reps, post, id_col, text_col), "groups")
+        best = groups.join(named.select("rep", "top"), "rep").groupBy("grp").agg(F.min("top").alias("best"))
+        named = named.join(groups.join(best, "grp").select("rep", "best"), "rep", "left").withColumn("top", F.coalesce("best", "top"))
+    out = feats.drop("sig").join(named.select("f1", "f2", "n", "top"), ["f1", "f2", "n"], "left")
+    some = F.col("n") > 0
+    same = (F.col("__k1") == F.col("top.__k1")) & (F.col("__k2") == F.col("top.__k2"))
+    return out.select("id", *KEY, F.col("n").alias("n_shingles"), F.when(some, F.col("top.id")).otherwise(F.col("id")).alias("component_id"),
+                      F.when(some, same).otherwise(True).alias("kept"))
+
+
+def _groups(docs: DataFrame, reps: DataFrame, post: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    wanted = reps.join(post.select("rep"), "rep", "left_semi").select("rep", *(F.col(f"top.{k}").alias(k) for k in KEY))
+    rows = keyed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text").drop("id")
+    sets = T.kept(shingle_table(T.join_ids(rows, wanted, KEY, "inner")), "sets")
+    if sets.count() > post.count():  # repeated rows
+        sets = T.kept(sets.dropDuplicates(["rep"]), "sets")
     found = candidates(post)
     best = found.groupBy("b").agg(F.max(F.struct("same", (-F.col("a")).alias("na"))).alias("x")).select((-F.col("x.na")).alias("a"), "b")
     links = T.kept(confirmed(best, sets), "confirmed")
@@ -256,11 +274,10 @@ def _grouped(post: DataFrame, groups: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, one of each group (the smallest id; of its repeated rows one)."""
-    decided = T.kept(near_duplicates(docs, id_col, text_col).where("kept").groupBy(F.col(id_col).alias("__id")).agg(
-        F.count("*").alias("__rows")), "decided")
-    chosen = T.semi_join(docs, decided.select("__id"), id_col)
-    repeated = decided.where("__rows > 1").select("__id")
+    decided = T.kept(_decided(docs, id_col, text_col).where("kept").groupBy(*KEY).agg(F.count("*").alias("__rows")), "decided")
+    rows = keyed(docs, id_col, text_col)
+    repeated = decided.where("__rows > 1").select(*KEY)
     if repeated.isEmpty():
-        return chosen
-    twice = T.semi_join(chosen, repeated, id_col).dropDuplicates([id_col])
-    return T.semi_join(docs, decided.where("__rows = 1").select("__id"), id_col).unionByName(twice)
+        return T.join_ids(rows, decided.select(*KEY), KEY).drop(*KEY)
+    twice = T.join_ids(rows, repeated, KEY).dropDuplicates(KEY)
+    return T.join_ids(rows, decided.where("__rows = 1").select(*KEY), KEY).unionByName(twice).drop(*KEY)
