@@ -49,3 +49,17 @@ def test_rows_equal_plain_stages(spark, tmp_path):
     lib = Tokenizer.from_file(bpe.default_path())
     for i, t in expected.items():
         assert list(out[i].ids) == lib.encode(t, add_special_tokens=False).ids and out[i].n_chars == len(t)
+
+
+def test_near_copies_from_0_80_on_go(spark, make_docs):
+    rng = random.Random(3)
+    words = [[f"w{rng.randrange(10**6)}" for _ in range(84)] for _ in range(12)]
+
+    def changed(w, n):  # Jaccard of 80 shingles, 5 of them lost by each word
+        return [f"new{i}" if i % 9 == 4 and i < 9 * n else x for i, x in enumerate(w)]
+
+    texts = [" ".join(w) for w in words]
+    near = [" ".join([*w, *(f"more{k}" for k in range(18))]) for w in words[:6]]  # 80 of 98: 0.816
+    far = [" ".join(changed(w, 2)) for w in words[6:]]                             # 70 of 90: 0.778
+    out = {r.doc_id for r in corpus_pipeline.near_dedup(spark, make_docs(texts + near + far), "").collect()}
+    assert out == {*range(12), *range(18, 24)}

@@ -3,13 +3,14 @@
 Every document's set of distinct 5-word shingles gives ``COORDINATES`` MinHash
 values.  Equal sets become one representative.  A representative is posted
 under its (coordinate, value) pairs; pairs of representatives that collide on
-at least ``MATCHES`` coordinates are candidates, and a link is a candidate whose
-full sets pass the similarity.
+at least ``matches`` coordinates are candidates, and a link is a candidate whose
+full sets pass the similarity.  Both are arguments (``Limits``); ``CONTRACT`` is
+what ``op4_near_dup`` is held to.
 
 * Pairs held by one representative only cannot collide and go; a
-  representative with fewer than ``MATCHES`` shared ones goes as a whole.
-* Prefix: in the order of rarity, two representatives that share ``MATCHES`` of
-  their pairs also share one among all but the last ``MATCHES - 1`` of each, so
+  representative with fewer than ``matches`` shared ones goes as a whole.
+* Prefix: in the order of rarity, two representatives that share ``matches`` of
+  their pairs also share one among all but the last ``matches - 1`` of each, so
   only those are posted and frequent values are not.
 * Skip: two representatives already in one group, or whose set sizes exclude
   the similarity, are not merged.
@@ -24,8 +25,8 @@ different groups (a pair only under its first common value), confirms them on
 the full sets, and returns links that join groups, never more than its posts.
 
 At the similarity 0.85 a pair has fewer than 43 of 64 equal coordinates with a
-probability of about 1e-4, at 0.87 of 1e-5, less above; that is the only way to
-miss a link.
+probability of about 1e-4, at 0.87 of 1e-5, less above; at 0.80 fewer than 37 with
+one of 1.4e-5.  That is the only way to miss a link.
 
 A row goes by a key of its own, two hashes of id and whole text (``KEY``); the
 smallest ``doc_id`` of a group only names it.
@@ -39,6 +40,8 @@ or passed on.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -48,12 +51,18 @@ from . import _text as T
 
 SHINGLE_WORDS = 5
 COORDINATES = 64
-MATCHES = 43
-SIMILARITY_PERCENT = 85
 SLOTS = 4
 BLOCK_BYTES = 8 << 20
 KEY = ["__k1", "__k2"]
 
+
+class Limits(NamedTuple):
+    similarity: int  # per cent of the full sets
+    matches: int     # equal coordinates that make a candidate
+
+
+CONTRACT = Limits(85, 43)
+
 _RNG = np.random.default_rng(77)
 _A = _RNG.integers(0, 2**64, COORDINATES, dtype=np.uint64) | np.uint64(1)
 _B = _RNG.integers(0, 2**64, COORDINATES, dtype=np.uint64)
@@ -101,7 +110,7 @@ def shingle_table(docs: DataFrame) -> DataFrame:
     return T.map_groups(docs.select("rep", "text"), fn, schema)
 
 
-def posts(reps: DataFrame) -> DataFrame:
+def posts(reps: DataFrame, limits: Limits = CONTRACT) -> DataFrame:
     """Per representative that can have a link: ``rep``, ``n``, its shared
     (coordinate, value) pairs as numbers, rarest first, in ``pairs``."""
     pairs = reps.select("rep", "n", F.posexplode("sig").alias("k", "v")).select(
@@ -109,36 +118,36 @@ def posts(reps: DataFrame) -> DataFrame:
     shared = pairs.groupBy("pair").agg(F.count("*").alias("df")).where("df > 1")
     ranked = pairs.join(shared, "pair").groupBy("rep", "n").agg(
         F.sort_array(F.collect_list(F.struct("df", "pair"))).alias("ranked"))  # at most one for each coordinate
-    return ranked.where(F.size("ranked") >= MATCHES).select("rep", "n", F.col("ranked.pair").alias("pairs"))
+    return ranked.where(F.size("ranked") >= limits.matches).select("rep", "n", F.col("ranked.pair").alias("pairs"))
 
 
-def _similar_sizes(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILARITY_PERCENT
+def _similar_sizes(a: Column, b: Column, limits: Limits) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * limits.similarity
 
 
-def _posted(post: DataFrame) -> DataFrame:
+def _posted(post: DataFrame, limits: Limits) -> DataFrame:
     """The posts under the prefix: ``rep``, ``n``, ``pair``."""
-    return post.select("rep", "n", F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (MATCHES - 1))).alias("pair"))
+    return post.select("rep", "n", F.explode(F.slice("pairs", F.lit(1), F.size("pairs") - (limits.matches - 1))).alias("pair"))
 
 
-def candidates(post: DataFrame) -> DataFrame:
+def candidates(post: DataFrame, limits: Limits = CONTRACT) -> DataFrame:
     """Distinct (``a``, ``b``, ``same``) of the posts with the pivots of their values."""
-    posted, h = _posted(post), F.xxhash64("rep")
+    posted, h = _posted(post, limits), F.xxhash64("rep")
     pivots = (posted.withColumn("slot", F.pmod(h, F.lit(SLOTS)))
               .groupBy("pair", "slot").agg(F.min(F.struct(h.alias("h"), "rep", "n")).alias("p"))
               .select("pair", F.col("p.rep").alias("p_rep"), F.col("p.n").alias("p_n")))
-    met = posted.join(pivots, "pair").where((F.col("rep") != F.col("p_rep")) & _similar_sizes(F.col("n"), F.col("p_n")))
+    met = posted.join(pivots, "pair").where((F.col("rep") != F.col("p_rep")) & _similar_sizes(F.col("n"), F.col("p_n"), limits))
     met = met.select(F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b")).distinct()
     left = post.select(F.col("rep").alias("a"), F.col("pairs").alias("pa"))
     right = post.select(F.col("rep").alias("b"), F.col("pairs").alias("pb"))
     same = F.size(F.array_intersect("pa", "pb"))
-    return met.join(left, "a").join(right, "b").select("a", "b", same.alias("same")).where(F.col("same") >= MATCHES)
+    return met.join(left, "a").join(right, "b").select("a", "b", same.alias("same")).where(F.col("same") >= limits.matches)
 
 
-def remaining_links(post: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+def remaining_links(post: DataFrame, groups: DataFrame, sets: DataFrame, limits: Limits = CONTRACT) -> DataFrame:
     """Confirmed (``a``, ``b``) that join the groups of the posts of one value;
     ``groups`` has ``rep`` and ``grp`` of every representative in ``post``."""
-    posted = _posted(post).join(groups, "rep")
+    posted = _posted(post, limits).join(groups, "rep")
     weight = F.col("n") * 8 + 1024
     open_ = (posted.groupBy("pair").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.sum(weight).alias("bytes"))
              .where("lo != hi").select("pair", F.ceil(F.col("bytes") / BLOCK_BYTES).alias("blocks")))
@@ -150,14 +159,14 @@ def remaining_links(post: DataFrame, groups: DataFrame, sets: DataFrame) -> Data
     schema = "a bigint, b bigint, w int"
 
     def link(table: pa.Table) -> pa.Table:
-        a, b = _block_links(table)
+        a, b = _block_links(table, limits)
         rep = table.column("rep")
         return pa.table([rep.take(pa.array(a, pa.int64())), rep.take(pa.array(b, pa.int64())), pa.array([1] * len(a), pa.int32())], names=["a", "b", "w"])
 
     return rows.groupBy("pair", "i", "j").applyInArrow(link, schema).select("a", "b").distinct()
 
 
-def _block_links(table: pa.Table) -> tuple[list[int], list[int]]:
+def _block_links(table: pa.Table, limits: Limits) -> tuple[list[int], list[int]]:
     """Rows of one value in two blocks (or one): links that join their groups."""
     rank = table.column("pairs").to_pylist()
     value = table.column("pair")[0].as_py()
@@ -180,28 +189,28 @@ def _block_links(table: pa.Table) -> tuple[list[int], list[int]]:
         ys = others[others > x] if i == j else others
         ys = ys[group[ys] != group[x]]
         small, large = np.minimum(size[ys], size[x]), np.maximum(size[ys], size[x])
-        ys = ys[small * 100 >= large * SIMILARITY_PERCENT]
+        ys = ys[small * 100 >= large * limits.similarity]
         equal = (held[ys] == held[x]) & (held[x] >= 0)
-        ys = ys[(equal.sum(axis=1) >= MATCHES) & ~(equal & before[x]).any(axis=1)]
+        ys = ys[(equal.sum(axis=1) >= limits.matches) & ~(equal & before[x]).any(axis=1)]
         for y in ys.tolist():
             if group[x] == group[y]:
                 continue
             both = len(np.intersect1d(flat[at[x]:at[x + 1]], flat[at[y]:at[y + 1]], assume_unique=True))
-            if both * 100 >= (size[x] + size[y] - both) * SIMILARITY_PERCENT:
+            if both * 100 >= (size[x] + size[y] - both) * limits.similarity:
                 group[group == group[y]] = group[x]
                 out_a.append(x)
                 out_b.append(y)
     return out_a, out_b
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, limits: Limits = CONTRACT) -> DataFrame:
     """The (``a``, ``b``) whose full sets have the similarity."""
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     return (pairs.select("a", "b").join(left, "a").join(right, "b")
             .select("a", "b", both.alias("both"), (F.size("sa") + F.size("sb") - both).alias("either"))
-            .where(F.col("both") * 100 >= F.col("either") * SIMILARITY_PERCENT).select("a", "b"))
+            .where(F.col("both") * 100 >= F.col("either") * limits.similarity).select("a", "b"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -226,21 +235,21 @@ def components(links: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("grp")).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = CONTRACT) -> DataFrame:
     """Per document: ``id_col``, ``n_shingles``, ``component_id``, ``kept``."""
-    return _decided(docs, id_col, text_col).select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
+    return _decided(docs, id_col, text_col, limits).select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
 
 
-def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _decided(docs: DataFrame, id_col: str, text_col: str, limits: Limits) -> DataFrame:
     """Per document: ``id``, its ``KEY``, ``n_shingles``, ``component_id``, ``kept``."""
     feats = T.kept(features(docs, id_col, text_col), "features")
     top = F.struct(F.isnull("id").alias("none"), "id", *KEY)  # the smallest of a group names it and stays
     reps = feats.where("n > 0").groupBy("f1", "f2", "n").agg(F.min(top).alias("top"), F.first("sig").alias("sig"))
     reps = T.kept(reps.withColumn("rep", F.monotonically_increasing_id()), "representatives")
-    post = T.kept(posts(reps), "posts")
+    post = T.kept(posts(reps, limits), "posts")
     named = reps.select("f1", "f2", "n", "rep", "top")
     if not post.isEmpty():
-        groups = T.kept(_groups(docs, reps, post, id_col, text_col), "groups")
+        groups = T.kept(_groups(docs, reps, post, id_col, text_col, limits), "groups")
         best = groups.join(named.select("rep", "top"), "rep").groupBy("grp").agg(F.min("top").alias("best"))
         named = named.join(groups.join(best, "grp").select("rep", "best"), "rep", "left").withColumn("top", F.coalesce("best", "top"))
     out = feats.drop("sig").join(named.select("f1", "f2", "n", "top"), ["f1", "f2", "n"], "left")
@@ -250,17 +259,17 @@ def _decided(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                       F.when(some, same).otherwise(True).alias("kept"))
 
 
-def _groups(docs: DataFrame, reps: DataFrame, post: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _groups(docs: DataFrame, reps: DataFrame, post: DataFrame, id_col: str, text_col: str, limits: Limits) -> DataFrame:
     wanted = reps.join(post.select("rep"), "rep", "left_semi").select("rep", *(F.col(f"top.{k}").alias(k) for k in KEY))
     rows = keyed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text").drop("id")
     sets = T.kept(shingle_table(T.join_ids(rows, wanted, KEY, "inner")), "sets")
     if sets.count() > post.count():  # repeated rows
         sets = T.kept(sets.dropDuplicates(["rep"]), "sets")
-    found = candidates(post)
+    found = candidates(post, limits)
     best = found.groupBy("b").agg(F.max(F.struct("same", (-F.col("a")).alias("na"))).alias("x")).select((-F.col("x.na")).alias("a"), "b")
-    links = T.kept(confirmed(best, sets), "confirmed")
+    links = T.kept(confirmed(best, sets, limits), "confirmed")
     groups = T.kept(_grouped(post, components(links)), "groups")
-    more = T.kept(remaining_links(post, groups, sets), "remaining")
+    more = T.kept(remaining_links(post, groups, sets, limits), "remaining")
     if more.isEmpty():
         return groups
     return _grouped(post, components(links.union(more)))
@@ -272,9 +281,9 @@ def _grouped(post: DataFrame, groups: DataFrame) -> DataFrame:
     return post.select("rep").distinct().join(g, "rep", "left").withColumn("grp", F.coalesce("grp", "rep"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = CONTRACT) -> DataFrame:
     """The documents, one of each group (the smallest id; of its repeated rows one)."""
-    decided = T.kept(_decided(docs, id_col, text_col).where("kept").groupBy(*KEY).agg(F.count("*").alias("__rows")), "decided")
+    decided = T.kept(_decided(docs, id_col, text_col, limits).where("kept").groupBy(*KEY).agg(F.count("*").alias("__rows")), "decided")
     rows = keyed(docs, id_col, text_col)
     repeated = decided.where("__rows > 1").select(*KEY)
     if repeated.isEmpty():
