@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from . import bpe, decontaminate, html_extract, langid, licenses, near_dup, pii, secret_scan, topk, warc
+from . import bpe, decontaminate, hard_negatives, html_extract, langid, licenses, near_dup, nn_graph, pii, secret_scan, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,9 +117,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(F.transform("licenses", lambda x: F.size(x["differences"]))).alias("most_differences"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, the labels of every seventh moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(_table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def op13_nn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth vector."""
+    return nn_graph.neighbours(nn_graph.vectors(_table(spark, sf_dir, "embeddings")), F.col("id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_warc, op2_html_extract, op3_pii, op4_near_dup, op5_bpe, op6_secrets, op7_decontaminate,
-                            op8_langid, op9_topk, op10_licenses)}
+                            op8_langid, op9_topk, op10_licenses, op12_hard_negatives, op13_nn_graph)}
 
 # DuckDB SQL of what SQL can express.
 ORACLE = {
@@ -137,4 +149,17 @@ ORACLE = {
               FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
         r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT * FROM r WHERE rank <= 20""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+              FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.other AS negative_id, positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+        WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other)
+        QUALIFY row_number() OVER w <= 5""",
 }
