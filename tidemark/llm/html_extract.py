@@ -4,9 +4,14 @@ A page becomes a tree.  Every paragraph with enough text passes points for its
 length and its commas to its parent, half of them to the next ancestor and ever
 less further up; a container's points are discounted by the share of its text
 that lies in links.  The best container and those of its siblings that score
-near it are kept, without what is no article text inside them: menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles and comments, told
-by element, role, class and id.
+near it, between such or with few links beside them are kept, without what is no
+article text inside them: menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles and comments, told by element, role, class and id.  Classes
+count by whole name, and one that only modifies (``has-sidebar``, ``no-comments``,
+``tag-linux``) says nothing.  A form, or an element that its role or class places beside
+the text, is kept none the less if it holds the ``article`` or ``main``, or in a page
+with neither most of the paragraph text (adverts, notices and readers' comments
+are not).
 
 Edge cases: null or empty html, or a page without text, gives the empty text;
 broken markup (open elements, stray ends, cut pages) is read as browsers do in
@@ -33,17 +38,26 @@ BLOCKS = frozenset("address article aside blockquote body br caption center dd d
                    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot "
                    "th thead tr ul".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 div section article figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+BESIDE = HEADINGS | frozenset("p pre blockquote ul ol dl table section figure details hgroup".split())
 CLOSES_P = BLOCKS - frozenset(["br", "tbody", "td", "tfoot", "th", "thead", "tr", "caption"])
 SIBLINGS = {"li": ("li", ("ul", "ol", "menu")), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")),
             "tr": ("tr", ("table", "tbody", "thead", "tfoot")), "dd": ("dd dt", ("dl",)), "dt": ("dd dt", ("dl",)),
             "option": ("option", ("select",))}
 NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|newsletter|"
-    r"subscri\w*|signup|login|paywall|comments?|commentlist|disqus|repl(?:y|ies)|discussion|responses?|sidebar\w*|side|aside|widgets?|rail|"
-    r"nav\w*|menus?|breadcrumbs?|pagination|pager|toolbar|topbar|tabs|footer\w*|foot|copyright|header|masthead|site-header|page-header|"
-    r"related|recommend\w*|more-?stories|trending|popular|share|sharing|social|tags?|tagcloud|outbrain|taboola|skip|search\w*|forms?)(?:$|[\s_-])", re.I)
+    r"sidebar\w*|side|aside|widgets?|rail|nav\w*|menus?|breadcrumbs?|pagination|pager|toolbar|topbar|tabs|footer\w*|foot|header|masthead|"
+    r"related|recommend\w*|morestories|stories|trending|popular|share|sharing|social|tags?|tagcloud|skip|search\w*|forms?|login|signup", re.I)
+NEVER = re.compile(
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|newsletter|subscri\w*|paywall|"
+    r"copyright|outbrain|taboola|comments?|commentlist|disqus|repl(?:y|ies)|discussion|responses?", re.I)
+# Words that begin or end a class which says something about an element but is not its kind.
+BEFORE = frozenset("has with without no not is non tag category cat type format status post-type js show hide enable disable".split())
+AFTER = frozenset("open closed enabled disabled on off active true false count".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 KEEP_SHARE = 0.2
+#: A marked element that holds this share of the page's paragraph text is the article's, not beside it.
+MOST = 0.8
+LINKED = 0.25
 MIN_CHARS = 25
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
@@ -53,28 +67,44 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "noise", "points", "chars", "links")
+    __slots__ = ("tag", "parent", "children", "noise", "soft", "points", "chars", "links")
 
-    def __init__(self, tag: str, parent: _Node | None, noise: bool) -> None:
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: _Node | None, noise: bool, soft: bool = False) -> None:
+        self.tag, self.parent, self.noise, self.soft = tag, parent, noise, soft
         self.children: list[_Node | str] = []
         self.points, self.chars, self.links = 0.0, 0, 0
 
 
-def _is_noise(tag: str, attributes: str) -> bool:
+def class_noise(value: str) -> tuple[bool, bool]:
+    """Whether names of a class or id mark no article text, and whether all that do are
+    about the place in the page, which what the element holds may overrule."""
+    noise = never = False
+    for name in value.split():
+        parts = [x for x in re.split(r"[_-]+", name) if x]
+        if len(parts) > 1 and (parts[0].lower() in BEFORE or parts[-1].lower() in AFTER):
+            continue
+        never = never or any(NEVER.fullmatch(x) for x in parts)
+        noise = noise or any(NOISE.fullmatch(x) for x in parts)
+    return noise or never, noise and not never
+
+
+def _is_noise(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is no article text, and whether that may be overruled."""
     if tag in DROPPED:
-        return True
+        return True, tag == "form"
+    noise = hard = False
     for name, a, b, c in _ATTR.findall(attributes) if attributes else ():
         name, value = name.lower(), (a or b or c).strip()
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
+            return True, False
         if name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and NOISE.search(value):
-            return True
-    return False
+            noise = True
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
+            marked, soft = class_noise(value)
+            noise, hard = noise or marked, hard or (marked and not soft)
+    return noise, noise and not hard
 
 
 def parse(html: str) -> _Node:
@@ -117,19 +147,41 @@ def parse(html: str) -> _Node:
                 up = up.parent
             if up is not root and up.tag in same.split():
                 node = up.parent
-        child = _Node(tag, node, _is_noise(tag, m.group(3)))
+        child = _Node(tag, node, *_is_noise(tag, m.group(3)))
         node.children.append(child)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*(?:>|$)", re.I).search(html, at)
             child.children.append(html[at:end.start() if end else n])
             at = end.end() if end else n
-        elif tag not in VOID and not m.group(3).endswith("/"):
+        elif tag not in VOID:
             node = child
     if at < n:
         node.children.append(unescape(html[at:]))
+    _overrule(root)
     return root
 
 
+def _overrule(root: _Node) -> None:
+    """Take back the mark of elements that hold the article itself."""
+    order, stack = [], [root]
+    while stack:
+        x = stack.pop()
+        order.append(x)
+        stack += [c for c in x.children if not isinstance(c, str) and (not c.noise or c.soft)]
+    if not any(x.soft for x in order):
+        return
+    size, holds = {}, {}  # characters of paragraphs outside links; an article or main inside
+    for x in reversed(order):
+        inner = [c for c in x.children if id(c) in size]
+        own = sum(len(c.strip()) for c in x.children if isinstance(c, str)) if x.tag in PARAGRAPHS else 0
+        size[id(x)] = 0 if x.tag == "a" else (own if own >= MIN_CHARS else 0) + sum(size[id(c)] for c in inner)
+        holds[id(x)] = x.tag in ("article", "main") or any(holds[id(c)] for c in inner)
+    whole = 0 if holds[id(root)] else size[id(root)]
+    for x in order:  # parents first; what lies in a marked element that stays marked goes with it
+        if x.soft and (holds[id(x)] or (whole and size[id(x)] >= MOST * whole)):
+            x.noise = False
+
+
 def _walk(root: _Node):
     """Nodes that are no noise, children before their parents, with no recursion."""
     stack, order = [root], []
@@ -214,14 +266,13 @@ def main_text(html: str) -> str:
             best = x
     if best.parent is None or best.tag in ("body", "article", "main") and not _article_siblings(best):
         return blocks(best)
-    least = max(10.0, KEEP_SHARE * value.get(id(best), best.points))
+    around = [c for c in best.parent.children if not isinstance(c, str) and not c.noise and c.chars]
+    least = KEEP_SHARE * value.get(id(best), best.points)
+    sure = [i for i, c in enumerate(around) if c is best or value.get(id(c), 0.0) >= least]
     keep = []
-    for c in best.parent.children:
-        if isinstance(c, str) or c.noise:
-            continue
-        dense = c.links / max(1, c.chars)
-        if c is best or value.get(id(c), 0.0) >= least or (c.tag == "p" and c.chars > 80 and dense < 0.25) \
-                or (c.tag in ("h1", "h2", "h3") and dense < 0.25 and c.chars):
+    for i, c in enumerate(around):
+        few = c.links < LINKED * c.chars
+        if i in sure or few and (sure[0] < i < sure[-1] or c.tag in BESIDE):
             keep.append(blocks(c))
     return " ".join(k for k in keep if k)
 
