@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from itertools import combinations
 
@@ -246,6 +247,21 @@ def test_language_held_out(make_docs):
     assert left <= set(range(600)) and len(left) > 550
 
 
+def test_language_of_a_text_depends_on_that_text_alone():
+    rng = random.Random(9)
+    texts = ["ro fe", "", "a", "é", "x" * 255, "y" * 256, "z" * 257, " \n", *(" ".join(_words(rng, rng.randrange(1, 400))) for _ in range(40))]
+    net = langid.fit([t.encode()[:langid.WINDOW] or b" " for t in texts], [i % 3 for i in range(len(texts))], ["a", "b", "c"], epochs=1)
+    tables, raw = net.tables(), [t.encode() for t in texts]
+    alone = [tuple(x[0] for x in langid.predict_texts(net, tables, [t])) for t in raw]
+    for _ in range(6):
+        order = rng.sample(range(len(raw)), len(raw))
+        cut = rng.randrange(1, 9)
+        for a in range(0, len(order), cut):
+            part = order[a:a + cut]
+            got = list(zip(*langid.predict_texts(net, tables, [raw[i] for i in part]), strict=True))
+            assert [(g[0], round(g[1], 5), round(g[2], 5)) for g in got] == [(alone[i][0], round(alone[i][1], 5), round(alone[i][2], 5)) for i in part]
+
+
 # -- vectors ---------------------------------------------------------------------
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
@@ -305,20 +321,73 @@ def test_main_text(html, text):
     assert html_extract.main_text(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    (f"<body><div class='page has-sidebar'><article><p>{PARA}</article></div></body>", PARA),
+    (f"<div class='post hentry tag-linux'><p>{PARA}</div>", PARA),
+    (f"<div class='post no-comments comments-open'><p>{PARA}</div>", PARA),
+    (f"<body><form action=x><div><p>{PARA}</div></form></body>", PARA),
+    (f"<div class=sidebar-layout><main><p>{PARA}</main><div class=sidebar>no</div></div>", PARA),
+    (f"<div><section><p>{PARA * 3}</section><section><p>{PARA}</section><ul><li>one<li>two</ul><table><tr><td>a<td>b</table><p>end.</div>",
+     f"{PARA * 3} {PARA} one two a b end."),
+    (f"<div><p>{PARA}</p><ul><li><a href=x>{PARA}</a></ul><p>b</p></div><a href=http://x/>{PARA}</a>", f"{PARA} {PARA} b"),
+    (f"<div class=ad>{PARA * 2}</div><article><h1>T</h1><p>a</article>", "T a"),
+    (f"<main><p>{PARA}</main><ol class=comment-list><li><article class=comment><p>{PARA * 3}</article></ol>", PARA),
+])
+def test_main_text_of_marked_pages(html, text):
+    assert html_extract.main_text(html) == text
+
+
+def test_an_unquoted_link_that_ends_in_a_slash_holds_its_text():
+    links = "".join(f"<li><a href=http://x/{i}/>{PARA}</a>" for i in range(3))
+    assert html_extract.main_text(f"<div id=c><p>{PARA}</div><ul>{links}</ul>") == PARA
+
+
 # -- licenses --------------------------------------------------------------------
 
 def test_licenses_by_wording():
     for name, texts in licenses.TEMPLATES.items():
         for t in texts:
-            found = licenses.find(f"Intro line.\n{t}\nMore.")
-            if licenses.candidate_blocks(t):
-                assert [f["license"] for f in found] == [name], t
+            for around in (f"Intro line.\n{t}\nMore.", t, f"Some sixty characters of prose stand before the notice here. {t} And more after it.",
+                           "/*\n * " + "\n * ".join(textwrap.wrap(t, 60, break_on_hyphens=False, break_long_words=False)) + "\n */", textwrap.fill(t, 40, break_on_hyphens=False, break_long_words=False)):
+                found = licenses.find(around)
+                assert [f["license"] for f in found] == [name], around
+                assert licenses.words(around[found[0]["start"]:found[0]["end"]]) == licenses.words(t)
     assert licenses.find("The driver needs a licence to drive.") == []
     one = licenses.find("x\nSPDX-License-Identifier: Zlib\nLicensed under CC BY 4.0.\ny")
     assert [f["license"] for f in one] == ["Zlib", "CC-BY-4.0"]
+    two = licenses.find("Licensed under CC BY 4.0. Released under the MIT License.")
+    assert [f["license"] for f in two] == ["CC-BY-4.0", "MIT"]
     near = licenses.find("This work is licenced under the GNU General Public License, version 3.")
     assert near[0]["license"] == "GPL-3.0" and near[0]["differences"]
 
 
+def _plain_licenses(text):
+    """Every template against every stretch of words of its length; of overlapping ones the longer."""
+    places = [(m.start(), m.end()) for m in re.finditer(licenses._WORD, text)]
+    w = [text[a:b].lower() for a, b in places]
+    hits = []
+    for name, texts in licenses.TEMPLATES.items():
+        for t in map(licenses.words, texts):
+            hits += [(-len(t), places[i][0], places[i + len(t) - 1][1], name) for i in range(len(w) - len(t) + 1) if w[i:i + len(t)] == t]
+    out = []
+    for _, a, b, name in sorted(hits):
+        if all(b <= x or y <= a for x, y, _ in out):
+            out.append((a, b, name))
+    return sorted(out)
+
+
+def test_licenses_equal_plain_windows():
+    rng = random.Random(3)
+    notices = [(n, t) for n, texts in licenses.TEMPLATES.items() for t in texts]
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            parts += [" ".join(_words(rng, rng.randrange(0, 30))), rng.choice(notices)[1], rng.choice(["the license of", "license, licensed", "", "\n\n"])]
+        text = rng.choice([" ", "\n"]).join(parts)
+        assert [(f["start"], f["end"], f["license"]) for f in licenses.find(text)] == _plain_licenses(text)
+    long = "x" * 100_000 + " license " * 3000 + notices[0][1] + " y" * 50_000 + " " + notices[4][1]
+    assert [(f["start"], f["end"], f["license"]) for f in licenses.find(long)] == _plain_licenses(long)
+
+
 def test_queries_are_registered():
     assert len(queries.QUERIES) == 10 and set(queries.ORACLE) <= set(queries.QUERIES)

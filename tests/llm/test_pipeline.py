@@ -33,7 +33,7 @@ def test_rows_equal_plain_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{d}/documents.parquet")
     # Stage 1 by its own predictions (their accuracy is tested elsewhere), the rest by hand.
     found = langid.predict(docs, langid.train(docs)).collect()
-    sure = {r.doc_id for r in found if r.lang_pred != "und" and r.score >= langid.MIN_SCORE}
+    sure = {r.doc_id for r in found if r.lang_pred != "und" and r.certainty >= langid.MIN_CERTAINTY}
     assert not sure & {202, 203} and len(sure) > 150
     by = {r[0]: r[1] for r in rows if r[0] in sure}
     copies = sorted(by.keys() & {3, 200, 201})

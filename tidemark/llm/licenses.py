@@ -1,19 +1,24 @@
 """License scan by conditional compression.
 
-Lines that mention licensing are candidate blocks (with the neighbouring lines
-that do so too, as one block).  A block is compressed by itself and with each
-license template as zstandard raw dictionary; the share of bytes that a template
-saves ranks the templates.  The best ones are confirmed by their exact wording:
-a word difference between the block and the template's nearest stretch says which
-words are added, missing or changed, and a match has few of them.
+Every template has cues: places where it mentions licensing.  Where a text shows a
+cue, each template with that cue lays a window of its own size over the text, so
+that the cues meet, with some room at both ends: the candidate block.  Blocks may
+lie anywhere, inside a line, over several lines or beside another notice.  A block,
+its white space evened out, is compressed by itself and with the template as
+zstandard raw dictionary; what this saves, as a share of the template's own compressed
+size, ranks the templates.  All that save ``MIN_SAVED`` are confirmed by their exact wording: the
+word difference between block and template says which words are added, missing or
+changed, and a match has few of them.  Of matches that overlap, the one with the
+most wording in common stays; all others are returned.
 
 Edge cases: null or empty texts have no blocks; repeated rows are scanned one by
-one; very long texts are scanned whole, and a very long block is compared in
-full; an empty table gives no rows; other columns are ignored or passed on.
+one; very long texts are scanned whole, window by window; an empty table gives no
+rows; other columns are ignored or passed on.
 """
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
 from functools import lru_cache
@@ -71,12 +76,14 @@ TEMPLATES = {
     "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0."],
     "All-Rights-Reserved": ["All rights reserved."],
 }
-CUE = re.compile(r"licen[cs]|rights reserved|public domain|permission is hereby|redistribut|waived all copyright|spdx", re.I)
-CUES = ("licens", "licenc", "rights reserved", "public domain", "permission is hereby", "redistribut", "waived all copyright", "spdx")
+# What a notice mentions; every template holds one of them.
+CUES = ("licens", "licenc", "rights reserved", "public domain", "permission is hereby", "redistribut", "waived all copyright", "cc by", "cc0")
+CUE = re.compile("|".join(c.replace(" ", r"\W{1,12}") for c in CUES), re.I)  # line breaks and comment marks may lie between
 LEVEL = 3
 MIN_SAVED = 0.2
-CONFIRM = 4
 MIN_WORDING = 0.9
+#: Room of a window at both ends: a share of the template's length, and characters.
+ROOM, ROOM_CHARS = 0.15, 16
 
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 _SPDX = re.compile(r"SPDX-License-Identifier:\s*([A-Za-z0-9.+-]+)")
@@ -87,81 +94,100 @@ def words(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
+def _cue(m: re.Match) -> str:
+    """The cue as it is listed; both spellings of the noun are one."""
+    return " ".join(re.findall(r"\w+", m.group().lower())).replace("licenc", "licens")
+
+
+def _size(data: bytes) -> int:
+    return len(zstandard.ZstdCompressor(level=LEVEL, write_content_size=False).compress(data))
+
+
 @lru_cache(maxsize=1)
-def _templates() -> list[tuple[str, list[str], zstandard.ZstdCompressor]]:
-    out = []
+def _templates() -> tuple[list[tuple[str, list[str], zstandard.ZstdCompressor, int]], dict[str, list[tuple[int, int, int]]]]:
+    """The templates (name, words, compressor, own size compressed), and by cue the templates that hold it
+    with its distance from their start and from their end."""
+    out, by = [], {}
     for name, texts in TEMPLATES.items():
         for t in texts:
-            d = zstandard.ZstdCompressionDict(t.lower().encode() + b"\n", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            out.append((name, words(t), zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False)))
-    return out
+            data = t.lower().encode() + b"\n"  # twice, as the end of a dictionary is not indexed
+            d = zstandard.ZstdCompressionDict(data * 2, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            for m in CUE.finditer(t):
+                by.setdefault(_cue(m), []).append((len(out), m.start(), len(t) - m.start()))
+            out.append((name, words(t), zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False), _size(data)))
+    return out, by
 
 
-def candidate_blocks(text: str) -> list[tuple[int, int]]:
-    """Stretches of neighbouring lines with a cue, without the space around them."""
-    out: list[tuple[int, int]] = []
+def candidate_blocks(text: str) -> list[tuple[int, int, int]]:
+    """Windows of the text to be compared: (start, end, template)."""
     low = text.lower()
-    if not any(c in low for c in CUES):
-        return out
-    last = -2
-    m = CUE.search(text)
-    while m:
-        a = text.rfind("\n", 0, m.start()) + 1
-        b = text.find("\n", m.end())
-        b = len(text) if b < 0 else b
-        line = text[a:b]
-        lo, hi = a + len(line) - len(line.lstrip()), b - (len(line) - len(line.rstrip()))
-        if last == a - 1 and out:
-            out[-1] = (out[-1][0], hi)
-        else:
-            out.append((lo, hi))
-        last = b
-        m = CUE.search(text, b)
+    if not any(c in low for c in ("licen", "reserved", "domain", "hereby", "redistribut", "waived", "cc")):
+        return []
+    _, by = _templates()
+    out = []
+    for m in CUE.finditer(text):
+        for k, before, after in by.get(_cue(m), ()):
+            room = int(ROOM * (before + after)) + ROOM_CHARS
+            out.append((max(0, m.start() - before - room), min(len(text), m.start() + after + room), k))
     return out
 
 
-def identify(block: str) -> list[tuple[int, int, str, float, float, list[str]]]:
-    """Licenses named in a block: (start, end, license, saved share, likeness of
-    the wording, differing words), by place."""
-    out = [(m.start(), m.end(), m.group(1), 1.0, 1.0, []) for m in _SPDX.finditer(block)]
-    for line in re.finditer(r"[^\n]+", block):  # a block of several notices has one a line
-        out += [(line.start() + a, line.start() + b, *r) for a, b, *r in _identify(line.group())]
-    if "\n" in block:  # or one notice is broken over its lines
-        whole = _identify(block)
-        out += [w for w in whole if not any(w[0] <= o[0] and o[1] <= w[1] and o[2] == w[2] for o in out)]
-    return sorted(set((a, b, n, s, w, tuple(d)) for a, b, n, s, w, d in out))
-
-
-@lru_cache(maxsize=20_000)
-def _identify(text: str) -> list[tuple[int, int, str, float, float, list[str]]]:
-    data = text.lower().encode()
-    plain = len(zstandard.ZstdCompressor(level=LEVEL, write_content_size=False).compress(data))
-    saved = [(1 - len(c.compress(data)) / plain, k) for k, (_, _, c) in enumerate(_templates())]
-    ranked = sorted((x for x in saved if x[0] >= MIN_SAVED), key=lambda x: (-x[0], x[1]))[:CONFIRM]
-    places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
-    mine = [text[a:b].lower() for a, b in places]
+def _confirm(text: str, mine: list[str], places: list[tuple[int, int]], k: int) -> tuple[float, int, int, list[str], int] | None:
+    """How the words of a block match a template: likeness, start, end, differing words, words in common."""
+    theirs = _templates()[0][k][1]
+    blocks = [b for b in difflib.SequenceMatcher(None, mine, theirs, autojunk=False).get_matching_blocks() if b.size]
+    if sum(b.size for b in blocks) < MIN_WORDING * len(theirs):
+        return None
     best = None
-    for share, k in ranked:
-        name, theirs, _ = _templates()[k]
-        blocks = [b for b in difflib.SequenceMatcher(None, mine, theirs, autojunk=False).get_matching_blocks() if b.size]
-        same = sum(b.size for b in blocks)
-        if not same or same < MIN_WORDING * len(theirs):
-            continue
-        lo, hi = blocks[0].a, blocks[-1].a + blocks[-1].size
-        likeness = 2 * same / (hi - lo + len(theirs))
-        if likeness < MIN_WORDING:
-            continue
-        diff = [x for x in difflib.ndiff(theirs, mine[lo:hi]) if x[0] in "+-"] if same < max(len(theirs), hi - lo) else []
-        key = (likeness, same, share)
-        if best is None or key > best[0]:
-            best = (key, (places[lo][0], places[hi - 1][1], name, share, likeness, diff))
-    return [best[1]] if best else []
+    for i in range(len(blocks)):  # a stray word far from the rest is no part of the notice
+        same = 0
+        for b in blocks[i:]:
+            same += b.size
+            lo, hi = blocks[i].a, b.a + b.size
+            likeness = 2 * same / (hi - lo + len(theirs))
+            if same >= MIN_WORDING * len(theirs) and likeness >= MIN_WORDING and (best is None or (likeness, same) > best[:2]):
+                best = (likeness, same, lo, hi)
+    if best is None:
+        return None
+    likeness, same, lo, hi = best
+    diff = [x for x in difflib.ndiff(theirs, mine[lo:hi]) if x[0] in "+-"] if same < max(len(theirs), hi - lo) else []
+    return likeness, places[lo][0], places[hi - 1][1], diff, same
+
+
+def identify(text: str, start: int, end: int, wanted: list[int]) -> list[tuple]:
+    """Templates found in a block, as (words in common times likeness, start, end, license, saved share, likeness, differing words)."""
+    data = " ".join(text[start:end].lower().split()).encode()
+    plain = _size(data)
+    templates, out = _templates()[0], []
+    saved = sorted(((min(1.0, (plain - len(templates[k][2].compress(data))) / templates[k][3]), k) for k in wanted), reverse=True)
+    saved = [(s, k) for s, k in saved if s >= MIN_SAVED]
+    if saved:
+        places = [(m.start(), m.end()) for m in _WORD.finditer(text, start, end)]
+        mine = [text[a:b].lower() for a, b in places]
+        for share, k in saved:
+            found = _confirm(text, mine, places, k)
+            if found:
+                likeness, a, b, diff, same = found
+                out.append((same * likeness, a, b, templates[k][0], share, likeness, diff))
+    return out
 
 
 def find(text: str) -> list[dict]:
     """All licenses of a whole text, by place (code points)."""
-    return [{"license": n, "start": a + lo, "end": a + hi, "saved": s, "wording": w, "differences": list(d)}
-            for a, b in candidate_blocks(text) for lo, hi, n, s, w, d in identify(text[a:b])]
+    by: dict[tuple[int, int], list[int]] = {}
+    for a, b, k in candidate_blocks(text):
+        by.setdefault((a, b), []).append(k)
+    out = [(float("inf"), m.start(), m.end(), m.group(1), 1.0, 1.0, []) for m in _SPDX.finditer(text)]
+    for (a, b), wanted in by.items():
+        out += identify(text, a, b, wanted)
+    kept: list[tuple] = []
+    starts: list[int] = []
+    for x in sorted(out, key=lambda x: (-x[0], -x[4], x[1], x[3])):
+        i = bisect.bisect(starts, x[1])  # what is kept does not overlap, so only its neighbours by place can
+        if (i == 0 or kept[i - 1][2] <= x[1]) and (i == len(kept) or x[2] <= kept[i][1]):
+            kept.insert(i, x)
+            starts.insert(i, x[1])
+    return [{"license": n, "start": a, "end": b, "saved": s, "wording": w, "differences": d} for _, a, b, n, s, w, d in kept]
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
