@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import _text as T
-from . import bpe, decontaminate, hard_negatives, html_extract, langid, licenses, near_dup, nn_graph, pii, secret_scan, topk, warc
+from . import bpe, collocations, decontaminate, hard_negatives, html_extract, langid, licenses, near_dup, nn_graph, pii, secret_scan, topk, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,6 +117,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(F.transform("licenses", lambda x: F.size(x["differences"]))).alias("most_differences"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of every language."""
+    return collocations.mine(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector, the labels of every seventh moved on by one."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -131,7 +136,7 @@ def op13_nn_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_warc, op2_html_extract, op3_pii, op4_near_dup, op5_bpe, op6_secrets, op7_decontaminate,
-                            op8_langid, op9_topk, op10_licenses, op12_hard_negatives, op13_nn_graph)}
+                            op8_langid, op9_topk, op10_licenses, op11_collocations, op12_hard_negatives, op13_nn_graph)}
 
 # DuckDB SQL of what SQL can express.
 ORACLE = {
@@ -149,6 +154,24 @@ ORACLE = {
               FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
         r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT * FROM r WHERE rank <= 20""",
+    "op11_collocations": r"""
+        WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+        p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+        w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM p),
+        n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+        g AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS v(m) WHERE len(w) >= m),
+        f AS (SELECT lang, m, w[i:i + m - 1] AS w, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+        u AS (SELECT lang, w[i:i + k - 1] AS w, max(a) AS longer FROM
+                (SELECT lang, w, a, k, unnest(range(1, m - k + 2)) AS i FROM f, (VALUES (2), (3)) AS v(k) WHERE k < m) GROUP BY ALL),
+        c AS (SELECT f.lang, f.w, f.a, k, l.a AS l, r.a AS r, CAST((2000000::HUGEINT * f.a) // (l.a::HUGEINT + r.a) AS BIGINT) AS score
+              FROM f JOIN (VALUES (1), (2), (3)) AS v(k) ON k < f.m
+                JOIN f AS l ON l.lang = f.lang AND l.w = f.w[1:k] JOIN f AS r ON r.lang = f.lang AND r.w = f.w[k + 1:f.m]
+              QUALIFY row_number() OVER (PARTITION BY f.lang, f.w ORDER BY score, k) = 1),
+        s AS (SELECT c.lang, array_to_string(c.w, ' ') AS phrase, a, l, r, score FROM c LEFT JOIN u ON u.lang = c.lang AND u.w = c.w
+              WHERE u.longer IS NULL OR 100 * u.longer < 80 * a)
+        SELECT s.lang, row_number() OVER o AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, score
+        FROM s JOIN n ON n.lang = s.lang WINDOW o AS (PARTITION BY s.lang ORDER BY score DESC, a DESC, phrase)
+        QUALIFY row_number() OVER o <= 2000""",
     "op12_hard_negatives": """
         WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
