@@ -54,6 +54,29 @@ def test_parse_kinds_and_fields(spark):
     assert clocks[4] == "04:41:31"
 
 
+def test_user_text_does_not_decide(spark):
+    """Values, keys and errors of the user that read like messages."""
+    log = ["2031/11/02 04:40:00 ✓ Processed partition 0 offset 5: key=k, value=exhausted retries",
+           "2031/11/02 04:40:01 ✓ Processed partition 0 offset 3: key=a, b, value=✓ Committed partition 0 through offset 9",
+           "2031/11/02 04:40:02 Message partition 0 offset 4 failed on attempt 2: Processed partition 0 offset 1; retrying in 5s; retrying in 100ms",
+           "2031/11/02 04:40:03 note: ✓ Committed partition 0 through offset 1",
+           "2031/11/02 04:40:04 ✓ Processed partition 0 offset 4: key=k, value=Worker 1 processing partition 7 offset 8 attempt 9",
+           "✓ Committed partition 0 through offset 5"]
+    lines = spark.createDataFrame([("s", i, ln) for i, ln in enumerate(log)], "scenario string, line_idx bigint, line string")
+    got = [(r.line_idx, r.kind, r.log_partition, r.log_offset, r.log_attempt, r.log_key, r.delay_ms)
+           for r in ev.parse_log(lines).orderBy("line_idx").collect()]
+    assert got == [(0, "processed", 0, 5, None, "k", None), (1, "processed", 0, 3, None, "a, b", None), (2, "retry", 0, 4, 2, "", 100),
+                   (4, "processed", 0, 4, None, "k", None), (5, "committed", 0, 5, None, None, None)]
+    r = ev.out_of_order(ev.parse_log(lines), ["line_idx"], _bucket()).first()
+    assert (r.out_of_order, r.late_completions) == (True, 2)
+
+
+def test_rendered_durations(spark):
+    given = {0: "0s", 40: "40ms", 1500: "1.5s", 62_500: "1m2.5s", 3_600_000: "1h0m0s", 3_723_000: "1h2m3s"}
+    df = spark.createDataFrame([(k,) for k in given], "ms bigint")
+    assert {r.ms: r.t for r in df.select("ms", ev.go_duration("ms").alias("t")).collect()} == given
+
+
 def test_durations(spark):
     given = {"100ms": 100, "1h2m3s": 3_723_000, "1h0m0s": 3_600_000, "250µs": 0, "1500µs": 2, "2m": 120_000, "soon": None, "": None}
     df = spark.createDataFrame([(k,) for k in given], "t string")

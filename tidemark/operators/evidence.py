@@ -10,6 +10,8 @@ ever joined into one string.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,17 +67,31 @@ FMT_EXHAUSTED = ("Message partition %d offset %d exhausted retries (%d attempts)
 FMT_PROCESSED = "✓ Processed partition %d offset %d: key=%s, value=%s"
 FMT_COMMITTED = "✓ Committed partition %d through offset %d"
 
-# Parse patterns, one per field; the line kind decides which fields apply.
-RX_PARTITION = r"partition (\d+)"
-RX_OFFSET = r"offset (\d+)"
-RX_ATTEMPT = r"attempt (\d+)"
-RX_KEY = r"key=([^,; ]*)"
-RX_DELAY = r"retrying in (\S+)$"
+# What a line begins with: the clock, then the message.
+RX_CLOCK = r"^[0-9]{4}/[0-9]{2}/[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2} "
+CLOCK_CHARS = 20
+# Kind of message: (what it begins with, its whole format, the group of each field).
+# A format covers the message from its first character, so text of the user inside it
+# (keys, values, errors) never decides the kind or a field before it.
+FORMATS = {
+    "processing": ("Worker ", r"^Worker \d+ processing partition (\d+) offset (\d+) attempt (\d+)$",
+                   {"partition": 1, "offset": 2, "attempt": 3}),
+    "retry": ("Message partition ", r"(?s)^Message partition (\d+) offset (\d+) failed on attempt (\d+): (?:.*?key=([^,; ]*))?.*; retrying in (\S+)$",
+              {"partition": 1, "offset": 2, "attempt": 3, "key": 4, "delay": 5}),
+    "exhausted": ("Message partition ", r"(?s)^Message partition (\d+) offset (\d+) exhausted retries(?: \(\d+ attempts\))?; .*$",
+                  {"partition": 1, "offset": 2}),
+    "processed": ("✓ Processed partition ", r"(?s)^✓ Processed partition (\d+) offset (\d+): key=(.*?), value=.*$", {"partition": 1, "offset": 2, "key": 3}),
+    "committed": ("✓ Committed partition ", r"^✓ Committed partition (\d+) through offset (\d+)$", {"partition": 1, "offset": 2}),
+    "caught_up": ("Consumer caught up: ", r"^Consumer caught up: processed \d+/\d+ messages$", {}),
+    "drain_timeout": ("Drain timeout reached ", r"^Drain timeout reached with \d+ in-flight jobs still active$", {}),
+    "drained": ("All in-flight ", r"^All in-flight consumer work drained$", {}),
+    "intake_stopped": ("Consumer intake stopped", r"(?s)^Consumer intake stopped; .*$", {}),
+}
 
 
 # -- rendering -----------------------------------------------------------------
 def go_duration(ms) -> Column:
-    """Go ``time.Duration`` text of whole milliseconds (below one hour)."""
+    """Go ``time.Duration`` text of whole milliseconds."""
     ms = F.col(ms) if isinstance(ms, str) else ms
 
     def secs(v):
@@ -84,8 +100,8 @@ def go_duration(ms) -> Column:
     return (F.when(ms == 0, F.lit("0s"))
             .when(ms < 1000, F.concat(ms.cast("string"), F.lit("ms")))
             .when(ms < 60000, F.concat(secs(ms), F.lit("s")))
-            .otherwise(F.concat(F.floor(ms / 60000).cast("string"), F.lit("m"),
-                                secs(ms % 60000), F.lit("s"))))
+            .otherwise(F.concat(F.when(ms >= 3600000, F.concat(F.floor(ms / 3600000).cast("string"), F.lit("h"))).otherwise(F.lit("")),
+                                F.floor(ms % 3600000 / 60000).cast("string"), F.lit("m"), secs(ms % 60000), F.lit("s"))))
 
 
 def render_log(attempt_rows: DataFrame, commits: DataFrame, workers: int = 2) -> DataFrame:
@@ -141,46 +157,49 @@ def duration_ms(text) -> Column:
     return F.when(text.rlike(rf"^(?:{term})+$"), F.round(total)).cast("bigint")
 
 
-def _num(line: Column, rx: str) -> Column:
-    v = F.regexp_extract(line, rx, 1)
-    return F.when(v != "", v.cast("bigint"))
+def message(line) -> Column:
+    """The line without its clock."""
+    ln = F.col(line) if isinstance(line, str) else line
+    return F.when(ln.rlike(RX_CLOCK), ln.substr(F.lit(CLOCK_CHARS + 1), F.length(ln))).otherwise(ln)
 
 
 def line_kind(line) -> Column:
-    """Kind of a log line from its fixed marker text (cheap substring tests)."""
-    ln = F.col(line) if isinstance(line, str) else line
-    return (F.when(ln.contains("failed on attempt") & ln.contains("retrying in"), F.lit("retry"))
-            .when(ln.contains("exhausted retries"), F.lit("exhausted"))
-            .when(ln.contains(" processing partition "), F.lit("processing"))
-            .when(ln.contains("Processed partition"), F.lit("processed"))
-            .when(ln.contains("Committed partition"), F.lit("committed"))
-            .when(ln.contains("Consumer caught up: processed"), F.lit("caught_up"))
-            .when(ln.contains("Drain timeout reached"), F.lit("drain_timeout"))
-            .when(ln.contains("All in-flight consumer work drained"), F.lit("drained"))
-            .when(ln.contains("Consumer intake stopped"), F.lit("intake_stopped")))
+    """Kind of a log line by its whole format (a cheap look at its beginning first)."""
+    msg, kind = message(line), None
+    for name, (begin, rx, _) in FORMATS.items():
+        cond = msg.startswith(begin) & msg.rlike(rx)
+        kind = F.when(cond, F.lit(name)) if kind is None else kind.when(cond, F.lit(name))
+    return kind
 
 
 def parse_log(lines: DataFrame, line: str = "line") -> DataFrame:
     """One typed event per recognised line (other lines are dropped).
 
     Adds kind, log_partition, log_offset, log_attempt, log_key, delay_ms,
-    clock to the input columns (minus the text).  Fields come from one
-    pattern each (``partition N``, ``offset N``, ``attempt N``, ``key=K``,
-    ``retrying in D``), guarded by the kind.
+    clock to the input columns (minus the text).  Every kind has its own pattern
+    over the whole message.
     """
-    ln = F.col(line)
     keep = [c for c in lines.columns if c != line]
-    typed = lines.withColumn("kind", line_kind(ln)).where(F.col("kind").isNotNull())
-    k = F.col("kind")
-    record = k.isin("retry", "exhausted", "processing", "processed", "committed")
+    typed = lines.withColumn("kind", line_kind(line)).where(F.col("kind").isNotNull())
+    msg = message(line)
+
+    def part(name: str) -> Column:
+        out = None
+        for kind, (_, rx, groups) in FORMATS.items():
+            if name in groups:
+                value = F.regexp_extract(msg, rx, groups[name])
+                cond = F.col("kind") == kind
+                out = F.when(cond, value) if out is None else out.when(cond, value)
+        return out
+
     return typed.select(
         *keep, "kind",
-        F.when(record, _num(ln, RX_PARTITION)).cast("int").alias("log_partition"),
-        F.when(record, _num(ln, RX_OFFSET)).alias("log_offset"),
-        F.when(k.isin("retry", "processing"), _num(ln, RX_ATTEMPT)).cast("int").alias("log_attempt"),
-        F.when(k.isin("retry", "processed"), F.regexp_extract(ln, RX_KEY, 1)).alias("log_key"),
-        F.when(k == "retry", duration_ms(F.regexp_extract(ln, RX_DELAY, 1))).alias("delay_ms"),
-        log_clock(ln).alias("clock"))
+        part("partition").cast("int").alias("log_partition"),
+        part("offset").cast("bigint").alias("log_offset"),
+        part("attempt").cast("int").alias("log_attempt"),
+        part("key").alias("log_key"),
+        duration_ms(part("delay")).alias("delay_ms"),
+        log_clock(line).alias("clock"))
 
 
 # -- checks --------------------------------------------------------------------
@@ -282,11 +301,12 @@ def scenario_checks(lines: DataFrame, scenarios: DataFrame, ooo: DataFrame,
     return s.select(scenario, summary.alias("summary"))
 
 
-def derived_scenarios(parsed: DataFrame, order: list[str], scenario: str = "scenario") -> DataFrame:
-    """Scenario table for rendered logs: every expectation on; the replay key
-    is the key of the scenario's first failed try."""
+def derived_scenarios(parsed: DataFrame, order: list[str], scenario: str = "scenario",
+                      expected: Callable[[int], Column] = lambda i: F.lit(True)) -> DataFrame:
+    """Scenario table of logs: expectation i is on where ``expected(i)`` holds; the
+    replay key is the key of the scenario's first failed try."""
     retry = parsed.where(F.col("kind") == "retry")
     keys = retry.groupBy(scenario).agg(F.min_by("log_key", _order_struct(order)).alias("replay_key"))
     base = parsed.select(scenario).distinct()
-    flags = [F.lit(True).alias(f) for f in EXPECTATIONS]
+    flags = [expected(i).alias(f) for i, f in enumerate(EXPECTATIONS)]
     return base.join(keys, scenario, "left").select(scenario, *flags, "replay_key")

@@ -222,7 +222,7 @@ def _log_out_of_order(spark, d):
 def _scenario_checks(spark, d):
     lines = _run(spark, d).kept_loglines
     parsed = ev.parse_log(lines)
-    scenarios = ev.derived_scenarios(parsed, LOG_ORDER)
+    scenarios = ev.derived_scenarios(parsed, LOG_ORDER, expected=Run.expected)
     ooo = ev.out_of_order(parsed, LOG_ORDER, Run.log_bucket())
     return ev.scenario_checks(lines, scenarios, ooo)
 

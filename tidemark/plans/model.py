@@ -61,6 +61,12 @@ OFFSET_BEYOND = 1 << 40
 # Offsets per bucket over the driver's tables: at least ten buckets in each log
 # partition of the smallest table that is checked.  A long log takes the default.
 BUCKET_SIZE = 256
+# Values as the log shows them: text of the user that reads like messages of the consumer,
+# by k mod 25.
+USER_TEXT_MODULUS = 25
+USER_TEXT = {11: "; exhausted retries", 12: "; ✓ Committed partition 0 through offset 3", 13: "; failed on attempt 1: x; retrying in 5ms"}
+# Expectation i of a day's log is on unless (day of the month + i) mod 3 = 0.
+EXPECTATION_MODULUS = 3
 # Log order of rendered run logs and the time bucket of their ordered checks.
 LOG_ORDER = ["ts_ms", "kind_rank", "partition", "offset", "attempt"]
 LOG_BUCKET_MS = 60_000
@@ -236,7 +242,10 @@ class Run:
     @cached_property
     def loglines(self) -> DataFrame:
         """The run's log: one file per UTC day."""
-        a = att.expand_attempts(self.handled, self.m.policy, keep=("value",))
+        shown = F.col("value")
+        for k, text in USER_TEXT.items():
+            shown = F.when(F.col("k") % USER_TEXT_MODULUS == k, F.concat("value", F.lit(text))).otherwise(shown)
+        a = att.expand_attempts(self.handled.withColumn("value", shown), self.m.policy, keep=("value",))
         return ev.render_log(a, self.commits)
 
     @cached_property
@@ -245,6 +254,11 @@ class Run:
         checks then filter a stored column instead of re-rendering text."""
         return self._keep(self.loglines, "loglines")
 
+    @staticmethod
+    def expected(i: int) -> Column:
+        """Whether a day's log is expected to satisfy check i."""
+        return (F.dayofmonth(F.to_date("scenario")) + i) % EXPECTATION_MODULUS != 0
+
     @staticmethod
     def log_bucket() -> Column:
         return F.floor(F.col("ts_ms") / F.lit(LOG_BUCKET_MS)).cast("bigint")

@@ -8,7 +8,27 @@ the code that it checks.
 
 from __future__ import annotations
 
-from ..operators import evidence as EV
+# Written out here too: keywords, checks (marker, sentence, number of its expectation) and message formats.
+KEYWORDS = [
+    "Phase 1", "Phase 2", "Starting consumer group", "Produced message", "processing partition", "simulated transient failure", "retrying in",
+    "exhausted retries", "Processed partition", "Committed partition", "simulated commit failure", "Observed expected scenario error",
+    "Consumer caught up", "Consumer intake stopped", "Drain timeout reached", "All in-flight consumer work drained",
+    "Consumer stopped after processing"]
+CHECKS = [
+    ("Consumer caught up:", "consumer completed catch-up", 0),
+    ("retrying in", "explicit retry/backoff logs appeared", 1),
+    ("All in-flight consumer work drained", "graceful drain logs appeared", 2),
+    ("Committed partition", "real commit logs appeared", None),
+    ("exhausted retries", "retry exhaustion was observed", 3),
+    ("Drain timeout reached", "drain timeout logs appeared", 4),
+    ("simulated commit failure", "commit failure logs appeared", 5),
+    ("Observed expected scenario error", "expected scenario error was observed", 6)]
+OUT_OF_ORDER_CHECK = 7
+
+
+def _expected(i: int | None) -> str:
+    return "true" if i is None else f"(day(CAST(s.scenario AS DATE)) + {i}) % 3 <> 0"
+
 
 INF = (1 << 63) - 1
 # 3 retries, 100 ms base, 1 s cap: waits, and waits before try 1, 2, 3, 4.
@@ -141,48 +161,49 @@ cf AS (
         FROM cutrun)
   WHERE c < {INF} GROUP BY "partition", c),
 attv AS (
-  SELECT a.*, r.value FROM attempts a JOIN records r ON r."partition" = a."partition" AND r."offset" = a."offset"),
+  SELECT a.*, r.value || CASE r.k % 25 WHEN 11 THEN '; exhausted retries' WHEN 12 THEN '; ✓ Committed partition 0 through offset 3'
+                                       WHEN 13 THEN '; failed on attempt 1: x; retrying in 5ms' ELSE '' END AS value
+  FROM attempts a JOIN records r ON r."partition" = a."partition" AND r."offset" = a."offset"),
 lines0 AS (
   SELECT "partition", "offset", attempt, start_ms AS ts_ms, 0 AS kind_rank,
-         printf('{EV.FMT_PROCESSING}', "offset" % 2 + 1, "partition", "offset", attempt) AS body FROM attv
+         printf('Worker %d processing partition %d offset %d attempt %d', "offset" % 2 + 1, "partition", "offset", attempt) AS body FROM attv
   UNION ALL
   SELECT "partition", "offset", attempt, end_ms, 1,
-         printf('{EV.FMT_RETRY}', "partition", "offset", attempt, key, attempt,
+         printf('Message partition %d offset %d failed on attempt %d: simulated transient failure for key=%s attempt=%d; retrying in %s', "partition", "offset", attempt, key, attempt,
                 CASE WHEN delay_ms = 0 THEN '0s' WHEN delay_ms < 1000 THEN CAST(delay_ms AS VARCHAR) || 'ms'
                      ELSE regexp_replace(printf('%.3f', delay_ms / 1000.0), '\\.?0+$', '') || 's' END)
   FROM attv WHERE NOT ok AND retry
   UNION ALL
   SELECT "partition", "offset", attempt, end_ms, 2,
-         printf('{EV.FMT_EXHAUSTED}', "partition", "offset", attempt) FROM attv WHERE NOT ok AND NOT retry
+         printf('Message partition %d offset %d exhausted retries (%d attempts); leaving offset uncommitted for replay on restart/rebalance', "partition", "offset", attempt) FROM attv WHERE NOT ok AND NOT retry
   UNION ALL
   SELECT "partition", "offset", attempt, end_ms, 3,
-         printf('{EV.FMT_PROCESSED}', "partition", "offset", key, value) FROM attv WHERE ok
+         printf('✓ Processed partition %d offset %d: key=%s, value=%s', "partition", "offset", key, value) FROM attv WHERE ok
   UNION ALL
   SELECT "partition", committed_through, 0, commit_ms, 4,
-         printf('{EV.FMT_COMMITTED}', "partition", committed_through) FROM commits WHERE ok),
+         printf('✓ Committed partition %d through offset %d', "partition", committed_through) FROM commits WHERE ok),
 loglines AS (
   SELECT strftime(make_timestamp(ts_ms * 1000), '%Y-%m-%d') AS scenario, ts_ms, kind_rank, "partition", "offset",
          attempt, strftime(make_timestamp(ts_ms * 1000), '%Y/%m/%d %H:%M:%S') || ' ' || body AS line
   FROM lines0),
 parsed AS (
   SELECT scenario, ts_ms, kind_rank, "partition", "offset", attempt, kind,
-         CAST(NULLIF(regexp_extract(line, 'partition ([0-9]+)', 1), '') AS INTEGER) AS log_partition,
-         CAST(NULLIF(regexp_extract(line, 'offset ([0-9]+)', 1), '') AS BIGINT) AS log_offset,
-         CAST(CASE WHEN kind IN ('retry', 'processing') THEN NULLIF(regexp_extract(line, 'attempt ([0-9]+)', 1), '') END AS INTEGER) AS log_attempt,
-         CASE WHEN kind IN ('retry', 'processed') THEN regexp_extract(line, 'key=([^,; ]*)', 1) END AS log_key,
+         CAST(regexp_extract(msg, 'partition ([0-9]+)', 1) AS INTEGER) AS log_partition,
+         CAST(regexp_extract(msg, 'offset ([0-9]+)', 1) AS BIGINT) AS log_offset,
+         CAST(CASE WHEN kind IN ('retry', 'processing') THEN regexp_extract(msg, 'attempt ([0-9]+)', 1) END AS INTEGER) AS log_attempt,
+         CASE WHEN kind IN ('retry', 'processed') THEN regexp_extract(msg, 'key=([^,; ]*)', 1) END AS log_key,
          CASE WHEN kind = 'retry' THEN
-           CASE WHEN regexp_extract(line, 'retrying in (\\S+)$', 1) LIKE '%ms'
-                THEN CAST(round(CAST(regexp_extract(line, 'retrying in ([0-9.]+)ms$', 1) AS DOUBLE)) AS BIGINT)
-                ELSE CAST(round(CAST(regexp_extract(line, 'retrying in ([0-9.]+)s$', 1) AS DOUBLE) * 1000) AS BIGINT) END
+           CASE WHEN msg LIKE '%ms' THEN CAST(round(CAST(regexp_extract(msg, 'retrying in ([0-9.]+)ms$', 1) AS DOUBLE)) AS BIGINT)
+                ELSE CAST(round(CAST(regexp_extract(msg, 'retrying in ([0-9.]+)s$', 1) AS DOUBLE) * 1000) AS BIGINT) END
          END AS delay_ms,
          CASE WHEN length(line) >= 19 AND contains(substr(line, 1, 19), '/') THEN substr(line, 12, 8) ELSE 'time N/A' END AS clock,
          line
-  FROM (SELECT *, CASE WHEN contains(line, 'failed on attempt') AND contains(line, 'retrying in') THEN 'retry'
-                       WHEN contains(line, 'exhausted retries') THEN 'exhausted'
-                       WHEN contains(line, ' processing partition ') THEN 'processing'
-                       WHEN contains(line, 'Processed partition') THEN 'processed'
-                       WHEN contains(line, 'Committed partition') THEN 'committed' END AS kind
-        FROM loglines) WHERE kind IS NOT NULL),
+  FROM (SELECT *, CASE WHEN msg LIKE 'Worker %' THEN 'processing'
+                       WHEN regexp_matches(msg, '^Message partition [0-9]+ offset [0-9]+ failed') THEN 'retry'
+                       WHEN regexp_matches(msg, '^Message partition [0-9]+ offset [0-9]+ exhausted') THEN 'exhausted'
+                       WHEN msg LIKE '✓ Processed%' THEN 'processed'
+                       WHEN msg LIKE '✓ Committed%' THEN 'committed' END AS kind
+        FROM (SELECT *, substr(line, 21) AS msg FROM loglines)) WHERE kind IS NOT NULL),
 replay_keys AS (
   SELECT scenario, log_key AS replay_key FROM (
     SELECT scenario, log_key, row_number() OVER (PARTITION BY scenario ORDER BY ts_ms, kind_rank, "partition", "offset", attempt) AS rn
@@ -381,24 +402,24 @@ def queries() -> dict[str, str]:
             SELECT scenario, ts_ms, kind_rank, "partition", "offset", attempt, kind, log_partition, log_offset,
                    log_attempt, log_key, delay_ms, clock FROM parsed"""),
         "log_keyword_filter": q(f"""
-            SELECT * FROM loglines WHERE {" OR ".join(f"contains(line, '{k}')" for k in EV.KEYWORDS)}"""),
+            SELECT * FROM loglines WHERE {" OR ".join(f"contains(line, '{k}')" for k in KEYWORDS)}"""),
         "log_out_of_order": q("""SELECT * FROM ooo"""),
         "log_file_out_of_order": q("""SELECT * FROM ooo"""),
         "substring_count": q("""SELECT * FROM occ"""),
         "scenario_checks": q(f"""
             , seen AS (
-              SELECT scenario, {", ".join(f"bool_or(contains(line, '{m}')) AS h{i}" for i, (_, m, _) in enumerate(EV.CHECKS))},
-                     bool_or(contains(line, '{EV.REPLAY_MARKER}')) AS replayed
+              SELECT scenario, {", ".join(f"bool_or(contains(line, '{m}')) AS h{i}" for i, (m, _, _) in enumerate(CHECKS))},
+                     bool_or(contains(line, 'replayed messages')) AS replayed
               FROM loglines GROUP BY 1),
             parts AS (
-              SELECT s.scenario, concat_ws('; ', {", ".join(f"CASE WHEN h{i} THEN '{sent}' END" for i, (_, _, sent) in enumerate(EV.CHECKS))},
-                     CASE WHEN k.replay_key IS NOT NULL AND (COALESCE(o.occurrences, 0) >= 2 OR replayed) THEN '{EV.REPLAY_SENTENCE}' END,
-                     CASE WHEN COALESCE(x.out_of_order, false) THEN '{EV.OUT_OF_ORDER_SENTENCE}' END) AS joined
+              SELECT s.scenario, concat_ws('; ', {", ".join(f"CASE WHEN h{i} AND {_expected(e)} THEN '{sent}' END" for i, (_, sent, e) in enumerate(CHECKS))},
+                     CASE WHEN k.replay_key IS NOT NULL AND (COALESCE(o.occurrences, 0) >= 2 OR replayed) THEN 'uncommitted message replay was observed' END,
+                     CASE WHEN COALESCE(x.out_of_order, false) AND {_expected(OUT_OF_ORDER_CHECK)} THEN 'out-of-order completion still committed only after the gap closed' END) AS joined
               FROM seen s LEFT JOIN replay_keys k ON k.scenario = s.scenario
               LEFT JOIN occ o ON o.scenario = s.scenario LEFT JOIN ooo x ON x.scenario = s.scenario)
-            SELECT scenario, CASE WHEN joined = '' THEN '{EV.NO_CHECK_SENTENCE}' ELSE joined || '.' END AS summary FROM parts"""),
+            SELECT scenario, CASE WHEN joined = '' THEN 'This scenario ran, but none of the expected summary checks were matched.' ELSE joined || '.' END AS summary FROM parts"""),
         "log_first_last": q(f"""
-            , kw AS (SELECT unnest([{", ".join("'" + k + "'" for k in EV.KEYWORDS)}]) AS keyword),
+            , kw AS (SELECT unnest([{", ".join("'" + k + "'" for k in KEYWORDS)}]) AS keyword),
             hits AS (
               SELECT l.scenario, k.keyword, arg_min(CASE WHEN length(l.line) >= 19 AND contains(substr(l.line, 1, 19), '/') THEN substr(l.line, 12, 8) ELSE 'time N/A' END, l.ts_ms) AS first_clock,
                      arg_max(CASE WHEN length(l.line) >= 19 AND contains(substr(l.line, 1, 19), '/') THEN substr(l.line, 12, 8) ELSE 'time N/A' END, l.ts_ms) AS last_clock
