@@ -3,14 +3,17 @@
 import random
 import tempfile
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import frontier as fr
 from tidemark.streaming import pipeline as sp
-from tidemark.streaming.frontier import final_timeline, streaming_frontier
+from tidemark.streaming.frontier import _NOT_DONE, final_timeline, head_steps, streaming_frontier
 
 
-def test_stream_equals_batch_random_arrival(spark):
+@pytest.mark.parametrize("bucket", [4, 4096])
+def test_stream_equals_batch_random_arrival(spark, bucket):
     rnd = random.Random(7)
     rows, bases = [], []
     for p in range(5):
@@ -34,7 +37,7 @@ def test_stream_equals_batch_random_arrival(spark):
     base = spark.createDataFrame(bases, "partition int, base bigint")
     stream = (spark.readStream.schema("partition int, offset bigint, done_ms bigint")
               .option("maxFilesPerTrigger", 1).parquet(f"{d}/in"))
-    status = sp.run_available(streaming_frontier(stream, base).writeStream
+    status = sp.run_available(streaming_frontier(stream, base, bucket).writeStream
                               .foreachBatch(sp.commit_sink(f"{d}/commits"))
                               .option("checkpointLocation", f"{d}/ckpt"), 600)
     assert status == "caught_up"
@@ -60,9 +63,17 @@ def test_stream_stall_then_release(spark):
     base = spark.createDataFrame([(0, -1)], "partition int, base bigint")
     stream = (spark.readStream.schema("partition int, offset bigint, done_ms bigint")
               .option("maxFilesPerTrigger", 1).parquet(f"{d}/in"))
-    assert sp.run_available(streaming_frontier(stream, base).writeStream
+    assert sp.run_available(streaming_frontier(stream, base, 8).writeStream
                             .foreachBatch(sp.commit_sink(f"{d}/commits"))
                             .option("checkpointLocation", f"{d}/ckpt"), 600) == "caught_up"
     got = [tuple(r) for r in sp.read_commits(spark, f"{d}/commits")
            .select("commit_ms", "committed_through", "released").collect()]
     assert got == [(5000, 79, 80)]
+
+
+def test_head_steps():
+    run, last, tops = head_steps(np.array([5, 3, 9, 9, _NOT_DONE, 1]), 4)
+    assert (run, last.tolist(), tops.tolist()) == (4, [1, 3], [5, 9])
+    assert head_steps(np.array([_NOT_DONE, 1]), 4)[0] == 0
+    run, last, tops = head_steps(np.array([1, 2]), 7)
+    assert (run, last.tolist(), tops.tolist()) == (2, [1], [7])

@@ -308,7 +308,7 @@ def _stream_frontier(spark, d):
     done.repartitionByRange(STREAM_FILES, "done_ms").write.parquet(f"{work}/completions")
     stream = (spark.readStream.schema("partition int, offset bigint, done_ms bigint")
               .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(f"{work}/completions"))
-    adv = streaming_frontier(stream, r.base)
+    adv = streaming_frontier(stream, r.base, _M.B)
     sp.run_available(adv.writeStream.foreachBatch(sp.commit_sink(f"{work}/commits"))
                      .option("checkpointLocation", f"{work}/ckpt"))
     return sp.read_commits(spark, f"{work}/commits")
@@ -323,7 +323,7 @@ def _stream_pipeline(spark, d):
     policy = _M.policy
     return sp.pipeline(spark, f"{work}/log", work, lambda batch: att.outcomes(batch, policy), r.base,
                        STREAM_FILES_PER_TRIGGER, None,
-                       sp.RECORD_SCHEMA + ", failures int, latency_ms bigint")
+                       sp.RECORD_SCHEMA + ", failures int, latency_ms bigint", _M.B)
 
 # -- handlers ----------------------------------------------------------------------
 # Fixed values of the example user handler: a record whose event id is 3 mod 7

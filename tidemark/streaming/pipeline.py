@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..params import DEFAULT_BUCKET_SIZE
 from .frontier import final_timeline, streaming_frontier
 
 RECORD_SCHEMA = "partition int, offset bigint, key string, value string, fetched_ms bigint"
@@ -99,7 +100,7 @@ def run_available(query_builder, timeout_s: float | None = None) -> str:
 def pipeline(spark: SparkSession, log_path: str, work_dir: str,
              handle: Callable[[DataFrame], DataFrame], base: DataFrame | None,
              max_files_per_trigger: int = 1, timeout_s: float | None = None,
-             schema: str = RECORD_SCHEMA) -> DataFrame:
+             schema: str = RECORD_SCHEMA, bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
     """T4: records -> handler -> outcomes table -> streaming frontier -> commits.
 
     ``handle`` maps a records micro-batch to outcome rows (partition, offset,
@@ -117,7 +118,7 @@ def pipeline(spark: SparkSession, log_path: str, work_dir: str,
     done = (spark.readStream.schema("partition int, offset bigint, done_ms bigint, batch_id int")
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(outcomes_path)
             .where(F.col("done_ms").isNotNull()))
-    adv = streaming_frontier(done, base)
+    adv = streaming_frontier(done, base, bucket_size)
     status = run_available(adv.writeStream.foreachBatch(commit_sink(commits_path))
                            .option("checkpointLocation", f"{work_dir}/ckpt-frontier"), timeout_s)
     if status != "caught_up":
