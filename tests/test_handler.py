@@ -1,10 +1,18 @@
 """User handlers in tasks, and the per-key failure budget."""
 
+import tempfile
+from threading import Event
+
+import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import attempts as att
-from tidemark.operators.handler import handle_records, handler_outcomes
+from tidemark.operators.handler import ATTEMPT_SCHEMA, handle_records, handler_outcomes, one_try
 from tidemark.params import RetryPolicy
+from tidemark.streaming import pipeline as sp
+from tidemark.streaming.handler import streaming_attempts
 
 
 def _records(spark, n=12):
@@ -29,14 +37,76 @@ def test_handler_retries_failed_rows_only(spark):
     assert outs[5] == "exhausted" and outs[0] == "done"
 
 
-def test_handler_defers_long_waits(spark):
+def test_a_raising_handler_fails_the_try_and_not_the_job(spark):
+    """Errors, starts and ends of every try; rows beside a raising one are processed."""
+    class Broken(Exception):
+        took_ms = 7
+
     def handler(pdf):
-        return pdf["offset"] != 2
+        if (pdf["offset"] == 5).any():
+            raise Broken("no such tea")
+        ok = ~((pdf["offset"] == 2) & (pdf["attempt"] == 1))
+        return pd.DataFrame({"ok": ok, "error": np.where(ok, None, "busy"), "took_ms": 3})
+
+    rows = handle_records(_records(spark), handler, RetryPolicy(2, 100, 1000))
+    got = {}
+    for r in rows.orderBy("offset", "attempt").collect():
+        got.setdefault(r.offset, []).append((r.attempt, r.start_ms, r.end_ms, r.ok, r.error, r.retry, r.delay_ms))
+    assert got[5] == [(1, 5, 12, False, "Broken: no such tea", True, 100), (2, 112, 119, False, "Broken: no such tea", True, 200),
+                      (3, 319, 326, False, "Broken: no such tea", False, 0)]
+    assert got[2] == [(1, 2, 5, False, "busy", True, 100), (2, 105, 108, True, None, False, 0)]
+    assert all(got[o] == [(1, o, o + 3, True, None, False, 0)] for o in range(12) if o not in (2, 5))
+    out = {r.offset: (r.attempts, r.status, r.done_ms, r.end_ms, r.error) for r in handler_outcomes(rows).collect()}
+    assert out[5] == (3, "exhausted", None, 326, "Broken: no such tea") and out[2] == (2, "done", 108, 108, None)
+
+
+def test_an_answer_of_another_length_is_an_error():
+    with pytest.raises(ValueError, match="1 of 2 rows"):
+        one_try(lambda pdf: pd.Series([True]), pd.DataFrame({"a": [1, 2]}))
+
+
+def _streamed(spark, handler, records, policy, run):
+    """Attempts of a streamed run over one file a record; ``run`` gets the query and its progress."""
+    d = tempfile.mkdtemp(prefix="tidemark-handler-", dir="/tmp")
+    records.repartition(3).write.parquet(f"{d}/log")
+    progress = sp.Progress()
+    stream = sp.read_log_stream(spark, f"{d}/log", max_files_per_trigger=1)
+    query = streaming_attempts(stream, handler, policy, key_buckets=2).writeStream.foreachBatch(
+        sp.attempts_sink(f"{d}/attempts", progress)).option("checkpointLocation", f"{d}/ckpt")
+    return run(query, progress), f"{d}/attempts"
+
+
+def _flaky():
+    def handler(pdf):  # goes to the workers by value: they do not see this module
+        if (pdf["offset"] == 5).any():
+            raise RuntimeError("never")
+        return ~((pdf["offset"] % 4 == 0) & (pdf["attempt"] <= 2))
+
+    return handler
+
+
+def test_streamed_retries_equal_batch_retries(spark):
+    """Retries wait on timers; a record that always fails has all its tries and no more."""
+    policy = RetryPolicy(3, 100, 1000)
+    status, path = _streamed(spark, _flaky(), _records(spark), policy, lambda q, p: sp.run_until(q, p, 12, 300))
+    assert status == "caught_up"
+    cols = ["partition", "offset", "key", "attempt", "start_ms", "end_ms", "ok", "error", "retry", "delay_ms"]
+    streamed = sorted(map(str, spark.read.schema(ATTEMPT_SCHEMA).parquet(path).select(cols).collect()))
+    assert streamed == sorted(map(str, handle_records(_records(spark), _flaky(), policy).select(cols).collect()))
+    assert len({r.batch_id for r in spark.read.parquet(path).select("batch_id").collect()}) > 1
+
 
-    rows = handle_records(_records(spark, 4), handler, RetryPolicy(3, 50, 1000), sleep=True,
-                          max_inline_wait_ms=60).where("offset = 2").orderBy("attempt").collect()
-    # first wait (50 ms) is slept inline, the second (100 ms) exceeds the cap: deferred to replay
-    assert [(r.attempt, r.retry, r.deferred) for r in rows] == [(1, True, False), (2, False, True)]
+def test_a_live_query_stops_on_a_signal_or_at_the_deadline(spark):
+    """One record waits for a minute: the rest is finished, the run is cut off."""
+    policy = RetryPolicy(1, 60_000, 60_000)
+    stop = Event()
+    stop.set()
+    status, _ = _streamed(spark, _flaky(), _records(spark, 6), policy, lambda q, p: sp.run_until(q, p, 6, None, stop))
+    assert status == "interrupted"
+    status, path = _streamed(spark, _flaky(), _records(spark, 6), policy, lambda q, p: sp.run_until(q, p, 6, 45))
+    assert status == "timeout"
+    waiting = {r.offset for r in spark.read.schema(ATTEMPT_SCHEMA).parquet(path).where("retry").collect()}
+    assert waiting == {0, 4, 5}
 
 
 def _step_budget(keys, budget, n):

@@ -1,14 +1,19 @@
 """user handlers with bounded retry, run inside Spark tasks.
 
 A handler is a vectorised Python function: it receives a pandas DataFrame of
-records (plus the ``attempt`` number) and returns a boolean Series, True
-where the record was processed.  ``handle_records`` runs it with
-``mapInPandas`` (Arrow batches, no per-row serialisation), retries only the
-failed rows under the retry policy and emits one attempts row per try.
-Waits between tries are either virtual (recorded, not slept) or real sleeps
-capped at ``max_inline_wait_ms``; rows whose next wait would exceed the cap
-stop retrying in the task and are left to the next run's replay, so a long
-backoff never holds a task slot.
+records (plus the ``attempt`` number) and returns, row by row, whether each was
+processed: a boolean Series, or a DataFrame with ``ok`` and, if it likes, ``error``
+(text) and ``took_ms``.  A handler that raises fails the tries of the rows it was
+given, never the job: the rows are halved until the raising ones stand alone, and
+each of those is a failed try with the exception's type and text (and its
+``took_ms`` attribute, if it has one).  Rows beside them are handed over again, which
+is at-least-once delivery like everything here.
+
+``handle_records`` (batch) retries the failed rows under the retry policy and emits
+one attempts row per try, with its error, start and end.  Times run on the record's
+own clock: the first try starts when the record was fetched, a try ends ``took_ms``
+later and the next one starts after the policy's wait.  Nothing is slept and no
+record is put off.  Waiting for real is ``streaming.handler``.
 """
 
 from __future__ import annotations
@@ -18,62 +23,81 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..params import RetryPolicy
 
-ATTEMPT_SCHEMA = ("partition int, offset bigint, key string, attempt int, ok boolean, "
-                  "retry boolean, delay_ms bigint, deferred boolean")
-
-Handler = Callable[[pd.DataFrame], pd.Series]
-
-
-def handle_records(records: DataFrame, handler: Handler, policy: RetryPolicy,
-                   sleep: bool = False, max_inline_wait_ms: int = 0) -> DataFrame:
+ATTEMPT_SCHEMA = ("partition int, offset bigint, key string, attempt int, start_ms bigint, end_ms bigint, "
+                  "ok boolean, error string, retry boolean, delay_ms bigint")
+
+Handler = Callable[[pd.DataFrame], "pd.Series | pd.DataFrame"]
+#: Error of a try that failed without saying why.
+FAILED = "failed"
+
+
+def one_try(handler: Handler, rows: pd.DataFrame) -> pd.DataFrame:
+    """``ok``, ``error`` and ``took_ms`` of one try of every row, in row order."""
+    n = len(rows)
+    try:
+        res = handler(rows.copy())
+    except Exception as e:  # noqa: BLE001 - whatever a handler raises is a failed try
+        if n == 1:
+            return pd.DataFrame({"ok": [False], "error": [f"{type(e).__name__}: {e}"], "took_ms": [int(getattr(e, "took_ms", 0))]})
+        return pd.concat([one_try(handler, rows.iloc[:n // 2]), one_try(handler, rows.iloc[n // 2:])], ignore_index=True)
+    told = res if isinstance(res, pd.DataFrame) else pd.DataFrame({"ok": np.asarray(res)})
+    if len(told) != n:
+        raise ValueError(f"the handler answered {len(told)} of {n} rows")
+    ok = told["ok"].fillna(False).astype(bool).to_numpy()
+    error = told["error"].to_numpy(dtype=object) if "error" in told else np.full(n, None, dtype=object)
+    error = np.where(ok, None, np.where(pd.isna(error), FAILED, error))
+    took = told["took_ms"].fillna(0).to_numpy(dtype=np.int64) if "took_ms" in told else np.zeros(n, dtype=np.int64)
+    return pd.DataFrame({"ok": ok, "error": error, "took_ms": took})
+
+
+class Tries:
+    """Tries of record batches under a retry policy (normalised once, on the driver)."""
+
+    def __init__(self, handler: Handler, policy: RetryPolicy) -> None:
+        pol = policy.normalised()
+        self.handler, self.retries, self.waits = handler, pol.max_retries, np.array(pol.delay_table(), dtype=np.int64)
+
+    def run(self, rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """One try of every row (``attempt`` and ``clock_ms`` say which and when): the
+        attempts rows, and the rows to be tried again with their next number and time."""
+        rows = rows.reset_index(drop=True)
+        told = one_try(self.handler, rows)
+        attempt, start = rows["attempt"].to_numpy(dtype=np.int64), rows["clock_ms"].to_numpy(dtype=np.int64)
+        ok, end = told["ok"].to_numpy(), start + told["took_ms"].to_numpy()
+        retry = ~ok & (attempt >= 1) & (attempt <= self.retries)
+        wait = np.where(retry, self.waits[np.clip(attempt, 1, len(self.waits)) - 1], 0)
+        tried = pd.DataFrame({
+            "partition": rows["partition"].astype("int32"), "offset": rows["offset"].astype("int64"), "key": rows["key"],
+            "attempt": attempt.astype("int32"), "start_ms": start, "end_ms": end, "ok": ok, "error": told["error"],
+            "retry": retry, "delay_ms": wait.astype("int64")})
+        again = rows[retry].assign(attempt=(attempt + 1)[retry].astype("int32"), clock_ms=(end + wait)[retry])
+        return tried, again.assign(wait_ms=wait[retry])
+
+
+def handle_records(records: DataFrame, handler: Handler, policy: RetryPolicy) -> DataFrame:
     """Run ``handler`` over every record with bounded retry; one row per try."""
-    pol = policy.normalised()
-    table = np.array(pol.delay_table(), dtype=np.int64)
-    n = pol.max_retries
-
-    def delays(attempts: np.ndarray) -> np.ndarray:
-        idx = np.minimum(np.maximum(attempts, 1), len(table)) - 1
-        return table[idx]
+    tries = Tries(handler, policy)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import time
-
         for pdf in batches:
-            pending = pdf.reset_index(drop=True).assign(attempt=1)
+            clock = pdf["fetched_ms"].fillna(0) if "fetched_ms" in pdf else 0
+            pending = pdf.assign(attempt=np.int32(1), clock_ms=clock)
             while len(pending):
-                ok = np.asarray(handler(pending.copy()), dtype=bool)
-                att = pending["attempt"].to_numpy()
-                retry = (~ok) & (att >= 1) & (att <= n)
-                wait = np.where(retry, delays(att), 0)
-                deferred = np.zeros(len(pending), dtype=bool)
-                if sleep and max_inline_wait_ms >= 0:
-                    deferred = retry & (wait > max_inline_wait_ms)
-                    retry = retry & ~deferred
-                yield pd.DataFrame({
-                    "partition": pending["partition"].astype("int32"),
-                    "offset": pending["offset"].astype("int64"),
-                    "key": pending["key"],
-                    "attempt": att.astype("int32"),
-                    "ok": ok, "retry": retry,
-                    "delay_ms": np.where(retry | deferred, wait, 0).astype("int64"),
-                    "deferred": deferred,
-                })
-                if sleep and retry.any():
-                    time.sleep(float(wait[retry].max()) / 1000.0)  # tries of one batch wait together
-                pending = pending[retry].assign(attempt=lambda d: d["attempt"] + 1)
+                tried, again = tries.run(pending)
+                yield tried
+                pending = again.drop(columns="wait_ms")
 
     return records.mapInPandas(run, ATTEMPT_SCHEMA)
 
 
 def handler_outcomes(attempt_rows: DataFrame) -> DataFrame:
-    """Outcome per record from handler attempts: done / exhausted / deferred."""
-    from pyspark.sql import functions as F
-
-    return attempt_rows.groupBy("partition", "offset", "key").agg(
-        F.max("attempt").alias("attempts"),
-        F.when(F.bool_or("ok"), F.lit("done"))
-         .when(F.bool_or("deferred"), F.lit("deferred"))
-         .otherwise(F.lit("exhausted")).alias("status"))
+    """Outcome per record from handler attempts: done or exhausted, when it was done,
+    when its last try ended, and the error of that one."""
+    last = F.max_by(F.struct("ok", "end_ms", "error"), "attempt")
+    return attempt_rows.groupBy("partition", "offset", "key").agg(F.max("attempt").alias("attempts"), last.alias("last")).select(
+        "partition", "offset", "key", "attempts", F.when(F.col("last.ok"), F.lit("done")).otherwise(F.lit("exhausted")).alias("status"),
+        F.when(F.col("last.ok"), F.col("last.end_ms")).alias("done_ms"), F.col("last.end_ms").alias("end_ms"), F.col("last.error").alias("error"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -315,28 +317,52 @@ def _stream_frontier(spark, d):
 
 
 def _stream_pipeline(spark, d):
-    """T4: file log -> handler (foreachBatch) -> outcomes -> T1 -> commit sink."""
+    """T4: file log -> user handler with retry timers -> attempts -> T1 -> commit sink."""
     r = _run(spark, d)
     work = scratch_path(spark, "stream-pipeline")
     log = r.handled.select("partition", "offset", "key", "value", "fetched_ms", "failures", "latency_ms")
     sp.write_log(log, f"{work}/log", STREAM_FILES)
-    policy = _M.policy
-    return sp.pipeline(spark, f"{work}/log", work, lambda batch: att.outcomes(batch, policy), r.base,
-                       STREAM_FILES_PER_TRIGGER, None,
-                       sp.RECORD_SCHEMA + ", failures int, latency_ms bigint", _M.B)
+    return sp.pipeline(spark, f"{work}/log", work, model_handler, _M.policy, r.base, STREAM_FILES_PER_TRIGGER,
+                       schema=sp.RECORD_SCHEMA + ", failures int, latency_ms bigint", bucket_size=_M.B)
+
 
 # -- handlers ----------------------------------------------------------------------
-# Fixed values of the example user handler: a record whose event id is 3 mod 7
-# fails its first try.  Budget model: keys whose user id is 2 mod 10 fail their
-# first 5 tries in total.
+# Fixed values of the example user handlers: a record whose event id is 3 mod 7 fails its
+# first try, one whose id is 5 mod 101 raises in every try; a try takes 10 ms per unit of
+# (id mod 10).  The model's handler raises where a failing record's offset is 0 mod 97.
+# Budget model: keys whose user id is 2 mod 10 fail their first 5 tries in total.
 FLAKY_MODULUS, FLAKY_REMAINDER = 7, 3
+RAISING_MODULUS, RAISING_REMAINDER = 101, 5
+RAISING_OFFSETS = 97
 BUDGET_MODULUS, BUDGET_REMAINDER, BUDGET_TRIES = 10, 2, 5
 
 
+class HandlerFault(RuntimeError):
+    """A fault that says how long the try took."""
+
+    def __init__(self, text: str, took_ms: int) -> None:
+        super().__init__(text)
+        self.took_ms = took_ms
+
+
 def flaky_handler(pdf):
-    """Example user handler (vectorised): True where the try succeeds."""
+    """Example user handler (vectorised): per row whether the try succeeds, its error and duration."""
     ids = pdf["value"].str.extract(r"^message-(\d+):", expand=False).astype("int64")
-    return ~((ids % FLAKY_MODULUS == FLAKY_REMAINDER) & (pdf["attempt"] == 1))
+    took = 10 * (ids % 10)
+    bad = ids[ids % RAISING_MODULUS == RAISING_REMAINDER]
+    if len(bad):
+        raise HandlerFault(f"cannot read message {bad.iloc[0]}", int(took[bad.index[0]]))
+    ok = ~((ids % FLAKY_MODULUS == FLAKY_REMAINDER) & (pdf["attempt"] == 1))
+    return pd.DataFrame({"ok": ok, "error": np.where(ok, None, "not yet"), "took_ms": took})
+
+
+def model_handler(pdf):
+    """The model's handler: a record fails its first ``failures`` tries, each takes ``latency_ms``."""
+    fails = pdf["attempt"] <= pdf["failures"]
+    raising = pdf[fails & (pdf["offset"] % RAISING_OFFSETS == 0)]
+    if len(raising):
+        raise HandlerFault("simulated fault", int(raising["latency_ms"].iloc[0]))
+    return pd.DataFrame({"ok": ~fails, "took_ms": pdf["latency_ms"]})
 
 
 def _user_handler(spark, d):

@@ -428,12 +428,17 @@ def queries() -> dict[str, str]:
             SELECT e.scenario, e.keyword, COALESCE(h.first_clock, 'time N/A') AS first_clock,
                    COALESCE(h.last_clock, 'time N/A') AS last_clock
             FROM every e LEFT JOIN hits h ON h.scenario = e.scenario AND h.keyword = e.keyword"""),
-        "user_handler": q("""
-            SELECT "partition", "offset", key, 1 AS attempt, NOT (seq % 7 = 3) AS ok, (seq % 7 = 3) AS retry,
-                   CAST(CASE WHEN seq % 7 = 3 THEN 100 ELSE 0 END AS BIGINT) AS delay_ms, false AS deferred
-            FROM records
-            UNION ALL
-            SELECT "partition", "offset", key, 2, true, false, CAST(0 AS BIGINT), false FROM records WHERE seq % 7 = 3"""),
+        "user_handler": q(f"""
+            , h AS (
+              SELECT "partition", "offset", key, fetched_ms, seq % 101 = 5 AS raises, seq % 7 = 3 AS flaky, 10 * (seq % 10) AS took, seq,
+                     unnest(range(1, CASE WHEN seq % 101 = 5 THEN {N} + 2 WHEN seq % 7 = 3 THEN 3 ELSE 2 END)) AS a
+              FROM records),
+            t AS (SELECT *, fetched_ms + (a - 1) * took + {SUMS}[a] AS start_ms, NOT raises AND NOT (flaky AND a = 1) AS ok FROM h)
+            SELECT "partition", "offset", key, CAST(a AS INTEGER) AS attempt, CAST(start_ms AS BIGINT) AS start_ms,
+                   CAST(start_ms + took AS BIGINT) AS end_ms, ok,
+                   CASE WHEN ok THEN NULL WHEN raises THEN 'HandlerFault: cannot read message ' || CAST(seq AS VARCHAR) ELSE 'not yet' END AS error,
+                   NOT ok AND a <= {N} AS retry, CAST(CASE WHEN NOT ok AND a <= {N} THEN {DELAY_LIST}[a] ELSE 0 END AS BIGINT) AS delay_ms
+            FROM t"""),
         "key_failure_budget": q(f"""
             , ranked AS (
               SELECT "partition", "offset", key,

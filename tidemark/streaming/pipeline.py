@@ -9,8 +9,10 @@
 * T3 ``run_available``: consume what is there, then stop (``availableNow``),
   with a timeout after which the query is stopped and the uncommitted part
   is left to the next run via the checkpoint.
-* T4 ``pipeline``: query 1 handles records and appends outcomes; query 2 runs
-  the streaming frontier over the outcomes and writes commits.
+* T3 ``run_until``: the same for a query that never runs out of batches (timers):
+  stop when the expected records are finished, on a signal or at the deadline.
+* T4 ``pipeline``: query 1 runs the user handler with retry timers and appends
+  attempts; query 2 runs the streaming frontier over what succeeded and writes commits.
 
 The Kafka connector jar is not part of this environment, so the Kafka paths
 are thin options that are not exercised by the tests.
@@ -18,15 +20,21 @@ are thin options that are not exercised by the tests.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..params import DEFAULT_BUCKET_SIZE
+from ..operators.handler import ATTEMPT_SCHEMA, Handler
+from ..params import DEFAULT_BUCKET_SIZE, RetryPolicy
 from .frontier import final_timeline, streaming_frontier
+from .handler import streaming_attempts
 
+#: Files of attempts per micro-batch of the frontier.
+DONE_FILES = 64
 RECORD_SCHEMA = "partition int, offset bigint, key string, value string, fetched_ms bigint"
 
 
@@ -97,27 +105,79 @@ def run_available(query_builder, timeout_s: float | None = None) -> str:
     return "caught_up"
 
 
-def pipeline(spark: SparkSession, log_path: str, work_dir: str,
-             handle: Callable[[DataFrame], DataFrame], base: DataFrame | None,
-             max_files_per_trigger: int = 1, timeout_s: float | None = None,
+class Progress:
+    """Records that a query has finished, counted where its batches are written; a batch
+    that is written again counts once."""
+
+    def __init__(self, before: int = 0) -> None:
+        self.before, self.batches = before, {}
+
+    def add(self, batch_id: int, finished: int) -> None:
+        self.batches[batch_id] = finished
+
+    @property
+    def finished(self) -> int:
+        return self.before + sum(self.batches.values())
+
+
+def run_until(query_builder, progress: Progress, expected: int, timeout_s: float | None = None,
+              interrupt: Event | None = None, poll_s: float = 0.2) -> str:
+    """T3 on a live query: run until ``expected`` records are finished (``caught_up``), the
+    event is set (``interrupted``) or the time is over (``timeout``), then stop intake.  A
+    micro-batch cut off by the stop is done again by the next run from the checkpoint."""
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    q: StreamingQuery = query_builder.trigger(processingTime="0 seconds").start()
+    try:
+        while True:
+            if q.exception() is not None:
+                raise q.exception()
+            if progress.finished >= expected:
+                return "caught_up"
+            if interrupt is not None and interrupt.is_set():
+                return "interrupted"
+            if end is not None and time.monotonic() >= end:
+                return "timeout"
+            q.awaitTermination(poll_s)
+    finally:
+        q.stop()
+
+
+def attempts_sink(path: str, progress: Progress) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function appending attempts; records whose last try this was are finished."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{path}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(folder)
+        done = batch.sparkSession.read.schema(ATTEMPT_SCHEMA).parquet(folder).where(~F.col("retry")).count()
+        progress.add(batch_id, done)
+
+    return write
+
+
+def pipeline(spark: SparkSession, log_path: str, work_dir: str, handler: Handler, policy: RetryPolicy, base: DataFrame,
+             max_files_per_trigger: int = 1, timeout_s: float | None = None, interrupt: Event | None = None,
              schema: str = RECORD_SCHEMA, bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
-    """T4: records -> handler -> outcomes table -> streaming frontier -> commits.
+    """T4: records -> handler with retry timers -> attempts table -> streaming frontier -> commits.
 
-    ``handle`` maps a records micro-batch to outcome rows (partition, offset,
-    done_ms, ...); it runs inside ``foreachBatch``, so any batch operator
-    (including a ``mapInPandas`` user handler) can be used.  Returns the
-    commit table folded into the W1 timeline.
+    ``handler`` is a user handler (``operators.handler``); its retries wait on timers
+    (``streaming.handler``).  The first query runs until every record of the log has
+    had its last try, the second folds what succeeded into commits.  Returns the
+    commit table as the W1 timeline; a run that does not catch up raises, and another
+    call with the same ``work_dir`` goes on where it stopped.
     """
+    attempts_path, commits_path = f"{work_dir}/attempts", f"{work_dir}/commits"
     records = read_log_stream(spark, log_path, schema, max_files_per_trigger)
-    outcomes_path, commits_path = f"{work_dir}/outcomes", f"{work_dir}/commits"
-
-    status = run_available(records.writeStream.foreachBatch(_handled_sink(handle, outcomes_path))
-                           .option("checkpointLocation", f"{work_dir}/ckpt-handle"), timeout_s)
-    if status != "caught_up":
-        raise TimeoutError("handler stream did not catch up")
-    done = (spark.readStream.schema("partition int, offset bigint, done_ms bigint, batch_id int")
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(outcomes_path)
-            .where(F.col("done_ms").isNotNull()))
+    expected = spark.read.schema(schema).parquet(log_path).count()
+    known = _table(spark, attempts_path, ATTEMPT_SCHEMA)
+    progress = Progress(known.where(~F.col("retry")).select("partition", "offset").distinct().count() if known is not None else 0)
+    if progress.finished < expected:
+        tries = streaming_attempts(records, handler, policy)
+        status = run_until(tries.writeStream.foreachBatch(attempts_sink(attempts_path, progress))
+                           .option("checkpointLocation", f"{work_dir}/ckpt-handle"), progress, expected, timeout_s, interrupt)
+        if status != "caught_up":
+            raise TimeoutError(f"handler stream did not catch up: {status}")
+    done = (spark.readStream.schema(ATTEMPT_SCHEMA + ", batch_id int").option("maxFilesPerTrigger", DONE_FILES).parquet(attempts_path)
+            .where("ok").select("partition", "offset", F.col("end_ms").alias("done_ms")))
     adv = streaming_frontier(done, base, bucket_size)
     status = run_available(adv.writeStream.foreachBatch(commit_sink(commits_path))
                            .option("checkpointLocation", f"{work_dir}/ckpt-frontier"), timeout_s)
@@ -126,20 +186,19 @@ def pipeline(spark: SparkSession, log_path: str, work_dir: str,
     return read_commits(spark, commits_path)
 
 
-def _handled_sink(handle: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        handle(batch).select("partition", "offset", "done_ms").write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}")
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
-    return write
+
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else None
 
 
 def read_commits(spark: SparkSession, path: str) -> DataFrame:
     """The commit table folded into the W1 timeline (empty if no batch wrote, so
     that there is no folder; any other failure to read is an error)."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+    if _exists(spark, path):
         return final_timeline(spark.read.parquet(path).drop("batch_id", "ok"))
     else:
         return spark.createDataFrame([], "partition int, commit_ms bigint, committed_through bigint, "
