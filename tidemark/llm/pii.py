@@ -1,19 +1,23 @@
 """Personal data: fixed patterns and information-theoretic sanitisation.
 
 The protected entities are what the patterns find (email, ip, card, phone).
-Words near them (``CONTEXT`` letters words on each side, in the same line) may
-give them away.  Over the whole corpus a word t discloses the share
+Words of the documents that hold them may give them away.  Over the whole corpus a
+word t discloses the share
 
     1 + log(docs(t, e) / docs(t)) / log(N / docs(e))
 
 of the information of entity e: its pointwise mutual information with e by the
-information content of e.  A word near e that discloses at least ``GENERALISE``
-of it, in at least ``SUPPORT`` different contexts (verbatim copies are one), is a
-span of its own: generalised, from ``REMOVE`` on removed.
-
-All counts are over all documents.  Contexts are counted by shuffles with
-map-side aggregation; document frequencies only for words that reach the
-support, in passes of at most ``PASS_TERMS`` words.
+information content of e.  ``docs(t, e)`` counts the documents that hold both,
+wherever t stands in them.  A word that discloses at least ``GENERALISE`` of an
+entity, seen with it in at least ``SUPPORT`` different contexts (a context is the
+words right around the entity, so verbatim copies are one), is a span of its own at
+every place in every document, also in those that do not show the entity, but not
+inside a span of the patterns: generalised, from ``REMOVE`` on removed.
+
+All counts are over all documents.  Only entities seen in ``SUPPORT`` contexts can
+have such words, so pairs of entity and word are made for those alone, and counted
+by a shuffle with map-side aggregation; document frequencies and places are looked
+up for at most ``PASS_TERMS`` words at a time.
 
 Edge cases: null or empty texts have no spans; repeated rows are documents of
 their own; an entity of every document has no information to disclose; very long
@@ -44,10 +48,11 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
-_TERM = re.compile(r"[A-Za-z\x80-\U0010ffff]{3,}")
+_TERM = re.compile(r"[A-Za-z\x80-\U0010ffff]+")
 _TERM_BYTES = T.byte_class(lambda b: b >= 0x80 or chr(b).isalpha())
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalised": "[TERM]", "removed": ""}
 
+#: Words on each side of an entity, and characters looked at for them, that make a context.
 CONTEXT = 8
 CONTEXT_CHARS = 200
 SUPPORT = 3
@@ -56,9 +61,9 @@ REMOVE = 0.95
 PASS_TERMS = 1 << 20
 
 _SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
-_NEAR = "array<struct<entity:bigint,term:bigint,context:bigint,start:bigint,end:bigint>>"
+_HELD = "array<struct<entity:bigint,context:bigint>>"
 _SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-_NEAR_TYPE = pa.list_(pa.struct([(n, pa.int64()) for n in ("entity", "term", "context", "start", "end")]))
+_HELD_TYPE = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64())]))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -105,31 +110,35 @@ def _hash(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def term_hash(term: str) -> int:
-    """The same as ``word_hashes`` gives the word in a buffer."""
-    raw = term.encode()
-    buf = np.frombuffer(raw, np.uint8)
-    return int(T.word_hashes(buf, np.array([0]), np.array([len(raw)])).view(np.int64)[0])
-
-
 def entity_key(kind: str, value: str) -> int:
     return _hash(f"{kind}:{value.lower() if kind == 'email' else value if kind == 'ip' else _NOT_DIGIT.sub('', value)}")
 
 
-def near_terms(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Words around every entity: who is near, where, and the context they form."""
-    out = []
+def held_entities(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
+    """The entities of a text, each with the context that it stands in."""
+    out = set()
     for kind, a, b in spans:
-        lo = max(text.rfind("\n", 0, a) + 1, a - CONTEXT_CHARS)
-        hi = text.find("\n", b)
-        hi = min(len(text) if hi < 0 else hi, b + CONTEXT_CHARS)
-        left = [(m.start(), m.end()) for m in _TERM.finditer(text, lo, a)][-CONTEXT:]
-        right = [(m.start(), m.end()) for m in _TERM.finditer(text, b, hi)][:CONTEXT]
-        taken = [(x, y) for x, y in left + right if not any(x < d and c < y for _, c, d in spans)]
-        context = _hash(" ".join(text[x:y].lower() for x, y in taken))
-        key = entity_key(kind, text[a:b])
-        out += [{"entity": key, "term": term_hash(text[x:y]), "context": context, "start": x, "end": y} for x, y in taken]
-    return out
+        left = [m.group().lower() for m in _TERM.finditer(text, max(0, a - CONTEXT_CHARS), a)][-CONTEXT:]
+        right = [m.group().lower() for m in _TERM.finditer(text, b, min(len(text), b + CONTEXT_CHARS))][:CONTEXT]
+        out.add((entity_key(kind, text[a:b]), _hash(" ".join([*left, "|", *right]))))
+    return [{"entity": e, "context": c} for e, c in sorted(out)]
+
+
+def outside(text: str, spans: list[tuple[str, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, byte starts and byte ends of the words that no span touches."""
+    raw = text.encode()
+    buf = np.frombuffer(raw, np.uint8)
+    starts, ends = T.spans(buf, _TERM_BYTES)
+    if spans:
+        before = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])  # code points before a byte
+        lo, hi = np.array([x[1] for x in spans]), np.array([x[2] for x in spans])
+        a, b = before[starts], before[ends]
+        order = np.argsort(lo, kind="stable")
+        reach = np.maximum.accumulate(hi[order])  # how far the spans that begin before a word's end go
+        k = np.searchsorted(lo[order], b) - 1
+        free = (k < 0) | (reach[np.maximum(k, 0)] <= a)
+        starts, ends = starts[free], ends[free]
+    return T.word_hashes(buf, starts, ends).view(np.int64), starts, ends
 
 
 def document_frequencies(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
@@ -138,7 +147,10 @@ def document_frequencies(docs: DataFrame, terms: DataFrame, text_col: str = "tex
     passes = max(1, -(-total // PASS_TERMS))
     for k in range(passes):
         part = terms if passes == 1 else terms.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == k)
-        wanted = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in part.collect()], dtype=np.int64)))
+        hashes = np.sort(np.array([r[0] for r in part.collect()], dtype=np.int64))
+        if not len(hashes):
+            continue
+        wanted = docs.sparkSession.sparkContext.broadcast(hashes)
 
         def count(batches, wanted=wanted):
             known = wanted.value
@@ -160,49 +172,112 @@ def document_frequencies(docs: DataFrame, terms: DataFrame, text_col: str = "tex
     return out
 
 
-def find_spans(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The carried columns (under ``doc``) and ``spans`` of every document: kind,
-    start, end in code points, by kind as listed, then start."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc"), F.col(text_col).alias("text"))
-    schema = T.schema([T.field(rows, "doc", "doc")], f"spans {_SPANS}, near {_NEAR}")
+def disclosing(docs: DataFrame, text_col: str = "text") -> DataFrame | None:
+    """``term`` (hash) and ``share``: words that disclose at least ``GENERALISE`` of an
+    entity, with the largest share; None if there can be none."""
+    rows = docs.select(F.col(text_col).alias("text"))
 
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        spans, near = [], []
-        for raw in T.raw(batch.column(1)):
-            text = raw.decode()
-            found = base_spans(text)
-            spans.append([{"kind": k, "start": a, "end": b} for k, a, b in found])
-            near.append(near_terms(text, found) if found else [])
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, _SPAN_TYPE), pa.array(near, _NEAR_TYPE)], names=schema.names)
-
-    base = T.kept(T.map_groups(rows, fn, schema).withColumn("key", F.monotonically_increasing_id()), "pii")
-    some = base.where(F.size("near") > 0).select("key", F.explode("near").alias("x")).select("key", "x.*")
-    told = disclosed(docs, some, base.count(), text_col)
-    if told is None:
-        return base.select("doc", "spans")
-    extra = some.join(told, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("share").alias("share"))
-    kind = F.when(F.col("share") >= REMOVE, F.lit("removed")).otherwise(F.lit("generalised"))
-    extra = extra.groupBy("key").agg(F.sort_array(F.collect_list(F.struct(kind.alias("kind"), "start", "end"))).alias("more"))
-    touched = base.where(F.size("near") > 0).join(extra, "key", "left").select(
-        "doc", F.concat("spans", F.coalesce("more", F.expr(f"cast(array() as {_SPANS})"))).alias("spans"))
-    return base.where(F.size("near") == 0).select("doc", "spans").union(touched)
-
-
-def disclosed(docs: DataFrame, some: DataFrame, n: int, text_col: str = "text") -> DataFrame | None:
-    """(``entity``, ``term``, ``share``) above the threshold; None if no word
-    reaches the support."""
-    pairs = some.groupBy("entity", "term", "context", "key").agg(F.lit(1).alias("one"))
-    both = (pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("docs"))
+    def hold(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [raw.decode() for raw in T.raw(batch.column(0))]
+        held = [held_entities(t, found) if (found := base_spans(t)) else [] for t in texts]
+        return pa.RecordBatch.from_arrays([pa.array([t if h else None for t, h in zip(texts, held, strict=True)], pa.string()), pa.array(held, _HELD_TYPE)],
+                                          names=["text", "held"])
+
+    base = T.kept(T.map_groups(rows, hold, f"text string, held {_HELD}").withColumn("key", F.monotonically_increasing_id()), "pii")
+    holding = base.where(F.size("held") > 0)
+    some = holding.select("key", F.explode("held").alias("x")).select("key", "x.*")
+    contexts = some.groupBy("entity", "context").agg(F.lit(1).alias("one")).groupBy("entity").agg(F.count("*").alias("contexts"))
+    of = some.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("of_entity"))
+    entities = T.kept(contexts.where(F.col("contexts") >= SUPPORT).join(of, "entity").select("entity", "of_entity"), "pii-entities")
+    if entities.isEmpty():
+        return None
+    wanted = some.join(entities, "entity").groupBy("key").agg(F.collect_set(F.struct("entity", "context")).alias("held"))
+
+    def pair(batches):
+        for batch in batches:
+            for text, held in zip(batch.column("text").to_pylist(), batch.column("held").to_pylist(), strict=True):
+                terms = np.unique(outside(text, base_spans(text))[0])
+                by: dict[int, list[int]] = {}
+                for h in held:
+                    by.setdefault(h["entity"], []).append(h["context"])
+                for entity, seen in by.items():
+                    for k, context in enumerate(seen):  # a document counts once, whatever the number of contexts in it
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(terms), entity)), pa.array(terms), pa.array(np.full(len(terms), context)), pa.array(np.full(len(terms), int(k == 0)))],
+                            names=["entity", "term", "context", "docs"])
+
+    T.bounded_batches(docs.sparkSession)
+    pairs = holding.select("key", "text").join(wanted, "key").select("text", "held").mapInArrow(pair, "entity bigint, term bigint, context bigint, docs bigint")
+    both = (pairs.groupBy("entity", "term", "context").agg(F.sum("docs").alias("docs"))
             .groupBy("entity", "term").agg(F.count("*").alias("support"), F.sum("docs").alias("both")).where(F.col("support") >= SUPPORT))
-    both = T.kept(both, "pii-pairs")
+    both = T.kept(both.select("entity", "term", "both"), "pii-pairs")
     if both.isEmpty():
         return None
-    of = some.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("of_entity"))
     terms = document_frequencies(docs, both.select("term").distinct(), text_col).withColumnRenamed("docs", "of_term")
-    information = F.log(F.lit(float(n)) / F.col("of_entity"))
+    information = F.log(F.lit(float(base.count())) / F.col("of_entity"))
     share = 1 + F.log(F.least(F.col("both"), F.col("of_term")) / F.col("of_term")) / information
-    return T.kept(both.join(of, "entity").join(terms, "term").where(information > 0).select("entity", "term", share.alias("share"))
-                  .where(F.col("share") >= GENERALISE), "pii-disclosed")
+    return T.kept(both.join(entities, "entity").join(terms, "term").where(information > 0).groupBy("term").agg(F.max(share).alias("share"))
+                  .where(F.col("share") >= GENERALISE), "pii-disclosing")
+
+
+def find_spans(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The carried columns (under ``doc``) and ``spans`` of every document: kind,
+    start, end in code points, by kind as listed, then start."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc"), F.col(text_col).alias("text"))
+    told = disclosing(docs, text_col)
+    names, doc = ["doc", "text", "spans"], T.field(rows, "doc", "doc")
+
+    def patterns(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = [[{"kind": k, "start": a, "end": b} for k, a, b in base_spans(raw.decode())] for raw in T.raw(batch.column(1))]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, _SPAN_TYPE)], names=names)
+
+    out = T.map_groups(rows, patterns, T.schema([doc, T.field(rows, "text", "text")], f"spans {_SPANS}"))
+    for wanted in _in_passes(told):
+        out = T.map_groups(out, _marker(wanted, names), out.schema)
+    order = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
+    by_kind = F.transform(F.array_sort(F.transform("spans", lambda s: F.struct(F.element_at(order, s["kind"]).alias("o"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))),
+                          lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return out.select("doc", by_kind.alias("spans") if told is not None else "spans")
+
+
+def _in_passes(told: DataFrame | None) -> list:
+    """The disclosing words in broadcast blocks of at most about ``PASS_TERMS``: sorted hashes, and which are removed."""
+    if told is None:
+        return []
+    passes, out = max(1, -(-told.count() // PASS_TERMS)), []
+    for k in range(passes):
+        part = (told if passes == 1 else told.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == k)).collect()
+        part.sort(key=lambda r: r["term"])
+        if part:
+            out.append(told.sparkSession.sparkContext.broadcast((np.array([r["term"] for r in part], dtype=np.int64), np.array([r["share"] >= REMOVE for r in part]))))
+    return out
+
+
+def _marker(wanted, names: list[str]):
+    """Adds the places of the wanted words to ``spans``."""
+    def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known, removed = wanted.value
+        raw = T.raw(batch.column(1))
+        buf, at = T.flat(raw)
+        starts, ends = T.spans(buf, _TERM_BYTES)
+        h = T.word_hashes(buf, starts, ends).view(np.int64)
+        hit = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+        rows = np.unique(np.searchsorted(at, starts[hit], side="right") - 1)
+        if not len(rows):
+            return batch
+        spans = batch.column(2).to_pylist()
+        for r in rows.tolist():
+            text = raw[r].decode()
+            base = [(s["kind"], s["start"], s["end"]) for s in spans[r] if s["kind"] in BASE]
+            words, a, b = outside(text, base)
+            place = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            found = known[place] == words
+            before = np.concatenate([[0], np.cumsum((np.frombuffer(raw[r], np.uint8) & 0xC0) != 0x80)])
+            spans[r] += [{"kind": KINDS[-1] if gone else KINDS[-2], "start": x, "end": y}
+                         for gone, x, y in zip(removed[place[found]].tolist(), before[a[found]].tolist(), before[b[found]].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, _SPAN_TYPE)], names=names)
+
+    return mark
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
