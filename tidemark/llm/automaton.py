@@ -166,8 +166,38 @@ class Automaton:
         return np.flatnonzero(self.resets.ravel()[c[:-1] * n + c[1:]]) + 2
 
 
-def compile_rules(rules: list[tuple[str, bool]]) -> Automaton:
-    """``rules``: (pattern, letters in either case)."""
+def inside_pairs(rules: list[tuple[str, bool]]) -> np.ndarray:
+    """Which pairs of bytes (256 by 256) can follow each other in a match of a rule, or
+    have a second byte that can begin one."""
+    nfa = _Nfa()
+    root = nfa.state()
+    for pattern, fold in rules:
+        _Parser(pattern, fold).parse()(nfa, root, nfa.state())
+
+    def reached(state: int) -> np.ndarray:
+        """Bytes that can be read next."""
+        todo, seen, out = [state], {state}, np.zeros(256, dtype=bool)
+        while todo:
+            s = todo.pop()
+            for members, _ in nfa.edges[s]:
+                out[list(members)] = True
+            for t in nfa.empty[s]:
+                if t not in seen:
+                    seen.add(t)
+                    todo.append(t)
+        return out
+
+    pairs = np.zeros((256, 256), dtype=bool)
+    pairs[:, reached(root)] = True
+    for edges in nfa.edges:
+        for members, target in edges:
+            pairs[np.ix_(list(members), reached(target))] = True
+    return pairs
+
+
+def compile_rules(rules: list[tuple[str, bool]], exact: list[tuple[str, bool]] | None = None) -> Automaton:
+    """``rules``: (pattern, letters in either case).  ``exact``: full expressions that the
+    patterns may be short forms of; no reset pair lies inside a match of one of those."""
     nfa = _Nfa()
     root, ends = nfa.state(), []
     for pattern, fold in rules:
@@ -202,10 +232,13 @@ def compile_rules(rules: list[tuple[str, bool]]) -> Automaton:
             row.append(sets[t])
         table.append(row)
     accepts = np.array([sum(1 << k for k, e in enumerate(ends) if e in s) for s in order], dtype=np.int64)
-    return _minimal(np.array(table, dtype=np.int64), accepts, classes)
+    inside = np.zeros((len(ids), len(ids)), dtype=bool)
+    left, right = np.nonzero(inside_pairs(exact or rules))
+    inside[classes[left], classes[right]] = True
+    return _minimal(np.array(table, dtype=np.int64), accepts, classes, inside)
 
 
-def _minimal(table: np.ndarray, accepts: np.ndarray, classes: np.ndarray) -> Automaton:
+def _minimal(table: np.ndarray, accepts: np.ndarray, classes: np.ndarray, inside: np.ndarray) -> Automaton:
     """Refine the partition by accepted rules until successors agree."""
     block = np.unique(accepts, return_inverse=True)[1]
     while True:
@@ -222,7 +255,7 @@ def _minimal(table: np.ndarray, accepts: np.ndarray, classes: np.ndarray) -> Aut
     number[rank] = np.arange(n)
     least = number[block[table[member[rank]]]].astype(np.int32)
     acc = accepts[member[rank]]
-    resets = np.array([(least[least[:, c]] == 0).all(axis=0) for c in range(least.shape[1])])
+    resets = np.array([(least[least[:, c]] == 0).all(axis=0) for c in range(least.shape[1])]) & ~inside
     return Automaton(least, classes, acc, int((acc == 0).sum()), resets)
 
 

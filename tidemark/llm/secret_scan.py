@@ -37,7 +37,8 @@ class Rule(NamedTuple):
 
 # The rules, base kinds first, in their order.  The automaton's
 # form may ask for fewer characters than the rule: counters that run at the same
-# time multiply its states, and the exact search decides anyway.
+# time multiply its states, and the exact search decides anyway.  Stretches are cut
+# where no exact expression can go on, whatever set of rules is used.
 RULES = (
     Rule("assign",
          r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12}""",
@@ -56,7 +57,7 @@ BASE = tuple(r.kind for r in RULES if r.base)
 
 @lru_cache(maxsize=4)
 def automaton(rules: tuple[Rule, ...] = RULES) -> Automaton:
-    return compile_rules([(r.automaton, r.fold) for r in rules])
+    return compile_rules([(r.automaton, r.fold) for r in rules], [(r.exact, r.fold) for r in rules])
 
 
 @lru_cache(maxsize=4)
