@@ -17,8 +17,9 @@ the only ones that can be among the k best.
 
 Edge cases: rows without id or with a null vector, a null or non-finite component
 take no part; vectors are compared with vectors of their length only; ties go to
-the smaller id; repeated ids count as one candidate each; an empty table gives no
-rows; scores that exceed 64 bits raise an error; other columns are ignored.
+the smaller id; repeated ids count as one candidate each, but a query is never answered
+with its own id; a query row that occurs twice is answered once for each; an empty
+table gives no rows; scores that exceed 64 bits raise an error; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ SCALE = 64
 PAGE = 512
 FANOUT = 16
 BLOCK_ROWS = 1 << 15
-QUERY_ROWS = 1 << 11
+#: Each block of rows travels to every block of queries, so those are large.
+QUERY_ROWS = 1 << 14
 
 
 class MTree:
@@ -140,27 +142,27 @@ def integers(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``; ``rows`` and ``queries`` have
     ``id`` and ``v``.  Query blocks and row blocks are as many as their sizes ask for."""
-    rows, queries = T.kept(rows, "vectors"), T.kept(queries, "queries")
+    rows, queries = T.kept(rows, "vectors"), T.kept(queries.select("id", "v").withColumn("q", F.monotonically_increasing_id()), "queries")
     n_rows, n_queries = (max(1, math.ceil(df.count() / size)) for df, size in ((rows, BLOCK_ROWS), (queries, QUERY_ROWS)))
     n_rows = max(n_rows, min(8, rows.sparkSession.sparkContext.defaultParallelism))
     block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = rows.select("id", "v", block(n_rows).alias("b")).select("id", "v", "b", every(n_queries).alias("c"))
-    right = queries.select("id", "v", block(n_queries).alias("c")).select("id", "v", every(n_rows).alias("b"), "c")
+    right = queries.select("q", "id", "v", block(n_queries).alias("c")).select("q", "id", "v", every(n_rows).alias("b"), "c")
 
     def search(data: pa.Table, asked: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
-        qs = list(zip(asked.column("id").to_pylist(), asked.column("v").to_pylist(), strict=True))
-        for width in sorted({len(v) for _, v in qs}):
-            tree = _tree(data, width, k)
-            for i, v in qs:
-                if len(v) == width:
-                    out += [(i, j, int(s)) for s, j in tree.search(np.array(v or [0], dtype=np.int64), i, k)]
-        return pa.table([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ([], [], []))], names=["query_id", "vec_id", "score"])
+        out: list[tuple[int, int, int, int]] = []
+        widths = np.diff(asked.column("v").combine_chunks().offsets.to_numpy())
+        for width in np.unique(widths):
+            tree = _tree(data, int(width), k)  # once for all queries of the block
+            for one in asked.take(np.flatnonzero(widths == width)).to_batches(max_chunksize=1024):
+                for q, i, v in zip(one.column("q").to_pylist(), one.column("id").to_pylist(), one.column("v").to_pylist(), strict=True):
+                    out += [(q, i, j, int(s)) for s, j in tree.search(np.array(v or [0], dtype=np.int64), i, k)]
+        return pa.table([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else ([], [], [], []))], names=["q", "query_id", "vec_id", "score"])
 
     T.bounded_batches(rows.sparkSession)
-    found = left.groupBy("b", "c").cogroup(right.groupBy("b", "c")).applyInArrow(search, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.groupBy("b", "c").cogroup(right.groupBy("b", "c")).applyInArrow(search, "q bigint, query_id bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
