@@ -85,3 +85,10 @@ def test_vectors_odd_rows(spark):
     got = [tuple(r) for r in topk.top_k(v.where("id != 40"), v.where("id in (0, 20)"), 2).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 5, 4096), (0, 2, 6, 4096)]
     assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
+
+
+def test_a_repeated_query_row_is_answered_for_each(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0]), (3, [0.25, 0.0])]
+    v = topk.integers(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = [tuple(r)[:3] for r in topk.top_k(v, v.where("id = 0"), 4).orderBy("rank", "query_id").collect()]
+    assert got == [(0, 1, 1), (0, 1, 1), (0, 2, 2), (0, 2, 2), (0, 3, 3), (0, 3, 3)]

@@ -119,6 +119,23 @@ def test_secrets_equal_regexes(make_docs):
         assert got[i] == [(kind, a, b) for a, b, _, kind in sorted(exp, key=lambda x: (x[0], x[2]))], t
 
 
+@pytest.mark.parametrize("kinds", [("repo_token",), ("chat_token", "private_key"), ("web_token",), ("access", "repo_token"), ("hex",)])
+def test_any_set_of_rules_finds_its_secrets(kinds):
+    rules = tuple(r for r in secret_scan.RULES if r.kind in kinds)
+    rng = random.Random(len(kinds))
+    parts = ["ghp_" + "a1B2" * 8, "xoxb-" + "12-ab" * 5, "-----BEGIN RSA PRIVATE KEY-----", "eyJ" + "abcDEF12" * 3 + ".eyJ" + "xyz_-123" * 2, "AKIA" + "Q7" * 9,
+             "0123456789abcdef0", "gh", "x", " ", "\n", "eyJ.", "----", "é", "key: "]
+    assert secret_scan.find([b"token ghp_" + b"a1B2" * 8], (next(r for r in secret_scan.RULES if r.kind == "repo_token"),))
+    for _ in range(300):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 9))).encode() for _ in range(4)]
+        want = {}
+        for i, t in enumerate(texts):
+            hits = [(k, m.start(), m.end()) for k, r in enumerate(rules) for m in re.finditer(r.exact.encode(), t, re.I if r.fold else 0) if len(m.group(r.group)) >= r.least]
+            if hits:
+                want[i] = sorted(hits, key=lambda x: (x[1], x[0]))
+        assert secret_scan.find(texts, rules) == want
+
+
 def test_redaction(make_docs):
     r = secret_scan.redact(make_docs(["é token = abcdefghijkl0 x", "clean"])).orderBy("doc_id").collect()
     assert [(x.text, x.n_chars) for x in r] == [("é [SECRET] x", 12), ("clean", 5)]
@@ -226,6 +243,55 @@ def test_disclosing_words(make_docs):
     assert "quixotia" not in clean[0] and "[EMAIL]" in clean[0] and clean[20] == texts[20]
 
 
+def _plain_disclosing(texts):
+    """Words by plain sets of documents: (word, kind)."""
+    word = re.compile(r"[A-Za-z\x80-\U0010ffff]+")
+    low = lambda w: re.sub("[A-Z]", lambda m: m.group().lower(), w)
+    anywhere, free, held = [], [], []
+    for t in texts:
+        spans = _plain_pii(t)
+        anywhere.append({low(m.group()) for m in word.finditer(t)})
+        free.append({low(m.group()) for m in word.finditer(t) if not any(m.start() < b and a < m.end() for _, a, b in spans)})
+        held.append({(pii.entity_key(k, t[a:b]), tuple(w.lower() for w in word.findall(t[max(0, a - 200):a])[-8:]), tuple(w.lower() for w in word.findall(t[b:b + 200])[:8]))
+                     for k, a, b in spans})
+    out = {}
+    for e in {h[0] for d in held for h in d}:
+        with_e = [i for i, d in enumerate(held) if any(h[0] == e for h in d)]
+        for t in set().union(*(free[i] for i in with_e)):
+            both = [i for i in with_e if t in free[i]]
+            if len({h[1:] for i in both for h in held[i] if h[0] == e}) >= pii.SUPPORT and len(with_e) < len(texts):
+                n = sum(t in d for d in anywhere)
+                share = 1 + np.log(min(len(both), n) / n) / np.log(len(texts) / len(with_e))
+                if share >= pii.GENERALISE:
+                    out[t] = max(out.get(t, 0.0), share)
+    return {t: "removed" if s >= pii.REMOVE else "generalised" for t, s in out.items()}
+
+
+@pytest.mark.parametrize("block", [1 << 20, 16])
+def test_disclosing_words_equal_plain_sets(make_docs, monkeypatch, block):
+    """A name on another line or far away, in documents without the entity, in two letters; overlapping and repeated copies."""
+    monkeypatch.setattr(pii, "PASS_TERMS", block)
+    rng = random.Random(12)
+    pool = ["".join(rng.choices("bcdfghaeiou", k=4)) for _ in range(60)]
+    letters = lambda n: rng.choices(pool, k=n)
+    texts = [f"Jane Quixotia {' '.join(letters(4))}\n\njane@x.org {' '.join(letters(5))}" for _ in range(8)]
+    texts += [f"{' '.join(letters(300))} call +1 555 010-0000, {' '.join(letters(9))} 王五 {' '.join(letters(3))}" for _ in range(5)]
+    texts += ["Quixotia was seen " + " ".join(letters(9)), "QUIXOTIA mail jane@x.org.", " 王五"]
+    texts += ["verbatim copy of zorblatt with bob@y.net here"] * 6
+    texts += [" ".join(letters(30)) for _ in range(90)] + ["", None]
+    words = _plain_disclosing([t or "" for t in texts])
+    assert words.get("quixotia") and words.get("王五") and "zorblatt" not in words
+    docs = make_docs(texts)
+    for r in pii.find_spans(docs).collect():
+        t = texts[r.doc.doc_id] or ""
+        base = _plain_pii(t)
+        more = [(words[low], m.start(), m.end()) for m in re.finditer(r"[A-Za-z\x80-\U0010ffff]+", t)
+                if (low := _lower(m.group())) in words and not any(m.start() < b and a < m.end() for _, a, b in base)]
+        assert [(s.kind, s.start, s.end) for s in r.spans] == base + sorted(more, key=lambda x: (pii.KINDS.index(x[0]), x[1]))
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert not any("quixotia" in (t or "").lower() or "王五" in (t or "") for t in clean.values())
+
+
 # -- language --------------------------------------------------------------------
 
 def test_language_held_out(make_docs):
