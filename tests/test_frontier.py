@@ -48,7 +48,7 @@ def _expected(cases):
 def test_tracker_cases(spark, bucket):
     records, base, comps, outcomes = _frames(spark, CASES)
     exp = _expected(CASES)
-    snap = {r.partition: r.last_committed for r in fr.frontier_snapshot(outcomes, base, bucket).collect()}
+    snap = {r.partition: r.last_committed for r in fr.frontier_snapshot(outcomes, base).collect()}
     tl = fr.frontier_timeline(outcomes, base, bucket).collect()
     for p, (adv, classes, t) in exp.items():
         assert snap[p] == t.last, p
@@ -61,7 +61,7 @@ def test_tracker_cases(spark, bucket):
 
 def test_tracker_snapshot_lists(spark):
     records, base, comps, outcomes = _frames(spark, CASES)
-    snap = fr.frontier_snapshot(outcomes, base, 2)
+    snap = fr.frontier_snapshot(outcomes, base)
     rows = [tuple(r) for r in fr.tracker_snapshot(outcomes, snap, 2).collect()]
     listed = {p: sorted((s, k, o) for q, _, _, _, _, s, k, o in rows if q == p and s) for p in (0, 1, 3)}
     assert listed == {0: [], 1: [("completed", 1, 202), ("completed", 2, 203), ("in_flight", 1, 201)],
@@ -120,7 +120,7 @@ def test_random_orders_match_step_model(spark, seed, bucket):
     cases = _random_cases(seed)
     records, base, comps, outcomes = _frames(spark, cases)
     exp = _expected(cases)
-    snap = {r.partition: r.last_committed for r in fr.frontier_snapshot(outcomes, base, bucket).collect()}
+    snap = {r.partition: r.last_committed for r in fr.frontier_snapshot(outcomes, base).collect()}
     tl = fr.frontier_timeline(outcomes, base, bucket).collect()
     cls = fr.completion_classes(comps, records, base, bucket).collect()
     for p, (adv, classes, t) in exp.items():
@@ -132,7 +132,7 @@ def test_random_orders_match_step_model(spark, seed, bucket):
 
 def test_pending_and_blocked(spark):
     records, base, comps, outcomes = _frames(spark, CASES)
-    snap = fr.frontier_snapshot(outcomes, base, 2)
+    snap = fr.frontier_snapshot(outcomes, base)
     pend = {r.partition: (r.in_flight, r.completed) for r in fr.pending_count(outcomes, snap).collect()}
     assert pend[1] == (1, 2) and pend[3] == (1, 1) and pend[0] == (0, 0)
     blocked = {(r.partition, r.blocker_offset): r for r in fr.blocked_by_gap(outcomes, base, 2).collect()}
@@ -176,8 +176,9 @@ def test_three_level_carry_matches_step_model(spark, seed):
         assert sorted((r.commit_ms, r.committed_through) for r in tl if r.partition == p) == sorted(adv), (seed, p)
 
 
-@pytest.mark.parametrize("seed,bucket", [(21, 3), (22, 16)])
-def test_contiguous_frontier_with_duplicates(spark, seed, bucket):
+@pytest.mark.parametrize("seed,bits", [(21, 8), (22, 32), (23, 32768)])
+def test_contiguous_frontier_with_duplicates(spark, monkeypatch, seed, bits):
+    monkeypatch.setattr(fr, "BITMAP_BITS", bits)
     rnd = random.Random(seed)
     good, bases, exp = [], [], {}
     for p in range(12):
@@ -192,10 +193,23 @@ def test_contiguous_frontier_with_duplicates(spark, seed, bucket):
         exp[p] = f
     g = spark.createDataFrame(good, "partition int, offset bigint")
     b = spark.createDataFrame(bases, "partition int, base bigint")
-    got = {r.partition: r.frontier for r in fr.contiguous_frontier(g, b, bucket).collect()}
+    got = {r.partition: r.frontier for r in fr.contiguous_frontier(g, b).collect()}
     assert got == exp
 
 
+@pytest.mark.parametrize("bits", [8, 16, 32768])
+def test_contiguous_frontier_with_its_own_base(spark, monkeypatch, bits):
+    """The base is the lowest offset less one, also of rows that are not done; whole
+    buckets, a missing bucket, a hole, nothing done at all."""
+    monkeypatch.setattr(fr, "BITMAP_BITS", bits)
+    rows = [(0, o, True) for o in range(5, 64)] + [(1, o, True) for o in range(32)] + [(1, o, True) for o in range(48, 60)]
+    rows += [(2, 9, False), (2, 10, True)] + [(3, o, o != 21) for o in range(16, 40)] + [(4, o, o != 17) for o in range(3, 30) if o != 12]
+    rows += [(5, 31, True), (6, 40, False)]
+    df = spark.createDataFrame(rows, "partition int, offset bigint, ok boolean")
+    got = {r.partition: (r.base, r.frontier) for r in fr.contiguous_frontier(df, done=F.col("ok")).collect()}
+    assert got == {0: (4, 63), 1: (-1, 31), 2: (8, 8), 3: (15, 20), 4: (2, 11), 5: (30, 31), 6: (39, 39)}
+
+
 def test_first_k_random(spark):
     from tidemark.operators.prefix import first_k
 

@@ -25,7 +25,7 @@ def test_drain_split_and_replay(spark):
     assert got == {0: ("finished", "done"), 1: ("drained", "done"), 2: ("finished", "exhausted"),
                    3: ("unfinished", "unfinished"), 4: ("not_dispatched", "not_dispatched"),
                    5: ("finished", "done")}
-    snap = fr.frontier_snapshot(split, fr.baseline(recs), 2)
+    snap = fr.frontier_snapshot(split, fr.baseline(recs))
     assert snap.collect()[0].last_committed == 1
     replay = {r.offset: r.reason for r in lc.replay_set(split, snap).collect()}
     assert replay == {2: "exhausted", 3: "unfinished", 4: "not_dispatched", 5: "blocked_done"}

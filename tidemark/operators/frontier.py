@@ -3,9 +3,8 @@
 The frontier of a log partition is the highest offset f such that every
 offset base+1..f is done; only it may be committed.  Batch forms:
 
-* ``contiguous_frontier`` (A2) - aggregation only: distinct-count per offset
-  bucket finds the first bucket that is not full, and only that bucket's rows
-  are ranked.
+* ``contiguous_frontier`` (A2) - one aggregation into offset bitmaps; the first
+  bitmap that is not full tells the frontier.
 * ``commit_times`` (W1 core) - the commit time of offset o is the running
   maximum of done time over base+1..o (a never-done row or a hole is +inf).
   Two-level running max, see ``prefix.py``.
@@ -36,45 +35,67 @@ def baseline(records: DataFrame, fetch_order: str | None = None) -> DataFrame:
     return records.groupBy("partition").agg((first - 1).cast("bigint").alias("base"))
 
 
-def contiguous_frontier(good: DataFrame, base: DataFrame,
-                        bucket_size: int = DEFAULT_BUCKET_SIZE, unique: bool = False) -> DataFrame:
+#: Offsets of one bitmap (Spark's bitmaps hold 4 KB).
+BITMAP_BITS = 32768
+
+
+def _leading_ones(bitmap: Column, start: Column) -> Column:
+    """How many bits are set in a row from bit ``start`` on (the bits before it count as set)."""
+    text = F.hex(bitmap)  # two digits a byte, the lowest bit of a byte is its first
+    whole = F.greatest(F.floor(start / 8).cast("int"), F.lit(0))  # bytes that lie wholly before the start
+    rest = F.substr(text, whole * 2 + 1)
+    first = F.conv(F.substr(rest, F.lit(1), F.lit(2)), 16, 10).cast("int").bitwiseOR(
+        F.call_function("shiftleft", F.lit(1), (start % 8).cast("int")) - 1)
+    full = F.when(first == 255, F.length(F.regexp_extract(F.substr(rest, F.lit(3)), "^(?:FF)*", 0)) / 2 + 1).otherwise(0).cast("int")
+    byte = F.when(full == 0, first).otherwise(F.conv(F.substr(rest, full * 2 + 1, F.lit(2)), 16, 10).cast("int"))
+    byte = F.coalesce(byte, F.lit(0))  # past the last byte
+    ones = F.bit_count(byte.bitwiseXOR(byte + 1)) - 1
+    return ((whole + full) * 8 + ones - start).cast("bigint")
+
+
+def contiguous_frontier(good: DataFrame, base: DataFrame | None = None, done: Column | None = None) -> DataFrame:
     """A2: highest f with every offset in base+1..f present in ``good``.
 
-    ``good``: (partition, offset), duplicates allowed unless ``unique`` (then
-    a plain count per bucket, with map-side partial aggregation, replaces the
-    distinct count and its full shuffle).  ``base``: (partition, base), one
-    row per partition; partitions with no good offset keep base.
-    Returns (partition, base, frontier).
+    ``good``: (partition, offset), duplicates allowed; with ``done``, only rows that
+    satisfy it are present, and the others count for the base alone.  ``base``:
+    (partition, base), one row per partition; without it the base is the lowest
+    offset of any row less one.  Partitions with no good offset keep base.  One
+    aggregation: offsets become one bitmap per partition and ``BITMAP_BITS`` offsets
+    (map-side partial bitmaps, duplicates fall together); the first bitmap that is not
+    full tells the frontier by its leading ones.  Returns (partition, base, frontier).
     """
-    check_positive("bucket_size", bucket_size)
-    B = bucket_size
-    b0 = F.floor((F.col("base") + 1) / F.lit(B)).cast("bigint")
-    g = (good.select("partition", "offset")
-         .join(F.broadcast(base.select("partition", "base")), "partition")
-         .where(F.col("offset") > F.col("base"))
-         .withColumn("bucket", _bucket("offset", B)))
-    n = F.count(F.lit(1)) if unique else F.count_distinct("offset")
-    counts = g.groupBy("partition", "base", "bucket").agg(n.alias("n"))
-    need = F.lit(B) - F.greatest(F.lit(0), F.col("base") + 1 - F.col("bucket") * F.lit(B))
-    w = Window.partitionBy("partition").orderBy("bucket")
-    full_prefix = (counts.where(F.col("n") == need)
-                   .withColumn("rn", F.row_number().over(w))
-                   .where(F.col("bucket") - b0 + 1 == F.col("rn"))
-                   .groupBy("partition").agg(F.count(F.lit(1)).alias("full")))
-    fb = (base.select("partition", "base").join(full_prefix, "partition", "left")
-          .withColumn("fb", b0 + F.coalesce(F.col("full"), F.lit(0)))
-          .withColumn("lo", F.greatest(F.col("base") + 1, F.col("fb") * F.lit(B)))
-          .select("partition", "base", "fb", "lo"))
-    inb = (g.join(F.broadcast(fb.select("partition", "fb", "lo")), "partition")
-           .where(F.col("bucket") == F.col("fb"))
-           .select("partition", "offset", "lo").dropDuplicates(["partition", "offset"]))
-    wr = Window.partitionBy("partition").orderBy("offset")
-    run = (inb.withColumn("rn", F.row_number().over(wr))
-           .where(F.col("offset") - F.col("lo") + 1 == F.col("rn"))
-           .groupBy("partition").agg(F.count(F.lit(1)).alias("run")))
-    return (fb.join(run, "partition", "left")
-            .select("partition", "base",
-                    (F.col("lo") - 1 + F.coalesce(F.col("run"), F.lit(0))).cast("bigint").alias("frontier")))
+    size = F.lit(BITMAP_BITS)
+    present = F.lit(True) if done is None else done
+    bucket = F.floor(F.col("offset") / size).cast("bigint")
+    rows = good.select("partition", "offset", present.alias("_in"))
+    if base is not None:
+        base = base.select("partition", "base")
+        rows = rows.join(F.broadcast(base), "partition").where(F.col("offset") > F.col("base"))
+    bit = F.when(F.col("_in"), F.col("offset") - bucket * size)
+    maps = rows.groupBy("partition", bucket.alias("bucket")).agg(
+        F.bitmap_construct_agg(bit).alias("map"), F.min("offset").alias("low"), *([] if base is None else [F.min("base").alias("base")]))
+    begin = F.col("bucket") * size
+    # a bucket's bitmap is read once, from its begin and from its lowest offset or the base: few numbers go on
+    lead = F.greatest((F.col("low") if base is None else F.col("base") + 1) - begin, F.lit(0))
+    tiny = maps.select("partition", "bucket", F.bitmap_count("map").alias("n"), _leading_ones(F.col("map"), F.lit(0)).alias("ones"),
+                       _leading_ones(F.col("map"), lead).alias("ones_on"), *(["low"] if base is None else ["base"]))
+    every, by = Window.partitionBy("partition"), Window.partitionBy("partition").orderBy("bucket")
+    if base is None:
+        tiny = tiny.withColumn("base", (F.min("low").over(every) - 1).cast("bigint"))
+    first = F.floor((F.col("base") + 1) / size).cast("bigint")
+    tiny = tiny.withColumn("rn", F.row_number().over(by)).withColumn("placed", F.col("bucket") - first + 1 == F.col("rn"))
+    whole = F.col("n") == size - F.greatest(F.col("base") + 1 - begin, F.lit(0))
+    broken = F.min(F.when(~(F.col("placed") & whole), F.col("rn"))).over(every)
+    tiny = tiny.withColumn("at", F.coalesce(broken, F.max("rn").over(every) + 1))  # place of the first that is not whole
+    inside = F.greatest(F.col("base") + 1, begin) - 1 + F.when(F.col("rn") == 1, F.col("ones_on")).otherwise(F.col("ones"))
+    found = tiny.groupBy("partition").agg(
+        F.min("base").alias("base"),
+        F.coalesce(F.max(F.when((F.col("rn") == F.col("at")) & F.col("placed"), inside)),
+                   F.max(F.greatest(F.col("base"), (first + F.col("at") - 1) * size - 1))).cast("bigint").alias("frontier"))
+    if base is None:
+        return found
+    return base.join(found.select("partition", "frontier"), "partition", "left").select(
+        "partition", "base", F.coalesce("frontier", "base").alias("frontier"))
 
 
 def commit_times(outcome_rows: DataFrame, base: DataFrame | None = None,
@@ -87,14 +108,18 @@ def commit_times(outcome_rows: DataFrame, base: DataFrame | None = None,
     time and the running row count; an offset whose position differs from
     ``offset - base`` sits behind a hole, which stalls the frontier for good.
     """
-    if base is None:
-        base = baseline(outcome_rows)
-    rows = (outcome_rows.join(F.broadcast(base.select("partition", "base")), "partition")
-            .where(F.col("offset") > F.col("base")))
+    rows = outcome_rows
+    if base is not None:
+        rows = (rows.join(F.broadcast(base.select("partition", "base")), "partition")
+                .where(F.col("offset") > F.col("base")))
     eff = F.when(F.col("done_ms").isNull(), F.lit(INF)).otherwise(F.col("done_ms"))
     rows = rows.withColumn("_eff", eff.cast("bigint")).withColumn("_one", F.lit(1).cast("bigint"))
+    specs = [("_eff", "_commit", "max"), ("_one", "_pos", "sum")]
+    # without a base the lowest offset tells it: the running minimum of the offset
     res = running_aggs(rows, ["partition"], ["offset"], _bucket("offset", bucket_size),
-                       [("_eff", "_commit", "max"), ("_one", "_pos", "sum")])
+                       specs if base is not None else [*specs, ("offset", "_low", "min")])
+    if base is None:
+        res = res.withColumn("base", F.col("_low") - 1).drop("_low")
     ok = (F.col("offset") - F.col("base") == F.col("_pos")) & (F.col("_commit") < F.lit(INF))
     return (res.withColumn("commit_ms", F.when(ok, F.col("_commit")))
             .drop("_eff", "_one", "_commit", "_pos"))
@@ -121,34 +146,27 @@ def blocked_by_gap(outcome_rows: DataFrame, base: DataFrame | None = None,
     absence, ``commit_ms`` NULL) held back the done records above it.
     (partition, blocker_offset, commit_ms, blocked, max_blocked_ms, total_blocked_ms)
     """
-    if base is None:
-        base = baseline(outcome_rows)
     ct = commit_times(outcome_rows, base, bucket_size)
     done = F.col("done_ms").isNotNull()
     waited = done & (F.col("commit_ms").isNull() | (F.col("done_ms") < F.col("commit_ms")))
     wait_ms = F.when(done, F.col("commit_ms") - F.col("done_ms"))
     grouped = (ct.groupBy("partition", "commit_ms")
-               .agg(F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+               .agg(F.min("base").alias("base"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
                     F.count_if(waited).alias("blocked"),
                     F.max(wait_ms).alias("max_blocked_ms"),
                     F.sum(wait_ms).cast("bigint").alias("total_blocked_ms")))
     # what is still blocked waits for the offset after the last released one,
     # which may be absent
     last = grouped.where(F.col("commit_ms").isNotNull()).groupBy("partition").agg(F.max("last_offset").alias("_last"))
-    grouped = (grouped.where(F.col("blocked") > 0).join(last, "partition", "left")
-               .join(F.broadcast(base.select("partition", "base")), "partition", "left"))
+    grouped = grouped.where(F.col("blocked") > 0).join(last, "partition", "left")
     blocker = F.when(F.col("commit_ms").isNull(), F.coalesce("_last", "base") + 1).otherwise(F.col("first_offset"))
     return grouped.select("partition", blocker.cast("bigint").alias("blocker_offset"),
                           "commit_ms", "blocked", "max_blocked_ms", "total_blocked_ms")
 
 
-def frontier_snapshot(outcome_rows: DataFrame, base: DataFrame | None = None,
-                      bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
+def frontier_snapshot(outcome_rows: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """A2 on outcomes (one row per (partition, offset)): (partition, base, last_committed)."""
-    if base is None:
-        base = baseline(outcome_rows)
-    done = outcome_rows.where(F.col("done_ms").isNotNull()).select("partition", "offset")
-    fr = contiguous_frontier(done, base, bucket_size, unique=True)
+    fr = contiguous_frontier(outcome_rows, base, F.col("done_ms").isNotNull())
     return fr.select("partition", "base", F.col("frontier").alias("last_committed"))
 
 
@@ -183,8 +201,13 @@ def tracker_snapshot(outcome_rows: DataFrame, snapshot: DataFrame,
                      F.when(F.col("done_ms").isNull(), F.lit("in_flight")).otherwise(F.lit("completed"))
                      .alias("set")))
     ranked = row_index(above, ["partition", "set"], ["offset"], _bucket("offset", bucket_size), "rank", start=1)
-    return pending_count(outcome_rows, snapshot).join(ranked, "partition", "left").select(
-        "partition", "last_committed", "pending", "in_flight", "completed", "set", "rank", "offset")
+    # the counts (one row per log partition) go to the listing, which stays where it is
+    counts = pending_count(outcome_rows, snapshot)
+    columns = ["partition", "last_committed", "pending", "in_flight", "completed", "set", "rank", "offset"]
+    listed = ranked.join(F.broadcast(counts), "partition").select(*columns)
+    nothing = counts.where(F.col("pending") == 0).select(*[F.col(c) if c in counts.columns else F.lit(None).cast(listed.schema[c].dataType).alias(c)
+                                                           for c in columns])
+    return listed.unionByName(nothing)
 
 
 def final_commit(commits: DataFrame) -> DataFrame:

@@ -82,13 +82,13 @@ def _frontier_timeline(spark, d):
 
 
 def _frontier_snapshot(spark, d):
-    r = _run(spark, d)
-    return fr.frontier_snapshot(r.outcomes, r.base, _M.B)  # used once: not materialised
+    r = _M.run(spark, d, materialize=False)  # read once
+    return fr.frontier_snapshot(r.outcomes)
 
 
 def _blocked_by_gap(spark, d):
     r = _run(spark, d)
-    return fr.blocked_by_gap(r.outcomes, r.base, _M.B)
+    return fr.blocked_by_gap(r.outcomes, bucket_size=_M.B)
 
 
 def _pending_count(spark, d):
@@ -292,8 +292,7 @@ def _lineitem_pending(spark, d):
     r = Run(_M, spark, d)
     handled = r._keep(recs, "lineitem-handled")
     out = att.outcomes(handled, _M.policy)
-    base = r._keep(fr.baseline(handled), "lineitem-base")
-    snap = r._keep(fr.frontier_snapshot(out, base, _M.B), "lineitem-snapshot")
+    snap = r._keep(fr.frontier_snapshot(out), "lineitem-snapshot")
     return fr.pending_count(out, snap)
 
 

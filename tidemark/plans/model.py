@@ -148,7 +148,7 @@ class Run:
 
     @cached_property
     def timeline(self) -> DataFrame:
-        return fr.frontier_timeline(self.outcomes, self.base, self.B)
+        return fr.frontier_timeline(self.outcomes, bucket_size=self.B)
 
     @cached_property
     def commits(self) -> DataFrame:
@@ -158,7 +158,7 @@ class Run:
     @cached_property
     def snapshot(self) -> DataFrame:
         """One row per log partition; written once, read by every branch."""
-        return self._keep(fr.frontier_snapshot(self.outcomes, self.base, self.B), "snapshot")
+        return self._keep(fr.frontier_snapshot(self.outcomes), "snapshot")
 
     @cached_property
     def completions(self) -> DataFrame:
@@ -193,11 +193,11 @@ class Run:
     @cached_property
     def phase1_snapshot(self) -> DataFrame:
         """One row per log partition; written once, read by every branch."""
-        return self._keep(fr.frontier_snapshot(self.split, self.base, self.B), "phase1-snapshot")
+        return self._keep(fr.frontier_snapshot(self.split), "phase1-snapshot")
 
     @cached_property
     def phase1_commits(self) -> DataFrame:
-        tl = fr.frontier_timeline(self.split, self.base, self.B)
+        tl = fr.frontier_timeline(self.split, bucket_size=self.B)
         return tl.select("partition", "committed_through", "commit_ms", F.lit(True).alias("ok"))
 
     @cached_property
@@ -236,7 +236,7 @@ class Run:
     @cached_property
     def failing_commits(self) -> DataFrame:
         """The commit log of that run: its drain also tries to commit, and fails."""
-        return lc.failing_from(fr.frontier_timeline(self.cut_split, self.base, self.B), COMMITS_FAIL_FROM_MS)
+        return lc.failing_from(fr.frontier_timeline(self.cut_split, bucket_size=self.B), COMMITS_FAIL_FROM_MS)
 
     # -- run logs ----------------------------------------------------------------
     @cached_property
