@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tidemark.operators import evidence as ev
-from tidemark.sources.textlog import read_logs_lines, read_logs_whole
+from tidemark.sources.textlog import PARTITION_DIR, read_logs_lines, read_logs_whole
 
 # Own short logs: an order desk with two log partitions; only the message formats are fixed.
 OUT_OF_ORDER = """2031/11/02 04:40:00 ✓ Processed partition 6 offset 71: key=tea, value=3 boxes
@@ -144,3 +144,13 @@ def test_text_log_readers_agree(spark):
     assert whole == lines
     assert whole[("big", 2999)].endswith("offset 2999: key=k, value=v")
     assert whole[("exh", 3)].startswith("2031/11/04 23:59:04 Message partition 4 offset 9 exhausted")
+
+
+def test_part_files_follow_each_other_by_number(spark):
+    d = tempfile.mkdtemp(prefix="tidemark-parts-", dir="/tmp")
+    os.makedirs(f"{d}/scenario=a")
+    for n, lines in ((99999, "second\nthird"), (100000, "fourth"), (7, "first")):
+        with open(f"{d}/scenario=a/part-{n:05d}-x1.txt", "w") as f:
+            f.write(lines + "\n")
+    rows = read_logs_lines(spark, d + "/*/*.txt", PARTITION_DIR).orderBy("line_idx").collect()
+    assert [(r.scenario, r.line_idx, r.line) for r in rows] == [("a", 0, "first"), ("a", 1, "second"), ("a", 2, "third"), ("a", 3, "fourth")]

@@ -86,6 +86,28 @@ def test_same_ms_double_unseen_partition_and_repeated_commits(spark):
     assert [(r.partition, r.offset) for r in fr.above_committed(rec, twice).collect()] == [(0, 1)]
 
 
+def test_a_completion_before_its_fetch_is_not_in_flight(spark):
+    """Fetches, completions and commits in one time order; the offset can still be completed later."""
+    rec = spark.createDataFrame([(0, 0, 10), (0, 1, 20), (0, 2, 30)], "partition int, offset bigint, fetched_ms bigint")
+    comps = spark.createDataFrame([(0, 0, 10), (0, 1, 19), (0, 1, 25), (0, 1, 26), (0, 2, 5), (0, 2, 6)],
+                                  "partition int, offset bigint, done_ms bigint")
+    got = sorted((r.offset, r.done_ms, r["class"]) for r in fr.completion_classes(comps, rec, None, 2).collect())
+    assert got == [(0, 10, "ok"), (1, 19, "error_not_in_flight"), (1, 25, "ok"), (1, 26, "noop_committed"),
+                   (2, 5, "error_not_in_flight"), (2, 6, "error_not_in_flight")]
+
+
+@pytest.mark.parametrize("bucket", [2, 4096])
+def test_dense_contiguity(spark, bucket):
+    """Offsets 1, 4 and 5 do not exist; 8 is not done."""
+    rows = [(0, 0, 10), (0, 2, 9), (0, 3, 15), (0, 6, 12), (0, 7, 20), (0, 8, None), (0, 9, 1), (1, 5, None), (2, 3, 4), (2, 9, 3)]
+    out = spark.createDataFrame(rows, "partition int, offset bigint, done_ms bigint")
+    tl = sorted((r.partition, r.commit_ms, r.committed_through, r.released) for r in fr.frontier_timeline(out, None, bucket, dense=True).collect())
+    assert tl == [(0, 10, 2, 2), (0, 15, 6, 2), (0, 20, 7, 1), (2, 4, 9, 2)]
+    snap = {r.partition: (r.base, r.last_committed) for r in fr.frontier_snapshot(out, dense=True).collect()}
+    assert snap == {0: (-1, 7), 1: (4, 4), 2: (2, 9)}
+    assert {r.partition: r.last_committed for r in fr.frontier_snapshot(out).collect()} == {0: 0, 1: 4, 2: 3}
+
+
 def test_completion_classes_cases(spark):
     records, base, comps, outcomes = _frames(spark, CASES)
     got = sorted((r.partition, r.offset, r.done_ms, r["class"])

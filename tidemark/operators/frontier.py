@@ -99,7 +99,7 @@ def contiguous_frontier(good: DataFrame, base: DataFrame | None = None, done: Co
 
 
 def commit_times(outcome_rows: DataFrame, base: DataFrame | None = None,
-                 bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
+                 bucket_size: int = DEFAULT_BUCKET_SIZE, dense: bool = False) -> DataFrame:
     """W1 core: per tracked offset above base, ``commit_ms`` (NULL = never).
 
     ``outcome_rows``: (partition, offset, done_ms [, ...]), one row per
@@ -107,6 +107,8 @@ def commit_times(outcome_rows: DataFrame, base: DataFrame | None = None,
     when not done.  One two-level pass computes both the running max of done
     time and the running row count; an offset whose position differs from
     ``offset - base`` sits behind a hole, which stalls the frontier for good.
+    With ``dense`` (a compacted log) only the offsets that exist count: a hole
+    stalls nothing.
     """
     rows = outcome_rows
     if base is not None:
@@ -114,24 +116,26 @@ def commit_times(outcome_rows: DataFrame, base: DataFrame | None = None,
                 .where(F.col("offset") > F.col("base")))
     eff = F.when(F.col("done_ms").isNull(), F.lit(INF)).otherwise(F.col("done_ms"))
     rows = rows.withColumn("_eff", eff.cast("bigint")).withColumn("_one", F.lit(1).cast("bigint"))
-    specs = [("_eff", "_commit", "max"), ("_one", "_pos", "sum")]
+    specs = [("_eff", "_commit", "max"), *([] if dense else [("_one", "_pos", "sum")])]
     # without a base the lowest offset tells it: the running minimum of the offset
     res = running_aggs(rows, ["partition"], ["offset"], _bucket("offset", bucket_size),
                        specs if base is not None else [*specs, ("offset", "_low", "min")])
     if base is None:
         res = res.withColumn("base", F.col("_low") - 1).drop("_low")
-    ok = (F.col("offset") - F.col("base") == F.col("_pos")) & (F.col("_commit") < F.lit(INF))
+    ok = F.col("_commit") < F.lit(INF)
+    if not dense:
+        ok = ok & (F.col("offset") - F.col("base") == F.col("_pos"))
     return (res.withColumn("commit_ms", F.when(ok, F.col("_commit")))
             .drop("_eff", "_one", "_commit", "_pos"))
 
 
 def frontier_timeline(outcome_rows: DataFrame, base: DataFrame | None = None,
-                      bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
-    """One row per frontier advance = one coalesced commit.
+                      bucket_size: int = DEFAULT_BUCKET_SIZE, dense: bool = False) -> DataFrame:
+    """One row per frontier advance = one coalesced commit (``dense``: see ``commit_times``).
 
     (partition, commit_ms, committed_through, released)
     """
-    ct = commit_times(outcome_rows, base, bucket_size)
+    ct = commit_times(outcome_rows, base, bucket_size, dense)
     return (ct.where(F.col("commit_ms").isNotNull())
             .groupBy("partition", "commit_ms")
             .agg(F.max("offset").alias("committed_through"),
@@ -164,10 +168,22 @@ def blocked_by_gap(outcome_rows: DataFrame, base: DataFrame | None = None,
                           "commit_ms", "blocked", "max_blocked_ms", "total_blocked_ms")
 
 
-def frontier_snapshot(outcome_rows: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """A2 on outcomes (one row per (partition, offset)): (partition, base, last_committed)."""
-    fr = contiguous_frontier(outcome_rows, base, F.col("done_ms").isNotNull())
-    return fr.select("partition", "base", F.col("frontier").alias("last_committed"))
+def frontier_snapshot(outcome_rows: DataFrame, base: DataFrame | None = None, dense: bool = False) -> DataFrame:
+    """A2 on outcomes (one row per (partition, offset)): (partition, base, last_committed).
+
+    With ``dense`` the frontier is the last existing offset before the first that is not done."""
+    done = F.col("done_ms").isNotNull()
+    if not dense:
+        fr = contiguous_frontier(outcome_rows, base, done)
+        return fr.select("partition", "base", F.col("frontier").alias("last_committed"))
+    rows = outcome_rows.select("partition", "offset", done.alias("_done"))
+    low = base if base is not None else baseline(rows)
+    rows = rows.join(F.broadcast(low.select("partition", "base")), "partition").where(F.col("offset") > F.col("base"))
+    open_ = rows.where(~F.col("_done")).groupBy("partition").agg(F.min("offset").alias("_open"))
+    through = (rows.join(F.broadcast(open_), "partition", "left").where(F.col("_open").isNull() | (F.col("offset") < F.col("_open")))
+               .groupBy("partition").agg(F.max("offset").alias("_through")))
+    return low.select("partition", "base").join(through, "partition", "left").select(
+        "partition", "base", F.coalesce("_through", "base").alias("last_committed"))
 
 
 def pending_count(outcome_rows: DataFrame, snapshot: DataFrame) -> DataFrame:
@@ -247,31 +263,34 @@ def above_committed(rows: DataFrame, committed: DataFrame, through: str = "commi
 
 def completion_classes(completions: DataFrame, records: DataFrame, base: DataFrame | None = None,
                        bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
-    """Classify every completion event like a single tracker would.
+    """Classify every completion event like a single tracker would that sees
+    fetches, completions and commits in one time order.
 
     ``completions``: (partition, offset, done_ms), several per offset allowed.
-    Of completions of one offset in the same millisecond one is the first.
+    ``records``: (partition, offset) and, if known, ``fetched_ms``; a fetch comes
+    before a completion of the same millisecond.  Of completions of one offset in the
+    same millisecond one is the first.
     Classes: ``ok`` (first completion), ``noop_committed`` (at/below the
     baseline, or after the offset's commit), ``error_not_in_flight`` (never
-    fetched), ``error_double`` (again before the offset was committed).
+    fetched, or not yet), ``error_double`` (again before the offset was committed).
     """
     if base is None:
         base = baseline(records)
-    tracked = records.select("partition", "offset").dropDuplicates(["partition", "offset"])
-    first = completions.groupBy("partition", "offset").agg(F.min("done_ms").alias("first_ms"))
-    firsts = tracked.join(first, ["partition", "offset"], "left").select(
-        "partition", "offset", F.col("first_ms").alias("done_ms"))
-    ct = commit_times(firsts, base, bucket_size).select("partition", "offset", "commit_ms",
-                                                        F.col("done_ms").alias("first_ms"))
+    at = F.min("fetched_ms") if "fetched_ms" in records.columns else F.lit(None).cast("bigint")
+    tracked = records.groupBy("partition", "offset").agg(at.alias("_fetched"))
+    early = F.coalesce(F.col("done_ms") < F.col("_fetched"), F.lit(False))
+    firsts = (tracked.join(completions.select("partition", "offset", "done_ms"), ["partition", "offset"], "left")
+              .groupBy("partition", "offset").agg(F.min(F.when(~early, F.col("done_ms"))).alias("done_ms"), F.first("_fetched").alias("_fetched")))
+    ct = commit_times(firsts, base, bucket_size).select("partition", "offset", "commit_ms", "_fetched")
     # ct has one row per tracked offset above the baseline, so it also tells
     # whether a completion's offset was ever fetched
     ev = (completions.join(F.broadcast(base.select("partition", "base")), "partition", "left")
-          .join(ct.withColumn("_tracked", F.lit(True)), ["partition", "offset"], "left"))
-    once = Window.partitionBy("partition", "offset").orderBy("done_ms")
+          .join(ct.withColumn("_tracked", F.lit(True)), ["partition", "offset"], "left").withColumn("_early", early))
+    once = Window.partitionBy("partition", "offset", "_early").orderBy("done_ms")
     ev = ev.withColumn("_nth", F.row_number().over(once))
     after = (F.col("done_ms") > F.col("commit_ms")) | ((F.col("_nth") > 1) & (F.col("done_ms") == F.col("commit_ms")))
     cls = (F.when(F.col("offset") <= F.col("base"), F.lit("noop_committed"))
-           .when(F.col("_tracked").isNull(), F.lit("error_not_in_flight"))
+           .when(F.col("_tracked").isNull() | F.col("_early"), F.lit("error_not_in_flight"))
            .when(F.col("_nth") == 1, F.lit("ok"))
            .when(F.col("commit_ms").isNotNull() & after, F.lit("noop_committed"))
            .otherwise(F.lit("error_double")))

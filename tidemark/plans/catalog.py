@@ -86,6 +86,17 @@ def _frontier_snapshot(spark, d):
     return fr.frontier_snapshot(r.outcomes)
 
 
+def _dense_timeline(spark, d):
+    """W1 over a compacted log: offsets that do not exist stall nothing (Q1)."""
+    return fr.frontier_timeline(_run(spark, d).compacted_outcomes, bucket_size=_M.B, dense=True)
+
+
+def _dense_snapshot(spark, d):
+    """A2 and A3 over a compacted log."""
+    out = _run(spark, d).compacted_outcomes
+    return fr.pending_count(out, fr.frontier_snapshot(out, dense=True))
+
+
 def _blocked_by_gap(spark, d):
     r = _run(spark, d)
     return fr.blocked_by_gap(r.outcomes, bucket_size=_M.B)
@@ -266,7 +277,8 @@ def _turn_keyword_filter(spark, d):
 
 
 def _language_word_count(spark, d):
-    """A8 over the texts of ``documents``, one word a language (a literal table)."""
+    """A8 over the texts of ``documents``: the words to count are given by language, as the
+    replay keys of scenarios are; a language without a word has no row."""
     words = spark.createDataFrame(list(LANGUAGE_WORDS.items()), "lang string, replay_key string")
     return ev.substring_count(read_table(spark, d, "documents"), F.broadcast(words), "text", "lang", prefix="")
 
@@ -297,16 +309,21 @@ def _lineitem_pending(spark, d):
 
 
 # -- streaming ---------------------------------------------------------------------
-STREAM_FILES = 8
+# Rows of a file, and files at least: a topic of any size gives several micro-batches.
+STREAM_FILE_ROWS, STREAM_FILES = 1 << 20, 8
 STREAM_FILES_PER_TRIGGER = 2
 
 
+def _stream_files(rows: DataFrame) -> int:
+    return max(STREAM_FILES, -(-rows.count() // STREAM_FILE_ROWS))
+
+
 def _stream_frontier(spark, d):
     """T1 over a completion log: files in completion-time order, two per micro-batch."""
     r = _run(spark, d)
     work = scratch_path(spark, "stream-frontier")
     done = r.outcomes.where(F.col("done_ms").isNotNull()).select("partition", "offset", "done_ms")
-    done.repartitionByRange(STREAM_FILES, "done_ms").write.parquet(f"{work}/completions")
+    done.repartitionByRange(_stream_files(done), "done_ms").write.parquet(f"{work}/completions")
     stream = (spark.readStream.schema("partition int, offset bigint, done_ms bigint")
               .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(f"{work}/completions"))
     adv = streaming_frontier(stream, r.base, _M.B)
@@ -320,7 +337,7 @@ def _stream_pipeline(spark, d):
     r = _run(spark, d)
     work = scratch_path(spark, "stream-pipeline")
     log = r.handled.select("partition", "offset", "key", "value", "fetched_ms", "failures", "latency_ms")
-    sp.write_log(log, f"{work}/log", STREAM_FILES)
+    sp.write_log(log, f"{work}/log", _stream_files(log))
     return sp.pipeline(spark, f"{work}/log", work, model_handler, _M.policy, r.base, STREAM_FILES_PER_TRIGGER,
                        schema=sp.RECORD_SCHEMA + ", failures int, latency_ms bigint", bucket_size=_M.B)
 
@@ -393,6 +410,8 @@ QUERIES: dict[str, Query] = {
     "failed_attempt_counter": _failed_attempt_counter,
     "frontier_timeline": _frontier_timeline,
     "frontier_snapshot": _frontier_snapshot,
+    "dense_timeline": _dense_timeline,
+    "dense_snapshot": _dense_snapshot,
     "blocked_by_gap": _blocked_by_gap,
     "pending_count": _pending_count,
     "tracker_snapshot": _tracker_snapshot,

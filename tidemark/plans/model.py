@@ -55,12 +55,14 @@ REDELIVERY_MODULUS = 10
 REDELIVERY_DELAY_MS = 1000
 # Wrong completions: of records with k mod 50 = 7 a second one names a partition
 # that has no log, with 8 an offset beyond the log, with 9 it comes in the same
-# millisecond.
-WRONG_MODULUS, NO_LOG, BEYOND_LOG, SAME_MS = 50, 7, 8, 9
+# millisecond, with 6 a millisecond before the record was fetched.
+WRONG_MODULUS, EARLY, NO_LOG, BEYOND_LOG, SAME_MS = 50, 6, 7, 8, 9
 OFFSET_BEYOND = 1 << 40
 # Offsets per bucket over the driver's tables: at least ten buckets in each log
 # partition of the smallest table that is checked.  A long log takes the default.
 BUCKET_SIZE = 256
+# A compacted log: records with k mod 10 = 9 are gone, and their offsets with them.
+COMPACTED_MODULUS, COMPACTED_REMAINDER = 10, 9
 # Values as the log shows them: text of the user that reads like messages of the consumer,
 # by k mod 25.
 USER_TEXT_MODULUS = 25
@@ -150,6 +152,12 @@ class Run:
     def timeline(self) -> DataFrame:
         return fr.frontier_timeline(self.outcomes, bucket_size=self.B)
 
+    @cached_property
+    def compacted_outcomes(self) -> DataFrame:
+        """Outcomes of the log after compaction: some offsets do not exist."""
+        kept = F.coalesce(F.col("k") % COMPACTED_MODULUS != COMPACTED_REMAINDER, F.lit(True))
+        return att.outcomes(self.handled.where(kept), self.m.policy)
+
     @cached_property
     def commits(self) -> DataFrame:
         """Commit log of the run: one successful commit per frontier advance."""
@@ -164,17 +172,18 @@ class Run:
     def completions(self) -> DataFrame:
         """Completion events: every done record, a second completion of records
         with k mod 10 = 0 (a redelivery inside the same run), and wrong ones."""
-        done = (att.outcomes(self.handled, self.m.policy, keep=("k",))
+        done = (att.outcomes(self.handled, self.m.policy, keep=("k", "fetched_ms"))
                 .where(F.col("done_ms").isNotNull()))
         wrong = F.col("k") % F.lit(WRONG_MODULUS)
         again = F.array(F.lit(0), F.when(F.col("k") % F.lit(REDELIVERY_MODULUS) == 0, F.lit(1)),
                         F.when(wrong == NO_LOG, F.lit(2)), F.when(wrong == BEYOND_LOG, F.lit(3)),
-                        F.when(wrong == SAME_MS, F.lit(4)))
+                        F.when(wrong == SAME_MS, F.lit(4)), F.when(wrong == EARLY, F.lit(5)))
         c = F.col("case")
         return done.withColumn("case", F.explode(F.array_compact(again))).select(
             F.when(c == 2, F.col("partition") + self.m.params.partitions).otherwise(F.col("partition")).alias("partition"),
             F.when(c == 3, F.col("offset") + OFFSET_BEYOND).otherwise(F.col("offset")).alias("offset"),
-            F.when(c == 1, F.col("done_ms") + REDELIVERY_DELAY_MS).otherwise(F.col("done_ms")).alias("done_ms"))
+            F.when(c == 1, F.col("done_ms") + REDELIVERY_DELAY_MS).when(c == 5, F.col("fetched_ms") - 1)
+            .otherwise(F.col("done_ms")).alias("done_ms"))
 
     @cached_property
     def stored_positions(self) -> DataFrame:

@@ -108,14 +108,15 @@ snap AS (
 final_commit AS (
   SELECT "partition", max(committed_through) AS committed_through FROM commits WHERE ok GROUP BY 1),
 donek AS (
-  SELECT o."partition", o."offset", o.done_ms, h.k
+  SELECT o."partition", o."offset", o.done_ms, h.k, h.fetched_ms
   FROM outcomes o JOIN handled h ON o."partition" = h."partition" AND o."offset" = h."offset" WHERE o.done_ms IS NOT NULL),
 comps AS (
   SELECT "partition", "offset", done_ms FROM donek
   UNION ALL SELECT "partition", "offset", done_ms + 1000 FROM donek WHERE k % 10 = 0
   UNION ALL SELECT "partition" + 3, "offset", done_ms FROM donek WHERE k % 50 = 7
   UNION ALL SELECT "partition", "offset" + 1099511627776, done_ms FROM donek WHERE k % 50 = 8
-  UNION ALL SELECT "partition", "offset", done_ms FROM donek WHERE k % 50 = 9),
+  UNION ALL SELECT "partition", "offset", done_ms FROM donek WHERE k % 50 = 9
+  UNION ALL SELECT "partition", "offset", fetched_ms - 1 FROM donek WHERE k % 50 = 6),
 split0 AS (
   SELECT o."partition", o."offset", o.key, r.fetched_ms, o.status, o.done_ms,
          CASE WHEN r.fetched_ms >= {T} THEN 'not_dispatched' WHEN o.end_ms <= {T} THEN 'finished'
@@ -257,6 +258,24 @@ def queries() -> dict[str, str]:
         "stream_frontier": q("""SELECT * FROM timeline"""),
         "stream_pipeline": q("""SELECT * FROM timeline"""),
         "frontier_snapshot": q("""SELECT "partition", base, last_committed FROM snap"""),
+        "dense_timeline": q(f"""
+            , d AS (
+              SELECT "partition", "offset", max(COALESCE(done_ms, {INF})) OVER (
+                       PARTITION BY "partition" ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+              FROM (SELECT o.* FROM outcomes o JOIN records r ON r."partition" = o."partition" AND r."offset" = o."offset"
+                    WHERE COALESCE(r.k % 10 <> 9, true)))
+            SELECT "partition", c AS commit_ms, max("offset") AS committed_through, count(*) AS released FROM d WHERE c < {INF} GROUP BY 1, 2"""),
+        "dense_snapshot": q(f"""
+            , o2 AS (SELECT o.* FROM outcomes o JOIN records r ON r."partition" = o."partition" AND r."offset" = o."offset"
+                     WHERE COALESCE(r.k % 10 <> 9, true)),
+            d AS (
+              SELECT "partition", "offset", max(COALESCE(done_ms, {INF})) OVER (
+                       PARTITION BY "partition" ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+              FROM o2),
+            s AS (SELECT "partition", CAST(COALESCE(max(CASE WHEN c < {INF} THEN "offset" END), min("offset") - 1) AS BIGINT) AS last_committed FROM d GROUP BY 1)
+            SELECT s."partition", s.last_committed, CAST(count(o."offset") FILTER (WHERE o.done_ms IS NULL) AS BIGINT) AS in_flight,
+                   CAST(count(o."offset") FILTER (WHERE o.done_ms IS NOT NULL) AS BIGINT) AS completed, CAST(count(o."offset") AS BIGINT) AS pending
+            FROM s LEFT JOIN o2 o ON o."partition" = s."partition" AND o."offset" > s.last_committed GROUP BY 1, 2"""),
         "blocked_by_gap": q("""
             SELECT "partition", min("offset") AS blocker_offset, commit_ms,
                    count(*) FILTER (WHERE done_ms IS NOT NULL AND (commit_ms IS NULL OR done_ms < commit_ms)) AS blocked,
@@ -299,11 +318,13 @@ def queries() -> dict[str, str]:
         "completion_class": q("""
             SELECT c."partition", c."offset", c.done_ms,
                    CASE WHEN c."offset" <= b.base THEN 'noop_committed'
-                        WHEN t."offset" IS NULL THEN 'error_not_in_flight'
+                        WHEN t."offset" IS NULL OR c.early THEN 'error_not_in_flight'
                         WHEN c.nth = 1 THEN 'ok'
                         WHEN c.done_ms >= t.commit_ms THEN 'noop_committed'
                         ELSE 'error_double' END AS completion_class
-            FROM (SELECT *, row_number() OVER (PARTITION BY "partition", "offset" ORDER BY done_ms) AS nth FROM comps) c LEFT JOIN base b ON b."partition" = c."partition"
+            FROM (SELECT *, row_number() OVER (PARTITION BY "partition", "offset", early ORDER BY done_ms) AS nth
+                  FROM (SELECT m.*, COALESCE(m.done_ms < r.fetched_ms, false) AS early
+                        FROM comps m LEFT JOIN records r ON r."partition" = m."partition" AND r."offset" = m."offset")) c LEFT JOIN base b ON b."partition" = c."partition"
             LEFT JOIN ctimes t ON t."partition" = c."partition" AND t."offset" = c."offset" """),
         "commit_cache": q("""
             SELECT r."partition", count(*) AS cached,

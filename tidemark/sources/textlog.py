@@ -6,7 +6,9 @@ Two readers with the same result:
   ``posexplode``d; simple, but a file must fit in one task's memory.
 * ``read_logs_lines`` - line mode for files of any size.  Each split keeps
   its lines in order; per (file, split) line counts are prefix-summed
-  (one small row per split) and added to the position inside the split.
+  (one small row per split) and added to the position inside the split.  Files of
+  one scenario follow each other by the first number in their names, so part file
+  100000 comes after 99999.
 """
 
 from __future__ import annotations
@@ -38,10 +40,13 @@ def read_logs_lines(spark: SparkSession, path: str, scenario_pattern: str = FILE
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"))
-    # one scenario may span several files (in file-name order), each file
+    # one scenario may span several files (by name and number), each file
     # several blocks: prefix-sum the per-(file, block) counts, one small row each
     counts = raw.groupBy("scenario", "file", "block").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("scenario").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    name = F.regexp_extract("file", r"([^/]*)$", 1)
+    number = F.expr(r"try_cast(regexp_extract(file, '/[^/0-9]*([0-9]{1,38})[^/]*$', 1) AS DECIMAL(38,0))")
+    order = [F.regexp_extract(name, r"^([^0-9]*)", 1), number, "file", "block"]
+    w = Window.partitionBy("scenario").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("scenario", "file", "block", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("start"))
     wi = Window.partitionBy("scenario", "file", "block").orderBy("pos")
     return (raw.join(starts, ["scenario", "file", "block"])
