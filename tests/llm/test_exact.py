@@ -210,6 +210,16 @@ def test_bpe_equals_the_library_and_round_trips(make_docs):
         assert r.decoded == lib.decode(e.ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "aab", "日本語中文字", "é"])
+def test_bpe_of_a_long_unbroken_word(letters):
+    from tokenizers import Tokenizer
+
+    lib, t, rng = Tokenizer.from_file(bpe.default_path()), bpe.tokenizer(bpe.default_path()), random.Random(len(letters))
+    words = ["".join(rng.choices(letters, k=n)) for n in (bpe.LONG // 3, bpe.LONG, bpe.LONG + 1, 200_000)]
+    for text in [*words, " ".join(words)]:
+        assert t.encode_batch([text])[0].tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
 # -- personal data ---------------------------------------------------------------
 
 def _plain_pii(t):

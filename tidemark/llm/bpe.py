@@ -15,6 +15,7 @@ whole; an empty table gives no rows; other columns are ignored or passed on.
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from . import _text as T
 
 CACHE_CHUNKS = 300_000
+LONG = 512
 
 
 def default_path() -> str:
@@ -74,6 +76,7 @@ class WordBpe:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in merges], dtype=np.int64)
+        self.rank_of: dict[int, int] = {}  # for long words, filled when one comes
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(rf"{pattern}|\n")
         self.special = re.compile("(" + ("|".join(re.escape(s) for s in sorted(self.added, key=len, reverse=True)) or "(?!)") + ")")
@@ -136,6 +139,31 @@ class WordBpe:
         self.at = np.concatenate([self.at, len(self.flat) + ends])
         self.flat = np.concatenate([self.flat, flat])
 
+    def merge_long(self, sym: list[int]) -> np.ndarray:
+        """Symbols of one word, merged one pair at a time: the lowest rank first, from the left."""
+        if not self.rank_of:
+            self.rank_of = dict(zip(self.keys.tolist(), self.ranks.tolist(), strict=True))
+        n, rank_of, size = len(sym), self.rank_of, self.size
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := rank_of.get(sym[i] * size + sym[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if sym[i] < 0 or j >= n or rank_of.get(sym[i] * size + sym[j]) != r:
+                continue  # one of the two has been merged since
+            sym[i], sym[j] = int(self.merged[r]), -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := rank_of.get(sym[i] * size + sym[k])) is not None:
+                    heapq.heappush(heap, (r, i))
+            h = before[i]
+            if h >= 0 and (r := rank_of.get(sym[h] * size + sym[i])) is not None:
+                heapq.heappush(heap, (r, h))
+        out = np.array(sym, dtype=np.int64)
+        return out[out >= 0]
+
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all words in one array, merged round by round; and where
         each word begins (one more entry for the end)."""
@@ -146,6 +174,12 @@ class WordBpe:
         sym[ends] = self.final[buf[ends]]
         word = np.repeat(np.arange(len(words)), count)
         done_sym, done_word = [], []
+        if (count > LONG).any():
+            for w in np.flatnonzero(count > LONG).tolist():
+                done_sym.append(self.merge_long(sym[ends[w] + 1 - count[w]:ends[w] + 1].tolist()))
+                done_word.append(np.full(len(done_sym[-1]), w))
+            short = np.repeat(count <= LONG, count)
+            sym, word = sym[short], word[short]
         none = np.int64(len(self.keys))
         while len(sym):
             key = sym[:-1] * self.size + sym[1:]
