@@ -9,8 +9,10 @@ words whose neighbouring pairs all occur in items are the only ones that can
 match, so only they are walked, many stretches in step in numpy.  Windows found
 are looked up by their exact words, which also names their items.
 
-The items travel to the tasks in blocks of at most ``BLOCK_BYTES`` of text; more
-items mean more passes over the documents, never a larger broadcast.
+The items travel to the tasks in blocks of at most about ``BLOCK_BYTES`` of text; more
+items mean more passes over the documents, never a larger broadcast or automaton.
+The documents are written once for several passes; a pass writes only the places
+that it finds, which meet the documents in one join.
 
 Edge cases: a null or empty text has no words; an item without words matches
 nothing; null item ids count as the empty name; repeated items are one item by
@@ -33,7 +35,7 @@ from . import _text as T
 from .secret_scan import lengths, replaced
 
 WINDOW = 10
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
 WORD = T.byte_class(lambda b: b >= 0x80 or chr(b).isalnum())
 _FOUND = "array<struct<start:int,end:int>>"
 
@@ -181,15 +183,14 @@ def _words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]
     return [data[a:b] for a, b in zip((starts - lo).tolist(), (ends - lo).tolist(), strict=True)]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterable[list[tuple[str, bytes]]]:
-    """The items in blocks of bounded text; one block at a time is on the driver."""
+def _blocks(items: DataFrame, id_col: str, text_col: str) -> tuple[int, Iterable[list[tuple[str, bytes]]]]:
+    """The number of blocks of bounded text, and the items block by block; one block at a time is on the driver."""
     named = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("name"),
                          F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / BLOCK_BYTES))
-    for b in range(n):
-        part = named if n == 1 else named.where(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == b)
-        yield [(r[0], r[1].encode()) for r in part.collect()]
+    block = lambda b: named if n == 1 else named.where(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == b)
+    return n, ([(r[0], r[1].encode()) for r in block(b).collect()] for b in range(n))
 
 
 def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
@@ -204,20 +205,50 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col:
 
 
 def _passes(docs: DataFrame, items: DataFrame, window: int, names: list[str], text_col: str, item_id_col: str, item_text_col: str):
-    """All passes but the last, the text's place in ``doc``, and the last pass's automaton."""
+    """What earlier passes have found, the text's place in ``doc``, and the last pass's automaton."""
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"))
-    rows = rows.select("doc", F.lit(0).cast("bigint").alias("n_words"),
-                       F.expr(f"cast(array() as {_FOUND})").alias("hits"),
-                       F.expr("cast(array() as array<string>)").alias("items"))
-    text_at, automaton = names.index(text_col), None
-    for block in _blocks(items, item_id_col, item_text_col):
-        if automaton is not None:
-            rows = T.kept(_pass(rows, automaton, text_at, rows.schema), "items-pass")
-        automaton = sc.broadcast(SuffixAutomaton(block, window))
+    text_at = names.index(text_col)
+    nothing = [F.expr(f"cast(array() as {_FOUND})"), F.expr("cast(array() as array<string>)")]
+    n, blocks = _blocks(items, item_id_col, item_text_col)
+    if n > 1:
+        rows = T.kept(rows.withColumn("key", F.monotonically_increasing_id()), "items-docs")
+        parts = []
+        for k, block in enumerate(blocks):
+            automaton = sc.broadcast(SuffixAutomaton(block, window))
+            if k < n - 1:
+                parts.append(T.kept(_places(rows, automaton, text_at), "items-places"))
+                automaton.destroy()
+        found = parts[0]
+        for more in parts[1:]:
+            found = found.union(more)
+        found = found.groupBy("key").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        rows = rows.join(found, "key", "left").select("doc", F.lit(0).cast("bigint").alias("n_words"), F.coalesce("hits", nothing[0]).alias("hits"),
+                                                      F.coalesce("items", nothing[1]).alias("items"))
+    else:
+        rows = rows.select("doc", F.lit(0).cast("bigint").alias("n_words"), nothing[0].alias("hits"), nothing[1].alias("items"))
+        automaton = sc.broadcast(SuffixAutomaton(next(iter(blocks)), window))
     return rows, text_at, automaton
 
 
+def _places(rows: DataFrame, automaton, text_at: int) -> DataFrame:
+    """``key``, ``hits`` and ``items`` of the documents that hold items of one block."""
+    def fn(batches):
+        for batch in batches:
+            flat = pa.RecordBatch.from_arrays([batch.column(0).field(text_at), batch.column(1)], names=["text", "key"])
+            for part in T.slices(flat, "text"):
+                _, found = automaton.value.find(T.raw(part.column(0)))
+                if found:
+                    keys = part.column(1).to_numpy()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(keys[r]) for r, _, _ in found], pa.int64()),
+                         pa.array([[{"start": a, "end": b} for a, b in spans] for _, _, spans in found], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                         pa.array([sorted(named) for _, named, _ in found], pa.list_(pa.string()))], names=["key", "hits", "items"])
+
+    T.bounded_batches(rows.sparkSession)
+    return rows.mapInArrow(fn, f"key bigint, hits {_FOUND}, items array<string>")
+
+
 def _pass(rows: DataFrame, automaton, text_at: int, schema: StructType, finish=None) -> DataFrame:
     """Find one block's items; ``finish`` makes the result of the documents, their
     numbers of words, hits and items."""
@@ -234,7 +265,9 @@ def _pass(rows: DataFrame, automaton, text_at: int, schema: StructType, finish=N
             for part in T.slices(flatrow, "text"):
                 counts, found = automaton.value.find(T.raw(part.column(0)))
                 hits, items = part.column(3).to_pylist(), part.column(4).to_pylist()
-                for r, named, spans in found:
+                fresh = {r: (named, spans) for r, named, spans in found}
+                for r in sorted({*fresh, *(r for r, h in enumerate(hits) if h)}):
+                    named, spans = fresh.get(r, ((), []))
                     old = [(x["start"], x["end"]) for x in hits[r]]
                     hits[r] = [{"start": a, "end": b} for a, b in _merged(old + spans)]
                     items[r] = sorted({*items[r], *named})
