@@ -327,8 +327,7 @@ def _stream_frontier(spark, d):
     stream = (spark.readStream.schema("partition int, offset bigint, done_ms bigint")
               .option("maxFilesPerTrigger", STREAM_FILES_PER_TRIGGER).parquet(f"{work}/completions"))
     adv = streaming_frontier(stream, r.base, _M.B)
-    sp.run_available(adv.writeStream.foreachBatch(sp.commit_sink(f"{work}/commits"))
-                     .option("checkpointLocation", f"{work}/ckpt"))
+    sp.run_available(sp.commit_sink(adv, f"{work}/commits", f"{work}/ckpt"))
     return sp.read_commits(spark, f"{work}/commits")
 
 

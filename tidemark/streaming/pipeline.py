@@ -4,8 +4,8 @@
   Kafka, when the connector is on the classpath).
 * S1 ``read_log_stream``: the same log as a stream, ``maxFilesPerTrigger``
   bounding each micro-batch like the consumer's bounded queue.
-* S7 ``commit_sink``: ``foreachBatch`` writer of the commit table; a batch
-  rewrites its own ``batch_id`` folder, so a retried batch never duplicates.
+* S7 ``commit_sink``: the commit table, by Spark's exactly-once file sink; readers
+  see the batches that its manifest names, and no others.
 * T3 ``run_available``: consume what is there, then stop (``availableNow``),
   with a timeout after which the query is stopped and the uncommitted part
   is left to the next run via the checkpoint.
@@ -26,11 +26,11 @@ from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.handler import ATTEMPT_SCHEMA, Handler
 from ..params import DEFAULT_BUCKET_SIZE, RetryPolicy
-from .frontier import final_timeline, streaming_frontier
+from .frontier import OUTPUT_SCHEMA, final_timeline, streaming_frontier
 from .handler import streaming_attempts
 
 #: Files of attempts per micro-batch of the frontier.
@@ -83,14 +83,19 @@ def read_kafka_stream(spark: SparkSession, servers: str, topic: str, starting_of
         F.col("value").cast("string").alias("value"), F.unix_millis("timestamp").alias("fetched_ms"))
 
 
-def commit_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function appending one commit table slice per batch."""
+def file_sink(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Append a stream to a table of files, exactly once.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("ok", F.lit(True))
-         .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+    Spark's file sink writes a batch's files first and then one entry of the table's
+    manifest (``_spark_metadata``) that names them.  Readers, batch or streaming, take
+    the files from the manifest: a batch that was killed before its entry leaves no
+    visible rows, and the run that repeats it adds them once."""
+    return rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
 
-    return write
+
+def commit_sink(advances: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Frontier advances to the commit table."""
+    return file_sink(advances.withColumn("ok", F.lit(True)), path, checkpoint)
 
 
 def run_available(query_builder, timeout_s: float | None = None) -> str:
@@ -105,33 +110,35 @@ def run_available(query_builder, timeout_s: float | None = None) -> str:
     return "caught_up"
 
 
-class Progress:
-    """Records that a query has finished, counted where its batches are written; a batch
-    that is written again counts once."""
-
-    def __init__(self, before: int = 0) -> None:
-        self.before, self.batches = before, {}
+#: Name of the observed metric that counts finished records.
+FINISHED = "finished"
 
-    def add(self, batch_id: int, finished: int) -> None:
-        self.batches[batch_id] = finished
 
-    @property
-    def finished(self) -> int:
-        return self.before + sum(self.batches.values())
+def finished(attempts: DataFrame) -> DataFrame:
+    """The attempts stream, observed: each micro-batch reports the records whose last try it holds."""
+    return attempts.observe(FINISHED, F.count_if(~F.col("retry")).alias("n"))
 
 
-def run_until(query_builder, progress: Progress, expected: int, timeout_s: float | None = None,
+def run_until(query_builder, expected: int, before: int = 0, timeout_s: float | None = None,
               interrupt: Event | None = None, poll_s: float = 0.2) -> str:
     """T3 on a live query: run until ``expected`` records are finished (``caught_up``), the
-    event is set (``interrupted``) or the time is over (``timeout``), then stop intake.  A
-    micro-batch cut off by the stop is done again by the next run from the checkpoint."""
+    event is set (``interrupted``) or the time is over (``timeout``), then stop intake.
+
+    Progress is what the query reports of its committed micro-batches (``finished``);
+    ``before`` were finished by earlier runs.  A micro-batch cut off by the stop is
+    done again by the next run from the checkpoint."""
     end = None if timeout_s is None else time.monotonic() + timeout_s
+    done: dict[int, int] = {}
     q: StreamingQuery = query_builder.trigger(processingTime="0 seconds").start()
     try:
         while True:
             if q.exception() is not None:
                 raise q.exception()
-            if progress.finished >= expected:
+            for p in q.recentProgress:
+                seen = p.observedMetrics.get(FINISHED)
+                if seen is not None:
+                    done[p.batchId] = seen["n"]
+            if before + sum(done.values()) >= expected:
                 return "caught_up"
             if interrupt is not None and interrupt.is_set():
                 return "interrupted"
@@ -142,18 +149,6 @@ def run_until(query_builder, progress: Progress, expected: int, timeout_s: float
         q.stop()
 
 
-def attempts_sink(path: str, progress: Progress) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function appending attempts; records whose last try this was are finished."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
-        done = batch.sparkSession.read.schema(ATTEMPT_SCHEMA).parquet(folder).where(~F.col("retry")).count()
-        progress.add(batch_id, done)
-
-    return write
-
-
 def pipeline(spark: SparkSession, log_path: str, work_dir: str, handler: Handler, policy: RetryPolicy, base: DataFrame,
              max_files_per_trigger: int = 1, timeout_s: float | None = None, interrupt: Event | None = None,
              schema: str = RECORD_SCHEMA, bucket_size: int = DEFAULT_BUCKET_SIZE) -> DataFrame:
@@ -169,18 +164,16 @@ def pipeline(spark: SparkSession, log_path: str, work_dir: str, handler: Handler
     records = read_log_stream(spark, log_path, schema, max_files_per_trigger)
     expected = spark.read.schema(schema).parquet(log_path).count()
     known = _table(spark, attempts_path, ATTEMPT_SCHEMA)
-    progress = Progress(known.where(~F.col("retry")).select("partition", "offset").distinct().count() if known is not None else 0)
-    if progress.finished < expected:
-        tries = streaming_attempts(records, handler, policy)
-        status = run_until(tries.writeStream.foreachBatch(attempts_sink(attempts_path, progress))
-                           .option("checkpointLocation", f"{work_dir}/ckpt-handle"), progress, expected, timeout_s, interrupt)
+    before = known.where(~F.col("retry")).count() if known is not None else 0
+    if before < expected:
+        tries = finished(streaming_attempts(records, handler, policy))
+        status = run_until(file_sink(tries, attempts_path, f"{work_dir}/ckpt-handle"), expected, before, timeout_s, interrupt)
         if status != "caught_up":
             raise TimeoutError(f"handler stream did not catch up: {status}")
-    done = (spark.readStream.schema(ATTEMPT_SCHEMA + ", batch_id int").option("maxFilesPerTrigger", DONE_FILES).parquet(attempts_path)
+    done = (spark.readStream.schema(ATTEMPT_SCHEMA).option("maxFilesPerTrigger", DONE_FILES).parquet(attempts_path)
             .where("ok").select("partition", "offset", F.col("end_ms").alias("done_ms")))
     adv = streaming_frontier(done, base, bucket_size)
-    status = run_available(adv.writeStream.foreachBatch(commit_sink(commits_path))
-                           .option("checkpointLocation", f"{work_dir}/ckpt-frontier"), timeout_s)
+    status = run_available(commit_sink(adv, commits_path, f"{work_dir}/ckpt-frontier"), timeout_s)
     if status != "caught_up":
         raise TimeoutError("frontier stream did not catch up")
     return read_commits(spark, commits_path)
@@ -199,7 +192,6 @@ def read_commits(spark: SparkSession, path: str) -> DataFrame:
     """The commit table folded into the W1 timeline (empty if no batch wrote, so
     that there is no folder; any other failure to read is an error)."""
     if _exists(spark, path):
-        return final_timeline(spark.read.parquet(path).drop("batch_id", "ok"))
+        return final_timeline(spark.read.schema(OUTPUT_SCHEMA).parquet(path))
     else:
-        return spark.createDataFrame([], "partition int, commit_ms bigint, committed_through bigint, "
-                                         "released bigint")
+        return spark.createDataFrame([], OUTPUT_SCHEMA)
