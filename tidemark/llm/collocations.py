@@ -11,13 +11,16 @@ neighbouring pairs is a phrase of three words, a pair of those one of four.
 A phrase is frequent only if both phrases that overlap in it are, so only pairs of
 ids are ever looked at; all frequent phrases are found.  Each level goes like this:
 
-* a part's distinct keys with counts (``keys``, ``counts``) are added up per
-  language; those of ``LEAST`` or more are ranked;
+* the parts' distinct keys with counts (``keys``, ``counts``) meet by key, in one
+  shuffle; those of ``LEAST`` or more in their language go on and are ranked;
 * the ranks travel back to the parts that hold the keys (a join by key, then one
-  by part, each bounded by the distinct keys of a part);
-* the part's symbols are rewritten and the pairs of the next level counted.
+  by part, each bounded by the frequent keys of a part);
+* the part's symbols are rewritten and the pairs of the next level counted; the
+  tables of the level below are deleted.
 
-Nothing but languages is ever held whole: a hot word is one row a part.
+Nothing but languages is ever held whole: a hot word is one row a part.  Ids are
+32-bit: more than 2^31 frequent words or phrases of one language are an error (of the
+cast to int).
 
 Scoring uses, for every phrase, the counts of its leading and trailing parts, which
 are handed down from the two phrases that it was made of.  A phrase inside a longer
@@ -43,6 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import _text as T
 
 LONGEST, LEAST, TOP = 4, 30, 2000
@@ -181,14 +185,12 @@ def count_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _symbols(seq: np.ndarray, at: np.ndarray, rank: np.ndarray, words: bool) -> np.ndarray:
     """The part's symbols one level up; -1 where there is no frequent one."""
-    if len(rank) and rank.max() >= 2**31:
-        raise OverflowError("more than 2^31 frequent symbols in a language")
     if words:
         table = np.full(max(int(seq.max(initial=-1)), int(at.max(initial=-1))) + 2, -1, dtype=np.int64)
         table[at] = rank
         return table[seq]  # -1 is the last place
     order = np.argsort(at)
-    at, rank = at[order], rank[order]
+    at, rank = at[order], rank[order].astype(np.int64)
     left, right = seq[:-1].astype(np.int64), seq[1:].astype(np.int64)
     out = np.full(len(left), -1, dtype=np.int64)
     both = np.flatnonzero((left >= 0) & (right >= 0))
@@ -216,10 +218,20 @@ def _next_level(words: bool):
 
 # -- levels -----------------------------------------------------------------------------
 
-def _frequent(level: DataFrame, least: int) -> DataFrame:
+def _occurring(level: DataFrame, least: int, words: bool) -> DataFrame:
+    """The frequent keys of every part: ``lang``, ``key``, ``part``, ``at`` (place among the
+    part's words, or the key) and ``a``, the count in the language.  The parts' counts
+    meet in one shuffle by key; what is not frequent ends there."""
+    each = level.select("lang", "part", *(["first"] if words else []), F.posexplode(F.arrays_zip("keys", "counts")).alias("pos", "e"))
+    at = [(F.col("first") + F.col("pos")).cast("int").alias("at")] if words else []
+    each = each.select("lang", F.col("e.keys").alias("key"), "part", *at, F.col("e.counts").alias("count"))
+    total = each.withColumn("a", F.sum("count").over(Window.partitionBy("lang", "key"))).where(F.col("a") >= least).drop("count")
+    return _written(total, "occurring")
+
+
+def _frequent(occurring: DataFrame) -> DataFrame:
     """``lang``, ``key``, ``a`` and ``rank`` (from 0, by count descending) of the frequent keys."""
-    each = level.select("lang", F.explode(F.arrays_zip("keys", "counts")).alias("e"))
-    total = T.kept(each.groupBy("lang", F.col("e.keys").alias("key")).agg(F.sum("e.counts").alias("a")).where(F.col("a") >= least), "frequent")
+    total = T.kept(occurring.groupBy("lang", "key").agg(F.first("a").alias("a")), "frequent")
     order = ["lang", F.desc("a"), "key"]
     placed = T.kept(total.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "ranked")
     run = F.shiftright("at", 33).alias("run")
@@ -230,16 +242,29 @@ def _frequent(level: DataFrame, least: int) -> DataFrame:
                   .select("lang", "key", "a", (F.col("at") - F.col("begin") + F.col("before")).alias("rank")), "symbols")
 
 
-def _raised(level: DataFrame, frequent: DataFrame, words: bool) -> DataFrame:
+def _raised(level: DataFrame, occurring: DataFrame, frequent: DataFrame, words: bool) -> DataFrame:
     """The next level: parts rewritten with the ranks of their frequent keys."""
-    keys = level.select("part", "lang", "first", F.posexplode("keys").alias("pos", "key"))
-    at = F.col("first") + F.col("pos") if words else F.col("key")
-    ranks = keys.join(frequent.select("lang", "key", "rank"), ["lang", "key"]).groupBy("part", "lang").agg(
-        F.collect_list(F.struct(at.cast("bigint").alias("at"), "rank")).alias("e"))
+    at = F.col("at" if words else "key").cast("bigint").alias("at")
+    ranks = occurring.join(frequent.select("lang", "key", "rank"), ["lang", "key"]).groupBy("part", "lang").agg(F.collect_list(F.struct(at, "rank")).alias("e"))
     parts = level.where(F.col("seq").isNotNull()).select("part", "lang", "seq")
     T.bounded_batches(level.sparkSession)
-    return T.kept(parts.join(ranks, ["part", "lang"]).select("part", "lang", "seq", F.col("e.at").alias("at"), F.col("e.rank").alias("rank"))
-                  .mapInArrow(_next_level(words), PAIRS), "pairs")
+    return _written(parts.join(ranks, ["part", "lang"]).select("part", "lang", "seq", F.col("e.at").alias("at"), F.col("e.rank").alias("rank"))
+                    .mapInArrow(_next_level(words), PAIRS), "pairs")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """As ``kept``, tightly compressed; ``_removed`` deletes the table when nothing reads it any more."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def _removed(df: DataFrame) -> None:
+    spark, path = df.sparkSession, df._tidemark_path
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _phrases(frequent: DataFrame, shorter: DataFrame | None) -> DataFrame:
@@ -275,14 +300,17 @@ def mine(docs: DataFrame, least: int = LEAST, top: int = TOP, text: str = "text"
     ``top`` phrases of two to ``LONGEST`` words that occur ``least`` times or more."""
     T.bounded_batches(docs.sparkSession)
     given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
-    level = T.kept(given.mapInArrow(lambda batches: _parts(batches, part_bytes), WORDS), "words")
-    sizes = level.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, x: s + x)).alias("n"))
+    level = _written(given.mapInArrow(lambda batches: _parts(batches, part_bytes), WORDS), "words")
+    sizes = T.kept(level.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, x: s + x)).alias("n")), "sizes")
     phrases: list[DataFrame] = []
     for m in range(1, LONGEST + 1):
-        frequent = _frequent(level, least)
+        occurring = _occurring(level, least, m == 1)
+        frequent = _frequent(occurring)
         phrases.append(_phrases(frequent, phrases[-1] if phrases else None))
-        if m < LONGEST:
-            level = _raised(level, frequent, m == 1)
+        following = _raised(level, occurring, frequent, m == 1) if m < LONGEST else None
+        _removed(level)
+        _removed(occurring)
+        level = following
     found = []
     for m in range(2, LONGEST + 1):
         some = phrases[m - 1].withColumn("cut", _cut(m))
