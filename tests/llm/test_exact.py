@@ -466,4 +466,4 @@ def test_licenses_equal_plain_windows():
 
 
 def test_queries_are_registered():
-    assert len(queries.QUERIES) == 10 and set(queries.ORACLE) <= set(queries.QUERIES)
+    assert len(queries.QUERIES) == 13 and set(queries.ORACLE) <= set(queries.QUERIES)
