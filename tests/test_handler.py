@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import attempts as att
-from tidemark.operators.handler import ATTEMPT_SCHEMA, handle_records, handler_outcomes, one_try
+from tidemark.operators.handler import ATTEMPT_SCHEMA, Tries, handle_records, handler_outcomes, one_try
 from tidemark.params import RetryPolicy
 from tidemark.streaming import pipeline as sp
 from tidemark.streaming.handler import streaming_attempts
@@ -134,3 +134,44 @@ def test_key_budget_matches_step_model(spark):
                                        RetryPolicy(n, 100, 1000), 3).collect()
         got = [r.failures for r in sorted(rows, key=lambda r: r.offset)]
         assert got == exp, n
+
+
+def test_raising_rows_are_not_searched_for_again():
+    """Handler calls: no call for a second half that must raise, retries know who raised."""
+    calls = []
+
+    def handler(pdf):
+        calls.append(len(pdf))
+        if (pdf["offset"] % 8 == 7).any():
+            raise RuntimeError("no")
+        return pd.Series(pdf["offset"] % 8 != 3)
+
+    rows = pd.DataFrame({"partition": 0, "offset": range(64), "key": "k", "attempt": np.int32(1), "clock_ms": 0})
+    tries, seen, pending = Tries(handler, RetryPolicy(2, 100, 1000)), [], rows
+    while len(pending):
+        tried, again = tries.run(pending)
+        seen.append(list(zip(tried["offset"], tried["ok"], tried["error"], strict=True)))
+        pending = again.drop(columns="wait_ms")
+    bad = [(o, False, "RuntimeError: no") for o in range(7, 64, 8)]
+    assert sorted(x for x in seen[0] if x[2] == "RuntimeError: no") == bad and len(seen[0]) == 64
+    for later in seen[1:]:
+        assert sorted(later) == sorted(bad + [(o, False, "failed") for o in range(3, 64, 8)])
+    assert len(seen) == 3 and len(calls) <= 15 + 8 * 4 + 2 * (2 + 8)  # 8 of the halves to halve, then 2 + 8 calls a try
+
+
+def test_rows_that_raised_are_retried_together():
+    """A fault of the whole batch that has passed costs one call, not one a row."""
+    calls = []
+
+    def handler(pdf):
+        calls.append(len(pdf))
+        if (pdf["attempt"] == 1).any():
+            raise RuntimeError("down")
+        return np.ones(len(pdf), dtype=bool)
+
+    rows = pd.DataFrame({"partition": 0, "offset": range(32), "key": "k", "attempt": np.int32(1), "clock_ms": 0})
+    tries = Tries(handler, RetryPolicy(2, 100, 1000))
+    _, again = tries.run(rows)
+    calls.clear()
+    tried, again = tries.run(again.drop(columns="wait_ms"))
+    assert calls == [32] and tried["ok"].all() and list(tried["offset"]) == list(range(32)) and not len(again)
