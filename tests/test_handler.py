@@ -8,12 +8,13 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators import attempts as att
 from tidemark.operators.handler import ATTEMPT_SCHEMA, Tries, handle_records, handler_outcomes, one_try
 from tidemark.params import RetryPolicy
 from tidemark.streaming import pipeline as sp
-from tidemark.streaming.handler import streaming_attempts
+from tidemark.streaming.handler import RetryProcessor, streaming_attempts
 
 
 def _records(spark, n=12):
@@ -175,3 +176,59 @@ def test_rows_that_raised_are_retried_together():
     calls.clear()
     tried, again = tries.run(again.drop(columns="wait_ms"))
     assert calls == [32] and tried["ok"].all() and list(tried["offset"]) == list(range(32)) and not len(again)
+
+
+def test_waiting_records_go_to_the_state_in_blocks():
+    """Calls to the state follow the blocks, not the records; what is read back has its types."""
+    class Store(dict):
+        calls = 0
+
+        def iterator(self):
+            return iter(list(self.items()))
+
+        def updateValue(self, k, v):
+            Store.calls += 1
+            self[k] = v
+
+        def removeKey(self, k):
+            Store.calls += 1
+            del self[k]
+
+        def containsKey(self, k):
+            Store.calls += 1
+            return k in self
+
+    class Handle:
+        timers = []
+
+        def getMapState(self, *a):
+            return Store()
+
+        def registerTimer(self, at):
+            Handle.timers.append(at)
+
+    class Now:
+        def __init__(self, at):
+            self.at = at
+
+        getCurrentProcessingTimeInMs = getExpiryTimeInMs = lambda self: self.at
+
+    seen = []
+
+    def handler(pdf):
+        seen.append((len(pdf), dict(pdf.dtypes)))
+        return pdf["attempt"] > 1 + pdf["offset"] % 2
+
+    n = 10_000
+    record = StructType.fromDDL("partition int, offset bigint, key string, fetched_ms bigint")
+    rows = pd.DataFrame({"partition": np.int32(0), "offset": np.arange(n), "key": [None if i % 3 else "k" for i in range(n)], "fetched_ms": np.arange(n)})
+    p = RetryProcessor(Tries(handler, RetryPolicy(2, 100, 1000)), record)
+    p.init(Handle())
+    out = [*p.handleInputRows((0, 0), iter([rows, rows.head(5)]), Now(0))]  # the second are redeliveries of waiting ones
+    assert [len(x) for x in out] == [n] and Store.calls == 3
+    assert [*p.handleExpiredTimer((0, 0), Now(99), Now(99))] == []
+    second = [*p.handleExpiredTimer((0, 0), Now(100), Now(100))]
+    assert second[0]["ok"].sum() == n // 2 and second[0]["key"].isna().sum() == rows["key"].isna().sum()
+    third = [*p.handleExpiredTimer((0, 0), Now(300), Now(300))]
+    assert sorted(third[0]["offset"]) == list(range(1, n, 2)) and third[0]["ok"].all() and not p.waiting
+    assert Store.calls <= 20 and len(seen) == 3 and all(t == seen[0][1] for _, t in seen) and set(Handle.timers) == {100, 300}
