@@ -178,7 +178,7 @@ def test_rows_that_raised_are_retried_together():
     assert calls == [32] and tried["ok"].all() and list(tried["offset"]) == list(range(32)) and not len(again)
 
 
-def test_waiting_records_go_to_the_state_in_blocks():
+def test_waiting_records_go_to_the_state_in_blocks(spark):
     """Calls to the state follow the blocks, not the records; what is read back has its types."""
     class Store(dict):
         calls = 0
