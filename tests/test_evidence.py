@@ -154,3 +154,14 @@ def test_part_files_follow_each_other_by_number(spark):
             f.write(lines + "\n")
     rows = read_logs_lines(spark, d + "/*/*.txt", PARTITION_DIR).orderBy("line_idx").collect()
     assert [(r.scenario, r.line_idx, r.line) for r in rows] == [("a", 0, "first"), ("a", 1, "second"), ("a", 2, "third"), ("a", 3, "fourth")]
+
+
+def test_a_line_is_parsed_once(spark):
+    """The clock is looked for once a line, in the plan of every field and of the filter."""
+    lines = spark.createDataFrame([("s", 0, "2024/01/02 03:04:05 ✓ Committed partition 1 through offset 7"), ("s", 1, None), ("s", 2, "x"),
+                                   ("s", 3, "Message partition 0 offset 2 failed on attempt 1: x key=a b; retrying in 1.5s")],
+                                  "scenario string, line_idx bigint, line string").repartition(1)
+    parsed = ev.parse_log(lines)
+    assert str(parsed._jdf.queryExecution().optimizedPlan().toString()).count("^[0-9]{4}/") == 1
+    assert [tuple(r) for r in parsed.orderBy("line_idx").collect()] == [
+        ("s", 0, "committed", 1, 7, None, None, None, "03:04:05"), ("s", 3, "retry", 0, 2, 1, "a b", 1500, ev.NO_TIME)]
