@@ -164,4 +164,4 @@ def test_a_line_is_parsed_once(spark):
     parsed = ev.parse_log(lines)
     assert str(parsed._jdf.queryExecution().optimizedPlan().toString()).count("^[0-9]{4}/") == 1
     assert [tuple(r) for r in parsed.orderBy("line_idx").collect()] == [
-        ("s", 0, "committed", 1, 7, None, None, None, "03:04:05"), ("s", 3, "retry", 0, 2, 1, "a b", 1500, ev.NO_TIME)]
+        ("s", 0, "committed", 1, 7, None, None, None, "03:04:05"), ("s", 3, "retry", 0, 2, 1, "a", 1500, ev.NO_TIME)]
